@@ -7,13 +7,17 @@ counts and names. Where an operator has no SQL, its tests hold it against brute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkloom.llm import exact_dedup, html_text, line_dedup, packing, pii, quality, substring_dedup, suffix_dedup
+from inkloom.llm import decontam, exact_dedup, html_text, jaccard_join, line_dedup, packing, pii, quality, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -47,6 +51,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_hash")
+
+
 def packed_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -69,17 +77,31 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
     "op4_line_dedup": op4_line_dedup,
     "op5_pii": op5_pii,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_html_text": op10_html_text,
 }
 
 SQL = {
+    "op1_jaccard_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                     ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS own FROM d),
+        x AS (SELECT doc_id, len(own) AS n, unnest(own) AS h FROM s),
+        pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.h = b.h AND a.doc_id <> b.doc_id
+                  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        r AS (SELECT doc_id AS node, doc_id AS other FROM d UNION SELECT r.node, p.b FROM r JOIN pairs p ON r.other = p.a)
+        SELECT s.doc_id, CAST(len(s.own) AS BIGINT) AS n_shingles, m.component_id
+        FROM s JOIN (SELECT node, min(other) AS component_id FROM r GROUP BY node) m ON s.doc_id = m.node
+    """,
     "op2_exact_dedup": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
         k AS (SELECT doc_id, norm, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size
@@ -108,4 +130,20 @@ SQL = {
         SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_words, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN s ON d.doc_id = s.doc_id
     """,
+    "op7_decontamination": r"""
+        WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+        w AS (SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM t),
+        s AS (SELECT kind, id, len(w) AS n, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END AS own FROM w WHERE len(w) > 0),
+        x AS (SELECT kind, id, n, unnest(own) AS h, unnest(range(len(own))) AS p FROM s),
+        starts AS (SELECT DISTINCT a.id AS doc_id, b.n AS n_words, greatest(0, least(a.p - b.p, a.n - b.n)) AS start FROM x a JOIN x b ON a.h = b.h WHERE a.kind = 'd' AND b.kind = 'b'),
+        win AS (SELECT doc_id, n_words, start, s.own[start + 1 : start + greatest(1, n_words - 4)] AS own FROM starts JOIN s ON s.kind = 'd' AND s.id = doc_id),
+        wh AS (SELECT doc_id, n_words, start, len(own) AS n, unnest(own) AS h FROM win),
+        wc AS (SELECT doc_id, n_words, start, n, h, count(*) AS k FROM wh GROUP BY ALL),
+        bc AS (SELECT id AS item_id, n AS n_words, h, count(*) AS k FROM x WHERE kind = 'b' GROUP BY ALL),
+        sim AS (SELECT doc_id, item_id, n_words, start, sum(least(wc.k, bc.k)) AS shared, n + greatest(1, n_words - 4) AS total
+                FROM wc JOIN bc USING (n_words, h) GROUP BY doc_id, item_id, n_words, start, n),
+        ok AS (SELECT *, CAST(shared AS DOUBLE) / CAST(total - shared AS DOUBLE) AS similarity FROM sim WHERE 5 * shared >= 4 * (total - shared))
+        SELECT doc_id, item_id, similarity, CAST(start AS BIGINT) AS start, CAST(n_words AS BIGINT) AS n_words
+        FROM ok QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+    """,
 }

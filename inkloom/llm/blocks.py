@@ -26,6 +26,20 @@ from pyspark.sql import DataFrame
 from inkloom.llm.common import mixed, runs_of, shards
 
 BLOCK_ENTRIES = 1 << 20
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on in as few bytes each as the largest needs; the first byte says how many."""
+    for size in (1, 2, 4):
+        if not len(values) or values.max() < 1 << (8 * size):
+            return bytes([size]) + values.astype(f"<u{size}").tobytes()
+    return b"\x08" + values.astype("<u8").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 ASKED = "shard int, block bigint, hashes binary, gaps binary, ids binary, per_id binary, local binary"
 ANSWERED = "block bigint, hits binary, gaps binary, ids binary, per_id binary, local binary"
 FOUND = "doc_id bigint, row_hash bigint, starts array<int>, counts array<int>"
@@ -65,7 +79,7 @@ class Block:
             at = asked[lo:hi]
             who = owner[at]
             first = np.flatnonzero(np.diff(who, prepend=who[0] - 1))
-            out.append((int(shard[at[0]]), number, hashes[at].tobytes(), np.diff(at, prepend=0).astype(np.uint32).tobytes(), np.diff(who[first], prepend=0).tobytes(), np.diff(np.append(first, len(at))).astype(np.uint32).tobytes(), None))
+            out.append((int(shard[at[0]]), number, hashes[at].tobytes(), packed(np.diff(at, prepend=0)), who[0].tobytes() + packed(np.diff(who[first], prepend=who[0])), packed(np.diff(np.append(first, len(at)))), None))
         return pd.DataFrame(out, columns=["shard", "block", "hashes", "gaps", "ids", "per_id", "local"])
 
 
@@ -95,7 +109,7 @@ def settle(asked: list[tuple], rule: str) -> Iterator[tuple[int, np.ndarray]]:
     widths = np.diff(np.append(heads, len(order)))
     hit = np.zeros(len(hashes), bool)
     if rule == "earlier":
-        owner = np.concatenate([np.repeat(np.cumsum(np.frombuffer(a[3], np.int64)), np.frombuffer(a[4], np.uint32)) for a in asked])
+        owner = np.concatenate([np.repeat(np.frombuffer(a[3][:8], np.int64) + np.cumsum(unpacked(a[3][8:])), unpacked(a[4])) for a in asked])
         hit[order] = owner[order] > np.repeat(np.minimum.reduceat(owner[order], heads), widths)
     else:
         hit[order] = np.repeat(widths > 1, widths)
@@ -103,7 +117,7 @@ def settle(asked: list[tuple], rule: str) -> Iterator[tuple[int, np.ndarray]]:
     for a, n in zip(asked, sizes, strict=True):
         mine = hit[at : at + n]
         if mine.any():
-            yield a[0], np.cumsum(np.frombuffer(a[2], np.uint32), dtype=np.int64)[mine].astype(np.uint32)
+            yield a[0], np.cumsum(unpacked(a[2]))[mine].astype(np.uint32)
         at += n
 
 

@@ -177,18 +177,29 @@ class TokenIds(dict):
     """Little-endian ids by word. The tokenizer cuts at white space and drops it, so the ids of
     a text are those of its words, one after the other."""
 
+    #: Words of one call to the tokenizer, parted by its special token.
+    TOGETHER = 64
+    PARTING = "<|endoftext|>"
+
     def __init__(self, model: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
+        self.parting = self.tokenizer.token_to_id(self.PARTING)
 
     def learn(self, words: list[str]) -> None:
-        if len(self) + len(words) > CACHED_WORDS:
-            self.clear()
-        for lo in range(0, len(words), 10_000):
-            part = words[lo : lo + 10_000]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+        alone = [w for w in words if self.parting is None or self.PARTING in w]
+        if alone:
+            words = [w for w in words if w not in set(alone)]
+            for word, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
                 self[word] = np.array(e.ids, "<u4").tobytes()
+        for lo in range(0, len(words), 100 * self.TOGETHER):
+            groups = [words[k : k + self.TOGETHER] for k in range(lo, min(lo + 100 * self.TOGETHER, len(words)), self.TOGETHER)]
+            for group, e in zip(groups, self.tokenizer.encode_batch_fast([self.PARTING.join(g) for g in groups], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, "<u4")
+                data, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == self.parting)).tolist()
+                for word, a, b in zip(group, [0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True):
+                    self[word] = data[a:b]
 
     def of(self, words: list[str]) -> bytes:
         return b"".join(map(self.__getitem__, words))

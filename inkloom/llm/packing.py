@@ -13,7 +13,10 @@ before, so no length's items ever meet in one task.
 """
 
 import bisect
+import os
+import sys
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
@@ -26,7 +29,7 @@ from inkloom.llm.common import documents, field_list, materialize, with_column
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 #: length, first rank, items, items of a sequence, first sequence, offset in it
 PlanRow = tuple[int, int, int, int, int, int]
@@ -175,7 +178,10 @@ def best_fit_pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 class TokenIds(dict):
     """Little-endian ids by word. The tokenizer cuts at white space and drops it, so the ids of
-    a text are those of its words, one after the other."""
+    a text are those of its words, one after the other. It also lower-cases and cuts between
+    letters and signs, so a word of Latin letters and full stops or commas has the ids of its
+    letters, then those of its signs. When CACHED_WORDS are held, they become the older
+    generation, from which words in use move back; the one before is forgotten."""
 
     #: Words of one call to the tokenizer, parted by its special token.
     TOGETHER = 64
@@ -186,8 +192,19 @@ class TokenIds(dict):
 
         self.tokenizer = Tokenizer.from_str(model)
         self.parting = self.tokenizer.token_to_id(self.PARTING)
-
-    def learn(self, words: list[str]) -> None:
+        self.older: dict[str, bytes] = {}
+
+    @staticmethod
+    def of_worker(model: str) -> "TokenIds":
+        """One for all tasks of a worker process."""
+        held = sys.__dict__.setdefault("_inkloom_tokens", {})
+        key = hash(model)
+        if key not in held:
+            held.clear()
+            held[key] = TokenIds(model)
+        return held[key]
+
+    def encoded(self, words: list[str]) -> None:
         alone = [w for w in words if self.parting is None or self.PARTING in w]
         if alone:
             words = [w for w in words if w not in set(alone)]
@@ -201,8 +218,36 @@ class TokenIds(dict):
                 for word, a, b in zip(group, [0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True):
                     self[word] = data[a:b]
 
-    def of(self, words: list[str]) -> bytes:
-        return b"".join(map(self.__getitem__, words))
+    def learn(self, words: set[str]) -> None:
+        if len(self) > CACHED_WORDS:
+            self.older = dict(self)
+            self.clear()
+            words = words | self.asked
+        todo, made = set(), []
+        for w in words:
+            known = self.older.get(w)
+            if known is not None:
+                self[w] = known
+                continue
+            letters = (low := w.lower()).rstrip(".,")
+            if letters.isalpha() and max(letters) < "\u0100" and letters != w:
+                made.append((w, letters, signs := low[len(letters) :]))
+                todo.update(x for x in (letters, signs) if x not in self)
+            else:
+                todo.add(w)
+        self.encoded(list(todo))
+        for w, letters, signs in made:
+            self[w] = self[letters] + self[signs]
+
+    def of_texts(self, texts: list[str]) -> Iterator[bytes]:
+        # The space and the line feed are ones that the tokenizer's pattern knows in any case; others stay within a word.
+        words = [t.replace("\n", " ").split(" ") for t in texts]
+        self.asked: set[str] = set()
+        if len(self) > CACHED_WORDS:
+            self.asked = set(chain.from_iterable(words))
+        self.learn(set(filterfalse(self.__contains__, chain.from_iterable(words))))
+        for w in words:
+            yield b"".join(map(self.__getitem__, w))
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
@@ -216,21 +261,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
         model = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        ids_of, end = TokenIds(model.value), np.array([END_ID], "<u4").tobytes()
+        ids_of, end = TokenIds.of_worker(model.value), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            # The space is one that the tokenizer's pattern knows in any case; others stay within a word.
-            words = [t.replace("\n", " ").split(" ") for t in batch["text"]]
-            new = set().union(*words).difference(ids_of)
-            if len(ids_of) + len(new) > CACHED_WORDS:
-                ids_of.clear()
-                new = set().union(*words)
-            ids_of.learn(list(new))
             out = []
-            for doc_id, w in zip(batch["doc_id"], words, strict=True):
-                ids = ids_of.of(w) + end
+            for doc_id, ids in zip(batch["doc_id"], ids_of.of_texts(batch["text"].tolist()), strict=True):
+                ids += end
                 for piece, lo in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[lo : lo + 4 * capacity]
                     out.append((doc_id, piece, lo // 4, len(part) // 4, part))

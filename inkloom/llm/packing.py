@@ -29,7 +29,7 @@ from inkloom.llm.common import documents, field_list, materialize, with_column
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 600_000
 
 #: length, first rank, items, items of a sequence, first sequence, offset in it
 PlanRow = tuple[int, int, int, int, int, int]

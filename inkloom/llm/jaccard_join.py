@@ -39,6 +39,7 @@ RADIUS = 1 - SIMILARITY / 100
 #: Sets of a shingle up to which its pairs are looked at one by one.
 COMMON = 32
 BLOCK_SHINGLES = 1 << 21
+PAIR_ROWS = 100_000
 CELL = 64
 PIVOTS = 8
 TO_LOWER = str.maketrans(UPPER, LOWER)
@@ -160,18 +161,23 @@ def lists_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def pairs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The pairs of each list that their sizes allow a link."""
+    """The pairs of each list that their sizes allow a link, some PAIR_ROWS at a time."""
+    made: list[tuple] = []
+    rows = 0
+    hand_on = lambda: pd.DataFrame(dict(zip(("a", "b", "na", "nb", "w"), map(np.concatenate, zip(*made, strict=True)), strict=True)))
     for batch in batches:
-        if not len(batch):
-            continue
-        a, b, na, nb, w = [], [], [], [], []
         for sets, ns, weight in zip(batch["sets"], batch["ns"], batch["weight"], strict=True):
             sets, ns = np.asarray(sets), np.asarray(ns, np.int64)
             i, j = np.triu_indices(len(sets), 1)
             fits = 100 * np.minimum(ns[i], ns[j]) >= SIMILARITY * np.maximum(ns[i], ns[j])
             i, j = i[fits], j[fits]
-            a.append(sets[i]), b.append(sets[j]), na.append(ns[i]), nb.append(ns[j]), w.append(np.full(len(i), weight))
-        yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b), "na": np.concatenate(na), "nb": np.concatenate(nb), "w": np.concatenate(w)})
+            made.append((sets[i], sets[j], ns[i], ns[j], np.full(len(i), weight)))
+            rows += len(i)
+            if rows >= PAIR_ROWS:
+                yield hand_on()
+                made, rows = [], 0
+    if made:
+        yield hand_on()
 
 
 def shared_column(n: Column) -> Column:

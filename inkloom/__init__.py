@@ -1,0 +1 @@
+"""Document processing and quality analytics on Spark."""

@@ -4,8 +4,7 @@ Each task gathers digests in a memtable of bounded size. A full memtable is
 flushed as a sorted run, cut into one segment per digest shard, each with a Bloom
 filter. Compaction of a shard merges its segments: a key that no other segment's
 filter knows is passed on as it is, the rest are merged and the best identifier
-of each digest stays. A row whose digest belongs to another row is a hit, and its
-bytes are compared with those of the row that stays.
+of each digest stays. Rows that share a digest are hits, and their bytes are compared.
 """
 
 from collections.abc import Callable, Iterator
@@ -15,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.llm.common import WHITE_SPACE, documents, materialize, shards
+from inkloom.llm.common import WHITE_SPACE, documents, materialize, shards, with_row_hash
 
 MEMTABLE_ROWS = 65_536
 FILTER_BITS_PER_KEY = 10
@@ -159,37 +158,23 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256_dig
     theirs is the doc_id that stays. An empty table gives an empty result. digest
     may be weak: rows whose digest collides are told apart by their bytes.
     """
-    d = documents(docs)
+    d = with_row_hash(documents(docs))
     norm = normalised("text")
-    rows = d.select("doc_id", F.length("text").cast("long").alias("n"), digest(norm).alias("digest"))
-    index = materialize(compacted(materialize(digest_runs(rows, memtable_rows), "runs"), memtable_rows), "index")
+    rows = materialize(d.select("doc_id", "row_hash", F.length("text").cast("long").alias("n"), digest(norm).alias("digest")), "digests")
+    index = materialize(compacted(materialize(digest_runs(rows.drop("row_hash"), memtable_rows), "runs"), memtable_rows), "index")
     found = rows.join(index.hint("merge"), "digest")
 
-    texts = d.select("doc_id", norm.alias("norm"))
-    hits = found.filter(F.col("doc_id") != F.col("keep_id")).select("doc_id", "n", "digest", "keep_id")
-    checked = (
-        hits.hint("merge")
-        .join(d.select("doc_id", "text").hint("merge"), "doc_id")
-        .filter(digest(norm) == F.col("digest"))
-        .select("doc_id", "n", "digest", "keep_id", norm.alias("norm"))
-        .hint("merge")
-        .join(texts.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("keep_id"), F.col("norm").alias("keep_norm")).hint("merge"), "keep_id")
-    )
-    collided = materialize(checked.filter("norm != keep_norm").select("doc_id", "n", "digest", "norm").distinct(), "collided")
+    # The bytes of all rows of a digest are the same where their least and their greatest text are.
+    hits = found.filter("group_size > 1").select("doc_id", "row_hash", "n", "digest").distinct()
+    texts = d.join(hits.hint("merge"), ["doc_id", "row_hash"]).select("doc_id", "row_hash", "n", "digest", norm.alias("norm"))
+    spread = texts.groupBy("digest").agg(F.min("norm").alias("least"), F.max("norm").alias("greatest"))
+    collided = materialize(spread.filter("least != greatest").select("digest"), "collided")
     plain = found.select("digest", "doc_id", "keep_id", "group_size")
     if not collided.isEmpty():
-        first = F.min(F.struct(-F.col("n"), F.col("doc_id").alias("id")))["id"]
-        own = collided.groupBy("digest", "norm").agg(first.alias("own_id"), F.count("*").alias("own_size"))
-        moved = collided.join(own, ["digest", "norm"]).select("digest", "doc_id", "own_id", "own_size")
-        gone = collided.groupBy("digest").agg(F.count("*").alias("gone"))
-        plain = (
-            plain.join(moved, ["digest", "doc_id"], "left")
-            .join(gone, "digest", "left")
-            .select(
-                "digest",
-                "doc_id",
-                F.coalesce("own_id", "keep_id").alias("keep_id"),
-                F.coalesce("own_size", F.col("group_size") - F.coalesce("gone", F.lit(0))).alias("group_size"),
-            )
-        )
+        apart = materialize(texts.join(collided, "digest"), "collided-texts")
+        best = F.min(F.struct((-F.col("n")).alias("n"), F.col("doc_id").alias("id")))["id"]
+        own = apart.groupBy("digest", "norm").agg(best.alias("own_id"), F.count("*").alias("own_size"))
+        own = apart.select("digest", "doc_id", "row_hash", "norm").distinct().join(own, ["digest", "norm"]).drop("norm")
+        found = found.join(own, ["digest", "doc_id", "row_hash"], "left")
+        plain = found.select("digest", "doc_id", F.coalesce("own_id", "keep_id").alias("keep_id"), F.coalesce("own_size", "group_size").alias("group_size"))
     return plain.select("doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "digest")

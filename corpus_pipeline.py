@@ -18,10 +18,10 @@ from inkloom.llm.queries import packed_documents, table
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose score is at least the threshold; learnt from labels of the documents that came in."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    texts = docs.withColumn("__text", F.col("text"))
-    others = [c for c in texts.columns if c not in ("doc_id", "text")]
-    scored = quality.score_quality(texts, model, *others)
-    return scored.filter(F.col("score") >= quality.THRESHOLD).withColumnRenamed("__text", "text").select(*docs.columns)
+    carried = {c: f"__{i}" for i, c in enumerate(docs.columns) if c != "doc_id"}
+    named = docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(n) for c, n in carried.items()])
+    kept = quality.score_quality(named, model, *carried.values()).filter(F.col("score") >= quality.THRESHOLD)
+    return kept.select(*[F.col(carried.get(c, "doc_id")).alias(c) for c in docs.columns])
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,24 @@ LABELLED = [
     (260, 0.02, 3, 0.00, 11, 0.00, 1, 0, 0, 1),
     (15, 0.00, 15, 0.00, 15, 0.00, 1, 0, 0, 1),
     (4, 0.00, 200, 0.00, 9, 0.00, 1, 0, 1, 1),
+    (1, 0.00, 1, 0.00, 1, 0.00, 1, 0, 0, 1),
+    (1, 0.00, 2, 1.00, 3, 0.00, 1, 0, 0, 1),
+    (1, 0.00, 0, 0.00, 0, 0.00, 1, 0, 0, 1),
+    (2, 0.00, 3, 0.00, 2, 0.00, 1, 0, 0, 1),
+    (2, 0.00, 1, 1.00, 2, 0.00, 1, 0, 1, 1),
+    (2, 0.50, 4, 0.00, 5, 0.50, 1, 0, 0, 1),
+    (3, 0.00, 1, 1.00, 1, 1.00, 1, 0, 0, 1),
+    (3, 0.33, 5, 0.00, 4, 0.00, 1, 0, 1, 1),
+    (3, 1.00, 3, 1.00, 3, 1.00, 1, 0, 0, 1),
+    (4, 0.00, 2, 0.00, 1, 0.00, 1, 0, 0, 1),
+    (4, 1.00, 4, 1.00, 0, 0.00, 1, 0, 0, 1),
+    (5, 0.00, 5, 0.00, 3, 1.00, 1, 0, 0, 1),
+    (6, 0.00, 4, 0.00, 0, 0.00, 1, 0, 0, 1),
+    (6, 0.80, 2, 1.00, 8, 1.00, 1, 0, 0, 1),
+    (7, 0.00, 3, 0.00, 6, 0.00, 1, 0, 0, 1),
+    (8, 0.00, 1, 0.00, 4, 0.50, 1, 0, 0, 1),
+    (10, 0.60, 6, 0.00, 8, 0.40, 1, 0, 0, 1),
+    (14, 0.90, 9, 0.80, 7, 1.00, 1, 0, 0, 1),
     (1, 1.00, 1, 1.00, 1, 1.00, 0, 1, 0, 0),
     (2, 1.00, 1, 1.00, 8, 0.00, 0, 1, 0, 0),
     (8, 0.00, 1, 1.00, 9, 0.00, 0, 1, 0, 0),

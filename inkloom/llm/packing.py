@@ -146,11 +146,12 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[PlanRow]:
 
 
 def best_fit_pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """items with sequence_id and offset added; items has a column length, 1 to capacity, and any others.
+    """items with sequence_id and offset added, or replaced; items has a column length, 1 to capacity, and any others.
 
     Sequences are gapless from offset 0 and hold at most capacity. Another length, or a null
     one, is an error. Alike items are items of their own. An empty table gives an empty result.
     """
+    items = items.drop("sequence_id", "offset")
     stored = materialize(items.withColumn("__row", F.monotonically_increasing_id()), "pack-items")
     part = F.shiftright("__row", 33).alias("__part")
     each = stored.groupBy(part, "length").agg(F.count("*").alias("__n"))

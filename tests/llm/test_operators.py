@@ -1,0 +1,284 @@
+import random
+import sys
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).parent))
+import plain
+
+from inkloom.llm import decontam, exact_dedup, html_text, jaccard_join, line_dedup, packing, pii, quality, substring_dedup, suffix_dedup
+
+SCHEMA = "doc_id bigint, text string, row_hash string, n int, digest string, shard int, key string"
+VOCABULARY = [f"w{i}" for i in range(400)]
+
+
+def frame(spark, docs):
+    """Documents with further columns that have the names of the operators' own."""
+    return spark.createDataFrame([(i, t, "x", None, None, 7, "k") for i, t in docs], SCHEMA)
+
+
+def corpus(seed=3):
+    r = random.Random(seed)
+    say = lambda n: " ".join(r.choice(VOCABULARY) for _ in range(n))
+    passage, line = say(40), "This Is a Common Line of the Corpus"
+    docs = [(1, None), (2, ""), (3, " \n\t"), (4, "one"), (5, "ONE"), (6, "two words"), (7, "é ß 中文 é"), (8, line)]
+    docs += [(i, f"{say(30)}\n {line.upper()} \n{say(r.randint(3, 60))}") for i in range(10, 22)]
+    docs += [(i, f"{say(9)} {passage} {say(12)}") for i in range(30, 38)]
+    docs += [(40, "Heat " * 300), (41, "Heat " * 300 + "on"), (42, say(8000)), (43, "x" * 30_000)]
+    base = say(90).split()
+    for i in range(50, 80):  # near copies
+        w = list(base)
+        for _ in range(r.randint(0, 6)):
+            w[r.randrange(len(w))] = r.choice(VOCABULARY)
+        docs.append((i, " ".join(w)))
+    docs += [(i, docs[20][1]) for i in (90, 91, 92)] + [(93, " ".join(docs[20][1].split()))]
+    docs += [(94, docs[42][1]), (94, docs[42][1]), (95, say(5)), (95, say(40))]  # rows that repeat a doc_id
+    return docs
+
+
+@pytest.fixture(scope="module")
+def docs():
+    return corpus()
+
+
+def test_jaccard_components(spark, docs):
+    got = sorted(tuple(r) for r in jaccard_join.jaccard_components(frame(spark, docs)).collect())
+    assert got == plain.components(docs)
+
+
+def test_region_links_by_cells_equal_brute_force():
+    r = random.Random(5)
+    docs = []
+    for b in range(4):
+        base = [r.choice(VOCABULARY) for _ in range(60)]
+        for k in range(60):
+            w = list(base)
+            for _ in range(r.randint(0, 9)):
+                w[r.randrange(60)] = r.choice(VOCABULARY)
+            docs.append((len(docs), " ".join(w)))
+    cache = jaccard_join.WordHashes()
+    links = jaccard_join.region_links([jaccard_join.shingle_set(t, cache) for _, t in docs])
+    label = list(range(len(docs)))
+    for a, b in links:
+        old, new = label[b], label[a]
+        label = [new if x == old else x for x in label]
+    mine = [min(k for k in range(len(docs)) if label[k] == label[i]) for i in range(len(docs))]
+    assert mine == [c for _, _, c in plain.components(docs)]
+
+
+def test_common_shingles_are_joined_too(spark):
+    """More sets of one shingle than COMMON."""
+    r = random.Random(9)
+    base = [r.choice(VOCABULARY) for _ in range(50)]
+    docs = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(r.randint(0, 5)):
+            w[r.randrange(50)] = r.choice(VOCABULARY)
+        docs.append((i, " ".join(w)))
+    docs += [(100 + i, " ".join(base[:12] + [r.choice(VOCABULARY) for _ in range(60)])) for i in range(40)]
+    got = sorted(tuple(r) for r in jaccard_join.jaccard_components(frame(spark, docs)).collect())
+    assert got == plain.components(docs)
+
+
+@pytest.mark.parametrize("bits", [256, 2])
+def test_exact_dedup(spark, docs, bits):
+    weak = lambda norm: F.substring(exact_dedup.sha256_digest(norm), F.lit(1), F.lit(bits // 8 or 1))
+    docs = [d for d in docs if d[0] not in (94, 95)]
+    out = exact_dedup.exact_dedup(frame(spark, docs), weak, memtable_rows=16)
+    assert sorted(tuple(r)[:4] for r in out.collect()) == [x[:4] for x in plain.exact(docs)]
+
+
+def test_filter_has_no_false_negatives():
+    keys = np.random.default_rng(1).integers(0, 2**63, 500).astype(np.uint64)
+    assert exact_dedup.filter_has(exact_dedup.filter_of(keys, 5000), keys, 5000).all()
+
+
+def test_line_dedup_and_its_way_back(spark, docs):
+    d = frame(spark, docs)
+    index = line_dedup.build_index(d)
+    out = sorted((r["doc_id"], r["text"] or "", r["n_lines"], r["n_dropped"]) for r in line_dedup.drop_repeated_lines(d, index).collect())
+    assert out == sorted(plain.line_dedup(docs))
+    half = [x for x in docs if x[0] % 2]
+    fewer = line_dedup.delete_documents(index, spark.createDataFrame([(i,) for i, _ in docs if not i % 2], "doc_id bigint"))
+    rest = frame(spark, half)
+    out = sorted((r["doc_id"], r["text"] or "", r["n_lines"], r["n_dropped"]) for r in line_dedup.drop_repeated_lines(rest, fewer).collect())
+    assert out == sorted(plain.line_dedup(half))
+    again = line_dedup.insert_documents(fewer, frame(spark, [x for x in docs if not x[0] % 2]))
+    out = sorted((r["doc_id"], r["text"] or "", r["n_lines"], r["n_dropped"]) for r in line_dedup.drop_repeated_lines(d, again).collect())
+    assert out == sorted(plain.line_dedup(docs))
+
+
+def test_cuckoo_filter_inserts_and_deletes():
+    keys = [bytes(np.random.default_rng(i).integers(0, 256, 16, dtype=np.uint8)) for i in range(1000)]
+    f = line_dedup.built_filter(keys)
+    assert f.contains(keys).all()
+    f.delete(keys[:500])
+    assert f.contains(keys[500:]).all() and f.contains(keys[:500]).sum() < 20
+
+
+def test_substring_dedup(spark, docs):
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in substring_dedup.drop_repeated_phrases(frame(spark, docs)).collect())
+    assert got == plain.phrase_dedup(docs)
+
+
+@pytest.mark.parametrize("length", [64, 97])
+def test_suffix_dedup(spark, docs, length):
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in suffix_dedup.drop_repeated_bytes(frame(spark, docs), length).collect())
+    assert got == plain.byte_dedup(docs, length)
+
+
+def test_decontamination(spark):
+    r = random.Random(11)
+    say = lambda n: " ".join(r.choice(VOCABULARY) for _ in range(n))
+    items = [(k, say(n)) for k, n in enumerate((3, 12, 30, 30, 64))] + [(7, None), (8, ""), (None, say(20))]
+    docs = [(1, None), (2, ""), (3, items[0][1]), (4, f"{say(20)} {items[1][1].upper()} {say(9)}"), (5, say(3000)), (6, items[3][1] + " " + items[4][1]), (6, items[2][1])]
+    for i in range(10, 40):
+        w = items[4][1].split()
+        for _ in range(r.randint(0, 4)):
+            w[r.randrange(len(w))] = "edit"
+        docs.append((i, f"{say(r.randint(0, 20))} {' '.join(w)} {say(5)}"))
+    out = decontam.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert sorted({(x["doc_id"], x["item_id"]) for x in out.collect()}) == plain.contaminated(docs, [x for x in items if x[0] is not None])
+    kept = decontam.clean_documents(frame(spark, docs), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {1, 2, 5} <= {x["doc_id"] for x in kept.collect()} and kept.columns == frame(spark, docs).columns
+
+
+def test_pii():
+    text = "mail me: a.b@c.example.com, ip 1.2.3.4 or 1.2.3.999; card 4111 1111 1111 1111, not 4111111111111112; tel +49 (30) 1234-567. IBAN DE89 3704 0044 0532 0130 00 my SSN 123-45-6789"
+    kinds = [(k, text[a:b]) for k, a, b, _ in pii.find_spans(text)]
+    assert kinds == [("email", "a.b@c.example.com"), ("ip", "1.2.3.4"), ("card", "4111 1111 1111 1111"), ("phone", "+49 (30) 1234-567"), ("iban", "DE89 3704 0044 0532 0130 00"), ("ssn", "123-45-6789")]
+    assert pii.find_spans(None) == pii.find_spans("") == []
+    assert not [s for s in pii.find_spans("order 123-45-6789 shipped, DE89 3704 0044 0532 0130 01") if s[0] in pii.ADDED_KINDS]
+    assert pii.find_spans("a" * 300_000 + "1" * 300_000) == []
+
+
+def test_pii_frame(spark, docs):
+    assert pii.pii_spans(frame(spark, docs)).count() == len(docs)
+
+
+def test_pack_plan_places_every_item_once():
+    r = random.Random(2)
+    for capacity in (10, 64, 4096):
+        counts = {}
+        for _ in range(3000):
+            n = min(capacity, max(1, int(r.expovariate(4 / capacity))))
+            counts[n] = counts.get(n, 0) + 1
+        bins = {}
+        done = dict.fromkeys(counts, 0)
+        for length, rank, items, each, first, offset in sorted(packing.plan(counts, capacity)):
+            assert rank == done[length]
+            done[length] += items
+            for k in range(items):
+                bins.setdefault(first + k // each, []).append((offset + k % each * length, length))
+        assert done == counts
+        for own in bins.values():
+            at = 0
+            for offset, length in sorted(own):
+                assert offset == at
+                at += length
+            assert at <= capacity
+        assert len(bins) <= -(-sum(k * n for k, n in counts.items()) // capacity) * 1.02 + 1
+
+
+def test_pack_reduction_fixes_what_dominates():
+    p = packing.Plan({7: 2, 3: 2, 10: 1, 6: 1, 5: 3}, 10)
+    p.reduce()
+    assert p.left == {} and p.sequences == 6
+
+
+def test_pack_round_trip(spark, docs):
+    from tokenizers import Tokenizer
+
+    tokenizers = pytest.importorskip("public_tokenizers")
+    path = tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    some = [d for d in docs if d[0] not in (94, 95)] + [(96, "A<|endoftext|>b Ünï. it's 'S \x85x\x1cy  z İ ς Σ.")]
+    pieces = packing.token_pieces(frame(spark, some), path, 512)
+    out = packing.best_fit_pack(pieces, 512).collect()
+    ids = {}
+    for r in sorted(out, key=lambda r: (r["doc_id"], r["piece"])):
+        assert r["start"] == len(ids.setdefault(r["doc_id"], []))
+        ids[r["doc_id"]] += np.frombuffer(r["ids"], "<u4").tolist()
+    assert ids == {i: [*t.encode(x or "", add_special_tokens=False).ids, 1] for i, x in some}
+
+
+def test_pack_refuses_lengths_out_of_range(spark):
+    with pytest.raises(ValueError):
+        packing.best_fit_pack(spark.createDataFrame([(5000,)], "length bigint")).collect()
+
+
+PAGE = """<html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><header><p>Site header with words</p></header><nav><ul><li><a href=x>Home</a></li></ul></nav>
+<div class="ad">Buy our very good things now, they are cheap and nice</div><article><h1>Big  Title</h1><p>First &amp; best<br>para.<p>Second&nbsp;one
+goes on.</p><p>Be.</p><aside>See also this other story about something else</aside><form><p>Sign up here with your address please</p></form></article>
+<div id="comments"><p>I liked this article a lot and would read it again any day of the week, thanks so much for writing it.</p></div>
+<div class="cookie-notice">We use cookies.</div><footer>&copy; me</footer></body></html>"""
+
+
+def test_main_text():
+    tree = html_text.grow(html_text.LABELLED)
+    assert all(html_text.decide(tree, row[:-1]) == row[-1] for row in html_text.LABELLED)
+    assert html_text.main_text(PAGE, tree) == "Big Title\nFirst & best para.\nSecond one goes on.\nBe."
+    assert html_text.main_text(None, tree) == html_text.main_text("", tree) == html_text.main_text("<p", tree) == ""
+    assert html_text.main_text("<article><p>cut off he", tree) == "cut off he"
+    assert html_text.main_text("<article><p>cut off</", tree) == "cut off"
+
+
+def test_extract_text_frame(spark):
+    pages = spark.createDataFrame([(1, "u", PAGE, "x"), (None, None, None, "y"), (1, "u", PAGE, "x")], "page_id bigint, url string, html string, text string")
+    assert [len(r["text"]) > 0 for r in html_text.extract_text(pages).collect()] == [True, False, True]
+
+
+def test_quality_is_learnt(spark):
+    sf = "/root/testdata/sf0.01"
+    d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.train(d, labels)
+    scored = quality.score_quality(d, model).filter(quality.held_out()).join(labels, "doc_id").collect()
+    assert sum((r["score"] >= quality.THRESHOLD) == bool(r["quality"]) for r in scored) / len(scored) > 0.95
+
+
+def test_quality_gradients():
+    r = np.random.default_rng(0)
+    x, first, y = r.normal(size=(9, quality.N_FEATURES)), np.array([0, 2, 3]), np.array([1.0, 0.0, 1.0])
+    model = quality.Model.start(x)
+    loss = lambda: -(y * np.log(p := model.forward(x, first)["p"]) + (1 - y) * np.log(1 - p)).mean()
+    for k, g in model.gradients(model.forward(x, first), first, y).items():
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        model.w[k][at] += 1e-6
+        up = loss()
+        model.w[k][at] -= 2e-6
+        assert abs((up - loss()) / 2e-6 - g[at]) < 1e-5
+        model.w[k][at] += 1e-6
+
+
+def test_quality_without_labels(spark, docs):
+    empty = spark.createDataFrame([(None, 1), (3, None)], "doc_id bigint, quality int")
+    model = quality.train(frame(spark, docs), empty)
+    assert {r["score"] for r in quality.score_quality(frame(spark, docs), model).collect()} == {1.0}
+
+
+def test_empty_tables(spark):
+    none = frame(spark, [])
+    items = spark.createDataFrame([], "item_id bigint, text string")
+    for out in (
+        jaccard_join.jaccard_components(none),
+        exact_dedup.exact_dedup(none),
+        line_dedup.drop_repeated_lines(none, line_dedup.build_index(none)),
+        pii.pii_spans(none),
+        substring_dedup.drop_repeated_phrases(none),
+        decontam.contaminated(none, items),
+        packing.best_fit_pack(spark.createDataFrame([], "length bigint")),
+        suffix_dedup.drop_repeated_bytes(none),
+        quality.score_quality(none, quality.train(none, spark.createDataFrame([], "doc_id bigint, quality int"))),
+        html_text.extract_text(spark.createDataFrame([], "page_id bigint, url string, html string")),
+    ):
+        assert out.collect() == []
+
+
+def test_null_ids_are_left_out(spark):
+    rows = frame(spark, [(None, "some words of a text"), (1, "some words of a text")])
+    assert [r["doc_id"] for r in exact_dedup.exact_dedup(rows).collect()] == [1]
+    assert [r["component_id"] for r in jaccard_join.jaccard_components(rows).collect()] == [1]

@@ -44,8 +44,8 @@ CELL = 64
 PIVOTS = 8
 TO_LOWER = str.maketrans(UPPER, LOWER)
 
-SKETCH = "kind int, shard int, doc_id bigint, row_hash bigint, n int, set_id bigint, shingles binary, sets binary, ns binary, per_set binary"
-LISTED = "shingle bigint, sets array<bigint>, ns array<int>, weight bigint"
+SKETCH = "kind int, shard int, doc_id bigint, row_hash bigint, n int, set_id bigint, shingles binary, sets binary, ns binary, edges binary, per_set binary"
+LISTED = "shingle bigint, sets array<bigint>, ns array<int>, early array<boolean>, weight bigint"
 
 
 # -- sets and their first shingles ---------------------------------------------------
@@ -81,6 +81,7 @@ def sketching(n_shards: int):
     def flush(sets: dict[int, tuple[int, np.ndarray]]) -> pd.DataFrame:
         ids = np.array(list(sets), np.int64)
         ns = np.array([s[0] for s in sets.values()], np.int32)
+        edges = np.array([s[1][early(s[0]) - 1] for s in sets.values()], np.uint64)
         counts = [len(s[1]) for s in sets.values()]
         shingles = np.concatenate([s[1] for s in sets.values()])
         owner = np.repeat(np.arange(len(ids)), counts)
@@ -92,8 +93,8 @@ def sketching(n_shards: int):
             at = order[lo:hi]
             who = owner[at]
             first = np.flatnonzero(np.diff(who, prepend=-1))
-            rows.append((1, int(shard[at[0]]), 0, 0, 0, 0, shingles[at].tobytes(), ids[who[first]].tobytes(), ns[who[first]].tobytes(), np.diff(np.append(first, len(at))).astype(np.uint32).tobytes()))
-        return pd.DataFrame(rows, columns=["kind", "shard", "doc_id", "row_hash", "n", "set_id", "shingles", "sets", "ns", "per_set"])
+            rows.append((1, int(shard[at[0]]), 0, 0, 0, 0, shingles[at].tobytes(), ids[who[first]].tobytes(), ns[who[first]].tobytes(), edges[who[first]].tobytes(), np.diff(np.append(first, len(at))).astype(np.uint32).tobytes()))
+        return pd.DataFrame(rows, columns=["kind", "shard", "doc_id", "row_hash", "n", "set_id", "shingles", "sets", "ns", "edges", "per_set"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache, held, size = WordHashes(), {}, 0
@@ -102,14 +103,14 @@ def sketching(n_shards: int):
             for doc_id, row_hash, text in zip(batch["doc_id"], batch["row_hash"], batch["text"], strict=True):
                 s = shingle_set(text, cache)
                 set_id = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else 0
-                docs.append((0, -1, doc_id, row_hash, len(s), set_id, None, None, None, None))
+                docs.append((0, -1, doc_id, row_hash, len(s), set_id, None, None, None, None, None))
                 if len(s) and set_id not in held:
                     held[set_id] = (len(s), s[: listed(len(s))])
                     size += listed(len(s))
                 if size >= BLOCK_SHINGLES:
                     yield flush(held)
                     held, size = {}, 0
-            yield pd.DataFrame(docs, columns=["kind", "shard", "doc_id", "row_hash", "n", "set_id", "shingles", "sets", "ns", "per_set"])
+            yield pd.DataFrame(docs, columns=["kind", "shard", "doc_id", "row_hash", "n", "set_id", "shingles", "sets", "ns", "edges", "per_set"])
         if held:
             yield flush(held)
 
@@ -124,16 +125,17 @@ def lists_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     the shingles of more than COMMON sets, in parts."""
     by_shard: dict[int, list] = {}
     for batch in batches:
-        for shard, *row in batch[["shard", "shingles", "sets", "ns", "per_set"]].itertuples(index=False):
+        for shard, *row in batch[["shard", "shingles", "sets", "ns", "edges", "per_set"]].itertuples(index=False):
             by_shard.setdefault(shard, []).append(row)
     for shard in list(by_shard):
         rows = by_shard.pop(shard)
         shingles = np.concatenate([np.frombuffer(r[0], np.uint64) for r in rows])
-        per_set = [np.frombuffer(r[3], np.uint32) for r in rows]
+        per_set = [np.frombuffer(r[4], np.uint32) for r in rows]
         sets = np.concatenate([np.repeat(np.frombuffer(r[1], np.int64), k) for r, k in zip(rows, per_set, strict=True)])
         ns = np.concatenate([np.repeat(np.frombuffer(r[2], np.int32), k) for r, k in zip(rows, per_set, strict=True)])
+        front = shingles <= np.concatenate([np.repeat(np.frombuffer(r[3], np.uint64), k) for r, k in zip(rows, per_set, strict=True)])
         order = np.argsort(shingles, kind="stable")
-        shingles, sets, ns = shingles[order], sets[order], ns[order]
+        shingles, sets, ns, front = shingles[order], sets[order], ns[order], front[order]
         edges = np.flatnonzero(np.diff(shingles, prepend=~shingles[:1]) != 0)
         sizes = np.diff(np.append(edges, len(shingles)))
         lists: dict[bytes, list] = {}
@@ -150,14 +152,13 @@ def lists_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     lists[own.tobytes()] = [ns[lo : lo + n][at], 1]
                 continue
             shingle = int(shingles[lo].astype(np.int64))
-            own_ns = ns[lo : lo + n][at]
+            own_ns, own_front = ns[lo : lo + n][at], front[lo : lo + n][at]
             for a in range(0, len(own), 4096):
-                part = own_ns[a : a + 4096]
-                out.append((shingle, own[a : a + 4096], part, 0))
+                out.append((shingle, own[a : a + 4096], own_ns[a : a + 4096], own_front[a : a + 4096], 0))
         for sets_, (ns_, weight) in lists.items():
-            out.append((0, np.frombuffer(sets_, np.int64), ns_, weight))
+            out.append((0, np.frombuffer(sets_, np.int64), ns_, None, weight))
         for a in range(0, len(out), 5000):
-            yield pd.DataFrame(out[a : a + 5000], columns=["shingle", "sets", "ns", "weight"])
+            yield pd.DataFrame(out[a : a + 5000], columns=["shingle", "sets", "ns", "early", "weight"])
 
 
 def pairs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -323,7 +324,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def candidate_regions(lists: DataFrame) -> DataFrame:
     """region, set_id, first (the pivot): any two linked sets share a region."""
-    many = lists.filter("shingle != 0").select("shingle", F.explode(F.arrays_zip("sets", "ns")).alias("s")).select("shingle", F.col("s.sets").alias("set_id"), F.col("s.ns").alias("n"))
+    many = lists.filter("shingle != 0").select("shingle", F.explode(F.arrays_zip("sets", "ns", "early")).alias("s")).select("shingle", F.col("s.sets").alias("set_id"), F.col("s.ns").alias("n"), F.col("s.early").alias("early"))
     many = materialize(many, "common-shingles")
     held = materialize(many.groupBy("set_id").agg(F.count("*").alias("f"), F.first("n").alias("n")), "common-counts")
 
@@ -345,7 +346,8 @@ def candidate_regions(lists: DataFrame) -> DataFrame:
     heavy = held.filter(F.col("f") >= F.greatest(F.lit(1), (needed(n) / 10).cast("int") + 1))
     band = F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / SIMILARITY))).cast("int")
     rank = F.struct((-F.col("f") / n).alias("share"), F.xxhash64("set_id").alias("h"), F.col("set_id").alias("id"))
-    seeds = many.select("shingle", "set_id").join(heavy.select("set_id", "n", rank.alias("rank"), band.alias("band")), "set_id")
+    # The first common shingle of two linked sets is among the early ones of both.
+    seeds = many.filter("early").select("shingle", "set_id").join(heavy.select("set_id", "n", rank.alias("rank"), band.alias("band")), "set_id")
     pivots = seeds.groupBy("shingle", "band").agg(F.min("rank").alias("pivot"), F.count("*").alias("k")).select("shingle", "band", F.col("pivot.id").alias("region"))
     spread = seeds.select("shingle", "set_id", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
     seeded = spread.join(pivots, ["shingle", "band"]).select("region", "set_id")
@@ -366,7 +368,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     d = with_row_hash(documents(docs))
     n_shards = max(1, shards(d.sparkSession) // 2)
     sketch = materialize(d.mapInPandas(sketching(n_shards), SKETCH), "sketch")
-    lists = sketch.filter("kind = 1").select("shard", "shingles", "sets", "ns", "per_set").repartition(n_shards, "shard")
+    lists = sketch.filter("kind = 1").select("shard", "shingles", "sets", "ns", "edges", "per_set").repartition(n_shards, "shard")
     lists = materialize(lists.mapInPandas(lists_of, LISTED), "lists")
     regions = materialize(candidate_regions(lists), "regions")
 

@@ -349,7 +349,8 @@ def candidate_regions(lists: DataFrame) -> DataFrame:
     # The first common shingle of two linked sets is among the early ones of both.
     seeds = many.filter("early").select("shingle", "set_id").join(heavy.select("set_id", "n", rank.alias("rank"), band.alias("band")), "set_id")
     pivots = seeds.groupBy("shingle", "band").agg(F.min("rank").alias("pivot"), F.count("*").alias("k")).select("shingle", "band", F.col("pivot.id").alias("region"))
-    spread = seeds.select("shingle", "set_id", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"))
+    # Linked sets are of one band or of two next to each other: the lower one's region holds both.
+    spread = seeds.select("shingle", "set_id", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"))
     seeded = spread.join(pivots, ["shingle", "band"]).select("region", "set_id")
     every = placed.union(seeded).distinct()
     return every.withColumn("first", F.col("region") == F.col("set_id"))

@@ -238,13 +238,14 @@ def drop_repeated_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
     """
     common = common_keys(index.references, index.min_documents)
     d = docs.filter(docs["doc_id"].isNotNull())
-    d = d.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("__full", F.coalesce(F.col("text"), F.lit(""))).withColumn("__hash", F.xxhash64("__full"))
+    full = F.coalesce(F.col("text"), F.lit(""))
+    d = d.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("__hash", F.xxhash64(full))
     own = probed(line_references(documents(docs)), index)
     dropped = own.join(common, "key").filter(F.col("doc_id") < F.col("last_id"))
     dropped = dropped.groupBy(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__row")).agg(F.collect_set("key").alias("__keys"))
     both = d.join(dropped, (d["doc_id"] == dropped["__id"]) & (d["__hash"] == dropped["__row"]), "left")
-    stays = F.filter(text_lines("__full"), lambda x: ~F.array_contains("__keys", key_digest(line_key(x))))
-    both = both.withColumn("n_lines", F.size(text_lines("__full")).cast("long")).withColumn("__stays", F.when(F.col("__keys").isNotNull(), stays))
+    stays = F.filter(text_lines(full), lambda x: ~F.array_contains("__keys", key_digest(line_key(x))))
+    both = both.withColumn("n_lines", F.size(text_lines(full)).cast("long")).withColumn("__stays", F.when(F.col("__keys").isNotNull(), stays))
     both = both.withColumn("n_dropped", F.when(F.col("__stays").isNotNull(), F.col("n_lines") - F.size("__stays")).otherwise(0).cast("long"))
     both = both.withColumn("text", F.when(F.col("__stays").isNotNull(), F.array_join("__stays", "\n")).otherwise(F.col("text")))
-    return both.drop("__full", "__hash", "__id", "__row", "__keys", "__stays")
+    return both.drop("__hash", "__id", "__row", "__keys", "__stays")

@@ -16,6 +16,9 @@ linked sets are bound to share:
    by the triangle inequality, to each cell whose pivot is no further than that plus the
    radius; cells are joined recursively, until one is small or splits no more. There, every
    pair is compared that is not yet connected and that no distance to a pivot rules out.
+   A region of more than REGION_SHINGLES shingles is first cut into cells by many tasks, level
+   by level. What is connected with a cell's pivot needs no comparison with one another; a cell
+   that stays large is compared in blocks, the sets that are not so connected against all.
 5. Connected regions are merged into components by alternating large and small stars.
 
 Exact copies of a set are one set until the last step. Sets are told apart by 64-bit hashes
@@ -40,11 +43,14 @@ RADIUS = 1 - SIMILARITY / 100
 COMMON = 32
 BLOCK_SHINGLES = 1 << 21
 PAIR_ROWS = 100_000
+#: Shingles of all sets of a region that one task joins; larger regions are cut up first.
+REGION_SHINGLES = 1 << 21
 CELL = 64
 PIVOTS = 8
 TO_LOWER = str.maketrans(UPPER, LOWER)
 
 SKETCH = "kind int, shard int, doc_id bigint, row_hash bigint, n int, set_id bigint, shingles binary, sets binary, ns binary, edges binary, per_set binary"
+CUT = "kind int, a bigint, b bigint, n int, region bigint, cell int, total bigint, linked boolean"
 LISTED = "shingle bigint, sets array<bigint>, ns array<int>, early array<boolean>, weight bigint"
 
 
@@ -190,12 +196,14 @@ def shared_column(n: Column) -> Column:
 
 
 class Region:
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], linked: np.ndarray | None = None):
         self.n = np.array([len(s) for s in sets], np.int64)
         self.start = np.concatenate(([0], np.cumsum(self.n)))
         distinct, self.at = np.unique(np.concatenate(sets), return_inverse=True)
         self.mark = np.zeros(len(distinct), np.int32)
         self.label = np.arange(len(sets))
+        if linked is not None and linked.any():
+            self.label[linked] = linked.argmax()
         self.links: list[tuple[int, int]] = []
 
     def distances(self, pivot: int, others: np.ndarray) -> np.ndarray:
@@ -270,12 +278,13 @@ class Region:
                 known.append(d)
 
 
-def region_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links that connect what the links among these sets connect; the first set is the first pivot."""
+def region_links(sets: list[np.ndarray], linked: list[bool] | None = None) -> list[tuple[int, int]]:
+    """Links that connect what the links among these sets connect, but for the sets that are linked
+    with one another from the start; the first set is the first pivot."""
     if len(sets) == 2:
         both = len(np.intersect1d(*sets, assume_unique=True))
         return [(0, 1)] if 100 * both >= SIMILARITY * (len(sets[0]) + len(sets[1]) - both) else []
-    region = Region(sets)
+    region = Region(sets, None if linked is None else np.array(linked, bool))
     region.join(np.arange(len(sets)))
     return region.links
 
@@ -283,22 +292,124 @@ def region_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 def joining(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come sorted by region, the pivot first; one region is held at a time."""
     cache = WordHashes()
-    region, ids, sets = None, [], []
+    region, ids, sets, linked = None, [], [], []
 
     def finish() -> pd.DataFrame:
-        links = region_links(sets) if len(sets) > 1 else []
+        links = region_links(sets, linked) if len(sets) > 1 else []
         return pd.DataFrame({"a": [ids[i] for i, _ in links], "b": [ids[j] for _, j in links]}, dtype="int64")
 
     for batch in batches:
-        for r, set_id, text in zip(batch["region"], batch["set_id"], batch["text"], strict=True):
+        for r, set_id, known, text in zip(batch["region"], batch["set_id"], batch["linked"], batch["text"], strict=True):
             if r != region:
                 yield finish()
-                region, ids, sets = r, [], []
+                region, ids, sets, linked = r, [], [], []
             ids.append(set_id)
+            linked.append(known)
             sets.append(shingle_set(text, cache))
     yield finish()
 
 
+# -- regions that are too large for one task ----------------------------------------------
+
+
+class Pivots:
+    """At most eight sets, and the distances of other sets from each of them."""
+
+    def __init__(self, ids: list[int], sets: list[np.ndarray]):
+        self.ids, self.n = ids, np.array([len(s) for s in sets], np.int64)
+        self.shingles, at = np.unique(np.concatenate(sets), return_inverse=True)
+        self.bits = np.zeros((len(self.shingles), len(sets)), np.int32)
+        self.bits[at, np.repeat(np.arange(len(sets)), self.n)] = 1
+
+    def compare(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distances, and which of them are links."""
+        at = np.minimum(np.searchsorted(self.shingles, own), len(self.shingles) - 1)
+        both = self.bits[at[self.shingles[at] == own]].sum(0).astype(np.int64)
+        union = self.n + len(own) - both
+        return 1 - both / union, 100 * both >= SIMILARITY * union
+
+
+def cutting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by region and salt, the pivots first; only the pivots are held. Gives links with
+    pivots (kind 0: a, b) and the cells of each other set (kind 1: a, n, region, cell, total, linked)."""
+    cache = WordHashes()
+    at, ids, sets, pivots = None, [], [], None
+    for batch in batches:
+        rows = []
+        for region, salt, pivot, set_id, total, text in batch[["region", "salt", "pivot", "set_id", "total", "text"]].itertuples(index=False):
+            if (region, salt) != at:
+                at, ids, sets, pivots = (region, salt), [], [], None
+            own = shingle_set(text, cache)
+            if pivot:
+                if sets and salt == 0:
+                    rows += [(0, ids[k], set_id, 0, region, 0, 0, True) for k in np.flatnonzero(Pivots(ids, sets).compare(own)[1])]
+                ids.append(set_id)
+                sets.append(own)
+                continue
+            if set_id in ids:
+                continue
+            pivots = pivots or Pivots(ids, sets)
+            d, link = pivots.compare(own)
+            rows += [(0, ids[k], set_id, 0, region, 0, 0, True) for k in np.flatnonzero(link)]
+            near = d.min()
+            cells = np.flatnonzero((d <= near + RADIUS + 1e-9) & (d < 1)).tolist()
+            rows += [(1, set_id, 0, len(own), region, k, total, bool(link[k])) for k in cells]
+            if near >= 1 - RADIUS - 1e-9:
+                rows.append((1, set_id, 0, len(own), region, len(ids), total, False))
+        yield pd.DataFrame(rows, columns=["kind", "a", "b", "n", "region", "cell", "total", "linked"])
+
+
+def sizes(regions: DataFrame) -> DataFrame:
+    """region, total and the part of it in sets that are not linked with the region's pivot; added up within each task first."""
+    return regions.groupBy("region").agg(F.sum("n").alias("total"), F.sum(F.when(~F.col("linked"), F.col("n")).otherwise(0)).alias("open"))
+
+
+def cells_of(big: DataFrame, texts: DataFrame, level: int) -> DataFrame:
+    """One level of cells of regions (with their total); members of a region are dealt to tasks, its pivots go to each."""
+    salts = F.ceil(F.col("total") / REGION_SHINGLES).cast("int")
+    rank = F.struct((~F.col("first")).alias("later"), F.xxhash64("set_id", F.lit(level)).alias("h"), "set_id")
+    bucket = F.pmod(F.xxhash64("set_id", F.lit(level), F.lit(1)), F.lit(PIVOTS)).alias("bucket")
+    pivots = big.groupBy("region", "total", bucket).agg(F.min(rank).alias("p")).select("region", "total", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(True).alias("pivot"), F.col("p.set_id").alias("set_id"))
+    members = big.select("region", "total", F.pmod(F.xxhash64("set_id"), salts).cast("int").alias("salt"), F.lit(False).alias("pivot"), "set_id")
+    dealt = pivots.unionByName(members).join(texts.hint("merge"), "set_id")
+    return dealt.repartition(shards(big.sparkSession), "region", "salt").sortWithinPartitions("region", "salt", F.desc("pivot")).mapInPandas(cutting, CUT)
+
+
+def in_blocks(stuck: DataFrame) -> DataFrame:
+    """Regions (with total and open) as regions of two blocks: of the sets not linked with the pivot, and of all sets."""
+    half = REGION_SHINGLES / 2
+    every, rest = F.ceil(F.col("total") / half).cast("int"), F.ceil(F.col("open") / half).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    carried = ["region", "set_id", "n", "linked"]
+    all_sets = stuck.select(*carried, F.pmod(F.xxhash64("set_id"), every).cast("int").alias("j"), each(rest).alias("i"))
+    not_linked = stuck.filter("not linked").select(*carried, F.pmod(F.xxhash64("set_id", F.lit(1)), rest).cast("int").alias("i"), each(every).alias("j"))
+    return all_sets.unionByName(not_linked).select(F.xxhash64("region", "i", "j").alias("region"), "set_id", "n", F.lit(False).alias("first"), "linked").distinct()
+
+
+def bounded_regions(regions: DataFrame, texts_of) -> tuple[DataFrame, list[DataFrame]]:
+    """Regions (region, set_id, n, first, linked) that a task can hold, and the links found on the way to them.
+    texts_of(set ids) gives set_id, text. A level only goes on with cells of less than 0.8 of what they came
+    from, so there are few levels."""
+    done, links, texts = [], [], None
+    while True:
+        large = materialize(sizes(regions).filter(F.col("total") > REGION_SHINGLES).select("region", "total"), "large-regions")
+        if large.isEmpty():
+            for part in done:
+                regions = regions.unionByName(part)
+            return regions, links
+        done.append(regions.join(large, "region", "left_anti"))
+        big = regions.join(large, "region")
+        if texts is None:
+            texts = materialize(texts_of(big.select("set_id").distinct()), "large-texts")
+        cut = materialize(cells_of(big, texts, len(links)), "cells")
+        links.append(cut.filter("kind = 0").select("a", "b"))
+        cells = cut.filter("kind = 1").select(F.xxhash64("region", "cell", F.lit(len(links))).alias("region"), F.col("a").alias("set_id"), "n", F.lit(False).alias("first"), "linked", F.col("total").alias("before"))
+        cells = cells.join(sizes(cells).filter("open > 0"), "region")
+        cells = materialize(cells.withColumn("stuck", (F.col("total") > REGION_SHINGLES) & (F.col("total") >= 0.8 * F.col("before"))), "sized-cells")
+        done.append(in_blocks(cells.filter("stuck")))
+        regions = cells.filter("not stuck").select("region", "set_id", "n", "first", "linked")
+
+
 # -- components ----------------------------------------------------------------------------
 
 
@@ -323,7 +434,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def candidate_regions(lists: DataFrame) -> DataFrame:
-    """region, set_id, first (the pivot): any two linked sets share a region."""
+    """region, set_id, n, first (the pivot), linked (false): any two linked sets share a region."""
     many = lists.filter("shingle != 0").select("shingle", F.explode(F.arrays_zip("sets", "ns", "early")).alias("s")).select("shingle", F.col("s.sets").alias("set_id"), F.col("s.ns").alias("n"), F.col("s.early").alias("early"))
     many = materialize(many, "common-shingles")
     held = materialize(many.groupBy("set_id").agg(F.count("*").alias("f"), F.first("n").alias("n")), "common-counts")
@@ -335,11 +446,12 @@ def candidate_regions(lists: DataFrame) -> DataFrame:
     least = F.least(shared_column(F.col("na")), shared_column(F.col("nb")))
     f = held.select("set_id", "f")
     pairs = pairs.join(f.withColumnsRenamed({"set_id": "a", "f": "fa"}), "a", "left").join(f.withColumnsRenamed({"set_id": "b", "f": "fb"}), "b", "left")
-    pairs = materialize(pairs.filter(F.col("w") + F.least(F.coalesce("fa", F.lit(0)), F.coalesce("fb", F.lit(0))) >= least).select("a", "b"), "pairs")
-    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    pairs = materialize(pairs.filter(F.col("w") + F.least(F.coalesce("fa", F.lit(0)), F.coalesce("fb", F.lit(0))) >= least).select("a", "b", "na", "nb"), "pairs")
+    both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     placed = pairs.join(low.withColumnsRenamed({"m": "ma"}), "a").join(low.withColumnsRenamed({"a": "b", "m": "mb"}), "b")
-    placed = placed.select(F.least("ma", "mb").alias("region"), F.explode(F.array("a", "b")).alias("set_id"))
+    ends = F.array(*[F.struct(F.col(x).alias("set_id"), F.col(f"n{x}").alias("n")) for x in "ab"])
+    placed = placed.select(F.least("ma", "mb").alias("region"), F.explode(ends).alias("s")).select("region", "s.set_id", "s.n")
 
     # Sets that may share listed shingles with a linked set which are all common ones.
     n = F.col("n")
@@ -350,10 +462,10 @@ def candidate_regions(lists: DataFrame) -> DataFrame:
     seeds = many.filter("early").select("shingle", "set_id").join(heavy.select("set_id", "n", rank.alias("rank"), band.alias("band")), "set_id")
     pivots = seeds.groupBy("shingle", "band").agg(F.min("rank").alias("pivot"), F.count("*").alias("k")).select("shingle", "band", F.col("pivot.id").alias("region"))
     # Linked sets are of one band or of two next to each other: the lower one's region holds both.
-    spread = seeds.select("shingle", "set_id", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"))
-    seeded = spread.join(pivots, ["shingle", "band"]).select("region", "set_id")
+    spread = seeds.select("shingle", "set_id", "n", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"))
+    seeded = spread.join(pivots, ["shingle", "band"]).select("region", "set_id", "n")
     every = placed.union(seeded).distinct()
-    return every.withColumn("first", F.col("region") == F.col("set_id"))
+    return every.withColumn("first", F.col("region") == F.col("set_id")).withColumn("linked", F.lit(False))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -374,12 +486,20 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     regions = materialize(candidate_regions(lists), "regions")
 
     own = sketch.filter("kind = 0").select("doc_id", "row_hash", "n", "set_id")
-    wanted = own.filter("n > 0").join(regions.select("set_id").distinct(), "set_id", "left_semi")
-    wanted = wanted.groupBy("set_id").agg(F.min(F.struct("doc_id", "row_hash")).alias("row")).select("set_id", "row.*")
-    texts = d.join(wanted.hint("merge"), ["doc_id", "row_hash"]).select("set_id", "text")
-    dealt = regions.hint("merge").join(texts.dropDuplicates(["set_id"]).hint("merge"), "set_id").select("region", "first", "set_id", "text")
+
+    def texts_of(ids: DataFrame) -> DataFrame:
+        wanted = own.filter("n > 0").join(ids, "set_id", "left_semi")
+        wanted = wanted.groupBy("set_id").agg(F.min(F.struct("doc_id", "row_hash")).alias("row")).select("set_id", "row.*")
+        return d.join(wanted.hint("merge"), ["doc_id", "row_hash"]).select("set_id", "text").dropDuplicates(["set_id"])
+
+    regions, found = bounded_regions(regions, texts_of)
+    texts = texts_of(regions.select("set_id").distinct())
+    dealt = regions.hint("merge").join(texts.hint("merge"), "set_id").select("region", "first", "linked", "set_id", "text")
     dealt = dealt.repartition(shards(d.sparkSession), "region").sortWithinPartitions("region", F.desc("first"), "set_id")
-    root = components(dealt.mapInPandas(joining, "a bigint, b bigint"))
+    links = dealt.mapInPandas(joining, "a bigint, b bigint")
+    for more in found:
+        links = links.unionByName(more)
+    root = components(links)
 
     own = own.join(root.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = own.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))

@@ -84,6 +84,35 @@ def test_common_shingles_are_joined_too(spark):
     assert got == plain.components(docs)
 
 
+@pytest.mark.parametrize("most", [300, 1500])
+def test_large_regions_are_cut_up(spark, monkeypatch, most):
+    """Groups around one text, and a chain whose ends are far apart, in regions of more shingles than a task may hold."""
+    r = random.Random(10)
+    docs = []
+    for b in range(2):
+        base = [r.choice(VOCABULARY) for _ in range(50)]
+        for _ in range(50):
+            w = list(base)
+            for _ in range(r.randint(0, 3)):
+                w[r.randrange(50)] = r.choice(VOCABULARY)
+            docs.append((len(docs), " ".join(w)))
+            if b:
+                base[r.randrange(50)] = r.choice(VOCABULARY)
+    docs += [(len(docs) + i, " ".join(base[:12] + [r.choice(VOCABULARY) for _ in range(40)])) for i in range(20)]
+    cut, whole = [], jaccard_join.bounded_regions
+
+    def watched(regions, texts_of):
+        out = whole(regions, texts_of)
+        cut.append((len(out[1]), jaccard_join.sizes(out[0]).agg({"total": "max"}).first()[0]))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "REGION_SHINGLES", most)
+    monkeypatch.setattr(jaccard_join, "bounded_regions", watched)
+    got = sorted(tuple(x) for x in jaccard_join.jaccard_components(frame(spark, docs)).collect())
+    assert got == plain.components(docs)
+    assert cut[0][0] >= 1 and cut[0][1] <= 2 * most  # blocks are dealt by hash: a few sets more or less
+
+
 @pytest.mark.parametrize("bits", [256, 2])
 def test_exact_dedup(spark, docs, bits):
     weak = lambda norm: F.substring(exact_dedup.sha256_digest(norm), F.lit(1), F.lit(bits // 8 or 1))

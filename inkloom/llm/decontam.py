@@ -1,9 +1,9 @@
 """Benchmark decontamination by SimHash windows, with DataFrame functions only.
 
 Each benchmark item has a weighted set of shingles: five words each, weighted by how often
-they occur. A window of a document is as long as an item. Only windows that start where an
-item's shingle puts the item's start are formed: a window without a shared shingle has
-similarity 0. Windows and items get 64-bit SimHash fingerprints and are joined by multi-index
+they occur. A window of a document is as long as an item. Every window is formed, whatever
+its start, in which so many places hold a shingle of an item that it can reach the similarity
+with it; with fewer it cannot. Windows and items get 64-bit SimHash fingerprints and are joined by multi-index
 blocks: of RADIUS + 1 blocks of bits at least one is equal in any two fingerprints within
 RADIUS, so the join misses none of those. The pairs within RADIUS are verified exactly: the
 sum of the smaller weights by the sum of the larger ones, over the shingles of both.
@@ -67,47 +67,80 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """doc_id, row_hash, item_id, similarity, start (word), n_words: the best window of each document
-    (doc_id, text) for each benchmark item (item_id, text) that it holds at `similarity` or more; the
-    first of equal ones.
+    (doc_id, text) for each benchmark item (item_id, text) that it holds at `similarity` or more. Of
+    equal ones it is one that an item's shingle puts there, where there is such, and then the first.
 
     A document shorter than an item is one window. Null, empty and blank texts match nothing, nor do
     items of that kind or with a null id; items that repeat an item_id are items of their own under one
     name. Empty tables give an empty result.
     """
-    items = materialize(benchmark_items(benchmark).withColumn("item_print", fingerprint(F.col("own"))), "items")
+    items = benchmark_items(benchmark).withColumn("item", F.monotonically_increasing_id())
+    items = materialize(items.withColumn("item_print", fingerprint(F.col("own"))), "items")
     total = items.agg(F.sum(F.size("own")).alias("n")).first()["n"] or 0
     small = F.broadcast if total <= BROADCAST_SHINGLES else (lambda x: x)
 
     d = with_row_hash(documents(docs)).select("doc_id", "row_hash", words(F.col("text")).alias("w"))
     d = d.select("doc_id", "row_hash", F.size("w").alias("size"), shingles(F.col("w")).alias("own"))
-    at = items.select(F.posexplode("own").alias("q", "h"), "n_words").distinct()
-    hits = d.select("doc_id", "row_hash", "size", "own", F.posexplode("own").alias("p", "h")).join(small(at), "h")
-    start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.col("size") - F.col("n_words")))
-    hits = hits.select("doc_id", "row_hash", "n_words", start.alias("start"), "own")
-    length = F.greatest(F.lit(1), F.col("n_words") - (WORDS - 1))
-    windows = hits.select("doc_id", "row_hash", "n_words", "start", F.slice("own", F.col("start") + 1, length).alias("own"))
-    windows = windows.groupBy("doc_id", "row_hash", "n_words", "start").agg(F.first("own").alias("own"))
-    windows = materialize(windows.withColumn("print", fingerprint(F.col("own"))), "windows")
+    windows = materialize(candidates(d, items, similarity, small).withColumn("print", fingerprint(F.col("own"))), "windows")
 
     same = ["n_words", "block"]
-    left = windows.withColumn("block", F.explode(blocks(F.col("print"), radius)))
-    right = items.select("item_id", "n_words", F.col("own").alias("item_own"), "item_print").withColumn("block", F.explode(blocks(F.col("item_print"), radius)))
+    key = ["doc_id", "row_hash", "n_words", "start"]
+    left = windows.select(*key, "last", "own", "print").dropDuplicates(key).withColumn("block", F.explode(blocks(F.col("print"), radius)))
+    right = items.select("item", "item_id", "n_words", F.col("own").alias("item_own"), "item_print").withColumn("block", F.explode(blocks(F.col("item_print"), radius)))
     near = left.join(small(right), same).filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-    near = near.select("doc_id", "row_hash", "item_id", "n_words", "start", "own", "item_own").dropDuplicates(["doc_id", "row_hash", "item_id", "n_words", "start", "item_own"])
+    near = near.select(*key, "item", "item_id", "last", "own", "item_own").dropDuplicates([*key, "item"])
     return best_windows(near, similarity)
 
 
+def candidates(d: DataFrame, items: DataFrame, similarity: float, small) -> DataFrame:
+    """doc_id, row_hash, item, n_words, start, last (start), own: the windows that can reach the similarity with an item.
+
+    A window of n shingles and an item of m must share similarity / (1 + similarity) * (n + m) of them
+    at least. Windows are gathered by the stretch of m shingles that they start in; each has what
+    it takes to form them.
+    """
+    at = items.select(F.explode(F.array_distinct("own")).alias("h"), "item", "n_words", F.size("own").alias("m"))
+    hits = d.select("doc_id", "row_hash", "size", "own", F.posexplode("own").alias("p", "h")).join(small(at), "h")
+    need = F.ceil(similarity / (1 + similarity) * (F.least("m", F.size("own")) + F.col("m")) - 1e-9).cast("int")
+    last = F.greatest(F.lit(0), F.col("size") - F.col("n_words"))
+    hits = hits.withColumns({"need": F.greatest(F.lit(1), need), "last": last, "stretch": F.floor(F.col("p") / F.col("m")).cast("int")})
+    hits = hits.withColumn("stretch", F.explode(F.array_distinct(F.array("stretch", F.greatest(F.lit(0), F.col("stretch") - 1)))))
+    key = ["doc_id", "row_hash", "item", "n_words", "m", "stretch", "need", "last"]
+    part = F.slice("own", F.col("stretch") * F.col("m") + 1, 2 * F.col("m"))
+    found = hits.select(*key, "p", part.alias("part")).groupBy(*key).agg(F.sort_array(F.collect_set("p")).alias("ps"), F.first("part").alias("part"))
+    low = lambda i: F.greatest(F.col("stretch") * F.col("m"), F.get("ps", i + F.col("need") - 1) - F.col("m") + 1)
+    high = lambda i: F.least((F.col("stretch") + 1) * F.col("m") - 1, F.get("ps", i), F.col("last"))
+    between = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
+    starts = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size("ps") - F.col("need")), lambda i: between(low(i), high(i)))))
+    found = found.filter(F.size("ps") >= F.col("need")).withColumn("start", F.explode(starts))
+    return found.select("doc_id", "row_hash", "item", "n_words", "start", "last", F.slice("part", F.col("start") - F.col("stretch") * F.col("m") + 1, F.col("m")).alias("own"))
+
+
 def counted(own: Column, h: Column) -> Column:
     return F.size(F.filter(own, lambda x: x == h))
 
 
+def shared(own: Column, item_own: Column) -> Column:
+    """The sum of the smaller weights."""
+    weights = F.transform(F.array_intersect(own, item_own), lambda h: F.least(counted(own, h), counted(item_own, h)))
+    once = F.size(F.array_distinct(item_own)) == F.size(item_own)
+    return F.when(once, F.size(F.array_intersect(own, item_own))).otherwise(F.aggregate(weights, F.lit(0), lambda a, x: a + x))
+
+
+def aligned(own: Column, item_own: Column, start: Column, last: Column) -> Column:
+    """Whether a shingle of the item stands at its own place, or beyond it where the window could not start elsewhere."""
+    places = lambda a: F.sequence(F.lit(0), F.size(a) - 1)
+    here = lambda j, i: F.coalesce(F.get(own, j) == F.get(item_own, i), F.lit(False))
+    beyond = lambda j, i: ((start == 0) & (j < i)) | ((start == last) & (j > i))
+    edge = F.exists(places(own), lambda j: F.exists(places(item_own), lambda i: beyond(j, i) & here(j, i)))
+    return F.when(F.exists(places(own), lambda j: here(j, j)), True).when((start == 0) | (start == last), edge).otherwise(False)
+
+
 def best_windows(near: DataFrame, similarity: float) -> DataFrame:
-    key = ["doc_id", "row_hash", "item_id", "n_words", "start", "item_own"]
-    weights = near.select(*key, F.size("own").alias("n"), F.explode("own").alias("h")).groupBy(*key, "n", "h").agg(F.count("*").alias("weight"))
-    both = F.least("weight", counted(F.col("item_own"), F.col("h")))
-    verified = weights.groupBy(*key, "n").agg(F.sum(both).alias("both"))
-    verified = verified.withColumn("similarity", F.col("both") / (F.col("n") + F.size("item_own") - F.col("both"))).filter(F.col("similarity") >= similarity)
-    best = verified.groupBy("doc_id", "row_hash", "item_id").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "start", "n_words")).alias("best"))
+    both, total = F.col("both"), F.size("own") + F.size("item_own")
+    verified = near.withColumn("both", shared(F.col("own"), F.col("item_own"))).withColumn("similarity", both / (total - both)).filter(F.col("similarity") >= similarity)
+    verified = verified.withColumn("apart", ~aligned(F.col("own"), F.col("item_own"), F.col("start"), F.col("last")))
+    best = verified.groupBy("doc_id", "row_hash", "item_id").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "apart", "start", "n_words")).alias("best"))
     return best.select("doc_id", "row_hash", "item_id", (-F.col("best.s")).alias("similarity"), F.col("best.start").cast("long").alias("start"), F.col("best.n_words").cast("long").alias("n_words"))
 
 

@@ -176,6 +176,22 @@ def test_decontamination(spark):
     assert {1, 2, 5} <= {x["doc_id"] for x in kept.collect()} and kept.columns == frame(spark, docs).columns
 
 
+def test_decontamination_in_another_order(spark):
+    """Items whose sentences stand in another order, where no shingle of the best window is at its own place."""
+    r = random.Random(12)
+    say = lambda n: " ".join(r.choice(VOCABULARY) for _ in range(n))
+    items, docs = [], []
+    for k, (a, b) in enumerate(((20, 80), (50, 50), (80, 20), (30, 30))):
+        first, second = say(a), say(b)
+        items.append((k, f"{first} {second}"))
+        docs += [(10 * k + 1, f"{say(40)} {second} {first} {say(30)}"), (10 * k + 2, f"{second} {first}"), (10 * k + 3, f"{say(300)} {second} {first}"), (10 * k + 4, second)]
+    docs.append((99, say(2000)))
+    out = decontam.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    want = plain.contaminated(docs, items)
+    assert sorted((x["doc_id"], x["item_id"]) for x in out) == want and len(want) >= 9
+    assert {(x["start"], round(x["similarity"], 2)) for x in out if x["doc_id"] == 1} == {(40, 0.92)}
+
+
 def test_pii():
     text = "mail me: a.b@c.example.com, ip 1.2.3.4 or 1.2.3.999; card 4111 1111 1111 1111, not 4111111111111112; tel +49 (30) 1234-567. IBAN DE89 3704 0044 0532 0130 00 my SSN 123-45-6789"
     kinds = [(k, text[a:b]) for k, a, b, _ in pii.find_spans(text)]

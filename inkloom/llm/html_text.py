@@ -82,6 +82,57 @@ LABELLED = [
     (2, 0.00, 0, 0.00, 1, 1.00, 0, 0, 0, 0),
     (3, 0.00, 5, 0.00, 2, 0.00, 0, 0, 1, 0),
     (20, 0.60, 6, 0.00, 8, 0.40, 0, 0, 0, 0),
+    # No article: a long block counts for itself, whatever stands beside it.
+    (300, 0.00, 0, 0.00, 0, 0.00, 0, 0, 0, 1),
+    (300, 0.00, 4, 0.00, 0, 0.00, 0, 0, 0, 1),
+    (200, 0.00, 10, 0.00, 10, 0.00, 0, 0, 0, 1),
+    (110, 0.10, 8, 1.00, 9, 1.00, 0, 0, 0, 1),
+    (90, 0.05, 3, 1.00, 2, 1.00, 0, 0, 0, 1),
+    (70, 0.00, 5, 0.00, 12, 0.50, 0, 0, 0, 1),
+    (55, 0.02, 12, 1.00, 15, 0.00, 0, 0, 0, 1),
+    (45, 0.00, 2, 0.00, 20, 1.00, 0, 0, 0, 1),
+    (4, 0.00, 0, 0.00, 300, 0.00, 0, 0, 1, 1),
+    (80, 0.35, 70, 0.00, 60, 0.00, 0, 0, 0, 1),
+    (60, 0.40, 3, 0.00, 5, 0.00, 0, 0, 0, 1),
+    (120, 0.30, 90, 0.10, 80, 0.20, 0, 0, 0, 1),
+    (35, 0.30, 40, 0.00, 50, 0.10, 0, 0, 0, 1),
+    # No article: so does a short one that opens or ends a long one.
+    (5, 0.00, 3, 0.00, 25, 0.00, 0, 0, 1, 1),
+    (12, 0.00, 8, 0.00, 30, 0.00, 0, 0, 0, 1),
+    (10, 0.00, 90, 0.00, 0, 0.00, 0, 0, 0, 1),
+    (12, 0.00, 60, 0.00, 5, 0.00, 0, 0, 0, 1),
+    (7, 0.00, 45, 0.00, 14, 0.00, 0, 0, 0, 1),
+    # The same outside are none of it.
+    (300, 0.00, 0, 0.00, 0, 0.00, 0, 1, 0, 0),
+    (300, 0.00, 4, 0.00, 0, 0.00, 0, 1, 0, 0),
+    (200, 0.00, 10, 0.00, 10, 0.00, 0, 1, 0, 0),
+    (110, 0.10, 8, 1.00, 9, 1.00, 0, 1, 0, 0),
+    (90, 0.05, 3, 1.00, 2, 1.00, 0, 1, 0, 0),
+    (70, 0.00, 5, 0.00, 12, 0.50, 0, 1, 0, 0),
+    (55, 0.02, 12, 1.00, 15, 0.00, 0, 1, 0, 0),
+    (45, 0.00, 2, 0.00, 20, 1.00, 0, 1, 0, 0),
+    (4, 0.00, 0, 0.00, 300, 0.00, 0, 1, 1, 0),
+    (30, 0.00, 31, 0.00, 33, 0.00, 0, 1, 0, 0),
+    (150, 0.01, 9, 0.00, 44, 0.00, 0, 1, 0, 0),
+    (85, 0.00, 70, 0.00, 64, 0.02, 0, 1, 0, 0),
+    (18, 0.00, 60, 0.00, 70, 0.00, 0, 1, 0, 0),
+    # No article: short blocks among short ones are none of it.
+    (5, 0.00, 6, 0.00, 8, 0.00, 0, 0, 0, 0),
+    (10, 0.00, 7, 0.00, 12, 0.00, 0, 0, 0, 0),
+    (9, 0.00, 12, 0.00, 9, 0.00, 0, 0, 0, 0),
+    (12, 0.00, 5, 0.00, 14, 0.20, 0, 0, 0, 0),
+    (8, 0.10, 9, 0.00, 15, 0.00, 0, 0, 0, 0),
+    (4, 0.00, 0, 0.00, 6, 0.00, 0, 0, 1, 0),
+    (13, 0.00, 14, 0.00, 16, 0.00, 0, 0, 0, 0),
+    # No article: links are none of it, however long the blocks beside them.
+    (3, 1.00, 150, 0.00, 130, 0.00, 0, 0, 0, 0),
+    (8, 1.00, 60, 0.00, 70, 0.00, 0, 0, 0, 0),
+    (12, 0.90, 80, 0.00, 90, 0.00, 0, 0, 0, 0),
+    (30, 1.00, 100, 0.00, 120, 0.00, 0, 0, 0, 0),
+    (60, 0.95, 50, 0.00, 40, 0.00, 0, 0, 0, 0),
+    (120, 1.00, 90, 0.00, 200, 0.00, 0, 0, 0, 0),
+    (25, 0.70, 200, 0.00, 3, 1.00, 0, 0, 0, 0),
+    (6, 0.80, 70, 0.00, 12, 1.00, 0, 0, 0, 0),
 ]
 
 # Elements.
@@ -97,6 +148,14 @@ OUTSIDE_WORDS = frozenset(
     "disqus dialog footer form header login masthead menu menubar modal nav navbar navigation newsletter notice notices pagination pager popup promo promotion related replies reply "
     "respond search share sharing sidebar sidenav signup social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets complementary alert".split()
 )
+# Of these, the ones that mark text by others or for other ends; an article within is no article of the page.
+FOREIGN_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising banner banners comment comments commentary disqus modal newsletter popup promo promotion related replies reply respond sponsor sponsored".split()
+)
+# Words before a mark by which a name tells of the part instead of being it: has-sidebar; before LAYOUT_WORDS only: content-sidebar-wrap.
+TELLING_WORDS = frozenset("has with without no".split())
+TELLING_OF_LAYOUT = frozenset("content layout".split())
+LAYOUT_WORDS = frozenset("header menu nav navbar navigation sidebar sidenav toolbar topbar".split())
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -104,13 +163,30 @@ WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 CUT_OFF = re.compile(r"<(?:[a-zA-Z/!?][^>]*)?\Z")
 
 
-def marked_outside(attributes: str) -> bool:
+def mark(attributes: str) -> int:
+    """2 where a name in class, id or role marks a part as not the main text, 1 where it is only part of the name, else 0."""
+    most = 0
     if not attributes:
-        return False
+        return most
     for m in MARKS.finditer(attributes):
-        if not OUTSIDE_WORDS.isdisjoint(x.lower() for x in WORD_PARTS.findall(m[1] or m[2] or m[3] or "")):
-            return True
-    return False
+        for name in (m[1] or m[2] or m[3] or "").split():
+            parts = [x.lower() for x in WORD_PARTS.findall(name)]
+            said = OUTSIDE_WORDS.intersection(parts)
+            if not said:
+                continue
+            before = set(parts[: min(map(parts.index, said))])
+            if before & TELLING_WORDS or (before & TELLING_OF_LAYOUT and said <= LAYOUT_WORDS):
+                continue
+            most = max(most, 2 if said & FOREIGN_WORDS or said.issuperset(parts) else 1)
+    return most
+
+
+def outside_of(tag: str, attributes: str, inside: bool, outside: int) -> int:
+    """How a part is outside, 0 to 2, within one that is so already. An article takes back a 1, a main part all, unless it is marked itself."""
+    own = 2 if tag in OUTSIDE_TAGS or (tag == "header" and not inside) else mark(attributes)
+    if own == 0 and not inside and (tag == "main" or (tag == "article" and outside == 1)):
+        return 0
+    return max(own, outside)
 
 
 def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
@@ -118,8 +194,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
     out: list[tuple[str, int, int, int, int, int]] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, inside, outside
-    inside = outside = False
+    stack: list[tuple[str, bool, int]] = []  # tag, inside, outside
+    inside, outside = False, 0
     heading = link = 0
     page = CUT_OFF.sub("", page)
     at = 0
@@ -135,7 +211,7 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
         if parts:
             words = "".join(parts).split()
             if words:
-                out.append((" ".join(words), len(words), len("".join(linked).split()), int(inside), int(outside), int(bool(heading))))
+                out.append((" ".join(words), len(words), len("".join(linked).split()), int(inside), int(outside > 0), int(bool(heading))))
             parts.clear()
             linked.clear()
 
@@ -165,9 +241,8 @@ def blocks(page: str) -> list[tuple[str, int, int, int, int, int]]:
         if tag in CONTAINERS:
             if not ends:
                 stack.append((tag, inside, outside))
-                inside_now = inside or tag in INSIDE_TAGS
-                outside = outside or tag in OUTSIDE_TAGS or (tag == "header" and not inside) or marked_outside(m[3] or m[6])
-                inside = inside_now
+                outside = outside_of(tag, m[3] or m[6], inside, outside)
+                inside = inside or tag in INSIDE_TAGS
             elif any(s[0] == tag for s in stack):
                 while (popped := stack.pop())[0] != tag:
                     pass

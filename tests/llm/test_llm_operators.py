@@ -272,6 +272,44 @@ def test_main_text():
     assert html_text.main_text("<article><p>cut off</", tree) == "cut off"
 
 
+def test_main_text_without_article():
+    tree = html_text.grow(html_text.LABELLED)
+    say = lambda n: " ".join(["word"] * n)
+    links = "<ul>" + "".join(f"<li><a href=x>{say(2)}</a>" for _ in range(6)) + "</ul>"
+    text = lambda page: html_text.main_text(page, tree)
+    assert text(f"<div><p>{say(300)}</p></div>") == say(300)
+    assert text(f"<h1>Big Title</h1><p>{say(300)}</p>") == f"Big Title\n{say(300)}"
+    assert text(f"<p>{say(10)}</p><p>{say(300)}</p><p>{say(10)}</p>").count("word") >= 300
+    assert text(f"<p>{say(7)}</p><p>{say(9)}</p><p>{say(12)}</p>") == ""
+    assert text(f"{links}<p>{say(60)}</p>{links}") == say(60)
+    assert text(f"<p>{say(90)}</p><p><a href=x>{say(30)}</a></p><p>{say(80)}</p>") == f"{say(90)}\n{say(80)}"
+    assert text(f"<p>{say(90)}</p><ul><li><a href=x>One more</a></ul><p>{say(80)}</p>") == f"{say(90)}\n{say(80)}"
+    assert text(f"<p>{say(80)} <a href=x>{say(40)}</a></p><p>{say(9)}</p>") == f"{say(120)}\n{say(9)}"
+    assert text(links) == text(f"<p>{say(5)}</p>{links}") == ""
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "has-sidebar", "page-header-fixed", "with-comments wide"])
+def test_article_in_a_marked_wrapper(name):
+    tree = html_text.grow(html_text.LABELLED)
+    page = f'<div class="{name}"><article><p>Short text.</p></article><div class="sidebar"><p>Other things</p></div></div>'
+    assert html_text.main_text(page, tree) == "Short text."
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "layout_no_sidebar"])
+def test_wrapper_without_article(name):
+    tree = html_text.grow(html_text.LABELLED)
+    page = f'<div class="{name}"><p>{"word " * 80}</p><div id="main-sidebar"><p>{"other " * 80}</p></div></div>'
+    assert html_text.main_text(page, tree) == ("word " * 80).strip()
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "related-posts", "ad-container", "sidebar", "cookie-notice"])
+def test_marked_parts_stay_outside(name):
+    tree = html_text.grow(html_text.LABELLED)
+    page = f'<main><p>Short text.</p></main><div class="{name}"><article><p>{"word " * 80}</p></article></div>'
+    assert html_text.main_text(page, tree) == "Short text."
+    assert html_text.main_text(f'<div class="{name}"><p>{"word " * 80}</p></div>', tree) == ""
+
+
 def test_extract_text_frame(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (None, None, None, "y"), (1, "u", PAGE, "x")], "page_id bigint, url string, html string, text string")
     assert [len(r["text"]) > 0 for r in html_text.extract_text(pages).collect()] == [True, False, True]

@@ -32,8 +32,16 @@ CONTEXT_WORDS = {
     "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
     "ssn": ("ssn", "social", "security"),
 }
-# Length of an IBAN by country.
-IBAN_LENGTH = {"AT": 20, "BE": 16, "CH": 21, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
+# Length of an IBAN by country, all that use one.
+IBAN_LENGTH = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -41,7 +49,8 @@ LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
+IBAN_REST = {n: re.compile(rf"(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in set(IBAN_LENGTH.values())}
 SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 DIGIT = re.compile(r"[0-9]")
 
@@ -95,10 +104,14 @@ def phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in IBAN.finditer(text):
-        code = m.group().replace(" ", "")
-        if IBAN_LENGTH.get(code[:2]) == len(code) and mod97(code):
-            yield m.span()
+    """As long as the country has them, whatever capitals or digits follow behind a space."""
+    floor = 0
+    for head in IBAN_HEAD.finditer(text):
+        length = IBAN_LENGTH.get(head.group()[:2])
+        rest = IBAN_REST[length].match(text, head.end()) if length and head.start() >= floor else None
+        if rest and mod97((head.group() + rest.group()).replace(" ", "")):
+            yield head.start(), rest.end()
+            floor = rest.end()
 
 
 def ssns(text: str) -> Iterator[tuple[int, int]]:

@@ -201,6 +201,19 @@ def test_pii():
     assert pii.find_spans("a" * 300_000 + "1" * 300_000) == []
 
 
+@pytest.mark.parametrize(
+    "number",
+    "DE89 3704 0044 0532 0130 00|GB82 WEST 1234 5698 7654 32|GR16 0110 1250 0000 0001 2300 695|CZ65 0800 0000 1920 0014 5399|HU42 1177 3016 1111 1018 0000 0000|RO49 AAAA 1B31 0075 9384 0000|TR33 0006 1005 1978 6457 8413 26|SA03 8000 0000 6080 1016 7519|NO93 8601 1117 947|MT84 MALT 0110 0001 2345 MTLC AST0 01S".split("|"),
+)
+@pytest.mark.parametrize("behind", ["", ".", " BIC COBADEFFXXX", " USD 500", " 12 34", " DE89", " and on"])
+@pytest.mark.parametrize("before", ["IBAN ", "GB12 ", "IBAN: XY12 "])
+def test_iban_is_as_long_as_its_country_has_it(number, behind, before):
+    for n in (number, number.replace(" ", "")):
+        assert [(k, a, b) for k, a, b, _ in pii.find_spans(before + n + behind) if k == "iban"] == [("iban", len(before), len(before) + len(n))]
+        assert not [s for s in pii.find_spans(before + n[:3] + str((int(n[3]) + 1) % 10) + n[4:] + behind) if s[0] == "iban"]
+        assert not [s for s in pii.find_spans(before + n + "0" + behind) if s[0] == "iban"]
+
+
 def test_pii_frame(spark, docs):
     assert pii.pii_spans(frame(spark, docs)).count() == len(docs)
 

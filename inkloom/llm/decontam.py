@@ -5,8 +5,9 @@ they occur. A window of a document is as long as an item. Every window is formed
 its start, in which so many places hold a shingle of an item that it can reach the similarity
 with it; with fewer it cannot. Windows and items get 64-bit SimHash fingerprints and are joined by multi-index
 blocks: of RADIUS + 1 blocks of bits at least one is equal in any two fingerprints within
-RADIUS, so the join misses none of those. The pairs within RADIUS are verified exactly: the
-sum of the smaller weights by the sum of the larger ones, over the shingles of both.
+RADIUS, so the join misses none of those. A window beyond RADIUS of the item that it was formed
+for, as one with a shingle of great weight may be, is paired with it all the same. The pairs are
+verified exactly: the sum of the smaller weights by the sum of the larger ones, over the shingles of both.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from inkloom.llm.common import LOWER, UPPER, documents, materialize, with_row_ha
 
 WORDS = 5
 SIMILARITY = 0.8
-#: At similarity 0.8 the expected distance is below 12 of 64 bits, whatever the length.
+#: At similarity 0.8 the expected distance is below 12 of 64 bits where all weights are alike, and larger where few shingles have most of the weight.
 RADIUS = 24
 #: Shingles of all items up to which their table is broadcast; beyond, it is joined by shuffle.
 BROADCAST_SHINGLES = 1_000_000
@@ -89,6 +90,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     right = items.select("item", "item_id", "n_words", F.col("own").alias("item_own"), "item_print").withColumn("block", F.explode(blocks(F.col("item_print"), radius)))
     near = left.join(small(right), same).filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
     near = near.select(*key, "item", "item_id", "last", "own", "item_own").dropDuplicates([*key, "item"])
+    beyond = windows.join(small(items.select("item", "item_id", F.col("own").alias("item_own"), "item_print")), "item")
+    beyond = beyond.filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) > radius)
+    near = near.unionByName(beyond.select(*near.columns))
     return best_windows(near, similarity)
 
 

@@ -192,6 +192,15 @@ def test_decontamination_in_another_order(spark):
     assert {(x["start"], round(x["similarity"], 2)) for x in out if x["doc_id"] == 1} == {(40, 0.92)}
 
 
+def test_decontamination_beyond_the_radius(spark):
+    """Passages cut off and followed by a run of one word, whose shingle has much weight in the fingerprint."""
+    r = random.Random(13)
+    items = [(k, " ".join(r.choice(VOCABULARY) for _ in range(300))) for k in range(8)]
+    docs = [(k, " ".join([*t.split()[:268], *["no"] * 40])) for k, t in items]
+    out = decontam.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted((x["doc_id"], x["item_id"]) for x in out) == plain.contaminated(docs, items) == [(k, k) for k in range(8)]
+
+
 def test_pii():
     text = "mail me: a.b@c.example.com, ip 1.2.3.4 or 1.2.3.999; card 4111 1111 1111 1111, not 4111111111111112; tel +49 (30) 1234-567. IBAN DE89 3704 0044 0532 0130 00 my SSN 123-45-6789"
     kinds = [(k, text[a:b]) for k, a, b, _ in pii.find_spans(text)]

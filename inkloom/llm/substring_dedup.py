@@ -1,12 +1,9 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
-
-The reference is the corpus itself, cut into blocks of documents; each block indexes
-the phrases of WINDOW words that start in it with the smallest doc_id that holds them.
-A document is parsed greedily: at each place the factor runs on as long as its next
-phrase is in the index of any block under a smaller doc_id. A factor of one phrase or
-more is long enough to be a duplicate span. Greedy factors can end inside a phrase that
-is itself indexed; every phrase that crosses a factor's boundary is looked up too, so
-the spans are the union over all phrases and all blocks.
+"""Substring dedup by looking up every phrase.
+
+The hashes of all phrases of WINDOW words are dealt to hash shards; each is looked up for the
+smallest doc_id that holds it. The spans of a document are the union over its phrases that a
+smaller doc_id holds too. Documents are not parsed into factors: this is not relative
+Lempel-Ziv parsing, and a run of phrases that are found may come from several documents.
 """
 
 from collections.abc import Iterator
@@ -35,7 +32,7 @@ def phrase_hashes(window: int):
 
 
 def factor_spans(starts: np.ndarray, counts: np.ndarray, window: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spans of words (start, end exclusive) that the factors cover; starts and counts are runs of indexed phrases."""
+    """Spans of words (start, end exclusive) that the phrases found cover; starts and counts are their runs."""
     return runs_of(covered(starts, counts, window, n))
 
 

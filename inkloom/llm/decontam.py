@@ -71,7 +71,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     (doc_id, text) for each benchmark item (item_id, text) that it holds at `similarity` or more. Of
     equal ones it is one that an item's shingle puts there, where there is such, and then the first.
 
-    A document shorter than an item is one window. Null, empty and blank texts match nothing, nor do
+    A document shorter than an item is one window. An item of one to four words is found only in a
+    document that consists of just those words, as in the SQL. Null, empty and blank texts match nothing, nor do
     items of that kind or with a null id; items that repeat an item_id are items of their own under one
     name. Empty tables give an empty result.
     """

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # The 29 code points that str.strip() and \s know, and the line ends of str.splitlines().
 SPACE = r"[\t\n\x0B\f\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 NOT_SPACE = SPACE.replace("[", "[^", 1)
+SPACES = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 LINE_END = r"(?:\r\n|[\n\x0B\f\r\x1C-\x1E\x85\u2028\u2029])"
 
 
@@ -19,11 +20,11 @@ def let(value: Column, body) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"{SPACE}+\z", "")
+    return F.rtrim(c, F.lit(SPACES))
 
 
 def lines(c: Column) -> Column:

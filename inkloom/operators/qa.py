@@ -26,19 +26,23 @@ def shown(residue: Column) -> Column:
     return F.when(F.size(hits) == 0, "0").otherwise(F.array_join(F.transform(hits, lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ", "))
 
 
+def stripped_lines(text: Column) -> Column:
+    """What the three checks by line take: white space at a line's ends counts in none of them."""
+    return F.transform(lines(text), strip)
+
+
 def orphan_numbers(own: Column) -> Column:
-    return F.size(F.filter(own, lambda x: x.rlike(rf"\A{SPACE}*\p{{Nd}}{{1,4}}{SPACE}*\z"))).cast("long")
+    return F.size(F.filter(own, lambda x: (F.length(x) <= 4) & x.rlike(r"\A\p{Nd}{1,4}\z"))).cast("long")
 
 
 def dangling_lines(own: Column) -> Column:
-    stripped = F.transform(own, strip)
-    return F.size(F.filter(stripped, lambda x: (x != "") & ~F.right(x, F.lit(1)).isin(".", "?", "!"))).cast("long")
+    return F.size(F.filter(own, lambda x: (x != "") & ~F.right(x, F.lit(1)).isin(".", "?", "!"))).cast("long")
 
 
 def repeated_lines(own: Column, least: int = REPEATED_FROM) -> Column:
     """Distinct lines of over 15 code points that are there three times or more, within one row: no shuffle.
     Sorted, a line is the third of its kind where it equals the one two before, and the first such where not also the one three before."""
-    long = F.array_sort(F.filter(F.transform(own, strip), lambda x: F.length(x) > REPEATED_OVER))
+    long = F.array_sort(F.filter(own, lambda x: F.length(x) > REPEATED_OVER))
 
     def count(ordered: Column) -> Column:
         third = lambda x, i: (i >= least - 1) & (x == F.get(ordered, i - (least - 1))) & ((i < least) | (x != F.coalesce(F.get(ordered, i - least), F.lit(""))))
@@ -58,8 +62,8 @@ def ignored(name: Column) -> Column:
 def report(clean: DataFrame, raw: DataFrame, keys: list[str]) -> DataFrame:
     """Five checks and the flags of each clean document; without a source (status "no source") there are none."""
     both = clean.select(*keys, F.col("text").alias("clean")).join(raw.select(*keys, F.col("text").alias("raw")), keys, "left")
-    # The lines are cut once for the three checks that need them.
-    by_line = let(lines(F.col("clean")), lambda x: F.struct(orphan_numbers(x).alias("orphan"), dangling_lines(x).alias("dangling"), repeated_lines(x).alias("repeated")))
+    # The lines are cut and stripped once for the three checks that need them.
+    by_line = let(stripped_lines(F.col("clean")), lambda x: F.struct(orphan_numbers(x).alias("orphan"), dangling_lines(x).alias("dangling"), repeated_lines(x).alias("repeated")))
     both = both.withColumn("by_line", by_line)
     found = F.col("raw").isNotNull()
     checks = both.select(

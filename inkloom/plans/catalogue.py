@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkloom.functions import markdown, noise, speech
-from inkloom.functions.text import lines
 from inkloom.operators import audio, model, qa, sections
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,17 +105,17 @@ def qa_markdown_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {SQL_CHECKED} SELECT doc_id, orphan_numbers FROM report")
 def qa_orphan_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select("doc_id", qa.orphan_numbers(lines(F.expr(CLEAN))).alias("orphan_numbers"))
+    return documents(spark, sf_dir).select("doc_id", qa.orphan_numbers(qa.stripped_lines(F.expr(CLEAN))).alias("orphan_numbers"))
 
 
 @query(f"WITH l AS (SELECT doc_id, unnest({sql_lines('text')}) AS line FROM documents), s AS (SELECT doc_id, {sql_strip('line')} AS st FROM l) SELECT documents.doc_id, count(st) FILTER (WHERE st <> '' AND right(st, 1) NOT IN ('.', '?', '!')) AS dangling_lines FROM documents LEFT JOIN s ON documents.doc_id = s.doc_id GROUP BY documents.doc_id")
 def qa_dangling_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select("doc_id", qa.dangling_lines(lines(F.col("text"))).alias("dangling_lines"))
+    return documents(spark, sf_dir).select("doc_id", qa.dangling_lines(qa.stripped_lines(F.col("text"))).alias("dangling_lines"))
 
 
 @query(f"WITH {SQL_CHECKED.replace(CLEAN, 'text')} SELECT doc_id, repeated_lines FROM report")
 def qa_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select("doc_id", qa.repeated_lines(lines(F.col("text"))).alias("repeated_lines"))
+    return documents(spark, sf_dir).select("doc_id", qa.repeated_lines(qa.stripped_lines(F.col("text"))).alias("repeated_lines"))
 
 
 @query(f"WITH {SQL_CHECKED} SELECT doc_id, word_ratio FROM report")
@@ -139,7 +138,7 @@ def qa_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qa.summary(checked(spark, sf_dir))
 
 
-@query(f"SELECT doc_id, {DUCK_NAME} AS name, regexp_matches({DUCK_NAME}, 'memtable|prefix-seek|transactions|read-only-and-secondary-instances|memory-usage-in-rocksdb') AS ignored FROM documents WHERE contains({DUCK_NAME}, '1_')")
+@query(f"SELECT doc_id, {DUCK_NAME} AS name, regexp_matches({DUCK_NAME}, '{'|'.join(qa.IGNORED)}') AS ignored FROM documents WHERE contains({DUCK_NAME}, '1_')")
 def qa_ignore_and_needle(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = documents(spark, sf_dir).select("doc_id", F.expr(SPARK_NAME).alias("name"))
     return named.filter(F.contains("name", F.lit("1_"))).withColumn("ignored", qa.ignored(F.col("name")))
@@ -160,7 +159,26 @@ def idempotent_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- extraction ----------------------------------------------------------------------------
 
 
-@query()
+# The page's text is cut at block tags; a piece stays where the next tag closes a block, behind the mark of the tag before it where that opens one.
+BLOCKS = "p|li|blockquote|h[1-6]"
+SQL_MARKED = "regexp_replace(regexp_replace(article, '(?i)<br[^>]*>', chr(10), 'g'), '(?i)<(/?)(" + BLOCKS + ")(?:\\s[^>]*)?>', concat(chr(1), '\\1\\2', chr(2)), 'g')"
+SQL_PLAIN = "regexp_replace(" + "".join("regexp_replace(" for _ in markdown.HIDDEN) + SQL_MARKED + "".join(f", '(?is)<{t}\\b.*?</{t}\\s*>', '', 'g')" for t in markdown.HIDDEN) + ", '<[^>]*>', '', 'g')"
+
+
+def sql_decoded(x: str) -> str:
+    for sign, name in (("<", "lt"), (">", "gt"), ('"', "quot"), ("''", "#39"), ("&", "amp")):
+        x = f"replace({x}, '&{name};', '{sign}')"
+    return x
+
+
+@query(f"""
+    WITH a AS (SELECT page_id, string_split(regexp_replace(url, '/+$', ''), '/')[-1] AS slug, coalesce(nullif(regexp_extract(html, '(?s)<article[^>]*>.*?</article>'), ''), html) AS article FROM pages),
+    s AS (SELECT page_id, slug, string_split({SQL_PLAIN}, chr(1)) AS pieces FROM a),
+    b AS (SELECT page_id, slug, list_transform(list_filter(range(1, len(pieces)), lambda i: starts_with(pieces[i + 1], '/')), lambda i: CASE WHEN i = 1 THEN pieces[1] ELSE concat(
+              CASE WHEN starts_with(lower(pieces[i]), 'h') THEN concat(repeat('#', CAST(substring(pieces[i], 2, 1) AS INT)), ' ') WHEN starts_with(lower(pieces[i]), 'li') THEN '- ' WHEN starts_with(lower(pieces[i]), 'blockquote') THEN '> ' ELSE '' END,
+              string_split(pieces[i], chr(2))[2]) END) AS blocks FROM s)
+    SELECT page_id, slug, {sql_strip("array_to_string(list_filter(list_transform(blocks, lambda x: " + sql_strip(sql_decoded("x")) + "), lambda x: x <> ''), chr(10))")} AS markdown FROM b
+""")
 def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", noise.slug_from_url(F.col("url")).alias("slug"), markdown.html_to_markdown(F.col("html")).alias("markdown"))

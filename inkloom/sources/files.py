@@ -30,7 +30,7 @@ def with_needle(files: DataFrame, needle: str | None) -> DataFrame:
 
 
 def title_of(title: Column, name: Column) -> Column:
-    first = F.trim(F.split(F.coalesce(title, F.lit("")), "\n", 2)[0])
+    first = strip(F.split(strip(F.coalesce(title, F.lit(""))), "\n", 2)[0])
     return F.when(first == "", name).otherwise(first)
 
 

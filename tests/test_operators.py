@@ -87,7 +87,7 @@ def test_report_anchors(spark):
 def test_repeated_lines(spark):
     long = "a line of more than fifteen"
     values = ["\n".join([long] * n) for n in range(6)] + ["\n".join([long, long + "!"] * 3)]
-    assert column(texts(spark, values), qa.repeated_lines(lines(F.col("t")))) == [0, 0, 0, 1, 1, 1, 2]
+    assert column(texts(spark, values), qa.repeated_lines(qa.stripped_lines(F.col("t")))) == [0, 0, 0, 1, 1, 1, 2]
 
 
 def test_model_failures():

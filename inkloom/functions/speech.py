@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkloom.functions.text import SPACE, each_match, strip
+from inkloom.functions.text import SPACE, each_match, let, one_space, repeated, strip
 
 # How the signs of a URL are spoken, in the order in which they are replaced.
 SPOKEN_SIGNS = [(".", "dot"), ("/", "slash"), ("-", "dash"), ("_", "underscore"), ("#", "hash"), ("?", "question mark"), ("=", "equals"), ("&", "ampersand")]
@@ -19,7 +19,7 @@ def spoken_url(url: Column) -> Column:
     body = F.substring(s, F.lit(1), F.length(s) - F.length(tail))
     for sign, word in SPOKEN_SIGNS:
         body = F.replace(body, F.lit(sign), F.lit(f" {word} "))
-    return F.concat(strip(F.regexp_replace(body, SPACE + "+", " ")), tail)
+    return F.concat(strip(one_space(body, 1)), tail)
 
 
 def verbalize_urls(text: Column, keep_paragraphs: bool = False, keep_scheme_words: bool = False) -> Column:
@@ -31,34 +31,78 @@ def verbalize_urls(text: Column, keep_paragraphs: bool = False, keep_scheme_word
     if not keep_scheme_words:
         out = F.regexp_replace(out, r"(?i)\bhttps?\b", "")
     if keep_paragraphs:
-        return F.array_join(F.transform(F.split(out, "\n\n", -1), lambda p: strip(F.regexp_replace(p, SPACE + "{2,}", " "))), "\n\n")
-    return strip(F.regexp_replace(out, SPACE + "{2,}", " "))
+        return F.array_join(F.transform(F.split(out, "\n\n", -1), lambda p: strip(one_space(p))), "\n\n")
+    return strip(one_space(out))
 
 
-# Spoken digits, abbreviations and domain spellings of the narration rules.
-DIGITS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
-ABBREVIATIONS = [("e.g.", "for example"), ("i.e.", "that is"), ("etc.", "and so on"), ("Fig.", "Figure"), ("->", "leads to"), ("×", "times")]
-SPELLINGS = [("L0", "level zero"), ("L1", "level one"), ("SST", "S S T"), ("WAL", "write-ahead log")]
+# Number words, abbreviations and domain spellings of the narration rules; terms that stay as they are.
+ONES = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+ABBREVIATIONS = [("e.g.", "for example"), ("i.e.", "that is"), ("etc.", "and so on"), ("->", "leads to"), ("×", "times")]
+SPELLINGS = [
+    ("L0", "level zero"), ("L1", "level one"), ("Lmax", "level max"), ("SST", "ess ess tee"), ("WAL", "write-ahead log"), ("DB", "database"), ("I/O", "I O"), ("IO", "I O"),
+    ("IOPS", "I O P S"), ("memtable", "mem table"), ("tmpfs", "temp f s"), ("fio", "F I O"), ("db_bench", "d b bench"), ("sst_dump", "ess ess tee dump"), ("ldb", "ell dee bee"),
+    ("kLZ4Compression", "kay L Z 4 compression"), ("Get", "get"), ("Put", "put"), ("Delete", "delete"), ("Merge", "merge"), ("Prev", "prev"),
+]
+FIRST_MENTION = ("LSM", "log-structured merge", "L S M")
+KEPT = ("GPU", "CPU", "RAM", "SSD")
+SPECIAL = {"code": r"(?md)^```", "table": r"(?md)^\s*\|.*\|\s*$", "equation": r"\$\$|(?md)^[^\n]*[A-Za-z0-9)]\s*=\s*[A-Za-z0-9(][^\n]*[+*/^]", "figure": r"(?md)^\s*(?:Figure|Fig\.)\s*\p{Nd}+"}
+
+
+def number_word(n: int) -> str:
+    return ONES[n] if n < 20 else TENS[n // 10 - 2] + (f" {ONES[n % 10]}" if n % 10 else "")
 
 
 def spoken_number(number: Column) -> Column:
-    """5.1 as "five point one": digit by digit."""
-    words = F.create_map(*[x for i, w in enumerate(DIGITS) for x in (F.lit(str(i)), F.lit(w))], F.lit("."), F.lit("point"))
-    return F.array_join(F.transform(F.filter(F.split(number, ""), lambda c: c != ""), lambda c: words[c]), " ")
+    """5.12 as "five point twelve"; parts from 100 on digit by digit."""
+    words = F.create_map(*[F.lit(x) for i in range(100) for x in (str(i), number_word(i))])
+    digits = lambda p: F.array_join(F.transform(F.filter(F.split(p, ""), lambda c: c != ""), lambda c: words[c]), " ")
+    return F.array_join(F.transform(F.split(number, r"\.", -1), lambda p: F.coalesce(words[p], digits(p))), " point ")
+
+
+def without_furniture(text: Column) -> Column:
+    """Without standalone page numbers and without running heads: lines of over 15 signs that are there three times or more."""
+    number = lambda x: (F.length(x) <= 4) & x.rlike(r"\A\p{Nd}{1,4}\z")
+    own = F.split(text, "\n", -1)
+    heads = repeated(F.transform(own, strip), 3, 15)
+    kept = let(heads, lambda h: F.filter(own, lambda x: let(strip(x), lambda s: ~number(s) & ~F.array_contains(h, s))))
+    return F.array_join(kept, "\n")
+
+
+def spelled(text: Column) -> Column:
+    """Terms as they are spoken; the first mention of one of them in full. Terms in KEPT are never touched."""
+    term, first, later = FIRST_MENTION
+    parts = F.split(text, rf"\b{term}\b", 2)
+    t = F.when(F.size(parts) > 1, F.concat(parts[0], F.lit(first), F.regexp_replace(parts[1], rf"\b{term}\b", later))).otherwise(text)
+    names = F.create_map(*[F.lit(x) for pair in SPELLINGS for x in pair])
+    either = "|".join(short for short, _ in SPELLINGS)
+    return each_match(t, rf"(?<![\w/])({either})()(?:\(\))?(?![\w/(])", 2, lambda g: names[g[0]])
+
+
+def ended(text: Column) -> Column:
+    """Paragraphs that are not blank, an empty line between, each with an end: a full stop where none is."""
+    own = F.filter(F.transform(F.split(text, r"\n\s*\n", -1), strip), lambda p: p != "")
+    return F.array_join(F.transform(own, lambda p: F.when(F.right(p, F.lit(1)).isin(".", "!", "?"), p).otherwise(F.concat(p, F.lit(".")))), "\n\n")
+
+
+def special_content(text: Column) -> Column:
+    """How often there is what only a model can narrate: it is found and counted, not spoken."""
+    return F.struct(*[F.regexp_count(text, F.lit(p)).cast("long").alias(k) for k, p in SPECIAL.items()])
 
 
 def narration(text: Column) -> Column:
-    """An approximation, by rules, of what the clean-up prompt asks of a model: hyphenation joined,
-    citation marks and Markdown signs dropped, headings announced, URLs and abbreviations spoken."""
-    t = F.regexp_replace(text, r"(\p{L})-\n(\p{Ll})", "$1$2")
+    """An approximation, by rules, of what the clean-up prompt asks of a model: page furniture dropped, hyphenation
+    joined, citation marks and Markdown signs dropped, headings announced, URLs, abbreviations and terms spoken,
+    paragraphs ended. Code, tables, equations and figures are left to special_content."""
+    t = without_furniture(text)
+    t = F.regexp_replace(t, r"(\p{L})-\n(\p{Ll})", "$1$2")
     t = F.regexp_replace(t, r"\[\p{Nd}+(?:\s*,\s*\p{Nd}+)*\]|\((?:19|20)\p{Nd}{2}\)|(?s)<sup>.*?</sup>", "")
     t = F.regexp_replace(t, r"\[([^\]\n]*)\]\([^)\n]*\)", "$1")
     t = F.regexp_replace(t, r"\*\*|`|</?u>", "")
     t = each_match(t, r"(?md)^#{1,6} ([0-9]+(?:\.[0-9]+)*)\.? +(.*?) *$", 2, lambda g: F.concat(F.lit("Now: section "), spoken_number(g[0]), F.lit(", "), g[1], F.lit(".")))
     t = F.regexp_replace(t, r"(?md)^#{1,6} +(.*?)\.? *$", "Now: $1.")
     t = F.regexp_replace(t, r"(?md)^ *\|? *", "")
+    t = each_match(t, r"\bFig\. ?([0-9]+)()", 2, lambda g: F.concat(F.lit("figure "), spoken_number(g[0])))
     for short, long in ABBREVIATIONS:
         t = F.replace(t, F.lit(short), F.lit(long))
-    for short, long in SPELLINGS:
-        t = F.regexp_replace(t, rf"\b{short}\b", long)
-    return verbalize_urls(t, keep_paragraphs=True)
+    return ended(verbalize_urls(spelled(t), keep_paragraphs=True))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # The 29 code points that str.strip() and \s know, and the line ends of str.splitlines().
 SPACE = r"[\t\n\x0B\f\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
-NOT_SPACE = SPACE.replace("[", "[^", 1)
+RARE_SPACE = r"[\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 SPACES = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 LINE_END = r"(?:\r\n|[\n\x0B\f\r\x1C-\x1E\x85\u2028\u2029])"
 
@@ -27,13 +27,19 @@ def rstrip(c: Column) -> Column:
     return F.rtrim(c, F.lit(SPACES))
 
 
+def one_space(c: Column, least: int = 2) -> Column:
+    """Runs of at least so much white space made one space. The class of all white space is slow to match, so it is used where a text has any of the rarer kinds."""
+    return F.when(c.rlike(RARE_SPACE), F.regexp_replace(c, f"{SPACE}{{{least},}}", " ")).otherwise(F.regexp_replace(c, f"[ \\t\\n\\x0B\\f\\r]{{{least},}}", " "))
+
+
 def lines(c: Column) -> Column:
     """splitlines(): no empty line after a final line end, none at all for an empty text."""
     return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(c, LINE_END + r"\z", ""), LINE_END, -1))
 
 
 def word_count(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(NOT_SPACE + "+")).cast("long")
+    """len(split()). All white space is made one sign and the text cut at it: the pattern of a word is far slower."""
+    return F.size(F.array_remove(F.split(F.translate(c, SPACES, " " * len(SPACES)), " ", -1), "")).cast("long")
 
 
 def matches(c: Column, pattern: str) -> Column:
@@ -46,3 +52,14 @@ def each_match(c: Column, pattern: str, groups: int, body) -> Column:
     inner = "\x02".join(f"${i + 1}" for i in range(groups))
     parts = F.split(F.regexp_replace(c, pattern, f"\x01{inner}\x01"), "\x01", -1)
     return F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 1, body(F.split(x, "\x02", -1))).otherwise(x)), "")
+
+
+def repeated(own: Column, least: int, over: int) -> Column:
+    """The distinct strings of an array that are in it `least` times or more and longer than `over`. Sorted, a string
+    is the last of its first `least` where it equals the one least - 1 before it and not the one least before."""
+    long = F.array_sort(F.filter(own, lambda x: F.length(x) > over))
+
+    def pick(ordered: Column) -> Column:
+        return F.filter(ordered, lambda x, i: (i >= least - 1) & (x == F.get(ordered, i - (least - 1))) & ((i < least) | (x != F.coalesce(F.get(ordered, i - least), F.lit("")))))
+
+    return let(long, pick)

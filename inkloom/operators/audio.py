@@ -1,8 +1,10 @@
 """Audio: what can be planned and joined without a synthesizer, and the hooks for one."""
 
 import io
+import json
 import shutil
 import subprocess
+import tempfile
 import wave
 from collections.abc import Callable, Iterator
 
@@ -24,11 +26,30 @@ def with_suffix(name: Column, ext: Column) -> Column:
     return F.concat(F.regexp_replace(name, r"\.[^.]*\z", ""), ext)
 
 
-def encode_plan(files: DataFrame, known: DataFrame, fmt: str, bitrate: str | None = None) -> DataFrame:
-    """files (corpus, name) with reading order, codec, bitrate and target name. The table of formats has four rows."""
+def check_format(fmt: str) -> None:
+    if fmt not in (known := [f[0] for f in FORMATS]):
+        raise ValueError(f"{fmt!r} is no audio format; there are {', '.join(known)}")
+
+
+def encode_plan(files: DataFrame, known: DataFrame, fmt: str, bitrate: str | None = None, *carried: str) -> DataFrame:
+    """files (corpus, name) with codec, bitrate and target name, and the carried columns. The table of formats has
+    four rows; a format that is not in it is an error."""
+    check_format(fmt)
     chosen = F.broadcast(known.filter(F.col("fmt") == fmt))
     out = files.withColumn("fmt", F.lit(fmt)).join(chosen, "fmt")
-    return out.select("corpus", "name", "codec", F.coalesce(F.lit(bitrate), "default_bitrate").alias("bitrate"), with_suffix(F.col("name"), F.col("ext")).alias("target"))
+    return out.select("corpus", "name", "codec", F.coalesce(F.lit(bitrate), "default_bitrate").alias("bitrate"), with_suffix(F.col("name"), F.col("ext")).alias("target"), *carried)
+
+
+def encode_rows(plan: DataFrame, encode: Callable[[bytes, str, str], bytes]) -> DataFrame:
+    """plan (codec, bitrate, wav, …) with data: each file encoded where its row is. encode(wav, codec, bitrate); a failure fails the task."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.drop(columns="wav").assign(data=[encode(*row) for row in batch[["wav", "codec", "bitrate"]].itertuples(index=False)])
+
+    kept = plan.drop("wav")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return plan.select(*kept.columns, "wav").mapInPandas(run, f"{fields}, data binary")
 
 
 def with_books(chapters: DataFrame) -> DataFrame:
@@ -87,8 +108,24 @@ def encode_command(src: str, dst: str, codec: str, bitrate: str, program: str =
     return [program, "-y", "-loglevel", "error", "-i", src, "-c:a", codec, "-b:a", bitrate, "-ac", "1", dst]
 
 
-def encode(src: str, dst: str, codec: str, bitrate: str) -> None:
-    subprocess.run(encode_command(src, dst, codec, bitrate, ffmpeg()), check=True)
+def encode(wav_bytes: bytes, codec: str, bitrate: str) -> bytes:
+    """By ffmpeg, in a folder of the task's own that goes with it; only the bytes leave it."""
+    suffix = next(f[2] for f in FORMATS if f[1] == codec)
+    with tempfile.TemporaryDirectory() as folder:
+        src, dst = f"{folder}/in.wav", f"{folder}/out{suffix}"
+        with open(src, "wb") as f:
+            f.write(wav_bytes)
+        subprocess.run(encode_command(src, dst, codec, bitrate, ffmpeg()), check=True)
+        with open(dst, "rb") as f:
+            return f.read()
+
+
+def model_is_loaded(get: Callable[[str], str], url: str = "http://localhost:11434/api/ps") -> bool:
+    """Whether the model server holds any model in memory; one that does not answer holds none."""
+    try:
+        return bool(json.loads(get(url)).get("models"))
+    except Exception:
+        return False
 
 
 def choose_device(want: str, has_gpu: bool, free_bytes: Callable[[], int], model_loaded: Callable[[], bool], sleep: Callable[[float], None]) -> str:

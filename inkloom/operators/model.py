@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from inkloom.functions.speech import verbalize_urls
 from inkloom.functions.text import strip
-from inkloom.operators.sections import MAX_SECTION_CHARS, explode_chunks
+from inkloom.operators.sections import MAX_SECTION_CHARS, Split, explode_chunks
 
 # The model, its limits, and the mark of a section that could not be cleaned.
 MODEL = "qwen3.5:9b"
-NUM_CTX, PREP_NUM_CTX, TEMPERATURE = 8192, 32768, 0.2
-RETRIES, TIMEOUT_S, PREP_TIMEOUT_S = 2, 600, 1200
+NUM_CTX, TEMPERATURE = 8192, 0.2
+RETRIES, TIMEOUT_S = 2, 600
 FAILED = "[CLEANUP FAILED]\n\n"
 
 Client = Callable[[dict[str, Any]], dict[str, Any]]
@@ -40,8 +40,14 @@ def prompt(base: Column, extension: Column) -> Column:
     return F.concat_ws("\n\n", strip(base), strip(extension))
 
 
-def request_json(system: Column, text: Column, model: str = MODEL, num_ctx: int = NUM_CTX) -> Column:
-    options = F.struct(F.lit(TEMPERATURE).alias("temperature"), F.lit(num_ctx).alias("num_ctx"))
+def request_of(text: str, system: str | None = None, model: str = MODEL, temperature: float = TEMPERATURE, num_ctx: int = NUM_CTX) -> dict[str, Any]:
+    """A request as a client takes it; think stands beside stream, not among the options."""
+    head = {"model": model} | ({} if system is None else {"system": system})
+    return head | {"prompt": text, "stream": False, "think": False, "options": {"temperature": temperature, "num_ctx": num_ctx}}
+
+
+def request_json(system: Column, text: Column, model: str = MODEL, num_ctx: int = NUM_CTX, temperature: float = TEMPERATURE) -> Column:
+    options = F.struct(F.lit(temperature).alias("temperature"), F.lit(num_ctx).alias("num_ctx"))
     return F.to_json(F.struct(F.lit(model).alias("model"), system.alias("system"), text.alias("prompt"), F.lit(False).alias("stream"), F.lit(False).alias("think"), options.alias("options")))
 
 
@@ -73,7 +79,7 @@ def attempt(client: Client, request: dict[str, Any], retries: int, sleep: Callab
         try:
             data = client(request)
             if data.get("done_reason") == "length":
-                raise RuntimeError("response truncated (hit context limit)")
+                raise RuntimeError("cut off: the answer reached the model's context limit")
             return data["response"], None, n
         except Exception as e:  # every failure of a section is a value, not a failed task
             error = str(e)
@@ -82,27 +88,32 @@ def attempt(client: Client, request: dict[str, Any], retries: int, sleep: Callab
     return None, error, retries + 1
 
 
-def clean_sections(parts: DataFrame, system: str, client: Client, retries: int = RETRIES, sleep: Callable[[float], None] = time.sleep, model: str = MODEL) -> DataFrame:
-    """parts with cleaned, ok, error, attempts. A failed section keeps its raw text behind a mark."""
+def clean_sections(parts: DataFrame, system: str, client: Client, retries: int = RETRIES, sleep: Callable[[float], None] = time.sleep, model: str = MODEL, temperature: float = TEMPERATURE, num_ctx: int = NUM_CTX) -> DataFrame:
+    """parts with cleaned, ok, error, attempts. A failed section keeps its raw text behind a mark; one without text is not sent."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            done = [attempt(client, {"model": model, "system": system, "prompt": t, "stream": False, "think": False, "options": {"temperature": TEMPERATURE, "num_ctx": NUM_CTX}}, retries, sleep) for t in batch["text"]]
-            yield batch.assign(response=[d[0] for d in done], error=[d[1] for d in done], attempts=[d[2] for d in done])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
-    out = parts.mapInPandas(run, f"{fields}, response string, error string, attempts int")
+            done = [(None, None, 0) if t is None else attempt(client, request_of(t, system, model, temperature, num_ctx), retries, sleep) for t in batch["text"]]
+            made = pd.DataFrame(done, columns=["response", "error", "attempts"], index=batch.index)
+            yield pd.concat([batch[["text"]], batch[["carried"]], made], axis=1)
+
+    # What is only carried goes as one JSON value: pandas would make floats of whole numbers with nulls.
+    kept = [c for c in parts.columns if c != "text"]
+    shape = parts.select(*kept).schema.simpleString()
+    sent = parts.select("text", F.to_json(F.struct(*kept), {"ignoreNullFields": "false"}).alias("carried"))
+    out = sent.mapInPandas(run, "text string, carried string, response string, error string, attempts int")
+    out = out.withColumn("carried", F.from_json("carried", shape)).select(*[F.col("carried")[c].alias(c) if c != "text" else "text" for c in parts.columns], "response", "error", "attempts")
     ok = F.col("error").isNull()
     cleaned = F.when(ok, verbalize_urls(strip(F.col("response")))).otherwise(F.concat(F.lit(FAILED), "text"))
     return out.select(*parts.columns, cleaned.alias("cleaned"), ok.alias("ok"), "error", "attempts")
 
 
-def clean_documents(docs: DataFrame, keys: list[str], kind: str | None, system: str, client: Client, max_chars: int = MAX_SECTION_CHARS, **options) -> DataFrame:
-    """Split, chunk, clean and put together again: keys, text, n_sections, n_failed."""
+def clean_documents(docs: DataFrame, keys: list[str], kind: Split | None, system: str, client: Client, max_chars: int = MAX_SECTION_CHARS, **options) -> DataFrame:
+    """Split, chunk, clean and put together again: keys, text, n_sections, n_failed; a document without sections has the empty text."""
     parts = clean_sections(explode_chunks(docs.select(*keys, "text"), kind, max_chars), system, client, **options)
     ordered = F.array_sort(F.collect_list(F.struct("sec_idx", "chunk_idx", "cleaned")))
     text = F.array_join(F.transform(ordered, lambda x: x["cleaned"]), "\n\n")
-    return parts.groupBy(*keys).agg(text.alias("text"), F.count("*").alias("n_sections"), F.sum((~F.col("ok")).cast("long")).alias("n_failed"))
+    return parts.groupBy(*keys).agg(text.alias("text"), F.count("text").alias("n_sections"), F.sum((~F.col("ok")).cast("long")).alias("n_failed"))
 
 
 def pending(inputs: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.functions.text import SPACE, let, lines, matches, strip, word_count
+from inkloom.functions.text import SPACE, let, lines, matches, repeated, strip, word_count
 
 # What is left of Markdown, by pattern; the accepted band of word ratios; names that are not checked.
 RESIDUE = {"#": "#", r"\*\*": r"\*\*", "`": "`", r"^\s*\|": rf"(?md)^{SPACE}*\|", r"\]\(": r"\]\(", "http": "http"}
@@ -40,15 +40,8 @@ def dangling_lines(own: Column) -> Column:
 
 
 def repeated_lines(own: Column, least: int = REPEATED_FROM) -> Column:
-    """Distinct lines of over 15 code points that are there three times or more, within one row: no shuffle.
-    Sorted, a line is the third of its kind where it equals the one two before, and the first such where not also the one three before."""
-    long = F.array_sort(F.filter(own, lambda x: F.length(x) > REPEATED_OVER))
-
-    def count(ordered: Column) -> Column:
-        third = lambda x, i: (i >= least - 1) & (x == F.get(ordered, i - (least - 1))) & ((i < least) | (x != F.coalesce(F.get(ordered, i - least), F.lit(""))))
-        return F.size(F.filter(ordered, third)).cast("long")
-
-    return let(long, count)
+    """Distinct lines of over 15 code points that are there three times or more, within one row: no shuffle."""
+    return F.size(repeated(own, least, REPEATED_OVER)).cast("long")
 
 
 def word_ratio(clean: Column, raw: Column) -> Column:

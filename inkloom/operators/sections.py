@@ -1,5 +1,7 @@
 """Documents to sections, sections to chunks, and the sample that a model is shown."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +13,14 @@ MAX_SECTION_CHARS = 8000
 LEVELS = {"paper": "## ", "blog": "#{2,3} ", "wiki": "#{1,4} "}
 
 
-def split_sections(md: Column, kind: str) -> Column:
+#: A kind of document, or a function from a text to an array of sections.
+Split = str | Callable[[Column], Column]
+
+
+def split_sections(md: Column, kind: Split) -> Column:
     """Non-blank sections in order, stripped; each begins with its heading. Wiki text is cleaned first."""
+    if callable(kind):
+        return F.filter(F.transform(kind(md), strip), lambda p: p != "")
     md = strip_wiki_noise(md) if kind == "wiki" else md
     parts = F.transform(F.split(md, rf"(?md)^(?={LEVELS[kind]})", -1), strip)
     return F.filter(parts, lambda p: p != "")
@@ -44,12 +52,13 @@ def chunks(section: Column, max_chars: int = MAX_SECTION_CHARS, hard_limit: bool
     return F.when(F.length(section) <= max_chars, F.array(section)).otherwise(F.aggregate(paragraphs, start, add, joined))
 
 
-def explode_chunks(docs: DataFrame, kind: str | None, max_chars: int = MAX_SECTION_CHARS) -> DataFrame:
-    """The columns of docs (text replaced), sec_idx, chunk_idx: order is in columns, not in rows."""
+def explode_chunks(docs: DataFrame, kind: Split | None, max_chars: int = MAX_SECTION_CHARS, hard_limit: bool = False) -> DataFrame:
+    """The columns of docs (text replaced), sec_idx, chunk_idx: order is in columns, not in rows. A document
+    without sections is one row without text and places, so that it is not lost."""
     sections = split_sections(F.col("text"), kind) if kind else F.array("text")
     keep = [c for c in docs.columns if c != "text"]
-    out = docs.select(*keep, F.posexplode(sections).alias("sec_idx", "section"))
-    return out.select(*keep, "sec_idx", F.posexplode(chunks(F.col("section"), max_chars)).alias("chunk_idx", "text"))
+    out = docs.select(*keep, F.posexplode_outer(sections).alias("sec_idx", "section"))
+    return out.select(*keep, "sec_idx", F.posexplode_outer(chunks(F.col("section"), max_chars, hard_limit)).alias("chunk_idx", "text"))
 
 
 def reassemble(parts: DataFrame, keys: list[str]) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from inkloom.functions import markdown, noise, speech
 from inkloom.operators import audio, model, qa, sections
+from inkloom.plans import prepare, recipe
+from inkloom.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +58,10 @@ def with_headings(docs: DataFrame) -> DataFrame:
 
 HEADED = "array_to_string(list_transform(string_split(text, chr(10)), lambda x, j: concat(" + HEADINGS.format(i="(j - 1)") + ", x)), chr(10))"
 
+def sql_literal(x: str) -> str:
+    return "concat(" + ", chr(10), ".join("'" + part.replace("'", "''") + "'" for part in x.split("\n")) + ")"
+
+
 # White space and line ends in RE2's spelling.
 WS = r"[\t\n\x0B\f\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 NWS = WS.replace("[", "[^", 1)
@@ -307,6 +313,32 @@ def narration_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_headings(documents(spark, sf_dir)).select("doc_id", speech.narration(F.col("text")).alias("spoken"))
 
 
+NARRATED = [
+    ("infer-\nence", "inference."),
+    ("## 5.1 Quantization", "Now: section five point one, Quantization."),
+    ("### 12.20.100 Deep", "Now: section twelve point twenty point one zero zero, Deep."),
+    ("## Overview", "Now: Overview."),
+    ("The LSM tree, an LSM [3] of (2024).", "The log-structured merge tree, an L S M of ."),
+    ("L0 to Lmax, e.g. by Get() -> SST on a CPU", "level zero to level max, for example by get leads to ess ess tee on a CPU."),
+    ("See Fig. 3 and **bold** `code`.\n\n17\n\nEnd", "See figure three and bold code.\n\nEnd."),
+    ("IO and I/O, IOPS of GetX; a write_buffer", "I O and I O, I O P S of GetX; a write_buffer."),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, {sql_literal(spoken)})" for i, (_, spoken) in enumerate(NARRATED)) + ") t(id, spoken)")
+def narration_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(NARRATED)], "id int, text string")
+    return rows.select("id", speech.narration(F.col("text")).alias("spoken"))
+
+
+@query(f"SELECT page_id, length(html) - length(replace(html, '|', '')) AS bars, {sql_count("concat(chr(10), '```', chr(10), html)", '(?m)^```')} AS code, {sql_count(f"replace(html, '<p>', concat(chr(10), '| '))", '(?m)^[ \t\n\x0B\f\r]*\\|.*\\|[ \t\n\x0B\f\r]*$')} AS tables FROM pages")
+def special_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    html = F.col("html")
+    fenced, tabled = (speech.special_content(c) for c in (F.concat(F.lit("\n```\n"), html), F.replace(html, F.lit("<p>"), F.lit("\n| "))))
+    bars = (F.length("html") - F.length(F.replace(html, F.lit("|"), F.lit("")))).cast("long")
+    return table(spark, sf_dir, "pages").select("page_id", bars.alias("bars"), fenced["code"].alias("code"), tabled["table"].alias("tables"))
+
+
 @query("SELECT doc_id, unnest(p) AS paragraph, CAST(unnest(range(len(p))) AS INT) AS idx FROM (SELECT doc_id, list_filter(string_split_regex(text, '\\n+'), lambda x: " + sql_strip("x") + " <> '') AS p FROM documents)")
 def tts_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", F.posexplode(sections.spoken_paragraphs(F.col("text"))).alias("idx", "paragraph"))
@@ -330,15 +362,18 @@ def echo_client(request: dict) -> dict:
     return {"response": request["prompt"], "done_reason": "length" if len(request["prompt"]) % 7 == 0 else "stop"}
 
 
+BLANK = "CASE WHEN doc_id % 50 = 7 THEN concat(' ', chr(10)) ELSE text END"
+
+
 @query(f"""
-    WITH s AS ({sql_sections('#{2,3} ')})
-    SELECT doc_id, string_agg(CASE WHEN length(section) % 7 = 0 THEN concat('[CLEANUP FAILED]', chr(10), chr(10), section)
-        ELSE {sql_strip(f"regexp_replace(section, '{WS}{{2,}}', ' ', 'g')")} END, concat(chr(10), chr(10)) ORDER BY sec_idx) AS text,
-        count(*) AS n_sections, count(*) FILTER (WHERE length(section) % 7 = 0) AS n_failed
-    FROM s GROUP BY doc_id
+    WITH s AS ({sql_sections('#{2,3} ').replace('FROM documents', f"FROM (SELECT doc_id, {HEADED} AS text FROM documents)").replace(HEADED + ", '(?m)", BLANK + ", '(?m)")})
+    SELECT d.doc_id, coalesce(string_agg(CASE WHEN length(section) % 7 = 0 THEN concat('[CLEANUP FAILED]', chr(10), chr(10), section)
+        ELSE {sql_strip(f"regexp_replace(section, '{WS}{{2,}}', ' ', 'g')")} END, concat(chr(10), chr(10)) ORDER BY sec_idx), '') AS text,
+        count(section) AS n_sections, count(*) FILTER (WHERE length(section) % 7 = 0) AS n_failed
+    FROM documents d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY d.doc_id
 """)
 def clean_corpus_fake_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = with_headings(documents(spark, sf_dir))
+    d = with_headings(documents(spark, sf_dir)).withColumn("text", F.expr(BLANK))
     return model.clean_documents(d, ["doc_id"], "blog", "", echo_client, max_chars=1_000_000, sleep=lambda s: None)
 
 
@@ -358,6 +393,27 @@ def response_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "t.prefill_s", "t.decode_s", "t.prefill_tokens", "t.decode_tokens", "t.prefill_rate", "t.truncated")
 
 
+def sql_text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+@query("SELECT doc_id, concat(" + ", ".join({"n": "concat('corpus-', doc_id)", "s": "text", "p": "'The playbook: {name}, {sample}.'"}.get(p, sql_text(p)) for p in prepare.TEMPLATE.replace("{name}", "\0n\0").replace("{sample}", "\0s\0").replace("{playbook}", "\0p\0").split("\0")) + ") AS prompt FROM documents")
+def prepare_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.lit("corpus-"), F.col("doc_id").cast("string"))
+    return documents(spark, sf_dir).select("doc_id", prepare.build_prompt(name, F.col("text"), "The playbook: {name}, {sample}.").alias("prompt"))
+
+
+@query("""
+    SELECT stem, url, html FROM (SELECT concat('cloudflare-replatforming-', n) AS stem, concat('https://ebpf.io/blog/cloudflare-replatforming-', n, '/') AS url, true AS html FROM range(1, 4) t(n)
+        UNION ALL SELECT concat(lpad(CAST(i - 1 AS VARCHAR), 2, '0'), '_', lower(p)), concat('https://raw.githubusercontent.com/wiki/facebook/rocksdb/', p, '.md'), false
+        FROM (SELECT unnest(l) AS p, unnest(range(1, 17)) AS i FROM (SELECT string_split('""" + " ".join(recipe.WIKI.pages) + """', ' ') AS l)))
+    WHERE contains(url, 'ing-2') OR NOT html
+""")
+def download_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = recipe.manifest(spark, recipe.BLOG).unionByName(recipe.manifest(spark, recipe.WIKI))
+    return files.with_needle(rows.filter("html"), "ing-2", "url").unionByName(rows.filter("not html"))
+
+
 FENCED = "CASE WHEN turn % 2 = 1 THEN concat('Here:', chr(10), '```python', chr(10), text, CASE WHEN conv_id % 10 = 0 THEN concat(chr(10), '```', chr(10), 'inner', chr(10)) ELSE chr(10) END, '```', chr(10), 'end') ELSE text END"
 
 
@@ -382,3 +438,11 @@ def encode_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("source").alias("corpus"), F.expr(SPARK_NAME).alias("stem"), F.concat("source", F.lit("_book")).alias("book_stem"))
     out = audio.encode_plan(audio.with_books(docs), audio.formats(spark), "opus")
     return out.withColumn("position", F.row_number().over(Window.partitionBy("corpus").orderBy("name")))
+
+
+@query("SELECT asked, f.codec, coalesce(CAST(f.codec IS NOT NULL AS BOOLEAN), false) AS known FROM (SELECT DISTINCT source AS asked FROM documents UNION SELECT unnest(['mp3', 'opus', 'ogg', 'm4a', 'wav'])) a LEFT JOIN (VALUES " + ", ".join(f"('{f}', '{c}')" for f, c, *_ in audio.FORMATS) + ") f(fmt, codec) ON a.asked = f.fmt")
+def encode_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is known of the formats asked for; those that are not are errors of a plan."""
+    asked = table(spark, sf_dir, "documents").select(F.col("source").alias("asked")).union(spark.createDataFrame([(x,) for x in ("mp3", "opus", "ogg", "m4a", "wav")], "asked string")).distinct()
+    known = F.broadcast(audio.formats(spark).select(F.col("fmt").alias("asked"), "codec"))
+    return asked.join(known, "asked", "left").select("asked", "codec", F.col("codec").isNotNull().alias("known"))

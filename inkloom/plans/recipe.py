@@ -1,34 +1,67 @@
-"""A corpus as data: what is particular to one kind of document, and the chain of stages over it."""
+"""A corpus as data: what is particular to one kind of document, and where its documents come from."""
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkloom.functions.noise import strip_paper_noise
-from inkloom.operators import qa
-from inkloom.operators.model import MODEL, NUM_CTX, RETRIES, TEMPERATURE, TIMEOUT_S, Client, clean_documents, pending
+from inkloom.operators.model import MODEL, NUM_CTX, RETRIES, TEMPERATURE, TIMEOUT_S
+from inkloom.operators.sections import LEVELS, Split
+from inkloom.sources.files import wiki_url
+
+URL = "http://localhost:11434/api/generate"
 
 
 @dataclass(frozen=True)
 class Recipe:
     name: str
     title: str
-    kind: str  # of LEVELS: where its documents are split
+    kind: str = "blog"  # of LEVELS: where its documents are split
+    split: Callable[[Column], Column] | None = None  # in place of kind: a text to an array of sections
     prompt: str = ""
     model: str = MODEL
+    url: str = URL
     temperature: float = TEMPERATURE
     num_ctx: int = NUM_CTX
     timeout: int = TIMEOUT_S
     retries: int = RETRIES
-    skip: frozenset[str] = field(default_factory=frozenset)  # of "extract", "clean", "qa"
+    posts: tuple[str, ...] = ()  # URLs of HTML pages
+    pages: tuple[str, ...] = ()  # names of wiki pages, in reading order
+    pages_base: str = ""
+
+    def __post_init__(self):
+        if self.split is None and self.kind not in LEVELS:
+            raise ValueError(f"{self.kind!r} is no kind of document; there are {', '.join(LEVELS)}")
+
+    def sections(self) -> Split:
+        return self.split or self.kind
+
+
+# The three corpora that are known from the start, their pages in reading order.
+PAPER = Recipe("rocksdb", "RocksDB: Evolution of Development Priorities", "paper")
+BLOG = Recipe("cloudflare-ebpf", "Cloudflare eBPF Replatforming", "blog", posts=tuple(f"https://ebpf.io/blog/cloudflare-replatforming-{n}/" for n in (1, 2, 3)))
+WIKI = Recipe(
+    "rocksdb-tuning-guide",
+    "RocksDB Wiki",
+    "wiki",
+    pages_base="https://raw.githubusercontent.com/wiki/facebook/rocksdb",
+    pages=tuple(
+        "RocksDB-Overview RocksDB-Tuning-Guide MemTable Block-Cache Write-Buffer-Manager Compaction Universal-Compaction IO Iterator Prefix-Seek "
+        "Column-Families Transactions Snapshot Read-only-and-Secondary-instances Delete-A-Range-Of-Keys Memory-usage-in-RocksDB".split()
+    ),
+)
+RECIPES = {r.name: r for r in (PAPER, BLOG, WIKI)}
+
+
+def corpora(spark: SparkSession, recipes: list[Recipe]) -> DataFrame:
+    """name, title, kind: what later stages look up by a corpus's name."""
+    return spark.createDataFrame([(r.name, r.title, r.kind) for r in recipes], "name string, title string, kind string")
 
 
-def run(recipe: Recipe, raw: DataFrame, done: DataFrame, client: Client, sleep=lambda s: None) -> tuple[DataFrame, DataFrame]:
-    """(clean documents, quality report) of raw (stem, text) but for those in done (stem)."""
-    if "extract" not in recipe.skip and recipe.kind == "paper":
-        raw = raw.withColumn("text", strip_paper_noise(F.col("text")))
-    todo = pending(raw, done, ["stem"])
-    clean = todo if "clean" in recipe.skip else clean_documents(todo, ["stem"], recipe.kind, recipe.prompt, client, retries=recipe.retries, sleep=sleep, model=recipe.model)
-    checked = qa.report(clean.filter(~qa.ignored(F.col("stem"))), raw, ["stem"])
-    return clean, checked.limit(0) if "qa" in recipe.skip else checked
+def manifest(spark: SparkSession, recipe: Recipe) -> DataFrame:
+    """stem, url, html: what a recipe downloads. The stem of a wiki page begins with its place in the reading order."""
+    posts = [(u.rstrip("/").split("/")[-1], u, None, True) for u in recipe.posts]
+    pages = [(f"{i:02d}_{p.lower()}", None, p, False) for i, p in enumerate(recipe.pages)]
+    rows = spark.createDataFrame(posts + pages, "stem string, url string, page string, html boolean")
+    return rows.select("stem", F.coalesce("url", wiki_url(recipe.pages_base, F.col("page"))).alias("url"), "html")

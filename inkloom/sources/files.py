@@ -6,16 +6,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkloom.functions.text import strip
+
 
 def stem(name: Column) -> Column:
     return F.regexp_replace(name, r"\.[^.]*\z", "")
 
 
 def read_texts(spark: SparkSession, path: str, suffix: str = ".md") -> DataFrame:
-    """name, stem, text of the files of one folder; each file is one row."""
+    """name, stem, text of the files of one folder; each file is one row. Bytes that are no UTF-8 are an error."""
     found = spark.read.text(path, wholetext=True, pathGlobFilter=f"*{suffix}")
     name = F.col("_metadata.file_name")
-    return found.select(name.alias("name"), stem(name).alias("stem"), F.col("value").alias("text"))
+    return found.select(name.alias("name"), stem(name).alias("stem"), F.validate_utf8("value").alias("text"))
 
 
 def read_binaries(spark: SparkSession, path: str, suffix: str) -> DataFrame:
@@ -24,9 +26,13 @@ def read_binaries(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     return found.select(name.alias("name"), stem(name).alias("stem"), F.col("content").alias("data"))
 
 
-def with_needle(files: DataFrame, needle: str | None) -> DataFrame:
-    """The files whose stem contains needle, a literal and case-sensitive part; all of them without one."""
-    return files if needle is None else files.filter(F.contains("stem", F.lit(needle)))
+def with_needle(rows: DataFrame, needle: str | None, column: str = "stem") -> DataFrame:
+    """The rows whose stem (or url) contains needle, a literal and case-sensitive part; all of them without one."""
+    return rows if needle is None else rows.filter(F.contains(column, F.lit(needle)))
+
+
+def wiki_url(base: str, page: Column) -> Column:
+    return F.concat(F.lit(base.rstrip("/") + "/"), page, F.lit(".md"))
 
 
 def title_of(title: Column, name: Column) -> Column:
@@ -76,10 +82,21 @@ def raw_text(md: Column) -> Column:
     return F.concat(md, F.lit("\n"))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a store that Spark reads has path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_documents(docs: DataFrame, path: str, by: str = "corpus", mode: str = "append") -> None:
     docs.write.mode(mode).partitionBy(by).parquet(path)
 
 
 def write_texts(docs: DataFrame, path: str) -> None:
-    """One folder a stem, holding its text as it is, without a line feed more."""
-    docs.select("stem", F.col("text").alias("value")).write.option("lineSep", "").partitionBy("stem").text(path)
+    """One folder a stem, holding its text and one line feed, the only end of a file that Spark's writer knows."""
+    docs.select("stem", F.col("text").alias("value")).write.partitionBy("stem").text(path)

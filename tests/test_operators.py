@@ -9,7 +9,7 @@ from inkloom.functions import markdown, noise, speech
 from inkloom.functions.text import lines, strip, word_count
 from inkloom.operators import audio, model, qa, sections
 from inkloom.plans import catalogue
-from inkloom.plans.recipe import Recipe, run
+from inkloom.plans import chain, prepare, recipe
 from inkloom.sources import files
 from inkloom.streaming import incremental
 
@@ -108,12 +108,82 @@ def test_model_failures():
         assert waits == [2, 4][: want[2] - 1]
 
 
-def test_pending_and_recipe(spark):
-    raw = spark.createDataFrame([("a", "## A\none.\n## B\ntwo."), ("b", "x."), ("memtable", "y.")], "stem string, text string")
-    done = spark.createDataFrame([("b", True), ("memtable", False)], "stem string, ok boolean")
-    clean, report = run(Recipe("n", "T", "blog"), raw, done, lambda r: {"response": r["prompt"]})
-    assert {r["stem"]: r["text"] for r in clean.collect()} == {"a": "## A\none.\n\n## B\ntwo.", "memtable": "y."}
-    assert [r["stem"] for r in report.collect()] == ["a"]
+def test_blank_documents_stay(spark):
+    docs = spark.createDataFrame([("a", " \n"), ("b", ""), ("c", None), ("d", "x")], "stem string, text string")
+    out = model.clean_documents(docs, ["stem"], "blog", "", lambda r: {"response": r["prompt"]})
+    assert sorted(map(tuple, out.collect())) == [("a", "", 0, 0), ("b", "", 0, 0), ("c", "", 0, 0), ("d", "x", 1, 0)]
+
+
+def test_requests_follow_the_recipe(spark):
+    def client(request):
+        assert request["model"] == "m" and request["options"] == {"temperature": 0.7, "num_ctx": 99} and request["think"] is False
+        return {"response": request["system"] + request["prompt"]}
+
+    docs = spark.createDataFrame([("a", "one|two")], "stem string, text string")
+    out = model.clean_documents(docs, ["stem"], lambda t: F.split(t, r"\|"), "S", client, model="m", temperature=0.7, num_ctx=99, retries=0)
+    assert out.first()["text"] == "Sone\n\nStwo"
+
+
+def test_prepare(spark, tmp_path):
+    (tmp_path / "doc.md").write_text("\n".join(map(str, range(1000))))
+    path, asked = str(tmp_path / "doc.md"), []
+    only = prepare.prepare(spark, path, "new", "P {name}", None)
+    assert "P {name}" in only.prompt and "600 lines omitted" in only.prompt and '"new"' in only.prompt and only.response is None
+
+    def client(request):
+        asked.append(request)
+        return {"response": "plan\n```python\nx = 1\n```\n", "done_reason": "length"}
+
+    done = prepare.prepare(spark, path, "new", "P", client, str(tmp_path / "recipes"))
+    assert (done.code, done.cut_off, len(asked), asked[0]["options"]["num_ctx"]) == ("x = 1\n", True, 1, 32768)
+    assert "system" not in asked[0] and spark.read.text(done.saved, wholetext=True).first()[0] == "x = 1\n\n"
+    assert prepare.prepare(spark, path, "other", "P", lambda r: {"response": "none"}, str(tmp_path / "recipes")).saved is None
+    with pytest.raises(OSError):
+        prepare.prepare(spark, path, "other", "P", lambda r: (_ for _ in ()).throw(OSError("no")))
+    with pytest.raises(ValueError):
+        prepare.prepare(spark, "doc.pdf", "x", "P", None)
+
+
+def test_chain(spark, tmp_path):
+    folder, calls = str(tmp_path / "corpus"), spark.sparkContext.accumulator(0)
+    made = recipe.Recipe("c", "My: Book", posts=("https://h/one/", "https://h/two/"))
+
+    def client(request):
+        calls.add(1)
+        return {"response": request["prompt"].replace("# ", "")}
+
+    tools = chain.Tools(client, lambda url: f"<h1>T</h1><p>Text of {url[-5:]}.</p>".replace("/", ""), None, lambda t: iter([b"\x01\x00"] * len(t)), lambda wav, codec, rate: codec.encode() + wav[:4], lambda s: None)
+    assert chain.run(spark, folder, made, tools)[0] == chain.NO_CORPUS
+    (tmp_path / "corpus").mkdir()
+    assert chain.run(spark, folder, made, tools, ["extract", "clean"])[0] == chain.FLAGGED
+    code, report = chain.run(spark, folder, made, tools, ["audio"], strict=True)
+    assert code == chain.FLAGGED and report.count() == 2  # a heading ends without a full stop
+    before = calls.value
+    code, report = chain.run(spark, folder, made, tools)
+    assert code == chain.OK and calls.value == before  # nothing is cleaned twice
+    got = {r["name"]: bytes(r["data"]) for r in spark.read.parquet(f"{folder}/encoded").collect()}
+    assert got == {n: b"libmp3lameRIFF" for n in ("one.mp3", "two.mp3", "My Book.mp3")} and not (tmp_path / "corpus" / "audio").exists()
+    with pytest.raises(ValueError):
+        chain.run(spark, folder, made, tools, fmt="flac")
+    with pytest.raises(ValueError):
+        chain.run(spark, folder, made, tools, ["nothing"])
+    assert chain.main([folder, "one", "--recipe", "cloudflare-ebpf", "--skip", "extract", "clean", "audio"], tools) == chain.OK
+
+
+def test_formats_and_recipes(spark):
+    with pytest.raises(ValueError):
+        audio.encode_plan(spark.createDataFrame([("c", "a.wav")], "corpus string, name string"), audio.formats(spark), "flac")
+    with pytest.raises(ValueError):
+        recipe.Recipe("n", "T", "book")
+    assert [r["stem"] for r in recipe.manifest(spark, recipe.WIKI).orderBy("stem").collect()][2] == "02_memtable"
+    assert recipe.corpora(spark, list(recipe.RECIPES.values())).count() == 3
+    assert audio.model_is_loaded(lambda u: '{"models": [1]}') and not audio.model_is_loaded(lambda u: "{}") and not audio.model_is_loaded(lambda u: 1 / 0)
+
+
+def test_pending(spark):
+    raw = spark.createDataFrame([("a",), ("b",), ("c",)], "stem string")
+    done = spark.createDataFrame([("b", True), ("c", False)], "stem string, ok boolean")
+    assert sorted(r["stem"] for r in model.pending(raw, done, ["stem"]).collect()) == ["a", "c"]
 
 
 def test_files_and_stream(spark, tmp_path):
@@ -123,6 +193,11 @@ def test_files_and_stream(spark, tmp_path):
     found = files.read_texts(spark, str(tmp_path / "in"))
     assert [tuple(r) for r in found.collect()] == [("01_a.md", "01_a", "one\ntwo")]
     assert files.with_needle(found, "2").count() == 0
+    (tmp_path / "in" / "03_c.bad").write_bytes(b"a\xff")
+    with pytest.raises(Exception, match="(?i)utf"):
+        files.read_texts(spark, str(tmp_path / "in"), ".bad").collect()
+    files.write_texts(found, str(tmp_path / "texts"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "texts"), wholetext=True).select("value").collect()] == ["one\ntwo\n"]
     for want in (1, 1):
         incremental.process_new(incremental.watch_texts(spark, str(tmp_path / "in")), lambda d: d, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
         assert spark.read.parquet(str(tmp_path / "out")).count() == want

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from inkloom.llm.common import mixed, runs_of, shards
+from inkloom.llm.common import mixed, runs_of, shards_for
 
 BLOCK_ENTRIES = 1 << 20
 
@@ -163,7 +163,7 @@ def gathering(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def found_elsewhere(docs: DataFrame, hashes_of: Callable, rule: str, entries: int = BLOCK_ENTRIES) -> DataFrame:
     """For each row of docs (doc_id, row_hash, text) with any: runs of its hashes that are found elsewhere."""
-    n = shards(docs.sparkSession)
+    n = shards_for(docs)
     asked = docs.select("doc_id", "row_hash", "text").mapInPandas(asking(hashes_of, n, rule, entries), ASKED)
     answered = asked.repartition(n, "shard").mapInPandas(answering(rule), ANSWERED)
     return answered.repartition(n, "block").mapInPandas(gathering, FOUND).dropDuplicates(["doc_id", "row_hash"])

@@ -39,6 +39,8 @@ WORD = re.compile("[^\x20\x09-\x0d]+")
 
 #: Bytes of one Arrow batch, so that very long texts do not pile up in a worker.
 ARROW_BATCH_BYTES = 4 << 20
+#: Bytes of the data behind one shard, and what no table has: the planner's estimate where it knows nothing.
+SHARD_BYTES, UNKNOWN_BYTES = 128 << 20, 1 << 55
 
 
 def documents(docs: DataFrame, *extra: str) -> DataFrame:
@@ -67,10 +69,19 @@ def shards(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def shards_for(df: DataFrame) -> int:
+    """Partitions so many that one of them has SHARD_BYTES of df at most, by the planner's estimate of its size; at least what
+    the cluster's setting says, which is all there is where the planner knows no size."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(shards(df.sparkSession), -(-size // SHARD_BYTES) if size < UNKNOWN_BYTES else 1)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir, or a local one where none is set."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where none is set, a local one, on a single machine only: a cluster's executors would not share it."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="inkloom-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", named)
@@ -83,9 +94,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/inkloom/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables written by this driver and not yet removed.
+_written: list[str] = []
+
+
+def written() -> int:
+    """How many tables there are; a mark for forget()."""
+    return len(_written)
+
+
+def forget(spark: SparkSession, since: int = 0) -> None:
+    """Remove the intermediate tables written after the mark. Results that still need them must have been stored before."""
+    for path in _written[since:]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    del _written[since:]
+
+
 # -- words, on the executors -------------------------------------------------------
 
 
@@ -127,6 +156,25 @@ def rolling(hashes: np.ndarray, width: int, factor: int = 0x9E3779B97F4A7C15) ->
     return mixed(out)
 
 
+def smallest_places(hashes: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every run of span hashes the place of the smallest, the first of equals: each such place once, with the first and
+    the last start of the runs that have it. Hashes are compared by their upper halves."""
+    if len(hashes) < span:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    low = np.uint64(0xFFFFFFFF)
+    least = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
+    width = 1
+    while 2 * width <= span:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    if width < span:
+        least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
+    place = (least & low).astype(np.int64)
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    return place[first], first, np.append(first[1:], len(place)) - 1
+
+
 def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (exclusive) of the runs of True."""
     edges = np.flatnonzero(np.diff(np.concatenate(([False], flags, [False])).astype(np.int8)))

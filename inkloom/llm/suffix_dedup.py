@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.llm.blocks import deal_of, found_elsewhere
-from inkloom.llm.common import covered, documents, mixed, runs_of, shards, with_row_hash
+from inkloom.llm.common import covered, documents, mixed, runs_of, shards_for, smallest_places, with_row_hash
 
 LENGTH = 400
 GRAM = 32
@@ -44,19 +44,8 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndar
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none
     grams = gram_hashes(data)
-    low = np.uint64(0xFFFFFFFF)
-    least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
-    width, window = 1, length - GRAM + 1
-    while 2 * width <= window:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < window:
-        least = np.minimum(least[: len(least) - (window - width)], least[window - width :])
-    place = (least & low).astype(np.int64)
-    first = np.flatnonzero(np.diff(place, prepend=-1))
-    last = np.append(first[1:], len(place)) - 1
-    at = place[first]
-    return grams[at], at, first, last
+    place, first, last = smallest_places(grams, length - GRAM + 1)
+    return grams[place], place, first, last
 
 
 def anchor_hashes(length: int):
@@ -214,7 +203,7 @@ def drop_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
     d = with_row_hash(documents(docs))
-    n = shards(d.sparkSession)
+    n = shards_for(d)
     again = found_elsewhere(d, anchor_hashes(length), "again")
     # Rows alike in doc_id and text are all sent: each is a place of its own.
     around = d.join(again.hint("merge"), ["doc_id", "row_hash"]).mapInPandas(contexts(length), CONTEXTS)

@@ -1,12 +1,13 @@
 """Reversible line dedup: sharded cuckoo filters before exact reference counts.
 
-The exact side of the index is a table of references (key, doc_id), from which the
-number of documents and the largest doc_id of each key follow. Each shard of keys
-has a cuckoo filter that holds the keys whose count has reached the threshold.
-Documents enter and leave: a key that reaches the threshold is inserted in its
-shard's filter, one that falls below is deleted from it, so lines come back when
-the documents that made them common are gone. A line that its shard's filter does
-not know needs no look at the exact table.
+The exact side of the index is a table of references (key, doc_id), each pair once, and
+the table of common keys that follows from it: the number of documents and the largest
+doc_id of each key whose count has reached the threshold. Each shard of keys has a cuckoo
+filter that holds its common keys. Documents enter and leave: a key that reaches the
+threshold is inserted in its shard's filter, one that falls below is deleted from it, so
+lines come back when the documents that made them common are gone. A line that its
+shard's filter does not know needs no look at the exact table. Filters go to the lines
+where all of them are at most FILTER_BYTES; beyond, lines and filters meet by shard.
 """
 
 from collections.abc import Iterator
@@ -14,15 +15,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.llm.common import WHITE_SPACE, documents, lower_ascii, materialize, shards, with_row_hash
+from inkloom.llm.common import WHITE_SPACE, documents, lower_ascii, materialize, shards_for
 
 MIN_CODE_POINTS = 20
 MIN_DOCUMENTS = 3
-#: Copies of each shard's filter; lines of one shard, and so those of one very common line, are dealt to as many tasks.
-SALTS = 8
+#: Bytes of all filters up to which each task gets them.
+FILTER_BYTES = 32 << 20
+#: Documents of one line that meet in one task where they are dealt by shard: so many more copies of the filters are made.
+SALT_DOCUMENTS = 500_000
 SLOTS = 4
 MAX_KICKS = 500
 
@@ -44,8 +48,9 @@ class CuckooFilter:
         return self.table.tobytes()
 
     @staticmethod
-    def hashes(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        raw = np.frombuffer(b"".join(keys), dtype="<u8").reshape(-1, 2)
+    def hashes(keys: list[bytes] | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of keys of 16 bytes: a list, or rows of two whole numbers."""
+        raw = keys if isinstance(keys, np.ndarray) else np.frombuffer(b"".join(keys), dtype="<u8").reshape(-1, 2)
         prints = (raw[:, 1] >> np.uint64(48)).astype(np.uint16)
         return raw[:, 0].copy(), np.where(prints == 0, np.uint16(1), prints)
 
@@ -58,8 +63,8 @@ class CuckooFilter:
         mask = np.uint64(len(self.table) - 1)
         return (place ^ ((prints.astype(np.uint64) * np.uint64(0x5BD1E995)) & mask)) & mask
 
-    def contains(self, keys: list[bytes]) -> np.ndarray:
-        if not keys:
+    def contains(self, keys: list[bytes] | np.ndarray) -> np.ndarray:
+        if not len(keys):
             return np.zeros(0, bool)
         hashed, prints = self.hashes(keys)
         one, two = self.places(hashed, prints)
@@ -113,9 +118,10 @@ def built_filter(keys: list[bytes]) -> CuckooFilter:
 
 @dataclass
 class LineIndex:
-    """references: key, doc_id, row_hash, one row for a key and document; filters: shard, data."""
+    """references: key, doc_id, each pair once; common: key, n_docs, last_id; filters: shard, data."""
 
     references: DataFrame
+    common: DataFrame
     filters: DataFrame
     n_shards: int
     min_documents: int
@@ -134,21 +140,28 @@ def text_lines(text: Column | str) -> Column:
 
 
 def line_references(docs: DataFrame) -> DataFrame:
+    """key, doc_id of the lines that are long enough, once a row of docs."""
     keys = F.filter(F.transform(text_lines("text"), line_key), lambda k: F.length(k) >= MIN_CODE_POINTS)
-    return with_row_hash(docs).select("doc_id", "row_hash", F.explode(F.array_distinct(keys)).alias("k")).select(key_digest(F.col("k")).alias("key"), "doc_id", "row_hash")
+    return docs.select("doc_id", F.explode(F.array_distinct(keys)).alias("k")).select(key_digest(F.col("k")).alias("key"), "doc_id")
 
 
-def counts(references: DataFrame) -> DataFrame:
-    """The reference counts; added up within each task before anything moves."""
-    return references.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_id"))
+def distinct_references(docs: DataFrame) -> DataFrame:
+    """Once a document: only those of rows that repeat a doc_id have to be compared, and mostly there are none."""
+    own = line_references(docs)
+    many = materialize(docs.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
+    if many.isEmpty():
+        return own
+    return own.join(many, "doc_id", "left_anti").unionByName(own.join(many, "doc_id", "left_semi").dropDuplicates(["key", "doc_id"])).select("key", "doc_id")
 
 
-def shard_of(n: int) -> Column:
-    return F.pmod(F.xxhash64("key"), F.lit(n)).cast("int").alias("shard")
+def common_keys(references: DataFrame, min_documents: int) -> DataFrame:
+    """The reference counts that reach the threshold; added up within each task before anything moves."""
+    counts = references.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_id"))
+    return materialize(counts.filter(F.col("n_docs") >= min_documents), "common-lines")
 
 
-def common_keys(references: DataFrame, min_documents: int) -> DataFrame:
-    return counts(references).filter(F.col("n_docs") >= min_documents)
+def shard_of(n: int) -> Column:
+    return F.pmod(F.xxhash64("key"), F.lit(n)).cast("int").alias("shard")
 
 
 def build_filters(common: DataFrame, n_shards: int) -> DataFrame:
@@ -164,17 +177,18 @@ def build_filters(common: DataFrame, n_shards: int) -> DataFrame:
 
 
 def build_index(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> LineIndex:
-    n = shards(docs.sparkSession)
-    references = materialize(line_references(documents(docs)), "line-references")
+    d = documents(docs)
+    n = shards_for(d)
+    references = materialize(distinct_references(d), "line-references")
     common = common_keys(references, min_documents)
-    return LineIndex(references, materialize(build_filters(common, n), "line-filters"), n, min_documents)
+    return LineIndex(references, common, materialize(build_filters(common, n), "line-filters"), n, min_documents)
 
 
 def updated(index: LineIndex, references: DataFrame) -> LineIndex:
     """The index with these references: only keys that crossed the threshold touch a filter."""
     references = materialize(references, "line-references")
-    old = common_keys(index.references, index.min_documents).select("key", F.lit(1).alias("was"))
-    new = common_keys(references, index.min_documents).select("key", F.lit(1).alias("now"))
+    common = common_keys(references, index.min_documents)
+    old, new = index.common.select("key", F.lit(1).alias("was")), common.select("key", F.lit(1).alias("now"))
     crossed = old.join(new, "key", "full").filter("was is null or now is null")
     crossed = crossed.select(shard_of(index.n_shards), "key", F.col("now").isNotNull().alias("enters"))
 
@@ -187,27 +201,57 @@ def updated(index: LineIndex, references: DataFrame) -> LineIndex:
 
     filters = materialize(index.filters.groupBy("shard").cogroup(crossed.groupBy("shard")).applyInPandas(apply, "shard int, data binary"), "line-filters")
     if not filters.filter("data is null").isEmpty():  # a filter is full: build anew
-        filters = materialize(build_filters(common_keys(references, index.min_documents), index.n_shards), "line-filters")
-    return LineIndex(references, filters, index.n_shards, index.min_documents)
+        filters = materialize(build_filters(common, index.n_shards), "line-filters")
+    return LineIndex(references, common, filters, index.n_shards, index.min_documents)
 
 
 def insert_documents(index: LineIndex, docs: DataFrame) -> LineIndex:
-    return updated(index, index.references.unionByName(line_references(documents(docs))))
+    """With the documents of docs too; one that the index has already counts once."""
+    return updated(index, index.references.unionByName(line_references(documents(docs))).dropDuplicates(["key", "doc_id"]))
 
 
 def delete_documents(index: LineIndex, ids: DataFrame) -> LineIndex:
     """Without the documents whose doc_id is in ids."""
-    return updated(index, index.references.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select("key", "doc_id", "row_hash"))
+    return updated(index, index.references.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select("key", "doc_id"))
 
 
 def probed(references: DataFrame, index: LineIndex) -> DataFrame:
-    """The references whose key its shard's filter knows. Filter and lines of a shard meet in
-    SALTS tasks; the filter's row sorts first."""
+    """The references whose key its shard's filter knows."""
+    size = index.filters.agg(F.sum(F.length("data"))).first()[0] or 0
+    return probed_in_place(references, index) if size <= FILTER_BYTES else probed_by_shard(references, index)
+
+
+def probed_in_place(references: DataFrame, index: LineIndex) -> DataFrame:
+    """Filters of at most FILTER_BYTES go to the lines: no line moves before it is known to be common."""
+    filters = references.sparkSession.sparkContext.broadcast({r["shard"]: bytes(r["data"]) for r in index.filters.collect()})
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loaded = {shard: CuckooFilter.load(data) for shard, data in filters.value.items()}
+        for batch in batches:
+            shard, keys = batch.column("shard").to_numpy(), raw_keys(batch.column("key"))
+            keep = np.zeros(len(batch), bool)
+            order = np.argsort(shard, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+                if len(at) and (held := loaded.get(int(shard[at[0]]))) is not None:
+                    keep[at] = held.contains(keys[at])
+            yield batch.filter(pa.array(keep)).select(["key", "doc_id"])
+
+    return references.select(shard_of(index.n_shards), "key", "doc_id").mapInArrow(probe, "key binary, doc_id bigint")
+
+
+def raw_keys(column: pa.Array) -> np.ndarray:
+    """Rows of two whole numbers, from keys of 16 bytes."""
+    data = column.cast(pa.binary(16)).buffers()[1] if len(column) else b""
+    return np.frombuffer(data, "<u8").reshape(-1, 2)[column.offset : column.offset + len(column)]
+
+
+def probed_by_shard(references: DataFrame, index: LineIndex) -> DataFrame:
+    """Filter and lines of a shard meet in as many tasks as the most common line needs; the filter's row sorts first."""
     n = index.n_shards
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")
-    lines = references.select(shard_of(n), salt, F.lit(1).alias("kind"), "key", "doc_id", "row_hash", F.lit(None).cast("binary").alias("data"))
+    salts = 1 + (index.common.agg(F.max("n_docs")).first()[0] or 0) // SALT_DOCUMENTS
+    lines = references.select(shard_of(n), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"), F.lit(1).alias("kind"), "key", "doc_id", F.lit(None).cast("binary").alias("data"))
     zero = F.lit(0).cast("long")  # a null would make pandas read the column as floats
-    filters = index.filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("key"), zero.alias("doc_id"), zero.alias("row_hash"), "data")
+    filters = index.filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("key"), zero.alias("doc_id"), "data")
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard, held = None, None
@@ -221,31 +265,39 @@ def probed(references: DataFrame, index: LineIndex) -> DataFrame:
                     lo += 1
                 if held is not None and hi > lo and shard == at[lo]:
                     keep[lo:hi] = held.contains([bytes(k) for k in batch["key"].iloc[lo:hi]])
-            yield batch.loc[keep, ["key", "doc_id", "row_hash"]]
+            yield batch.loc[keep, ["key", "doc_id"]]
 
-    dealt = lines.unionByName(filters).repartition(shards(references.sparkSession), "shard", "salt").sortWithinPartitions("shard", "salt", "kind")
-    return dealt.mapInPandas(probe, "key binary, doc_id bigint, row_hash bigint")
+    dealt = lines.unionByName(filters).repartition(n, "shard", "salt").sortWithinPartitions("shard", "salt", "kind")
+    return dealt.mapInPandas(probe, "key binary, doc_id bigint")
 
 
 def drop_repeated_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
-    """doc_id, text, n_lines, n_dropped, and the other columns of docs.
+    """doc_id, text and the other columns of docs, n_lines, n_dropped.
 
     Lines end at \\n; a null or empty text is one empty line. A line's key is the line
     without white space at its ends, A-Z lower-cased. A key of at least 20 code points
     that is in at least index.min_documents documents loses its lines everywhere but in
-    the largest doc_id that holds it (in every row with that doc_id). Rows without any
-    dropped line keep their text, null included. An empty table gives an empty result.
+    the largest doc_id that holds it. Rows that repeat a doc_id are one document, of which
+    each row keeps its own text: they count once, and all or none of them lose a line. Rows
+    without any dropped line keep their text, null included; a null doc_id cannot be named
+    and goes. An empty table gives an empty result. Other columns may have any names but
+    n_lines and n_dropped, which are replaced.
     """
-    common = common_keys(index.references, index.min_documents)
+    own = probed(line_references(documents(docs)), index)
+    dropped = own.join(index.common.hint("merge"), "key").filter(F.col("doc_id") < F.col("last_id"))
+    dropped = dropped.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    carried = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_dropped")]
     d = docs.filter(docs["doc_id"].isNotNull())
+    d = d.select(d["doc_id"].cast("long").alias("doc_id"), d["text"].cast("string").alias("text"), F.struct(F.lit(0).alias("-"), *[d[c] for c in carried]).alias("carried"))
     full = F.coalesce(F.col("text"), F.lit(""))
-    d = d.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("__hash", F.xxhash64(full))
-    own = probed(line_references(documents(docs)), index)
-    dropped = own.join(common, "key").filter(F.col("doc_id") < F.col("last_id"))
-    dropped = dropped.groupBy(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__row")).agg(F.collect_set("key").alias("__keys"))
-    both = d.join(dropped, (d["doc_id"] == dropped["__id"]) & (d["__hash"] == dropped["__row"]), "left")
-    stays = F.filter(text_lines(full), lambda x: ~F.array_contains("__keys", key_digest(line_key(x))))
-    both = both.withColumn("n_lines", F.size(text_lines(full)).cast("long")).withColumn("__stays", F.when(F.col("__keys").isNotNull(), stays))
-    both = both.withColumn("n_dropped", F.when(F.col("__stays").isNotNull(), F.col("n_lines") - F.size("__stays")).otherwise(0).cast("long"))
-    both = both.withColumn("text", F.when(F.col("__stays").isNotNull(), F.array_join("__stays", "\n")).otherwise(F.col("text")))
-    return both.drop("__hash", "__id", "__row", "__keys", "__stays")
+    stays = F.filter(text_lines(full), lambda x: ~F.array_contains("keys", key_digest(line_key(x))))
+    both = d.join(dropped, "doc_id", "left").withColumn("n_lines", F.size(text_lines(full)).cast("long")).withColumn("stays", F.when(F.col("keys").isNotNull(), stays))
+    cut = F.col("stays").isNotNull()
+    made = {
+        "doc_id": F.col("doc_id"),
+        "text": F.when(cut, F.array_join("stays", "\n")).otherwise(F.col("text")),
+        "n_lines": F.col("n_lines"),
+        "n_dropped": F.when(cut, F.col("n_lines") - F.size("stays")).otherwise(0).cast("long"),
+    }
+    order = [c for c in docs.columns if c not in ("n_lines", "n_dropped")] + ["n_lines", "n_dropped"]
+    return both.select(*[made.get(c, F.col("carried")[c]).alias(c) for c in order])

@@ -49,7 +49,7 @@ def line_dedup(docs, least=3):
     key = lambda x: x.strip(WS).translate(LOW)
     for i, t in docs:
         for k in {key(x) for x in (t or "").split("\n")}:
-            if len(k) >= 20:
+            if len(k) >= 20 and i not in held[k]:
                 held[k].append(i)
     gone = lambda i, x: len(h := held.get(key(x), ())) >= least and i < max(h)
     return [(i, "\n".join(kept), len(lines), len(lines) - len(kept)) for i, t in docs for lines in [(t or "").split("\n")] for kept in [[x for x in lines if not gone(i, x)]]]

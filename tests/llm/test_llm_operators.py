@@ -141,6 +141,27 @@ def test_line_dedup_and_its_way_back(spark, docs):
     assert out == sorted(plain.line_dedup(docs))
 
 
+@pytest.mark.parametrize("most", [0, line_dedup.FILTER_BYTES])
+def test_line_dedup_counts_documents_not_rows(spark, monkeypatch, most):
+    """Rows that repeat a doc_id, columns with the operator's own names, documents inserted again; filters that go to the lines and such that do not."""
+    monkeypatch.setattr(line_dedup, "FILTER_BYTES", most)
+    monkeypatch.setattr(line_dedup, "SALT_DOCUMENTS", 2)
+    line, other = "a line of more than twenty signs", "another line of more than twenty signs"
+    docs = [(1, line), (1, line), (2, f"x\n{line}"), (3, other), (4, f"{other}\ny"), (5, f" {other.upper()} "), (5, other), (6, None), (7, "")]
+    columns = ["doc_id", "text", "n_lines", "key", "keys", "stays", "carried", "last_id", "shard"]
+    d = spark.createDataFrame([(i, t, "a", "b", "c", "d", "e", "f", "g") for i, t in docs], "doc_id bigint, text string, " + ", ".join(f"`{c}` string" for c in columns[2:]))
+    index = line_dedup.build_index(d)
+    want = sorted((i, t or "", n, k) for i, t, n, k in plain.line_dedup(docs))
+    for _ in range(2):
+        out = line_dedup.drop_repeated_lines(d, index)
+        assert out.columns == ["doc_id", "text", *columns[3:], "n_lines", "n_dropped"]
+        rows = out.collect()
+        assert sorted((r["doc_id"], r["text"] or "", r["n_lines"], r["n_dropped"]) for r in rows) == want
+        assert {tuple(r[c] for c in columns[3:]) for r in rows} == {tuple("bcdefg")}
+        index = line_dedup.insert_documents(index, d)
+    assert [w[3] for w in want] == [0, 0, 0, 1, 1, 0, 0, 0, 0]
+
+
 def test_cuckoo_filter_inserts_and_deletes():
     keys = [bytes(np.random.default_rng(i).integers(0, 256, 16, dtype=np.uint8)) for i in range(1000)]
     f = line_dedup.built_filter(keys)

@@ -6,8 +6,12 @@ its start, in which so many places hold a shingle of an item that it can reach t
 with it; with fewer it cannot. Windows and items get 64-bit SimHash fingerprints and are joined by multi-index
 blocks: of RADIUS + 1 blocks of bits at least one is equal in any two fingerprints within
 RADIUS, so the join misses none of those. A window beyond RADIUS of the item that it was formed
-for, as one with a shingle of great weight may be, is paired with it all the same. The pairs are
-verified exactly: the sum of the smaller weights by the sum of the larger ones, over the shingles of both.
+for, as one with a shingle of great weight may be, is paired with it all the same: RADIUS sets the
+work of the index, never the result. The pairs are verified exactly: the sum of the smaller weights
+by the sum of the larger ones, over the shingles of both.
+
+Most places of most documents hold no shingle of any item. They are told by a bitmap of the items'
+shingles within the row, so that only the others become rows.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -17,10 +21,12 @@ from inkloom.llm.common import LOWER, UPPER, documents, materialize, with_row_ha
 
 WORDS = 5
 SIMILARITY = 0.8
-#: At similarity 0.8 the expected distance is below 12 of 64 bits where all weights are alike, and larger where few shingles have most of the weight.
-RADIUS = 24
+#: Eight blocks of eight bits, so that a block parts the items of one length into 256. At similarity 0.8 the expected distance is below 12.
+RADIUS = 7
 #: Shingles of all items up to which their table is broadcast; beyond, it is joined by shuffle.
 BROADCAST_SHINGLES = 1_000_000
+#: Bits of the bitmap for each shingle, and bits of it at most (512 KB): beyond, it lets more through.
+BITS_EACH, MOST_BITS = 16, 1 << 22
 
 
 def let(value: Column, body) -> Column:
@@ -66,10 +72,32 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
     return w.select("item_id", F.size("w").alias("n_words"), shingles(F.col("w")).alias("own")).filter("n_words > 0")
 
 
+def bitmap(items: DataFrame, total: int) -> tuple[Column, int]:
+    """A constant array of words of 64 bits, the bits of the items' shingles set, and the number of words: MOST_BITS / 64 at most."""
+    n = 1
+    while 64 * n < min(MOST_BITS, max(1, total) * BITS_EACH):
+        n *= 2
+    h = items.select(F.explode(F.array_distinct("own")).alias("h"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
+    set_ = h.groupBy(word_of(F.col("h"), n).cast("long").alias("id")).agg(F.bit_or(bit).alias("bits"))
+    every = items.sparkSession.range(n).join(F.broadcast(set_), "id", "left").select(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")).alias("w"))
+    row = every.agg(F.transform(F.sort_array(F.collect_list("w")), lambda w: w["bits"]).alias("words"))
+    # One literal that the optimizer turns into an array, not a literal a word.
+    return F.split(F.lit(",".join(map(str, row.first()["words"]))), ",").cast("array<bigint>"), n
+
+
+def word_of(h: Column, n: int) -> Column:
+    return F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(n - 1)).cast("int")
+
+
+def maybe_in(bits: Column, n: int, h: Column) -> Column:
+    return F.call_function("shiftrightunsigned", F.get(bits, word_of(h, n)), h.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """doc_id, row_hash, item_id, similarity, start (word), n_words: the best window of each document
-    (doc_id, text) for each benchmark item (item_id, text) that it holds at `similarity` or more. Of
-    equal ones it is one that an item's shingle puts there, where there is such, and then the first.
+    (doc_id, text) for each benchmark item (item_id, text) that it holds at `similarity` or more; of
+    equal ones the first.
 
     A document shorter than an item is one window. An item of one to four words is found only in a
     document that consists of just those words, as in the SQL. Null, empty and blank texts match nothing, nor do
@@ -80,17 +108,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     items = materialize(items.withColumn("item_print", fingerprint(F.col("own"))), "items")
     total = items.agg(F.sum(F.size("own")).alias("n")).first()["n"] or 0
     small = F.broadcast if total <= BROADCAST_SHINGLES else (lambda x: x)
+    bits, n_words = bitmap(items, total)
 
     d = with_row_hash(documents(docs)).select("doc_id", "row_hash", words(F.col("text")).alias("w"))
     d = d.select("doc_id", "row_hash", F.size("w").alias("size"), shingles(F.col("w")).alias("own"))
+    d = d.withColumn("places", F.filter(F.transform(F.col("own"), lambda h, p: F.when(maybe_in(bits, n_words, h), p).otherwise(-1)), lambda p: p >= 0))
     windows = materialize(candidates(d, items, similarity, small).withColumn("print", fingerprint(F.col("own"))), "windows")
 
     same = ["n_words", "block"]
     key = ["doc_id", "row_hash", "n_words", "start"]
-    left = windows.select(*key, "last", "own", "print").dropDuplicates(key).withColumn("block", F.explode(blocks(F.col("print"), radius)))
+    left = windows.select(*key, "own", "print").dropDuplicates(key).withColumn("block", F.explode(blocks(F.col("print"), radius)))
     right = items.select("item", "item_id", "n_words", F.col("own").alias("item_own"), "item_print").withColumn("block", F.explode(blocks(F.col("item_print"), radius)))
     near = left.join(small(right), same).filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-    near = near.select(*key, "item", "item_id", "last", "own", "item_own").dropDuplicates([*key, "item"])
+    near = near.select(*key, "item", "item_id", "own", "item_own").dropDuplicates([*key, "item"])
     beyond = windows.join(small(items.select("item", "item_id", F.col("own").alias("item_own"), "item_print")), "item")
     beyond = beyond.filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) > radius)
     near = near.unionByName(beyond.select(*near.columns))
@@ -98,14 +128,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
 
 def candidates(d: DataFrame, items: DataFrame, similarity: float, small) -> DataFrame:
-    """doc_id, row_hash, item, n_words, start, last (start), own: the windows that can reach the similarity with an item.
+    """doc_id, row_hash, item, n_words, start, own: the windows that can reach the similarity with an item.
 
     A window of n shingles and an item of m must share similarity / (1 + similarity) * (n + m) of them
     at least. Windows are gathered by the stretch of m shingles that they start in; each has what
     it takes to form them.
     """
     at = items.select(F.explode(F.array_distinct("own")).alias("h"), "item", "n_words", F.size("own").alias("m"))
-    hits = d.select("doc_id", "row_hash", "size", "own", F.posexplode("own").alias("p", "h")).join(small(at), "h")
+    # An inner explode would have the optimizer test the array in a filter of its own, and compute all of it twice.
+    hits = d.select("doc_id", "row_hash", "size", "own", F.explode_outer("places").alias("p"))
+    hits = hits.withColumn("h", F.get("own", F.col("p"))).join(small(at), "h")
     need = F.ceil(similarity / (1 + similarity) * (F.least("m", F.size("own")) + F.col("m")) - 1e-9).cast("int")
     last = F.greatest(F.lit(0), F.col("size") - F.col("n_words"))
     hits = hits.withColumns({"need": F.greatest(F.lit(1), need), "last": last, "stretch": F.floor(F.col("p") / F.col("m")).cast("int")})
@@ -118,7 +150,7 @@ def candidates(d: DataFrame, items: DataFrame, similarity: float, small) -> Data
     between = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
     starts = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size("ps") - F.col("need")), lambda i: between(low(i), high(i)))))
     found = found.filter(F.size("ps") >= F.col("need")).withColumn("start", F.explode(starts))
-    return found.select("doc_id", "row_hash", "item", "n_words", "start", "last", F.slice("part", F.col("start") - F.col("stretch") * F.col("m") + 1, F.col("m")).alias("own"))
+    return found.select("doc_id", "row_hash", "item", "n_words", "start", F.slice("part", F.col("start") - F.col("stretch") * F.col("m") + 1, F.col("m")).alias("own"))
 
 
 def counted(own: Column, h: Column) -> Column:
@@ -132,25 +164,17 @@ def shared(own: Column, item_own: Column) -> Column:
     return F.when(once, F.size(F.array_intersect(own, item_own))).otherwise(F.aggregate(weights, F.lit(0), lambda a, x: a + x))
 
 
-def aligned(own: Column, item_own: Column, start: Column, last: Column) -> Column:
-    """Whether a shingle of the item stands at its own place, or beyond it where the window could not start elsewhere."""
-    places = lambda a: F.sequence(F.lit(0), F.size(a) - 1)
-    here = lambda j, i: F.coalesce(F.get(own, j) == F.get(item_own, i), F.lit(False))
-    beyond = lambda j, i: ((start == 0) & (j < i)) | ((start == last) & (j > i))
-    edge = F.exists(places(own), lambda j: F.exists(places(item_own), lambda i: beyond(j, i) & here(j, i)))
-    return F.when(F.exists(places(own), lambda j: here(j, j)), True).when((start == 0) | (start == last), edge).otherwise(False)
-
-
 def best_windows(near: DataFrame, similarity: float) -> DataFrame:
     both, total = F.col("both"), F.size("own") + F.size("item_own")
     verified = near.withColumn("both", shared(F.col("own"), F.col("item_own"))).withColumn("similarity", both / (total - both)).filter(F.col("similarity") >= similarity)
-    verified = verified.withColumn("apart", ~aligned(F.col("own"), F.col("item_own"), F.col("start"), F.col("last")))
-    best = verified.groupBy("doc_id", "row_hash", "item_id").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "apart", "start", "n_words")).alias("best"))
+    best = verified.groupBy("doc_id", "row_hash", "item_id").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "start", "n_words")).alias("best"))
     return best.select("doc_id", "row_hash", "item_id", (-F.col("best.s")).alias("similarity"), F.col("best.start").cast("long").alias("start"), F.col("best.n_words").cast("long").alias("n_words"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs without those that hold a benchmark item; a null doc_id cannot be named and goes."""
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("__id"), F.col("row_hash").alias("__row")).distinct()
-    keyed = docs.filter(docs["doc_id"].isNotNull()).withColumn("__hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return keyed.join(found.hint("merge"), (keyed["doc_id"].cast("long") == found["__id"]) & (keyed["__hash"] == found["__row"]), "left_anti").drop("__hash")
+    """The rows of docs without those that hold a benchmark item; a null doc_id cannot be named and goes. Columns
+    of any names are carried. Without items or documents, the rows as they are."""
+    found = contaminated(docs, benchmark).select("doc_id", "row_hash").distinct()
+    d = docs.filter(docs["doc_id"].isNotNull())
+    d = d.select(F.struct(*[d[c] for c in d.columns]).alias("carried"), d["doc_id"].cast("long").alias("doc_id"), F.xxhash64(F.coalesce(d["text"].cast("string"), F.lit(""))).alias("row_hash"))
+    return d.join(found.hint("merge"), ["doc_id", "row_hash"], "left_anti").select("carried.*")

@@ -135,7 +135,8 @@ SQL = {
         w AS (SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM t),
         s AS (SELECT kind, id, len(w) AS n, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END AS own FROM w WHERE len(w) > 0),
         x AS (SELECT kind, id, n, unnest(own) AS h, unnest(range(len(own))) AS p FROM s),
-        starts AS (SELECT DISTINCT a.id AS doc_id, b.n AS n_words, greatest(0, least(a.p - b.p, a.n - b.n)) AS start FROM x a JOIN x b ON a.h = b.h WHERE a.kind = 'd' AND b.kind = 'b'),
+        hits AS (SELECT DISTINCT a.id AS doc_id, a.n, a.p, b.n AS n_words FROM x a JOIN x b ON a.h = b.h WHERE a.kind = 'd' AND b.kind = 'b'),
+        starts AS (SELECT DISTINCT doc_id, n_words, unnest(range(greatest(0, p - greatest(1, n_words - 4) + 1), least(p, greatest(0, n - n_words)) + 1)) AS start FROM hits),
         win AS (SELECT doc_id, n_words, start, s.own[start + 1 : start + greatest(1, n_words - 4)] AS own FROM starts JOIN s ON s.kind = 'd' AND s.id = doc_id),
         wh AS (SELECT doc_id, n_words, start, len(own) AS n, unnest(own) AS h FROM win),
         wc AS (SELECT doc_id, n_words, start, n, h, count(*) AS k FROM wh GROUP BY ALL),

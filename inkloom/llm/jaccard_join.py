@@ -25,6 +25,7 @@ Exact copies of a set are one set until the last step. Sets are told apart by 64
 of their shingles' 64-bit hashes.
 """
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.llm.common import LOWER, UPPER, WordHashes, documents, materialize, mixed, rolling, shards, with_row_hash, words_of
+from inkloom.llm.common import LOWER, UPPER, WordHashes, documents, materialize, mixed, rolling, shards, shards_for, with_row_hash, words_of
 
 WORDS = 5
 #: A link: 100 * intersection >= SIMILARITY * union. Distances below are 1 - Jaccard.
@@ -45,7 +46,8 @@ BLOCK_SHINGLES = 1 << 21
 PAIR_ROWS = 100_000
 #: Shingles of all sets of a region that one task joins; larger regions are cut up first.
 REGION_SHINGLES = 1 << 21
-CELL = 64
+#: Sets up to which a cell is joined pair by pair, and pivots at most; a cell has as many as the root of its size.
+CELL = 4
 PIVOTS = 8
 TO_LOWER = str.maketrans(UPPER, LOWER)
 
@@ -227,7 +229,7 @@ class Region:
         if len(members) <= CELL:
             return self.compare(members)
         _, head = np.unique(self.label[members], return_index=True)
-        pivots = members[np.sort(head)[:PIVOTS]]
+        pivots = members[np.sort(head)[: min(PIVOTS, math.isqrt(len(members)))]]
         d = np.ones((len(pivots), len(members)))
         for k, p in enumerate(pivots):
             rest = members != p
@@ -469,7 +471,7 @@ def candidate_regions(lists: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of docs (doc_id, text).
+    """doc_id, n_shingles, component_id, row_hash (of the text) for every row of docs (doc_id, text).
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. A text's set holds its
     distinct shingles of WORDS words; with fewer words, the whole sequence. Two texts link when
@@ -479,7 +481,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     doc_id too. An empty table gives an empty result.
     """
     d = with_row_hash(documents(docs))
-    n_shards = max(1, shards(d.sparkSession) // 2)
+    n_shards = max(1, shards_for(d) // 2)
     sketch = materialize(d.mapInPandas(sketching(n_shards), SKETCH), "sketch")
     lists = sketch.filter("kind = 1").select("shard", "shingles", "sets", "ns", "edges", "per_set").repartition(n_shards, "shard")
     lists = materialize(lists.mapInPandas(lists_of, LISTED), "lists")
@@ -499,10 +501,24 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = dealt.mapInPandas(joining, "a bigint, b bigint")
     for more in found:
         links = links.unionByName(more)
-    root = components(links)
-
-    own = own.join(root.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    least = own.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    both = own.join(least, "root", "left")
-    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return both.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
+    # Each set goes by its smallest doc_id from here on, so the smallest node of a component is what its documents get.
+    named = materialize(own.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("least")), "sets")
+    for end in "ab":
+        links = links.join(named.withColumnsRenamed({"set_id": end, "least": f"least_{end}"}), end)
+    root = components(links.select(F.col("least_a").alias("a"), F.col("least_b").alias("b")))
+    component = named.join(root.withColumnRenamed("node", "least"), "least", "left").select("set_id", F.coalesce("root", "least").alias("component_id"))
+    with_words = own.filter("n > 0").join(component.hint("merge"), "set_id").select("doc_id", "n", "component_id", "row_hash")
+    every = with_words.unionByName(own.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), "row_hash"))
+    return every.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "row_hash")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs without near-duplicates: of each component one row stays, of the smallest doc_id, and of its rows the
+    one whose text has the smallest hash. Texts without words are all kept, each of a doc_id once. Null ids go."""
+    found = jaccard_components(docs)
+    wordless = F.when(F.col("n_shingles") == 0, F.col("row_hash"))
+    keep = found.filter("doc_id = component_id").groupBy("component_id", wordless.alias("wordless")).agg(F.min("row_hash").alias("row_hash"))
+    d = docs.filter(docs["doc_id"].isNotNull())
+    d = d.select(F.struct(*[d[c] for c in d.columns]).alias("carried"), d["doc_id"].cast("long").alias("doc_id"), F.xxhash64(F.coalesce(d["text"].cast("string"), F.lit(""))).alias("row_hash"))
+    keep = keep.select(F.col("component_id").alias("doc_id"), "row_hash")
+    return d.join(keep.hint("merge"), ["doc_id", "row_hash"], "left_semi").dropDuplicates(["doc_id", "row_hash"]).select("carried.*")

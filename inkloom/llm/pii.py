@@ -1,11 +1,16 @@
 """Personal data: patterns propose, checksums confirm, context adjusts the score.
 
-Four kinds have a fixed definition and are always reported. Two more, IBANs and
-American social security numbers, are proposed by a pattern, confirmed by mod-97 or
-by the number ranges in use, and reported when their score reaches THRESHOLD.
+Four kinds have a fixed definition and are always reported. Three more are reported
+when their score reaches THRESHOLD: IBANs, confirmed by mod-97; American social security
+numbers, confirmed by the number ranges in use; and secrets such as tokens and keys, runs
+of letters and digits that are confirmed by their entropy. Without a context word near
+them, numbers of the last two kinds are not reported, but for secrets whose own prefix
+tells what they are.
 """
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,15 +19,17 @@ from pyspark.sql import DataFrame
 from inkloom.llm.common import documents
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("iban", "ssn")
+ADDED_KINDS = ("iban", "ssn", "secret")
 THRESHOLD = 0.6
 #: Code points before and after a span in which context words count.
 CONTEXT = 60
 
 # Prior score of a pattern, what a checksum adds, what a context word adds.
-PRIOR = {"email": 0.8, "ip": 0.5, "card": 0.4, "phone": 0.5, "iban": 0.3, "ssn": 0.3}
-CHECKSUM = {"card": 0.4, "iban": 0.5, "ssn": 0.1}
+PRIOR = {"email": 0.8, "ip": 0.5, "card": 0.4, "phone": 0.5, "iban": 0.3, "ssn": 0.3, "secret": 0.2}
+CHECKSUM = {"card": 0.4, "iban": 0.5, "ssn": 0.1, "secret": 0.3}
 NEARBY = 0.2
+#: What a secret's own prefix adds, and the bits a character that its entropy must have.
+PREFIXED, SECRET_BITS = 0.3, 3.0
 # Context words by kind.
 CONTEXT_WORDS = {
     "email": ("email", "e-mail", "mail", "contact", "correo", "courriel"),
@@ -31,6 +38,7 @@ CONTEXT_WORDS = {
     "phone": ("phone", "tel", "call", "mobile", "fax", "telefon", "teléfono", "téléphone"),
     "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
     "ssn": ("ssn", "social", "security"),
+    "secret": ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "access_key", "secret_key", "access_token", "auth_token", "auth", "bearer", "credential", "credentials"),
 }
 # Length of an IBAN by country, all that use one.
 IBAN_LENGTH = {
@@ -53,6 +61,10 @@ IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
 IBAN_REST = {n: re.compile(rf"(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in set(IBAN_LENGTH.values())}
 SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 DIGIT = re.compile(r"[0-9]")
+LETTER = re.compile(r"[A-Za-z]")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,512}+={0,2}(?![A-Za-z0-9+/_=-])")
+# How secrets of well-known services begin.
+SECRET_PREFIX = re.compile(r"AKIA[0-9A-Z]|gh[opsur]_|github_pat_|xox[abprs]-|sk-|sk_live_|glpat-|eyJ")
 
 
 def luhn(digits: str) -> bool:
@@ -121,10 +133,20 @@ def ssns(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
+def secrets(text: str) -> Iterator[tuple[int, int]]:
+    for m in SECRET.finditer(text):
+        own = m.group()
+        if DIGIT.search(own) and LETTER.search(own):
+            n = len(own)
+            if -sum(k / n * math.log2(k / n) for k in Counter(own).values()) >= SECRET_BITS:
+                yield m.span()
+
+
 def score(kind: str, text: str, start: int, end: int) -> float:
     around = f"{text[max(0, start - CONTEXT) : start]} {text[end : end + CONTEXT]}".lower()
     words = set(re.findall(r"[^\W\d_][\w-]*", around))
-    return round(min(1.0, PRIOR[kind] + CHECKSUM.get(kind, 0.0) + NEARBY * (not words.isdisjoint(CONTEXT_WORDS[kind]))), 3)
+    known = PREFIXED * (kind == "secret" and SECRET_PREFIX.match(text, start) is not None)
+    return round(min(1.0, PRIOR[kind] + CHECKSUM.get(kind, 0.0) + known + NEARBY * (not words.isdisjoint(CONTEXT_WORDS[kind]))), 3)
 
 
 def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
@@ -141,6 +163,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
             found += [("phone", *s) for s in phones(text)]
         found += [("iban", *s) for s in ibans(text)]
         found += [("ssn", *s) for s in ssns(text)]
+        found += [("secret", *s) for s in secrets(text)]
     scored = [(k, s, e, score(k, text, s, e)) for k, s, e in found]
     return [x for x in scored if x[0] in BASE_KINDS or x[3] >= THRESHOLD]
 

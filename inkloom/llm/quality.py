@@ -16,13 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkloom.llm.common import documents, field_list, with_column
+from inkloom.llm.common import documents, field_list, with_column, with_row_hash
 
 THRESHOLD = 0.3
 PASSAGE_WORDS = 64
-#: Bounds of the training sample: documents, and passages of one, evenly spaced.
+#: Bound of the training sample: labelled documents, each with all its passages.
 TRAIN_DOCUMENTS = 4_000
-TRAIN_PASSAGES = 64
 FOLDS = 5
 HIDDEN = 16
 GATE = 8
@@ -57,13 +56,10 @@ def passage_features(words: list[str], table: np.ndarray) -> list[float]:
     return [*share.tolist(), len(own) / n, again / n, max(own.values(), default=0) / n, min(2.0, len(text) / n / 10), sum(not w.isalpha() for w in own) / n, n / PASSAGE_WORDS]
 
 
-def bag(text: str, table: np.ndarray, most: int | None = None) -> np.ndarray:
-    """Features by passage; an empty text is one empty passage. most: so many passages at most, evenly spaced."""
+def bag(text: str, table: np.ndarray) -> np.ndarray:
+    """Features by passage; an empty text is one empty passage."""
     words = text.split()
-    starts = range(0, max(1, len(words)), PASSAGE_WORDS)
-    if most and len(starts) > most:
-        starts = [starts[i] for i in np.linspace(0, len(starts) - 1, most).astype(int)]
-    return np.array([passage_features(words[s : s + PASSAGE_WORDS], table) for s in starts], np.float64)
+    return np.array([passage_features(words[s : s + PASSAGE_WORDS], table) for s in range(0, max(1, len(words)), PASSAGE_WORDS)], np.float64)
 
 
 class Model:
@@ -123,8 +119,9 @@ def held_out(doc_id="doc_id"):
 
 def train(docs: DataFrame, labels: DataFrame, n: int = TRAIN_DOCUMENTS) -> Model | float:
     """A model of labels.quality, from at most n labelled documents outside the held-out fold, picked by a
-    hash of doc_id. A document with several labels has the one that most of them give, 1 on a tie. Null ids
-    and labels teach nothing. Without documents of both labels, the score that all documents get."""
+    hash of doc_id. A document with several labels has the one that most of them give, 1 on a tie. Of rows that
+    repeat a doc_id the text with the smallest hash teaches. Null ids and labels teach nothing. Without
+    documents of both labels, the score that all documents get."""
     sample = labels.filter("doc_id is not null and quality is not null").filter(~held_out())
     sample = sample.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)  # n rows: small enough to broadcast
@@ -132,9 +129,10 @@ def train(docs: DataFrame, labels: DataFrame, n: int = TRAIN_DOCUMENTS) -> Model
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch[["doc_id", "label"]].assign(bag=[bag(t, table, TRAIN_PASSAGES).ravel() for t in batch["text"]])
+            yield batch[["doc_id", "label"]].assign(bag=[bag(t, table).ravel() for t in batch["text"]])
 
-    rows = documents(docs).join(F.broadcast(sample), "doc_id").mapInPandas(encode, "doc_id bigint, label double, bag array<double>").dropDuplicates(["doc_id"]).collect()
+    texts = with_row_hash(documents(docs)).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min_by("text", "row_hash").alias("text"))
+    rows = texts.mapInPandas(encode, "doc_id bigint, label double, bag array<double>").collect()
     rows = sorted(rows, key=lambda r: r["doc_id"])
     y = np.array([r["label"] for r in rows])
     if len(set(y)) < 2:

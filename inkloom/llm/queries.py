@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).drop("row_hash")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pii_spans(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
     n = [F.size(F.filter(F.col("spans")["kind"], F.lit(k).__eq__)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
-    return found.select("doc_id", *n, F.sha2(spelled(base), 256).alias("base_sha256"), spelled("spans").alias("spans"))
+    return found.select("doc_id", *n, F.sha2(spelled(base), 256).alias("base_sha256"), spelled("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,12 +107,13 @@ def written() -> int:
     return len(_written)
 
 
-def forget(spark: SparkSession, since: int = 0) -> None:
-    """Remove the intermediate tables written after the mark. Results that still need them must have been stored before."""
-    for path in _written[since:]:
+def forget(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Remove the intermediate tables written after the mark, but for the last `keep`. Results that still need them must have been stored before."""
+    end = len(_written) - keep
+    for path in _written[since:end]:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    del _written[since:]
+    del _written[since:end]
 
 
 # -- words, on the executors -------------------------------------------------------

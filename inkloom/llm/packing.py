@@ -146,41 +146,43 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[PlanRow]:
 
 
 def best_fit_pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """items with sequence_id and offset added, or replaced; items has a column length, 1 to capacity, and any others.
+    """items with sequence_id and offset added, or replaced; items has a column length, 1 to capacity, and any others
+    of any names.
 
     Sequences are gapless from offset 0 and hold at most capacity. Another length, or a null
     one, is an error. Alike items are items of their own. An empty table gives an empty result.
     """
     items = items.drop("sequence_id", "offset")
-    stored = materialize(items.withColumn("__row", F.monotonically_increasing_id()), "pack-items")
-    part = F.shiftright("__row", 33).alias("__part")
-    each = stored.groupBy(part, "length").agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(Window.partitionBy("length").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
-    each = materialize(each.select("__part", F.col("length").alias("__length"), "__n", F.coalesce(before, F.lit(0)).alias("__before")), "pack-counts")
-    counts = {r["__length"]: r["n"] for r in each.groupBy("__length").agg(F.sum("__n").alias("n")).collect()}
+    # The caller's columns travel as one value: none of them can clash with a column in here.
+    one = F.struct(*[items[c] for c in items.columns]).alias("item")
+    stored = materialize(items.select(one, items["length"].cast("long").alias("length"), F.monotonically_increasing_id().alias("row")), "pack-items")
+    stored = stored.withColumn("part", F.shiftright("row", 33))
+    each = stored.groupBy("part", "length").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    each = materialize(each.select("part", "length", "n", F.coalesce(before, F.lit(0)).alias("before")), "pack-counts")
+    counts = {r["length"]: r["n"] for r in each.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     rows = np.array(sorted(plan(counts, capacity)), np.int64).reshape(-1, 6)
 
-    ranked = stored.withColumn("__part", part)
-    ranked = ranked.withColumn("__rank", F.row_number().over(Window.partitionBy("__part", "length").orderBy("__row")) - 1)
-    ranked = ranked.join(each.hint("merge"), (ranked["__part"] == each["__part"]) & (ranked["length"] == each["__length"])).drop(each["__part"])
-    ranked = ranked.withColumn("__rank", F.col("__rank") + F.col("__before")).drop("__part", "__length", "__n", "__before", "__row")
+    ranked = stored.withColumn("rank", F.row_number().over(Window.partitionBy("part", "length").orderBy("row")) - 1)
+    ranked = ranked.join(each.select("part", "length", "before").hint("merge"), ["part", "length"])
+    ranked = ranked.select("item", "length", (F.col("rank") + F.col("before")).alias("rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = rows[:, 0] << 48 | rows[:, 1]
         for batch in batches:
-            rank, length = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("__rank", "length"))
+            rank, length = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("rank", "length"))
             at = rows[np.searchsorted(keys, length << 48 | rank, side="right") - 1]
             since = rank - at[:, 1]
-            batch = with_column(batch.drop_columns(["__rank"]), "sequence_id", at[:, 4] + since // at[:, 3], pa.int64())
+            batch = with_column(batch.select(["item"]), "sequence_id", at[:, 4] + since // at[:, 3], pa.int64())
             yield with_column(batch, "offset", at[:, 5] + since % at[:, 3] * at[:, 0], pa.int64())
 
-    return ranked.select(*items.columns, "__rank").mapInArrow(place, f"{field_list(items)}, sequence_id bigint, offset bigint")
+    return ranked.mapInArrow(place, f"{field_list(ranked, 'length', 'rank')}, sequence_id bigint, offset bigint").select("item.*", "sequence_id", "offset")
 
 
 class TokenIds(dict):
     """Little-endian ids by word. The tokenizer cuts at white space and drops it, so the ids of
-    a text are those of its words, one after the other. It also lower-cases and cuts between
-    letters and signs, so a word of Latin letters and full stops or commas has the ids of its
+    a text are those of its words, one after the other. One that also lower-cases and cuts between
+    letters and signs, which is tried out first, lets words be taken apart: a word of Latin letters and full stops or commas has the ids of its
     letters, then those of its signs. When CACHED_WORDS are held, they become the older
     generation, from which words in use move back; the one before is forgotten."""
 
@@ -194,6 +196,7 @@ class TokenIds(dict):
         self.tokenizer = Tokenizer.from_str(model)
         self.parting = self.tokenizer.token_to_id(self.PARTING)
         self.older: dict[str, bytes] = {}
+        self.parts = self.lower_cases_and_parts_signs()
 
     @staticmethod
     def of_worker(model: str) -> "TokenIds":
@@ -205,6 +208,12 @@ class TokenIds(dict):
             held[key] = TokenIds(model)
         return held[key]
 
+    def lower_cases_and_parts_signs(self) -> bool:
+        """Whether words may be taken apart: the tokenizer says so by what it makes of words as texts have them."""
+        same = lambda a, *b: self.tokenizer.encode(a, add_special_tokens=False).ids == [i for x in b for i in self.tokenizer.encode(x, add_special_tokens=False).ids]
+        words = ("the", "Zebra", "ÉTÉ", "naïve", "Xylophone", "QUICKLY")
+        return all(same(w + s, w.lower(), s) and same(w, w.lower()) for w in words for s in (".", ",", "...", ".,", ",,"))
+
     def encoded(self, words: list[str]) -> None:
         alone = [w for w in words if self.parting is None or self.PARTING in w]
         if alone:
@@ -231,7 +240,7 @@ class TokenIds(dict):
                 self[w] = known
                 continue
             letters = (low := w.lower()).rstrip(".,")
-            if letters.isalpha() and max(letters) < "\u0100" and letters != w:
+            if self.parts and letters.isalpha() and max(letters) < "\u0100" and letters != w:
                 made.append((w, letters, signs := low[len(letters) :]))
                 todo.update(x for x in (letters, signs) if x not in self)
             else:

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from inkloom.llm.common import WHITE_SPACE, documents, materialize, shards, with_row_hash
 
 MEMTABLE_ROWS = 65_536
+#: Rows behind one shard of the index; the number of shards follows the rows.
+SHARD_ROWS = 500_000
 FILTER_BITS_PER_KEY = 10
 FILTER_HASHES = 4
 
@@ -137,16 +139,20 @@ def compactor(n_shards: int, memtable_rows: int) -> Callable:
     return run
 
 
-def digest_runs(rows: DataFrame, memtable_rows: int = MEMTABLE_ROWS) -> DataFrame:
+def shards_of(rows: DataFrame) -> int:
+    """Shards for a stored table of digests: SHARD_ROWS rows each, at least what the cluster's setting says."""
+    return max(shards(rows.sparkSession), -(-rows.count() // SHARD_ROWS))
+
+
+def digest_runs(rows: DataFrame, n_shards: int, memtable_rows: int = MEMTABLE_ROWS) -> DataFrame:
     """Sorted runs of (digest, n, doc_id) rows, a segment a row."""
     schema = "shard int, digests array<binary>, n array<bigint>, ids array<bigint>, rows array<bigint>, filter binary"
-    return rows.mapInPandas(flusher(shards(rows.sparkSession), memtable_rows), schema)
+    return rows.mapInPandas(flusher(n_shards, memtable_rows), schema)
 
 
-def compacted(runs: DataFrame, memtable_rows: int = MEMTABLE_ROWS) -> DataFrame:
-    """The merged index: digest, keep_id, group_size. Runs of several inputs may be united first."""
-    n = shards(runs.sparkSession)
-    return runs.repartition(n, "shard").mapInPandas(compactor(n, memtable_rows), "digest binary, keep_id bigint, group_size bigint")
+def compacted(runs: DataFrame, n_shards: int, memtable_rows: int = MEMTABLE_ROWS) -> DataFrame:
+    """The merged index: digest, keep_id, group_size. Runs of several inputs, made for as many shards, may be united first."""
+    return runs.repartition(n_shards, "shard").mapInPandas(compactor(n_shards, memtable_rows), "digest binary, keep_id bigint, group_size bigint")
 
 
 def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256_digest, memtable_rows: int = MEMTABLE_ROWS) -> DataFrame:
@@ -161,7 +167,9 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256_dig
     d = with_row_hash(documents(docs))
     norm = normalised("text")
     rows = materialize(d.select("doc_id", "row_hash", F.length("text").cast("long").alias("n"), digest(norm).alias("digest")), "digests")
-    index = materialize(compacted(materialize(digest_runs(rows.drop("row_hash"), memtable_rows), "runs"), memtable_rows), "index")
+    n_shards = shards_of(rows)
+    runs = materialize(digest_runs(rows.drop("row_hash"), n_shards, memtable_rows), "runs")
+    index = materialize(compacted(runs, n_shards, memtable_rows), "index")
     found = rows.join(index.hint("merge"), "digest")
 
     # The bytes of all rows of a digest are the same where their least and their greatest text are.

@@ -25,6 +25,10 @@ LENGTH = 400
 GRAM = 32
 #: Bytes of context that a task gathers before it hands them on.
 CHUNK_BYTES = 16 << 20
+#: Occurrences that are extended together; those of one anchor stay together whatever their number.
+EXPAND_ROWS = 16_384
+#: Rows of a frame that a task hands on, when it has as many.
+OUT_ROWS = 200_000
 CONTEXTS = "anchor bigint, offset int, context binary, ids binary, hashes binary, starts binary"
 REPEATS = "doc_id bigint, row_hash bigint, first int, n int"
 
@@ -156,7 +160,16 @@ def expand(group: np.ndarray, offset: np.ndarray, context: list[bytes], length:
     return repeat
 
 
-def repeats(length: int):
+def bunches(group: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of sorted groups with about `most` places each, never parting a group."""
+    lo = 0
+    while lo < len(group):
+        hi = int(np.searchsorted(group, group[min(lo + most, len(group)) - 1], "right"))
+        yield slice(lo, hi)
+        lo = hi
+
+
+def repeats(length: int, most: int = EXPAND_ROWS):
     """Runs of string starts that are found elsewhere, from all contexts of a partition's anchors."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -171,23 +184,38 @@ def repeats(length: int):
         alone = np.bincount(group, minlength=1)[group] < 2 if len(keys) else np.zeros(0, bool)
         todo = np.flatnonzero(~alone & np.isin(group, group[~many]))
         todo = todo[np.argsort(group[todo], kind="stable")]
-        flags = expand(group[todo], np.array([keys[i][1] for i in todo], np.int64), [keys[i][2] for i in todo], length)
-        row = dict(zip(todo.tolist(), range(len(todo)), strict=True))
-        parts = []
-        for i, (_, offset, context) in enumerate(keys):
-            n = len(context) - length + 1
-            if many[i]:
-                runs = [(0, n)]
-            elif i in row:
-                mine = flags[row[i], offset - n + 1 : offset + 1][::-1]  # by start, not by distance from the anchor
-                runs = list(zip(*(x.tolist() for x in runs_of(mine)), strict=True))
-            else:
-                runs = []
-            for a, b in runs:
-                parts.append((who[i][0], who[i][1], who[i][2] + a, np.full(who[i].shape[1], b - a)))
-            if len(parts) >= 20_000 or i == len(keys) - 1 and parts:
-                yield pd.DataFrame(dict(zip(("doc_id", "row_hash", "first", "n"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
-                parts = []
+        parts, held = [], 0
+
+        def add(i: int, a: int, b: int) -> None:
+            nonlocal held
+            m = who[i].shape[1]
+            parts.append((who[i][0], who[i][1], who[i][2] + a, np.full(m, b - a)))
+            held += m
+
+        def taken() -> pd.DataFrame:
+            nonlocal parts, held
+            frame = pd.DataFrame(dict(zip(("doc_id", "row_hash", "first", "n"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
+            parts, held = [], 0
+            return frame
+
+        for i in np.flatnonzero(many).tolist():
+            add(i, 0, len(keys[i][2]) - length + 1)
+            if held >= OUT_ROWS:
+                yield taken()
+        for bunch in bunches(group[todo], most):
+            mine = todo[bunch]
+            flags = expand(group[mine], np.array([keys[i][1] for i in mine], np.int64), [keys[i][2] for i in mine], length)
+            for i, flag in zip(mine.tolist(), flags, strict=True):
+                _, offset, context = keys[i]
+                n = len(context) - length + 1
+                if not many[i]:
+                    # by start, not by distance from the anchor
+                    for a, b in zip(*(x.tolist() for x in runs_of(flag[offset - n + 1 : offset + 1][::-1])), strict=True):
+                        add(i, a, b)
+                if held >= OUT_ROWS:
+                    yield taken()
+        if parts:
+            yield taken()
 
     return run
 

@@ -3,6 +3,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +156,12 @@ def test_exact_dedup(spark, docs, bits):
         assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], bytes(r["digest"]).hex()) for r in out) == plain.exact(docs)
 
 
+def test_exact_dedup_over_many_shards(spark, docs, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "SHARD_ROWS", 3)
+    out = exact_dedup.exact_dedup(frame(spark, docs), memtable_rows=8).collect()
+    assert sorted(tuple(r)[:4] for r in out) == [x[:4] for x in plain.exact(docs)]
+
+
 def test_filter_has_no_false_negatives():
     keys = np.random.default_rng(1).integers(0, 2**63, 500).astype(np.uint64)
     assert exact_dedup.filter_has(exact_dedup.filter_of(keys, 5000), keys, 5000).all()
@@ -264,6 +271,19 @@ def test_suffix_dedup(spark, docs, length):
     assert got == plain.byte_dedup(docs, length)
 
 
+def test_suffix_dedup_in_small_bunches(docs):
+    """However few occurrences are extended together, the runs of starts are the same."""
+    texts = [t or "" for _, t in docs if len((t or "").encode()) >= 64]
+    rows = []
+    for i, t in enumerate(texts):
+        hashes = suffix_dedup.anchors(np.frombuffer(t.encode(), np.uint8), 64)[0]
+        rows.append((i, 7, t, [0], [len(hashes)]))
+    around = list(suffix_dedup.contexts(64)(iter([pd.DataFrame(rows, columns=["doc_id", "row_hash", "text", "starts", "counts"])])))
+    runs = lambda most: sorted(r for f in suffix_dedup.repeats(64, most)(iter(around)) for r in f.itertuples(index=False, name=None))
+    assert len(runs(10**9)) > 10
+    assert runs(1) == runs(5) == runs(10**9)
+
+
 def test_decontamination(spark):
     r = random.Random(11)
     say = lambda n: " ".join(r.choice(VOCABULARY) for _ in range(n))

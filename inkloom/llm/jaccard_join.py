@@ -5,7 +5,9 @@ pivot, so pivots alone cannot part a corpus. Regions are therefore seeded by shi
 linked sets are bound to share:
 
 1. The first shingles of each set in the order of their hashes (enough of them that two
-   linked sets share a known number) go to shards, which list the sets of each shingle.
+   linked sets share a known number) go to shards, which list the sets of each shingle. Of a
+   shingle that a task finds in more than COMMON sets, the shard gets COMMON + 1 of them, which
+   tell it that the shingle is common; the others wait for step 3 where they are.
 2. A shingle of at most COMMON sets gives pairs; those that share too few of the listed
    shingles cannot be linked and are dropped. Pairs form regions around the smallest set
    of their neighbourhood.
@@ -93,10 +95,20 @@ def sketching(n_shards: int):
         counts = [len(s[1]) for s in sets.values()]
         shingles = np.concatenate([s[1] for s in sets.values()])
         owner = np.repeat(np.arange(len(ids)), counts)
+        order = np.argsort(shingles, kind="stable")
+        heads = np.flatnonzero(np.diff(shingles[order], prepend=~shingles[order[:1]]) != 0)
+        sizes = np.diff(np.append(heads, len(order)))
+        rows, stays = [], np.zeros(len(order), bool)
+        for lo, n in zip(heads[sizes > COMMON + 1].tolist(), sizes[sizes > COMMON + 1].tolist(), strict=True):
+            at = order[lo + COMMON + 1 : lo + n]
+            stays[at] = True
+            who = owner[at]
+            front = (shingles[at] <= edges[who]).astype(np.uint8)
+            rows.append((2, -1, 0, 0, 0, int(shingles[at[0]].astype(np.int64)), None, ids[who].tobytes(), ns[who].tobytes(), front.tobytes(), None))
+        owner, shingles = owner[~stays], shingles[~stays]
         shard = (mixed(shingles) % np.uint64(n_shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
-        rows = []
         for lo, hi in zip(cuts, [*cuts[1:], len(order)], strict=True):
             at = order[lo:hi]
             who = owner[at]
@@ -169,6 +181,16 @@ def lists_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(out[a : a + 5000], columns=["shingle", "sets", "ns", "early", "weight"])
 
 
+def common_rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The sets of common shingles that did not go to shards, in the shape of those that did."""
+    for batch in batches:
+        rows = [
+            (shingle, np.frombuffer(sets, np.int64), np.frombuffer(ns, np.int32), np.frombuffer(front, np.uint8) > 0, 0)
+            for shingle, sets, ns, front in batch[["set_id", "sets", "ns", "edges"]].itertuples(index=False)
+        ]
+        yield pd.DataFrame(rows, columns=["shingle", "sets", "ns", "early", "weight"])
+
+
 def pairs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The pairs of each list that their sizes allow a link, some PAIR_ROWS at a time."""
     made: list[tuple] = []
@@ -438,7 +460,8 @@ def components(links: DataFrame) -> DataFrame:
 def candidate_regions(lists: DataFrame) -> DataFrame:
     """region, set_id, n, first (the pivot), linked (false): any two linked sets share a region."""
     many = lists.filter("shingle != 0").select("shingle", F.explode(F.arrays_zip("sets", "ns", "early")).alias("s")).select("shingle", F.col("s.sets").alias("set_id"), F.col("s.ns").alias("n"), F.col("s.early").alias("early"))
-    many = materialize(many, "common-shingles")
+    # A set that several tasks met is there several times; dealt by set, its shingles are told apart and counted.
+    many = materialize(many.repartition("set_id").dropDuplicates(["shingle", "set_id"]), "common-shingles")
     held = materialize(many.groupBy("set_id").agg(F.count("*").alias("f"), F.first("n").alias("n")), "common-counts")
 
     # Pairs of lists, less those that share too few listed shingles even if all their common ones are shared.
@@ -462,10 +485,14 @@ def candidate_regions(lists: DataFrame) -> DataFrame:
     rank = F.struct((-F.col("f") / n).alias("share"), F.xxhash64("set_id").alias("h"), F.col("set_id").alias("id"))
     # The first common shingle of two linked sets is among the early ones of both.
     seeds = many.filter("early").select("shingle", "set_id").join(heavy.select("set_id", "n", rank.alias("rank"), band.alias("band")), "set_id")
-    pivots = seeds.groupBy("shingle", "band").agg(F.min("rank").alias("pivot"), F.count("*").alias("k")).select("shingle", "band", F.col("pivot.id").alias("region"))
-    # Linked sets are of one band or of two next to each other: the lower one's region holds both.
-    spread = seeds.select("shingle", "set_id", "n", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"))
-    seeded = spread.join(pivots, ["shingle", "band"]).select("region", "set_id", "n")
+    # Linked sets are of one band or of two next to each other: the lower one's region holds both. The sets of a shingle
+    # are dealt to salts, and its pivot goes to each salt that has any.
+    salt = F.pmod(F.xxhash64("set_id"), F.lit(shards(lists.sparkSession))).cast("int").alias("salt")
+    spread = seeds.select("shingle", "set_id", "n", salt, "rank", F.col("band").alias("own"), F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"))
+    salted = spread.groupBy("shingle", "band", "salt").agg(F.min(F.when(F.col("own") == F.col("band"), F.col("rank"))).alias("pivot"))
+    pivots = salted.groupBy("shingle", "band").agg(F.min("pivot").alias("pivot"), F.collect_list("salt").alias("salts")).filter(F.col("pivot").isNotNull())
+    pivots = pivots.select("shingle", "band", F.col("pivot.id").alias("region"), F.explode("salts").alias("salt"))
+    seeded = spread.join(pivots, ["shingle", "band", "salt"]).select("region", "set_id", "n")
     every = placed.union(seeded).distinct()
     return every.withColumn("first", F.col("region") == F.col("set_id")).withColumn("linked", F.lit(False))
 
@@ -484,7 +511,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     n_shards = max(1, shards_for(d) // 2)
     sketch = materialize(d.mapInPandas(sketching(n_shards), SKETCH), "sketch")
     lists = sketch.filter("kind = 1").select("shard", "shingles", "sets", "ns", "edges", "per_set").repartition(n_shards, "shard")
-    lists = materialize(lists.mapInPandas(lists_of, LISTED), "lists")
+    rest = sketch.filter("kind = 2").select("set_id", "sets", "ns", "edges").mapInPandas(common_rest, LISTED)
+    lists = materialize(lists.mapInPandas(lists_of, LISTED).unionByName(rest), "lists")
     regions = materialize(candidate_regions(lists), "regions")
 
     own = sketch.filter("kind = 0").select("doc_id", "row_hash", "n", "set_id")

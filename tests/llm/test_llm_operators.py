@@ -118,26 +118,6 @@ def test_common_shingles_are_joined_too(spark):
     assert got == plain.components(docs)
 
 
-def test_a_common_shingle_reaches_its_shard_in_bounded_parts(spark, monkeypatch):
-    """Of a task's sets of one shingle the shard sees COMMON + 1; the others still seed and join regions, each set once."""
-    r = random.Random(17)
-    head = "these five words are common"
-    say = lambda n: " ".join(r.choice(VOCABULARY) for _ in range(n))
-    docs = [(i, f"{head} {say(r.randint(2, 30))}") for i in range(40)]
-    docs += [(100 + i, docs[i][1]) for i in range(0, 40, 3)] + [(200 + i, docs[i][1] + " more") for i in range(0, 40, 4)]
-    monkeypatch.setattr(jaccard_join, "COMMON", 4)
-    shown = jaccard_join.shingle_set(head, jaccard_join.WordHashes())[0]
-    texts = pd.DataFrame([(i, 0, t) for i, t in docs], columns=["doc_id", "row_hash", "text"])
-    rows = pd.concat(jaccard_join.sketching(1)(iter([texts])))
-    sent = [np.frombuffer(x, np.uint64) for x in rows[rows["kind"] == 1]["shingles"]]
-    kept = rows[(rows["kind"] == 2) & (rows["set_id"] == shown.astype(np.int64))]
-    holders = {tuple(s) for _, t in docs if shown in (s := jaccard_join.shingle_set(t, jaccard_join.WordHashes()))[: jaccard_join.listed(len(s))]}
-    assert sum((x == shown).sum() for x in sent) == 5
-    assert len(np.frombuffer(kept["sets"].iloc[0], np.int64)) == len(holders) - 5 > 5
-    got = sorted(tuple(x)[:3] for x in jaccard_join.jaccard_components(frame(spark, docs).repartition(3, "doc_id")).collect())
-    assert got == plain.components(docs)
-
-
 @pytest.mark.parametrize("most", [300, 1500])
 def test_large_regions_are_cut_up(spark, monkeypatch, most):
     """Groups around one text, and a chain whose ends are far apart, in regions of more shingles than a task may hold."""

@@ -7,7 +7,7 @@ counts and names. Where an operator has no SQL, its tests hold it against brute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkloom.llm import decontam, exact_dedup, html_text, jaccard_join, line_dedup, packing, pii, quality, substring_dedup, suffix_dedup
+from inkloom.llm import decompose, decontam, exact_dedup, filter_audit, html_text, importance, jaccard_join, line_dedup, packing, pii, quality, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,21 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = decompose.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return decompose.number_sequences(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
@@ -87,6 +102,9 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_html_text": op10_html_text,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_binary_packing": op13_binary_packing,
 }
 
 SQL = {
@@ -147,4 +165,48 @@ SQL = {
         SELECT doc_id, item_id, similarity, CAST(start AS BIGINT) AS start, CAST(n_words AS BIGINT) AS n_words
         FROM ok QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
     """,
+    "op11_filter_audit": r"""
+        WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first_id FROM t),
+        f AS (SELECT doc_id, part, (CASE WHEN len(words) < 50 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END)
+                  || (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 'C' ELSE '' END)
+                  || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END) || (CASE WHEN doc_id > first_id THEN 'E' ELSE '' END) AS fails FROM w),
+        l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+        c AS (SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+        k AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM k a, k b, k c, k d, k e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        s AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+        q AS (SELECT filter_order, step, substring(filter_order, step, 1) AS own, substring(filter_order, 1, step - 1) AS earlier FROM s),
+        r AS (SELECT part, filter_order, step, own, sum(n) FILTER (WHERE fails = '' OR NOT regexp_matches(fails, '[' || earlier || own || ']')) AS kept,
+                     sum(n) FILTER (WHERE contains(fails, own) AND (earlier = '' OR translate(fails, earlier, '') = fails)) AS removed,
+                     sum(n) FILTER (WHERE contains(fails, own) AND NOT (earlier = '' OR translate(fails, earlier, '') = fails)) AS redundant,
+                     sum(n) FILTER (WHERE fails = own) AS unique_fails,
+                     sum(good) FILTER (WHERE contains(fails, own) AND (earlier = '' OR translate(fails, earlier, '') = fails)) AS good_lost,
+                     sum(toxic) FILTER (WHERE contains(fails, own) AND (earlier = '' OR translate(fails, earlier, '') = fails)) AS toxic_lost
+              FROM c, q GROUP BY ALL)
+        SELECT part, filter_order, CAST(step AS INT) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+               CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+               CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost, CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+        FROM r
+    """,
+    "op12_importance_resampling": r"""
+        WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+        x AS (SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM t),
+        c AS (SELECT kind, id, word, count(*) AS k FROM (SELECT kind, id, unnest(words) AS word FROM x) GROUP BY ALL),
+        crc AS (SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END)) AS step),
+        v AS (SELECT word, list_transform(range(CAST(length(hex(encode(word))) / 2 AS BIGINT)), lambda i: CAST('0x' || substring(hex(encode(word)), 2 * i + 1, 2) AS BIGINT)) AS bytes
+              FROM (SELECT DISTINCT word FROM c)),
+        b AS (SELECT word, xor(list_reduce(list_concat([4294967295], bytes), lambda a, y: xor(step[(xor(a, y) & 255) + 1], a >> 8)), 4294967295) % 10000 AS bucket FROM v, crc),
+        n AS (SELECT bucket, sum(k) FILTER (WHERE kind = 'd') AS s, sum(k) FILTER (WHERE kind = 'b') AS t FROM c JOIN b USING (word) GROUP BY bucket),
+        a AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM n),
+        g AS (SELECT bucket, floor(1000 * ln((CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST(all_s + 10000 AS DOUBLE)) / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * CAST(all_t + 10000 AS DOUBLE)))) AS gain FROM n, a),
+        m AS (SELECT id, floor(CAST(sum(k * gain) AS DOUBLE) / sum(k)) AS weight FROM c JOIN b USING (word) JOIN g USING (bucket) WHERE kind = 'd' GROUP BY id),
+        d AS (SELECT x.id AS doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+                     coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substring(sha256('2024:' || x.id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS score
+              FROM x LEFT JOIN m ON x.id = m.id WHERE kind = 'd'),
+        r AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place,
+                     count(*) FILTER (WHERE n_features >= 20) OVER () AS able FROM d)
+        SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+               CAST(CASE WHEN place <= 10 * able // 100 THEN place END AS BIGINT) AS rank FROM r
+    """,
 }

@@ -123,9 +123,10 @@ def report(counted: DataFrame, filters: str = FILTERS) -> DataFrame:
     """A row for each part, order of the filters and step, from counters."""
     steps = [(order, step + 1, 1 << filters.index(order[step]), sum(1 << filters.index(f) for f in order[:step])) for order in map("".join, permutations(filters)) for step in range(len(filters))]
     orders = len(steps) // len(filters)
-    row = counted.sparkSession.createDataFrame(steps, "filter_order string, step int, bit int, before int")
+    names, numbers, bits, befores = (F.lit(list(x)) for x in zip(*steps, strict=True))
+    rows = F.arrays_zip(names.alias("filter_order"), numbers.alias("step"), bits.alias("bit"), befores.alias("before"))
     by_part = counted.groupBy("part").agg(F.collect_list(F.struct("mask", "n", "good", "toxic")).alias("masks"))  # 32 of them at most
-    own = by_part.crossJoin(F.broadcast(row))  # 600 rows, whatever the data
+    own = by_part.select("part", "masks", F.inline(rows).alias("filter_order", "step", "bit", "before"))
 
     def total(column: str, holds) -> Column:
         return F.aggregate(F.filter("masks", lambda m: holds(m["mask"])), F.lit(0).cast("long"), lambda a, m: a + m[column])

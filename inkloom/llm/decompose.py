@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkloom.llm import packing
 from inkloom.llm.common import documents, materialize
 from inkloom.llm.packing import TokenIds
 
@@ -73,7 +74,8 @@ class ChunkIds(TokenIds):
                 letters = w.rstrip(self.SIGNS)
                 if len(letters) < len(w) and (bare := letters.lstrip(" \n")).isalpha() and max(bare) < "Ā":
                     made.append((w, letters, w[len(letters) :]))
-        super().learn((words - {w for w, *_ in made}) | {x for _, *both in made for x in both if x not in self})
+        forgets = len(self) > packing.CACHED_WORDS  # then the parts are learnt again with the rest
+        super().learn((words - {w for w, *_ in made}) | {x for _, *both in made for x in both if forgets or x not in self})
         for w, letters, signs in made:
             self[w] = self[letters] + self[signs]
 

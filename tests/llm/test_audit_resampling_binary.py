@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from inkloom.llm import decompose, filter_audit, importance
+from inkloom.llm import decompose, filter_audit, importance, packing
 
 WS = "[^\x20\x09-\x0d]+"
 CLASHING = "doc_id bigint, text string, source string, part string, mask int, fp bigint, row bigint, rank int, length int, score string"
@@ -190,6 +190,17 @@ def test_binary_packing(spark, tokenizer):
     assert Counter((x["doc_id"], x["start"], x["length"], bytes(x["ids"]), x["doc_tokens"]) for x in got) == want
 
 
+@pytest.mark.parametrize("kind", [(decompose.ChunkIds, "byte_bpe_50k.json"), (packing.TokenIds, "word_bpe_49k.json")])
+def test_words_are_forgotten_and_learnt_again(monkeypatch, kind):
+    """A cache far smaller than the words of the texts gives the tokenizer's own ids all the same."""
+    monkeypatch.setattr(packing, "CACHED_WORDS", 30)
+    model = open(public_tokenizers.path(kind[1]), encoding="utf-8").read()
+    ids_of, t, r = kind[0](model), Tokenizer.from_str(model), random.Random(1)
+    for _ in range(25):
+        texts = [" ".join(r.choice(["reouon", "The", "naïve", f"w{r.randrange(60)}", f"word{'abcdef'[r.randrange(6)]}"]) + r.choice(["", ".", ",", "?!"]) for _ in range(20)) for _ in range(4)]
+        assert [np.frombuffer(b, "<u4").tolist() for b in ids_of.of_texts(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_binary_pieces_cover_every_length():
     for n in range(1, 300):
         pieces = decompose.binary_pieces(n, 64)

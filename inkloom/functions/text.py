@@ -47,11 +47,16 @@ def matches(c: Column, pattern: str) -> Column:
 
 
 def each_match(c: Column, pattern: str, groups: int, body) -> Column:
-    """c with every match of pattern replaced by body(groups as an array), in one pass: what a
-    replacement yields is never matched again. Control characters 1 and 2 must not occur in c."""
-    inner = "\x02".join(f"${i + 1}" for i in range(groups))
-    parts = F.split(F.regexp_replace(c, pattern, f"\x01{inner}\x01"), "\x01", -1)
-    return F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 1, body(F.split(x, "\x02", -1))).otherwise(x)), "")
+    """c with every match of pattern, which must not match the empty text, replaced by body(groups as an array). In one
+    pass: what a replacement yields is never matched again. What lies between the matches and what they hold are two arrays that
+    are put together again, so no sign has to be kept free as a mark. A group that took no part is empty."""
+    gaps = F.split(c, pattern, -1)
+    own = [F.regexp_extract_all(c, F.lit(pattern), F.lit(i + 1)) for i in range(groups)]
+    if groups == 1:
+        made = F.transform(own[0], lambda g: body(F.array(g)))
+    else:
+        made = F.transform(F.arrays_zip(*[g.alias(f"g{i}") for i, g in enumerate(own)]), lambda g: body(F.array(*[g[f"g{i}"] for i in range(groups)])))
+    return F.array_join(F.zip_with(gaps, made, lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "")
 
 
 def repeated(own: Column, least: int, over: int) -> Column:

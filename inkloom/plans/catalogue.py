@@ -42,9 +42,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 HALF_OR_THRICE = "CASE WHEN doc_id % 5 = 0 THEN substring(text, 1, CAST(floor(length(text) / 2.0) AS int)) WHEN doc_id % 5 = 1 THEN concat(text, chr(10), text, chr(10), text) ELSE text END"
 TAILS = "concat({}, CASE WHEN doc_id % 4 = 0 THEN concat(chr(10), '  12 ') WHEN doc_id % 4 = 1 THEN concat(chr(10), '12345') WHEN doc_id % 4 = 2 THEN concat(chr(10), '| a `b` ](x http') ELSE '' END)"
 CLEAN = TAILS.format(HALF_OR_THRICE)
-FRAGMENT = """CASE doc_id % 8 WHEN 0 THEN 'x [[A]] y' WHEN 1 THEN 'x [[A|B]] y [[ C | D e ]]' WHEN 2 THEN 'x [[A|B#c]] [[F| ]]' WHEN 3 THEN '[[A] b' WHEN 4 THEN '![d](x.png) z'
-    WHEN 5 THEN concat(chr(10), '### H ###', chr(10), 'z') WHEN 6 THEN concat(chr(10), '##### Author: N', chr(10), 'z') ELSE 'a[19, 94] b[7]<sup>1</sup><br>c' END"""
-FURNITURE = "CASE WHEN doc_id % 3 = 0 THEN concat(chr(10), '26:3', chr(10), '**26**', chr(10), 'Authors addresses', chr(10), 'CCS Concepts: x', chr(10), 'kept 26:3', chr(10), '## **REFERENCES**', chr(10), 'gone') ELSE '' END"
+FRAGMENT = """CASE doc_id % 8 WHEN 0 THEN concat('x [[A]] y', chr(1), '[[', chr(2), 'q|', chr(1), 'r]]') WHEN 1 THEN 'x [[A|B]] y [[ C | D e ]]' WHEN 2 THEN concat('x [[A|B#c]] [[F| ]]', chr(2), chr(1)) WHEN 3 THEN '[[A] b' WHEN 4 THEN '![d](x.png) z'
+    WHEN 5 THEN concat(chr(10), '### H ###', chr(10), 'z') WHEN 6 THEN concat(chr(10), '##### Author: N', chr(10), 'z') ELSE concat('a[19, 94] b[7]<sup>1</sup><br>c', chr(1), 'd') END"""
+
+
+def sql_text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+#: A line for each rule of page furniture, and one that has such a part within it.
+FURNITURE_LINES = ["**26**", "26:3", "S. Dong et al.", noise.FULL_LINES[-1], *[p + " and more" for p in noise.LINE_STARTS], "see " + noise.LINE_PARTS[0] + "/x", "kept 26:3", "kept " + noise.LINE_STARTS[0]]
+FURNITURE = "CASE WHEN doc_id % 3 = 0 THEN concat(" + ", ".join(f"chr(10), {sql_text(x)}" for x in FURNITURE_LINES) + ", chr(10), '## **REFERENCES**', chr(10), 'gone') ELSE '' END"
 NOISY = f"concat(text, {FRAGMENT}, {FURNITURE})"
 NAME = "concat(lpad(CAST(doc_id AS {0}), 5, '0'), '_', CASE doc_id % 5 WHEN 0 THEN 'memtable' WHEN 1 THEN 'transactions' WHEN 2 THEN 'io' WHEN 3 THEN 'iterator' ELSE 'snapshot' END)"
 SPARK_NAME, DUCK_NAME = NAME.format("string"), NAME.format("varchar")
@@ -213,14 +221,21 @@ def slug_from_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", noise.slug_from_url(F.col("url")).alias("slug"))
 
 
-def sql_link(parts: str) -> str:
-    target, label = (sql_strip(f"string_split(x, chr(2))[{i}]") for i in (1, 2))
-    return f"array_to_string(list_transform({parts}, lambda x, j: CASE WHEN j % 2 = 1 THEN x WHEN {label} = '' OR contains({label}, '#') THEN {target} ELSE {label} END), '')"
+def sql_each(x: str, pattern: str, groups: int, body: str) -> str:
+    """x with every match of pattern replaced by body, in which g1, g2 ... stand for its groups: gaps and matches, zipped."""
+    own = [f"regexp_extract_all({x}, '{pattern}', {i + 1})" for i in range(groups)]
+    for i in range(groups):
+        body = body.replace(f"g{i + 1}", f"coalesce({own[i]}[j], '')")
+    gaps = f"string_split_regex({x}, '{pattern}')"
+    return f"array_to_string(list_transform(range(1, len({gaps}) + 1), lambda j: concat({gaps}[j], CASE WHEN j <= len({own[0]}) THEN {body} ELSE '' END)), '')"
+
+
+SQL_LINK = f"CASE WHEN {sql_strip('g2')} = '' OR contains(g2, '#') THEN {sql_strip('g1')} ELSE {sql_strip('g2')} END"
 
 
 @query(f"""
     WITH a AS (SELECT doc_id, {NOISY} AS t FROM documents),
-    b AS (SELECT doc_id, {sql_link("string_split(regexp_replace(t, '" + noise.LINK + "', concat(chr(1), '" + chr(92) + "1', chr(2), '" + chr(92) + "2', chr(1)), 'g'), chr(1))")} AS t FROM a),
+    b AS (SELECT doc_id, {sql_each('t', noise.LINK, 2, SQL_LINK)} AS t FROM a),
     c AS (SELECT doc_id, regexp_replace(regexp_replace(t, '\\[\\[([^\\]\\n|]+)\\]([^\\]]|$)', '\\1\\2', 'g'), '!\\[[^\\]]*\\]\\([^)]*\\)', '', 'g') AS t FROM b)
     SELECT doc_id, regexp_replace(regexp_replace(t, '(?m)^({WS}*#{{1,6}}{WS}.*?){WS}*#+{WS}*$', '\\1', 'g'), '(?m)^{WS}*#{{1,6}}{WS}*Author:.*$', '', 'g') AS text FROM c
 """)
@@ -228,11 +243,13 @@ def wiki_strip_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", noise.strip_wiki_noise(F.expr(NOISY)).alias("text"))
 
 
+SQL_FURNITURE = " OR ".join([f"regexp_full_match({sql_strip('x')}, {sql_text(p)})" for p in noise.FULL_LINES] + [f"starts_with({sql_strip('x')}, {sql_text(p)})" for p in noise.LINE_STARTS] + [f"contains(x, {sql_text(p)})" for p in noise.LINE_PARTS])
+
+
 @query(f"""
     WITH a AS (SELECT doc_id, regexp_replace(regexp_replace(replace({NOISY}, '<br>', ' '), '(?s)<sup>.*?</sup>', '', 'g'), '\\[\\p{{Nd}}+(?:{WS}*,{WS}*\\p{{Nd}}+)*\\]', '', 'g') AS t FROM documents),
     b AS (SELECT doc_id, string_split_regex(t, '(?m)^## \\*\\*REFERENCES\\*\\*')[1] AS t FROM a)
-    SELECT doc_id, array_to_string(list_filter({sql_lines('t')}, lambda x: NOT (regexp_full_match({sql_strip('x')}, '\\*\\*\\p{{Nd}}+\\*\\*|\\p{{Nd}}+:\\p{{Nd}}+')
-        OR starts_with({sql_strip('x')}, 'Authors') OR starts_with({sql_strip('x')}, 'CCS Concepts:') OR starts_with({sql_strip('x')}, 'This work is licensed') OR starts_with({sql_strip('x')}, '© '))), chr(10)) AS text FROM b
+    SELECT doc_id, array_to_string(list_filter({sql_lines('t')}, lambda x: NOT ({SQL_FURNITURE})), chr(10)) AS text FROM b
 """)
 def paper_strip_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", noise.strip_paper_noise(F.expr(NOISY)).alias("text"))
@@ -301,10 +318,17 @@ def sql_spoken(x: str) -> str:
     return sql_strip(f"regexp_replace({body}, '{WS}+', ' ', 'g')")
 
 
-@query(f"SELECT page_id, {sql_strip(f"regexp_replace(regexp_replace(concat('See  ', {sql_spoken('url')}, regexp_extract(url, '[.,;:!?)\\]}}''\"]+$'), ', via HTTP or  https.'), '(?i)\\bhttps?\\b', '', 'g'), '{WS}{{2,}}', ' ', 'g')")} AS spoken FROM pages")
+SQL_URL_TEXT = "concat('See  ', url, ', via', chr(1), ' HTTP or  https. a', chr(2), ' (', url, ').')"
+SQL_URL = "(https?://" + WS.replace("[", "[^<>\"''", 1) + "+)"
+
+
+@query(f"""
+    WITH a AS (SELECT page_id, {SQL_URL_TEXT} AS t FROM pages),
+    b AS (SELECT page_id, {sql_each('t', SQL_URL, 1, "concat(" + sql_spoken('g1') + ", regexp_extract(g1, '[.,;:!?)\\]}''\"]+$'))")} AS t FROM a)
+    SELECT page_id, {sql_strip(f"regexp_replace(regexp_replace(t, '(?i)\\bhttps?\\b', '', 'g'), '{WS}{{2,}}', ' ', 'g')")} AS spoken FROM b
+""")
 def verbalize_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.lit("See  "), "url", F.lit(", via HTTP or  https."))
-    return table(spark, sf_dir, "pages").select("page_id", speech.verbalize_urls(text).alias("spoken"))
+    return table(spark, sf_dir, "pages").select("page_id", speech.verbalize_urls(F.expr(SQL_URL_TEXT)).alias("spoken"))
 
 
 @query()
@@ -393,10 +417,6 @@ def response_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "t.prefill_s", "t.decode_s", "t.prefill_tokens", "t.decode_tokens", "t.prefill_rate", "t.truncated")
 
 
-def sql_text(x: str) -> str:
-    return "'" + x.replace("'", "''") + "'"
-
-
 @query("SELECT doc_id, concat(" + ", ".join({"n": "concat('corpus-', doc_id)", "s": "text", "p": "'The playbook: {name}, {sample}.'"}.get(p, sql_text(p)) for p in prepare.TEMPLATE.replace("{name}", "\0n\0").replace("{sample}", "\0s\0").replace("{playbook}", "\0p\0").split("\0")) + ") AS prompt FROM documents")
 def prepare_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("corpus-"), F.col("doc_id").cast("string"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from inkloom.functions import markdown, noise, speech
-from inkloom.functions.text import lines, strip, word_count
+from inkloom.functions.text import each_match, lines, strip, word_count
 from inkloom.operators import audio, model, qa, sections
 from inkloom.plans import catalogue
 from inkloom.plans import chain, prepare, recipe
@@ -52,6 +52,20 @@ def test_spoken_urls(spark):
     assert column(texts(spark, ["a.\n\nb  c"]), speech.verbalize_urls(F.col("t"), keep_paragraphs=True)) == ["a.\n\nb c"]
 
 
+def test_matches_are_replaced_in_one_pass(spark):
+    """As Python's re.sub does, with any control character anywhere, at the ends, doubled, and in a replacement."""
+    import random
+    import re
+
+    r, marks = random.Random(4), ["\x00", "\x01", "\x02", "\x01\x02", "\n", "[[a]]", "[[a|b]]", "[[a\x01|\x02b]]", "[[", "]]", "|", "é", "$1", "\\", " "]
+    values = ["", "\x01", "[[a]]", "\x01[[a|b]]\x02", "[[a]][[b]]"] + ["".join(r.choice(marks) for _ in range(r.randint(1, 12))) for _ in range(300)]
+    swap = lambda m: f"<{m[2] or ''}\x01{m[1]}[[x]]>"
+    got = column(texts(spark, values), each_match(F.col("t"), noise.LINK, 2, lambda g: F.concat(F.lit("<"), g[1], F.lit("\x01"), g[0], F.lit("[[x]]>"))))
+    assert got == [re.sub(r"\[\[([^\]|]+)(?:\|([^\]]+))?\]\]", swap, v) for v in values]
+    assert column(texts(spark, ["a\x01 http://x.y/z b", "\x02", None]), speech.verbalize_urls(F.col("t"))) == ["a\x01 x dot y slash z b", "\x02", None]
+    assert column(texts(spark, ["a\x01b [[c\x02|d]] Get\x01 SST", "## 5.1 T\x01\n\nx\x02."]), speech.narration(F.col("t"))) == ["a\x01b [[c\x02|d]] get\x01 ess ess tee.", "Now: section five point one, T\x01.\n\nx\x02."]
+
+
 def test_pages_to_markdown(spark):
     got = column(texts(spark, [h for h, _ in catalogue.GOLDEN_PAGES] + [None]), markdown.html_to_markdown(F.col("t")))
     assert got == [m for _, m in catalogue.GOLDEN_PAGES] + [None]

@@ -1,22 +1,39 @@
-"""Audio: what can be planned and joined without a synthesizer, and the hooks for one."""
+"""Audio as a table of segments: what can be planned, put in order and encoded without a synthesizer, and the hooks for one.
+
+A chapter is rows of some megabytes each, and a book is its chapters' rows in order behind a header, so
+neither a task nor a cell ever holds one.
+"""
 
-import io
 import json
 import shutil
+import struct
 import subprocess
-import tempfile
-import wave
-from collections.abc import Callable, Iterator
+import threading
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Format, codec, suffix, bitrate; the shape of synthesized audio; memory and patience for a GPU.
+from inkloom.sources.layers import starts
+
+# Format, codec, suffix, bitrate; the shape of synthesized audio; the voice; memory and patience for a GPU.
 FORMATS = [("mp3", "libmp3lame", ".mp3", "64k"), ("opus", "libopus", ".opus", "48k"), ("ogg", "libvorbis", ".ogg", "64k"), ("m4a", "aac", ".m4a", "64k")]
 SAMPLE_RATE, CHANNELS, SAMPLE_BYTES = 24_000, 1, 2
+VOICE, SPEED, LANGUAGE = "af_heart", 1.0, "a"
 GPU_FREE_BYTES, GPU_WAIT_S, GPU_POLL_S = int(1.5 * 2**30), 420, 10
 
+#: How an encoder names what it writes to a pipe.
+CONTAINERS = {"libmp3lame": ["-f", "mp3"], "libopus": ["-f", "opus"], "libvorbis": ["-f", "ogg"], "aac": ["-movflags", "frag_keyframe+empty_moov", "-f", "mp4"]}
+#: Bytes of a row of audio, and what the header of a WAV file can count.
+SEGMENT_BYTES, HEADER_BYTES, MOST_BYTES = 4 << 20, 44, (1 << 32) - 37
+
+Speak = Callable[[str], Iterator[bytes]]
+Encode = Callable[[Iterator[bytes], str, str], Iterable[bytes]]
+
 
 def formats(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(FORMATS, "fmt string, codec string, ext string, default_bitrate string")
@@ -40,18 +57,6 @@ def encode_plan(files: DataFrame, known: DataFrame, fmt: str, bitrate: str | Non
     return out.select("corpus", "name", "codec", F.coalesce(F.lit(bitrate), "default_bitrate").alias("bitrate"), with_suffix(F.col("name"), F.col("ext")).alias("target"), *carried)
 
 
-def encode_rows(plan: DataFrame, encode: Callable[[bytes, str, str], bytes]) -> DataFrame:
-    """plan (codec, bitrate, wav, …) with data: each file encoded where its row is. encode(wav, codec, bitrate); a failure fails the task."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.drop(columns="wav").assign(data=[encode(*row) for row in batch[["wav", "codec", "bitrate"]].itertuples(index=False)])
-
-    kept = plan.drop("wav")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return plan.select(*kept.columns, "wav").mapInPandas(run, f"{fields}, data binary")
-
-
 def with_books(chapters: DataFrame) -> DataFrame:
     """corpus, stem, book_stem -> corpus, name: the chapters but for the book's own file, and the book of each corpus with more than one chapter."""
     own = chapters.filter("stem != book_stem")
@@ -59,38 +64,163 @@ def with_books(chapters: DataFrame) -> DataFrame:
     return own.select("corpus", F.concat("stem", F.lit(".wav")).alias("name")).unionByName(books.select("corpus", F.concat("book_stem", F.lit(".wav")).alias("name")))
 
 
-def wav(frames: bytes, rate: int = SAMPLE_RATE, channels: int = CHANNELS, width: int = SAMPLE_BYTES) -> bytes:
-    out = io.BytesIO()
-    with wave.open(out, "wb") as w:
-        w.setnchannels(channels), w.setsampwidth(width), w.setframerate(rate)
-        w.writeframes(frames)
-    return out.getvalue()
+def works(chapters: DataFrame) -> DataFrame:
+    """corpus, stem, made_of, is_book of what is to be there: the chapters (corpus, stem, book_stem, made_of), and a book where a
+    corpus has more than one, made of all of them: their number and the sum of what they are made of, which has no order and needs no list."""
+    own = chapters.filter("stem != book_stem")
+    of_all = F.concat_ws(":", F.count("*").cast("string"), F.sum(F.xxhash64("stem", "made_of").cast("decimal(38,0)")).cast("string"))
+    books = own.groupBy("corpus", "book_stem").agg(F.count("*").alias("n"), of_all.alias("made_of")).filter("n > 1")
+    return own.select("corpus", "stem", F.col("made_of").cast("string").alias("made_of"), F.lit(False).alias("is_book")).unionByName(
+        books.select("corpus", F.col("book_stem").alias("stem"), "made_of", F.lit(True).alias("is_book"))
+    )
+
 
+def unmade(wanted: DataFrame, made: DataFrame) -> DataFrame:
+    """The works that are not there as they are now: new ones, and those made of something else. made: corpus, stem, made_of."""
+    return wanted.join(made.select("corpus", "stem", "made_of").distinct(), ["corpus", "stem", "made_of"], "left_anti")
 
-def join_wavs(files: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, wav: the files of each group in the order of their stems, under the header of the first."""
 
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        frames, shape = [], None
-        for data in group.sort_values("stem")["wav"]:
-            with wave.open(io.BytesIO(data)) as w:
-                shape = shape or (w.getframerate(), w.getnchannels(), w.getsampwidth())
-                frames.append(w.readframes(w.getnframes()))
-        return group[keys].head(1).assign(wav=[wav(b"".join(frames), *shape)])
+def to_speak(chapters: DataFrame, todo: DataFrame, spoken: DataFrame) -> DataFrame:
+    """The chapters without audio that a work in todo needs: its own, and all those of a book."""
+    own = todo.filter("NOT is_book").select("corpus", "stem")
+    books = todo.filter("is_book").select("corpus")  # a row a corpus, of which a run names a few
+    needed = chapters.filter("stem != book_stem").join(F.broadcast(books), "corpus", "left_semi").select("corpus", "stem").unionByName(own).distinct()
+    return chapters.join(needed, ["corpus", "stem"], "left_semi").join(spoken.select("corpus", "stem", "made_of").distinct(), ["corpus", "stem", "made_of"], "left_anti")
 
-    kinds = dict(files.dtypes)
-    return files.groupBy(*keys).applyInPandas(join, ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", wav binary")
 
+# -- segments ------------------------------------------------------------------------------
 
-def synthesize(parts: DataFrame, speak: Callable[[str], Iterator[bytes]]) -> DataFrame:
-    """parts (…, text) with wav. speak yields 16-bit frames; a model for it is not part of this package."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(wav=[wav(b"".join(speak(t))) for t in batch["text"]])
+def wav_header(n_bytes: int, rate: int = SAMPLE_RATE, channels: int = CHANNELS, width: int = SAMPLE_BYTES) -> bytes:
+    """The 44 bytes before so many bytes of frames."""
+    if n_bytes > MOST_BYTES:
+        raise ValueError(f"{n_bytes} bytes of audio are more than a WAV file can count")
+    shape = struct.pack("<HHIIHH", 1, channels, rate, rate * channels * width, channels * width, 8 * width)
+    return b"RIFF" + struct.pack("<I", 36 + n_bytes) + b"WAVEfmt " + struct.pack("<I", 16) + shape + b"data" + struct.pack("<I", n_bytes)
+
+
+def cut(stream: Iterable[bytes], size: int = SEGMENT_BYTES) -> Iterator[bytes]:
+    """The same bytes in pieces of just that size, the last one shorter."""
+    held = bytearray()
+    for data in stream:
+        held += data
+        while len(held) >= size:
+            yield bytes(held[:size])
+            del held[:size]
+    if held:
+        yield bytes(held)
+
+
+@dataclass(frozen=True)
+class Voice:
+    """A synthesizer by its loader, load(device) -> speak. One that does not fit into the device's memory is loaded for the CPU."""
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema)
-    return parts.mapInPandas(run, f"{fields}, wav binary")
+    load: Callable[[str], Speak]
+    device: str = "cpu"
+
+    def speak(self) -> Speak:
+        try:
+            return self.load(self.device)
+        except Exception as e:
+            if self.device == "cpu" or not (isinstance(e, MemoryError) or type(e).__name__ == "OutOfMemoryError"):
+                raise
+            return self.load("cpu")
+
+
+def kokoro(voice: str = VOICE, speed: float = SPEED, language: str = LANGUAGE) -> Callable[[str], Speak]:
+    """The loader of an installed synthesizer, a paragraph at a time, 16-bit frames. Not tested here: it is not installed."""
+
+    def load(device: str) -> Speak:
+        import numpy as np
+        from kokoro import KPipeline
+
+        pipeline = KPipeline(lang_code=language, device=device)
+
+        def speak(text: str) -> Iterator[bytes]:
+            for _, _, audio in pipeline(text, voice=voice, speed=speed, split_pattern=r"\n+"):
+                yield (np.clip(np.asarray(audio), -1, 1) * 32767).astype("<i2").tobytes()
+
+        return speak
+
+    return load
+
+
+def synthesize(parts: DataFrame, speak: Speak | Voice, profile: ResourceProfile | None = None, size: int = SEGMENT_BYTES) -> DataFrame:
+    """The columns of parts (text, …) but text, with segment, frames and n_bytes: a row for each piece of a text's audio, one
+    without frames where there is none. speak yields 16-bit frames; a Voice is loaded once a task. profile: what a task needs, such as a GPU."""
+    kept = [c for c in parts.columns if c != "text"]
+    shape = parts.select(*kept, F.lit(0).alias("segment"), F.lit(b"").alias("frames"), F.lit(0).cast("long").alias("n_bytes")).schema
+    size -= size % (CHANNELS * SAMPLE_BYTES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        say = speak.speak() if isinstance(speak, Voice) else speak
+        for batch in batches:
+            at, numbers, frames, held = [], [], [], 0
+
+            def rows() -> pa.RecordBatch:
+                own = batch.select(kept).take(pa.array(at, pa.int32()))  # noqa: B023
+                made = [pa.array(numbers, pa.int32()), pa.array(frames, pa.binary()), pa.array(map(len, frames), pa.int64())]  # noqa: B023
+                return pa.RecordBatch.from_arrays([*own.columns, *made], names=[*kept, "segment", "frames", "n_bytes"])
+
+            for k, text in enumerate(batch.column(batch.schema.get_field_index("text"))):
+                number = -1
+                for number, piece in enumerate(cut(say(text.as_py() or ""), size)):
+                    at.append(k), numbers.append(number), frames.append(piece)
+                    held += len(piece)
+                    if held >= size:
+                        yield rows()
+                        at, numbers, frames, held = [], [], [], 0
+                if number < 0:
+                    at.append(k), numbers.append(0), frames.append(b"")
+            if at:
+                yield rows()
+
+    return parts.mapInArrow(run, shape, profile=profile)
+
+
+def in_order(segments: DataFrame, keys: list[str], *order: str) -> DataFrame:
+    """keys, start, n_bytes, data: the bytes of one WAV file a key, as rows; the header at 0, each segment (order…, n_bytes, frames)
+    at its place. Only sizes are summed, over ranges; a key may have any number of segments. The shape of the audio is the synthesizer's."""
+    placed = starts(segments.select(*keys, *order, "n_bytes"), keys, list(order), "n_bytes").withColumnRenamed("start", "at")
+    body = segments.join(placed.drop("n_bytes"), [*keys, *order]).select(*keys, (F.col("at") + HEADER_BYTES).alias("start"), "n_bytes", F.col("frames").alias("data"))
+    header = F.udf(lambda n: wav_header(n), "binary")  # a row a file
+    heads = segments.groupBy(*keys).agg(F.sum("n_bytes").alias("all")).select(*keys, F.lit(0).cast("long").alias("start"), F.lit(HEADER_BYTES).cast("long").alias("n_bytes"), header("all").alias("data"))
+    return heads.unionByName(body)
+
+
+def book_of(segments: DataFrame, books: DataFrame) -> DataFrame:
+    """corpus, stem, start, n_bytes, data: the books (corpus, stem) of all chapters' segments of their corpus, in the order of the chapters' stems.
+    There is a row a corpus in books."""
+    own = segments.withColumnRenamed("stem", "chapter").join(F.broadcast(books.select("corpus", "stem")), "corpus").filter("chapter != stem")
+    return in_order(own, ["corpus", "stem"], "chapter", "segment")
+
+
+# -- encoding ---------------------------------------------------------------------------------
+
+
+def encode_streams(files: DataFrame, encode: Encode, keys: list[str], size: int = SEGMENT_BYTES) -> DataFrame:
+    """keys, piece, data: files (keys, codec, bitrate, start, data), rows of bytes, encoded one file after the other. encode takes the
+    bytes of a file as they come and gives those of the result; a task holds some pieces of a file, never all. A failure fails the task."""
+    shape = files.select(*keys, F.lit(0).alias("piece"), "data").schema
+    kinds = pa.schema([pa.field(k, pa.string()) for k in keys] + [pa.field("piece", pa.int32()), pa.field("data", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple[tuple, bytes]]:
+            for batch in batches:
+                names = zip(*[c.to_pylist() for c in batch.columns[:-1]], strict=True)
+                yield from zip(names, (d.as_py() or b"" for d in batch.column(batch.num_columns - 1)), strict=True)
+
+        for file, own in groupby(rows(), key=lambda r: r[0]):
+            *key, codec, bitrate = file
+            made = False
+            for piece, data in enumerate(cut(encode((d for _, d in own), codec, bitrate), size)):
+                made = True
+                yield pa.RecordBatch.from_pylist([dict(zip(keys, key, strict=True)) | {"piece": piece, "data": data}], kinds)
+            if not made:
+                yield pa.RecordBatch.from_pylist([dict(zip(keys, key, strict=True)) | {"piece": 0, "data": b""}], kinds)
+
+    ordered = files.select(*[F.col(k).cast("string").alias(k) for k in keys], "codec", "bitrate", "start", "data").repartition(*keys).sortWithinPartitions(*keys, "start")
+    return ordered.drop("start").mapInArrow(run, shape)
 
 
 def ffmpeg() -> str:
@@ -105,19 +235,45 @@ def ffmpeg() -> str:
 
 
 def encode_command(src: str, dst: str, codec: str, bitrate: str, program: str = "ffmpeg") -> list[str]:
-    return [program, "-y", "-loglevel", "error", "-i", src, "-c:a", codec, "-b:a", bitrate, "-ac", "1", dst]
+    return [program, "-y", "-loglevel", "error", "-i", src, "-c:a", codec, "-b:a", bitrate, "-ac", "1", *(CONTAINERS[codec] if dst == "pipe:1" else []), dst]
+
+
+def encode(wav: Iterator[bytes], codec: str, bitrate: str) -> Iterator[bytes]:
+    """By ffmpeg, from pipe to pipe: nothing is stored on the way. A program that fails is an error, and so is audio that cannot be read."""
+    process = subprocess.Popen(encode_command("pipe:0", "pipe:1", codec, bitrate, ffmpeg()), stdin=subprocess.PIPE, stdout=subprocess.PIPE)
+    failed: list[BaseException] = []
+
+    def feed() -> None:
+        try:
+            for data in wav:
+                process.stdin.write(data)
+        except BrokenPipeError:
+            pass  # the program's own end says why
+        except BaseException as e:
+            failed.append(e)
+            process.kill()
+        finally:
+            try:
+                process.stdin.close()
+            except BrokenPipeError:
+                pass
+
+    feeder = threading.Thread(target=feed, daemon=True)
+    feeder.start()
+    try:
+        while data := process.stdout.read(1 << 20):
+            yield data
+    finally:
+        process.stdout.close()
+        feeder.join()
+        code = process.wait()
+    if failed:
+        raise failed[0]
+    if code:
+        raise RuntimeError(f"the encoder ended with {code}")
 
 
-def encode(wav_bytes: bytes, codec: str, bitrate: str) -> bytes:
-    """By ffmpeg, in a folder of the task's own that goes with it; only the bytes leave it."""
-    suffix = next(f[2] for f in FORMATS if f[1] == codec)
-    with tempfile.TemporaryDirectory() as folder:
-        src, dst = f"{folder}/in.wav", f"{folder}/out{suffix}"
-        with open(src, "wb") as f:
-            f.write(wav_bytes)
-        subprocess.run(encode_command(src, dst, codec, bitrate, ffmpeg()), check=True)
-        with open(dst, "rb") as f:
-            return f.read()
+# -- devices -------------------------------------------------------------------------------------
 
 
 def model_is_loaded(get: Callable[[str], str], url: str = "http://localhost:11434/api/ps") -> bool:
@@ -139,3 +295,11 @@ def choose_device(want: str, has_gpu: bool, free_bytes: Callable[[], int], model
         sleep(GPU_POLL_S)
         waited += GPU_POLL_S
     return "cuda" if free_bytes() >= GPU_FREE_BYTES else "cpu"
+
+
+def gpu_profile(gpus: float = 1.0, memory: str = "4g") -> ResourceProfile:
+    """What a stage of synthesis asks of a cluster, beside the stages that need no GPU."""
+    from pyspark.resource import ExecutorResourceRequests, ResourceProfileBuilder, TaskResourceRequests
+
+    executor = ExecutorResourceRequests().resource("gpu", 1).memory(memory)
+    return ResourceProfileBuilder().require(executor).require(TaskResourceRequests().cpus(1).resource("gpu", gpus)).build

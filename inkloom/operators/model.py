@@ -88,29 +88,51 @@ def attempt(client: Client, request: dict[str, Any], retries: int, sleep: Callab
     return None, error, retries + 1
 
 
-def clean_sections(parts: DataFrame, system: str, client: Client, retries: int = RETRIES, sleep: Callable[[float], None] = time.sleep, model: str = MODEL, temperature: float = TEMPERATURE, num_ctx: int = NUM_CTX) -> DataFrame:
-    """parts with cleaned, ok, error, attempts. A failed section keeps its raw text behind a mark; one without text is not sent."""
+def settings(system: str | None, model: str = MODEL, temperature: float = TEMPERATURE, num_ctx: int = NUM_CTX) -> Column:
+    """What a request is made of, apart from the section."""
+    return F.struct(F.lit(system).cast("string").alias("system"), F.lit(model).alias("model"), F.lit(float(temperature)).alias("temperature"), F.lit(num_ctx).alias("num_ctx"))
+
+
+def clean_sections(parts: DataFrame, system: str | Column, client: Client | dict[str, Client], retries: int | dict[str, int] = RETRIES, sleep: Callable[[float], None] = time.sleep, model: str = MODEL, temperature: float = TEMPERATURE, num_ctx: int = NUM_CTX) -> DataFrame:
+    """parts with cleaned, ok, error, attempts. A failed section keeps its raw text behind a mark; one without text is not sent.
+
+    system is a prompt for all sections, or a column of settings() of each. With a client, or a number of retries, by name, parts must have
+    a column corpus that names them."""
+    asked = system if isinstance(system, Column) else settings(system, model, temperature, num_ctx)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = lambda x, corpus: x[corpus] if isinstance(x, dict) else x
         for batch in batches:
-            done = [(None, None, 0) if t is None else attempt(client, request_of(t, system, model, temperature, num_ctx), retries, sleep) for t in batch["text"]]
+            done = [
+                (None, None, 0) if t is None else attempt(own(client, corpus), request_of(t, a["system"], a["model"], a["temperature"], a["num_ctx"]), own(retries, corpus), sleep)
+                for t, a, corpus in zip(batch["text"], batch["asked"], batch["named"], strict=True)
+            ]
             made = pd.DataFrame(done, columns=["response", "error", "attempts"], index=batch.index)
             yield pd.concat([batch[["text"]], batch[["carried"]], made], axis=1)
 
     # What is only carried goes as one JSON value: pandas would make floats of whole numbers with nulls.
-    kept = [c for c in parts.columns if c != "text"]
+    kept = [c for c in parts.columns if c not in ("text", "asked")]
     shape = parts.select(*kept).schema.simpleString()
-    sent = parts.select("text", F.to_json(F.struct(*kept), {"ignoreNullFields": "false"}).alias("carried"))
+    by_name = isinstance(client, dict) or isinstance(retries, dict)
+    sent = parts.select("text", F.to_json(F.struct(*kept), {"ignoreNullFields": "false"}).alias("carried"), asked.alias("asked"), (F.col("corpus") if by_name else F.lit(None).cast("string")).alias("named"))
     out = sent.mapInPandas(run, "text string, carried string, response string, error string, attempts int")
-    out = out.withColumn("carried", F.from_json("carried", shape)).select(*[F.col("carried")[c].alias(c) if c != "text" else "text" for c in parts.columns], "response", "error", "attempts")
+    out = out.withColumn("carried", F.from_json("carried", shape)).select(*[F.col("carried")[c].alias(c) if c != "text" else "text" for c in parts.columns if c != "asked"], "response", "error", "attempts")
     ok = F.col("error").isNull()
     cleaned = F.when(ok, verbalize_urls(strip(F.col("response")))).otherwise(F.concat(F.lit(FAILED), "text"))
-    return out.select(*parts.columns, cleaned.alias("cleaned"), ok.alias("ok"), "error", "attempts")
+    return out.select(*[c for c in parts.columns if c != "asked"], cleaned.alias("cleaned"), ok.alias("ok"), "error", "attempts")
+
 
+def clean_documents(docs: DataFrame, keys: list[str], kind: Split | None, system: str | DataFrame, client: Client | dict[str, Client], max_chars: int = MAX_SECTION_CHARS, **options) -> DataFrame:
+    """Split, chunk, clean and put together again: keys, text, n_sections, n_failed; a document without sections has the empty text.
 
-def clean_documents(docs: DataFrame, keys: list[str], kind: Split | None, system: str, client: Client, max_chars: int = MAX_SECTION_CHARS, **options) -> DataFrame:
-    """Split, chunk, clean and put together again: keys, text, n_sections, n_failed; a document without sections has the empty text."""
-    parts = clean_sections(explode_chunks(docs.select(*keys, "text"), kind, max_chars), system, client, **options)
+    system is a prompt, or a table (corpus, asked) of the settings() of each corpus, a row a corpus, which keys must name; documents of others are an error."""
+    parts = explode_chunks(docs.select(*keys, "text"), kind, max_chars)
+    if isinstance(system, DataFrame):
+        named = parts.join(F.broadcast(system.select("corpus", "asked")), "corpus", "left")
+        unknown = F.raise_error(F.concat(F.lit("there is no recipe for corpus "), "corpus"))
+        parts = named.select(*parts.columns, F.when(F.col("asked").isNull(), unknown).otherwise(F.col("asked")).alias("asked"))
+        system = F.col("asked")
+    parts = clean_sections(parts, system, client, **options)
     ordered = F.array_sort(F.collect_list(F.struct("sec_idx", "chunk_idx", "cleaned")))
     text = F.array_join(F.transform(ordered, lambda x: x["cleaned"]), "\n\n")
     return parts.groupBy(*keys).agg(text.alias("text"), F.count("text").alias("n_sections"), F.sum((~F.col("ok")).cast("long")).alias("n_failed"))

@@ -52,21 +52,23 @@ def ignored(name: Column) -> Column:
     return F.exists(F.array(*map(F.lit, IGNORED)), lambda p: F.contains(name, p))
 
 
-def report(clean: DataFrame, raw: DataFrame, keys: list[str]) -> DataFrame:
-    """Five checks and the flags of each clean document; without a source (status "no source") there are none."""
+def report(clean: DataFrame, raw: DataFrame, keys: list[str], found: bool = False) -> DataFrame:
+    """Five checks and the flags of each clean document; without a source (status "no source") there are none. With found,
+    residue says which patterns were found, and how often."""
     both = clean.select(*keys, F.col("text").alias("clean")).join(raw.select(*keys, F.col("text").alias("raw")), keys, "left")
     # The lines are cut and stripped once for the three checks that need them.
     by_line = let(stripped_lines(F.col("clean")), lambda x: F.struct(orphan_numbers(x).alias("orphan"), dangling_lines(x).alias("dangling"), repeated_lines(x).alias("repeated")))
     both = both.withColumn("by_line", by_line)
-    found = F.col("raw").isNotNull()
-    checks = both.select(
+    there = F.col("raw").isNotNull()
+    checks = both.withColumn("patterns", markdown_residue(F.col("clean"))).select(
         *keys,
-        F.when(found, "checked").otherwise("no source").alias("status"),
-        F.when(found, residue_total(markdown_residue(F.col("clean")))).alias("md_residue"),
-        F.when(found, F.col("by_line.orphan")).alias("orphan_numbers"),
-        F.when(found, F.col("by_line.dangling")).alias("dangling_lines"),
-        F.when(found, F.col("by_line.repeated")).alias("repeated_lines"),
-        F.when(found, word_ratio(F.col("clean"), F.col("raw"))).alias("word_ratio"),
+        F.when(there, "checked").otherwise("no source").alias("status"),
+        F.when(there, residue_total(F.col("patterns"))).alias("md_residue"),
+        F.when(there, F.col("by_line.orphan")).alias("orphan_numbers"),
+        F.when(there, F.col("by_line.dangling")).alias("dangling_lines"),
+        F.when(there, F.col("by_line.repeated")).alias("repeated_lines"),
+        F.when(there, word_ratio(F.col("clean"), F.col("raw"))).alias("word_ratio"),
+        *([F.when(there, shown(F.col("patterns"))).alias("residue")] if found else []),
     )
     bad = [F.col(c) != 0 for c in ("md_residue", "orphan_numbers", "dangling_lines", "repeated_lines")] + [~F.col("word_ratio").between(RATIO_MIN, RATIO_MAX)]
     return checks.withColumn("flags", sum((F.coalesce(b, F.lit(False)).cast("long") for b in bad), F.lit(0).cast("long")))

@@ -6,7 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkloom.functions.text import strip
+from inkloom.functions.text import LINE_END, strip
+from inkloom.sources.sink import write_files
 
 
 def stem(name: Column) -> Column:
@@ -31,17 +32,28 @@ def with_needle(rows: DataFrame, needle: str | None, column: str = "stem") -> Da
     return rows if needle is None else rows.filter(F.contains(column, F.lit(needle)))
 
 
-def wiki_url(base: str, page: Column) -> Column:
-    return F.concat(F.lit(base.rstrip("/") + "/"), page, F.lit(".md"))
+def wiki_url(base: Column | str, page: Column) -> Column:
+    base = F.lit(base) if isinstance(base, str) else base
+    return F.concat(F.rtrim(base, F.lit("/")), F.lit("/"), page, F.lit(".md"))
 
 
 def title_of(title: Column, name: Column) -> Column:
-    first = strip(F.split(strip(F.coalesce(title, F.lit(""))), "\n", 2)[0])
+    """The first line of a title file that is not blank; the name where there is none."""
+    first = strip(F.split(strip(F.coalesce(title, F.lit(""))), LINE_END, 2)[0])
     return F.when(first == "", name).otherwise(first)
 
 
-def fetch(urls: DataFrame, get: Callable[[str], str]) -> DataFrame:
-    """urls (url, …) with body and error. get is called once a row; a page that fails is a row with an error."""
+def host(url: Column) -> Column:
+    return F.lower(F.regexp_extract(url, r"\A[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/?#]*)", 1))
+
+
+def fetch(urls: DataFrame, get: Callable[[str], str], per_host: int = 2) -> DataFrame:
+    """urls (url, …) with body and error. get is called once a row; a page that fails is a row with an error.
+
+    No host has more than per_host requests at a time: its pages are dealt to so many slots, and a slot is in one
+    task, which asks for one page after the other. Hosts are asked side by side. (A task run twice at a time, by speculation, is beyond that.)"""
+    if per_host < 1:
+        raise ValueError(f"a host needs a request at a time at least: {per_host}")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -54,7 +66,8 @@ def fetch(urls: DataFrame, get: Callable[[str], str]) -> DataFrame:
             yield batch.assign(body=bodies, error=errors)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in urls.schema)
-    return urls.mapInPandas(run, f"{fields}, body string, error string")
+    dealt = urls.repartition(host(F.col("url")), F.pmod(F.xxhash64("url"), F.lit(per_host)))
+    return dealt.mapInPandas(run, f"{fields}, body string, error string")
 
 
 def http_get(timeout: int = 600) -> Callable[[str], str]:
@@ -93,10 +106,6 @@ def remove(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def write_documents(docs: DataFrame, path: str, by: str = "corpus", mode: str = "append") -> None:
-    docs.write.mode(mode).partitionBy(by).parquet(path)
-
-
-def write_texts(docs: DataFrame, path: str) -> None:
-    """One folder a stem, holding its text and one line feed, the only end of a file that Spark's writer knows."""
-    docs.select("stem", F.col("text").alias("value")).write.partitionBy("stem").text(path)
+def write_texts(docs: DataFrame, path: str, suffix: str = ".txt") -> None:
+    """docs (stem, text), one file a stem, with the text's own bytes and no more."""
+    write_files(docs, path, F.concat("stem", F.lit(suffix)), F.encode("text", "UTF-8"))

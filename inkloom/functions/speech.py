@@ -46,18 +46,69 @@ SPELLINGS = [
 ]
 FIRST_MENTION = ("LSM", "log-structured merge", "L S M")
 KEPT = ("GPU", "CPU", "RAM", "SSD")
+SCALES = ("", "thousand", "million", "billion", "trillion")
+SIGNS = [("=", "equals"), ("+", "plus"), ("*", "times"), ("×", "times"), ("/", "divided by")]
 SPECIAL = {"code": r"(?md)^```", "table": r"(?md)^\s*\|.*\|\s*$", "equation": r"\$\$|(?md)^[^\n]*[A-Za-z0-9)]\s*=\s*[A-Za-z0-9(][^\n]*[+*/^]", "figure": r"(?md)^\s*(?:Figure|Fig\.)\s*\p{Nd}+"}
 
 
+#: Names of a program, which stay as they are: with colons or underscores within, and the acronyms that are kept.
+NAMES = r"\b\w+(?:::\w+)+\b|\b[A-Za-z]\w*_\w+\b|\b(?:" + "|".join(KEPT) + r")\b"
+#: A whole number, maybe with commas, and its decimals; not a part of a word, a version or an address.
+NUMBER = r"(?<![\w.,:/-])([0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.([0-9]+))?(?![\w:/]|[.,-][0-9])"
+MOST_DIGITS = 3 * len(SCALES)
+
+
 def number_word(n: int) -> str:
     return ONES[n] if n < 20 else TENS[n // 10 - 2] + (f" {ONES[n % 10]}" if n % 10 else "")
 
 
+def digit_words(digits: Column) -> Column:
+    words = F.lit(ONES[:10])
+    return F.array_join(F.transform(F.filter(F.split(digits, ""), lambda c: c != ""), lambda c: F.get(words, c.cast("int"))), " ")
+
+
+def group_words(n: Column) -> Column:
+    """A number below a thousand; nothing for 0."""
+    below = F.lit(["", *map(number_word, range(1, 100))])
+    return F.concat_ws(" ", F.when(n >= 100, F.concat(F.get(below, F.floor(n / 100).cast("int")), F.lit(" hundred"))), F.nullif(F.get(below, n % 100), F.lit("")))
+
+
+def integer_words(digits: Column) -> Column:
+    """150 as "one hundred fifty": its groups of three digits, each with the name of its scale. Digit by digit where there are zeros in front, or more than MOST_DIGITS."""
+
+    def grouped(n: Column) -> Column:
+        padded = F.lpad(digits, n * 3, F.lit("0"))
+        spoken = F.transform(
+            F.sequence(F.lit(0), n - 1),
+            lambda i: let(
+                group_words(F.substring(padded, i * 3 + 1, F.lit(3)).cast("int")), lambda w: F.when(w != "", F.rtrim(F.concat_ws(" ", w, F.get(F.lit(list(SCALES)), n - 1 - i)))).otherwise("")
+            ),
+        )
+        return F.array_join(F.filter(spoken, lambda w: w != ""), " ")
+
+    plain = (F.length(digits) <= MOST_DIGITS) & ((F.left(digits, F.lit(1)) != "0") | (F.length(digits) == 1))
+    return F.when(digits == "0", ONES[0]).when(plain, let(F.ceil(F.length(digits) / 3).cast("int"), grouped)).otherwise(digit_words(digits))
+
+
 def spoken_number(number: Column) -> Column:
-    """5.12 as "five point twelve"; parts from 100 on digit by digit."""
-    words = F.create_map(*[F.lit(x) for i in range(100) for x in (str(i), number_word(i))])
-    digits = lambda p: F.array_join(F.transform(F.filter(F.split(p, ""), lambda c: c != ""), lambda c: words[c]), " ")
-    return F.array_join(F.transform(F.split(number, r"\.", -1), lambda p: F.coalesce(words[p], digits(p))), " point ")
+    """A section's number, 5.12 as "five point twelve"."""
+    return F.array_join(F.transform(F.split(number, r"\.", -1), integer_words), " point ")
+
+
+def spoken_numbers(text: Column) -> Column:
+    """Every number in words, 1,024 and 3.14 too; "x" between numbers is "times". Versions, addresses and parts of words stay."""
+    times = F.regexp_replace(text, r"(?<![\w.,])([0-9][0-9.,]*) ?[x×] ?(?=[0-9])", "$1 times ")
+    point = lambda d: F.when(d == "", "").otherwise(F.concat(F.lit(" point "), digit_words(d)))
+    return each_match(times, NUMBER, 2, lambda g: F.concat(integer_words(F.replace(g[0], F.lit(","), F.lit(""))), point(g[1])))
+
+
+def spoken_equation(text: Column) -> Column:
+    """An equation's signs and numbers in words; what is no sign or number stays."""
+    out = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\^2\b", " squared"), r"\^3\b", " cubed"), r"\^", " to the power of ")
+    out = spoken_numbers(F.regexp_replace(out, r"(?<=[\w)]) ?- ?(?=[\w(])", " minus "))
+    for sign, word in SIGNS:
+        out = F.replace(out, F.lit(sign), F.lit(f" {word} "))
+    return strip(one_space(out))
 
 
 def without_furniture(text: Column) -> Column:
@@ -70,13 +121,14 @@ def without_furniture(text: Column) -> Column:
 
 
 def spelled(text: Column) -> Column:
-    """Terms as they are spoken; the first mention of one of them in full. Terms in KEPT are never touched."""
+    """Terms as they are spoken; the first mention of one of them in full. Names of a program and the terms in KEPT are
+    matched as well, and put back as they are, so that no part of them is taken for a term."""
     term, first, later = FIRST_MENTION
     parts = F.split(text, rf"\b{term}\b", 2)
     t = F.when(F.size(parts) > 1, F.concat(parts[0], F.lit(first), F.regexp_replace(parts[1], rf"\b{term}\b", later))).otherwise(text)
     names = F.create_map(*[F.lit(x) for pair in SPELLINGS for x in pair])
     either = "|".join(short for short, _ in SPELLINGS)
-    return each_match(t, rf"(?<![\w/])({either})()(?:\(\))?(?![\w/(])", 2, lambda g: names[g[0]])
+    return each_match(t, rf"(?<![\w/:])(?:({either})(?:\(\))?)(?![\w/(:])|({NAMES})", 2, lambda g: F.when(g[1] != "", g[1]).otherwise(names[g[0]]))
 
 
 def ended(text: Column) -> Column:
@@ -93,7 +145,8 @@ def special_content(text: Column) -> Column:
 def narration(text: Column) -> Column:
     """An approximation, by rules, of what the clean-up prompt asks of a model: page furniture dropped, hyphenation
     joined, citation marks and Markdown signs dropped, headings announced, URLs, abbreviations and terms spoken,
-    paragraphs ended. Code, tables, equations and figures are left to special_content."""
+    paragraphs ended; bullets, quote signs and the bars of tables dropped. What code, tables, equations and figures need beyond
+    that, blocks.section_prompts asks of a model."""
     t = without_furniture(text)
     t = F.regexp_replace(t, r"(\p{L})-\n(\p{Ll})", "$1$2")
     t = F.regexp_replace(t, r"\[\p{Nd}+(?:\s*,\s*\p{Nd}+)*\]|\((?:19|20)\p{Nd}{2}\)|(?s)<sup>.*?</sup>", "")
@@ -101,7 +154,10 @@ def narration(text: Column) -> Column:
     t = F.regexp_replace(t, r"\*\*|`|</?u>", "")
     t = each_match(t, r"(?md)^#{1,6} ([0-9]+(?:\.[0-9]+)*)\.? +(.*?) *$", 2, lambda g: F.concat(F.lit("Now: section "), spoken_number(g[0]), F.lit(", "), g[1], F.lit(".")))
     t = F.regexp_replace(t, r"(?md)^#{1,6} +(.*?)\.? *$", "Now: $1.")
-    t = F.regexp_replace(t, r"(?md)^ *\|? *", "")
+    t = F.regexp_replace(t, r"(?md)^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-+:?[ \t]*)*\|?[ \t]*(?:\n|\z)", "")
+    t = F.regexp_replace(t, r"(?md)^[ \t]*(?:(?:>[ \t]?)+|[-*+][ \t]+|\|[ \t]*)|[ \t]*\|[ \t]*$|^[ \t]+", "")
+    t = F.regexp_replace(t, r"[ \t]+\|[ \t]+", ", ")
+    t = F.regexp_replace(t, r"(?<![\w.,])([0-9][0-9.,]*) ?x ?(?=[0-9])", "$1 times ")
     t = each_match(t, r"\bFig\. ?([0-9]+)()", 2, lambda g: F.concat(F.lit("figure "), spoken_number(g[0])))
     for short, long in ABBREVIATIONS:
         t = F.replace(t, F.lit(short), F.lit(long))

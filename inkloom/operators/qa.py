@@ -74,6 +74,32 @@ def report(clean: DataFrame, raw: DataFrame, keys: list[str], found: bool = Fals
     return checks.withColumn("flags", sum((F.coalesce(b, F.lit(False)).cast("long") for b in bad), F.lit(0).cast("long")))
 
 
+#: What must survive cleaning: numbers, names of a program, and acronyms.
+FACTS = r"[0-9]+(?:[.,:][0-9]+)*|[A-Za-z][A-Za-z0-9]*(?:(?:_|::)[A-Za-z0-9]+)+|[A-Z][A-Z]+"
+
+
+def unfaithful(raw: DataFrame, clean: DataFrame, keys: list[str], said=None) -> DataFrame:
+    """keys, fact, in_raw, in_clean: the facts that a section of raw has more often than that of clean, or less often. Both have a
+    row a section (keys, text); a section that only one side has is compared with an empty one.
+
+    said: how a fact may be said in clean instead, as a column of it. Such mentions count as the fact, where clean lacks it."""
+
+    def facts(side: DataFrame, name: str, other: str) -> DataFrame:
+        own = side.select(*keys, F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(FACTS), F.lit(0))).alias("fact"))
+        return own.groupBy(*keys, "fact").agg(F.count("*").alias(name)).withColumn(other, F.lit(0).cast("long"))
+
+    both = facts(raw, "in_raw", "in_clean").unionByName(facts(clean, "in_clean", "in_raw"))
+    out = both.groupBy(*keys, "fact").agg(F.sum("in_raw").alias("in_raw"), F.sum("in_clean").alias("in_clean")).filter("in_raw <> in_clean")
+    if said is None:
+        return out
+    texts = clean.groupBy(*keys).agg(F.concat_ws("\n", F.collect_list("text")).alias("text"))
+    spoken = out.join(texts, keys, "left").withColumn("said", said(F.col("fact")))
+    # Words between blanks or signs; a fact that is said as itself has no other way.
+    times = F.when((F.col("said") != F.col("fact")) & F.col("text").isNotNull(), F.size(F.split(F.concat(F.lit(" "), F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}_:]+", "  "), F.lit(" ")), F.concat(F.lit(" \\Q"), F.regexp_replace(F.lower("said"), " ", "  "), F.lit("\\E ")), -1)) - 1)
+    found = spoken.withColumn("in_clean", F.when(F.col("in_raw") > F.col("in_clean"), F.least("in_raw", F.col("in_clean") + F.coalesce(times, F.lit(0)))).otherwise(F.col("in_clean")))
+    return found.filter("in_raw <> in_clean").select(*keys, "fact", "in_raw", "in_clean")
+
+
 def summary(checked: DataFrame, strict: bool = True) -> DataFrame:
     """Files, flags and the exit code: 1 without files, and 1 when strict and anything is flagged."""
     out = checked.agg(F.count("*").alias("files"), F.coalesce(F.sum("flags"), F.lit(0)).cast("long").alias("flags"))

@@ -1,9 +1,10 @@
 """Documents to sections, sections to chunks, and the sample that a model is shown."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
 
 from inkloom.functions.noise import strip_wiki_noise
 from inkloom.functions.text import let, lines, strip
@@ -67,6 +68,29 @@ def reassemble(parts: DataFrame, keys: list[str]) -> DataFrame:
     return parts.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x["text"]), "\n\n").alias("text"))
 
 
+def splitter(split: Callable[[str], Iterator[str]]):
+    """A table function of a text: sec_idx, section of what split yields, blank ones left out and the others stripped. For splits that
+    no column states; joined laterally it keeps a document's other columns beside its sections."""
+
+    @udtf(returnType="sec_idx int, section string")
+    class Sections:
+        def eval(self, text: str):
+            number = 0
+            for part in split(text or ""):
+                if part := part.strip():
+                    yield number, part
+                    number += 1
+
+    return Sections
+
+
+def split_by(docs: DataFrame, split: Callable[[str], Iterator[str]], name: str = "sections_of") -> DataFrame:
+    """The columns of docs but text, sec_idx and section: docs joined laterally with a splitter, which is registered under name."""
+    docs.sparkSession.udtf.register(name, splitter(split))
+    kept = ", ".join(f"d.`{c}`" for c in docs.columns if c != "text")
+    return docs.sparkSession.sql(f"SELECT {kept}, s.sec_idx, s.section FROM {{docs}} d, LATERAL {name}(d.text) s", docs=docs)
+
+
 def sample_text(text: Column, first: int = 200, middle: int = 200) -> Column:
     """The head and the middle of a long text, with a note of how many lines are left out."""
     return let(lines(text), lambda own: sampled(text, own, first, middle))

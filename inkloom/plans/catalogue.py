@@ -4,15 +4,17 @@ The tables have no Markdown, so some queries first put some in by a plain expres
 both sides state alike.
 """
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkloom.functions import markdown, noise, speech
+from inkloom.functions import blocks, markdown, noise, speech
 from inkloom.operators import audio, model, qa, sections
-from inkloom.plans import prepare, recipe
+from inkloom.plans import prepare
 from inkloom.sources import files
+from inkloom.sources.layers import starts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,7 +105,7 @@ SQL_CHECKED = f"""
                  coalesce(repeated_lines, 0) AS repeated_lines, CAST({sql_count('clean', NWS + '+')} AS DOUBLE) / greatest({sql_count('raw', NWS + '+')}, 1) AS word_ratio
           FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN r ON d.doc_id = r.doc_id),
     report AS (SELECT *, CAST(md_residue <> 0 AS BIGINT) + CAST(orphan_numbers <> 0 AS BIGINT) + CAST(dangling_lines <> 0 AS BIGINT) + CAST(repeated_lines <> 0 AS BIGINT)
-                 + CAST(NOT word_ratio BETWEEN 0.85 AND 1.20 AS BIGINT) AS flags FROM q)
+                 + CAST(NOT word_ratio BETWEEN {qa.RATIO_MIN} AND {qa.RATIO_MAX} AS BIGINT) AS flags FROM q)
 """
 
 
@@ -179,6 +181,13 @@ SQL_MARKED = "regexp_replace(regexp_replace(article, '(?i)<br[^>]*>', chr(10), '
 SQL_PLAIN = "regexp_replace(" + "".join("regexp_replace(" for _ in markdown.HIDDEN) + SQL_MARKED + "".join(f", '(?is)<{t}\\b.*?</{t}\\s*>', '', 'g')" for t in markdown.HIDDEN) + ", '<[^>]*>', '', 'g')"
 
 
+SQL_MARK = """CASE WHEN starts_with(lower(pieces[i]), 'h') THEN concat(repeat('#', CAST(substring(pieces[i], 2, 1) AS INT)), ' ') WHEN starts_with(lower(pieces[i]), 'li') THEN '- ' WHEN starts_with(lower(pieces[i]), 'blockquote') THEN '> ' ELSE '' END"""
+
+
+def sql_list(values) -> str:
+    return "[" + ", ".join(map(sql_text, values)) + "]"
+
+
 def sql_decoded(x: str) -> str:
     for sign, name in (("<", "lt"), (">", "gt"), ('"', "quot"), ("''", "#39"), ("&", "amp")):
         x = f"replace({x}, '&{name};', '{sign}')"
@@ -188,9 +197,7 @@ def sql_decoded(x: str) -> str:
 @query(f"""
     WITH a AS (SELECT page_id, string_split(regexp_replace(url, '/+$', ''), '/')[-1] AS slug, coalesce(nullif(regexp_extract(html, '(?s)<article[^>]*>.*?</article>'), ''), html) AS article FROM pages),
     s AS (SELECT page_id, slug, string_split({SQL_PLAIN}, chr(1)) AS pieces FROM a),
-    b AS (SELECT page_id, slug, list_transform(list_filter(range(1, len(pieces)), lambda i: starts_with(pieces[i + 1], '/')), lambda i: CASE WHEN i = 1 THEN pieces[1] ELSE concat(
-              CASE WHEN starts_with(lower(pieces[i]), 'h') THEN concat(repeat('#', CAST(substring(pieces[i], 2, 1) AS INT)), ' ') WHEN starts_with(lower(pieces[i]), 'li') THEN '- ' WHEN starts_with(lower(pieces[i]), 'blockquote') THEN '> ' ELSE '' END,
-              string_split(pieces[i], chr(2))[2]) END) AS blocks FROM s)
+    b AS (SELECT page_id, slug, list_transform(list_filter(range(1, len(pieces)), lambda i: starts_with(pieces[i + 1], '/')), lambda i: CASE WHEN i = 1 THEN pieces[1] ELSE concat({SQL_MARK}, string_split(pieces[i], chr(2))[2]) END) AS blocks FROM s)
     SELECT page_id, slug, {sql_strip("array_to_string(list_filter(list_transform(blocks, lambda x: " + sql_strip(sql_decoded("x")) + "), lambda x: x <> ''), chr(10))")} AS markdown FROM b
 """)
 def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,22 +205,26 @@ def html_to_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", noise.slug_from_url(F.col("url")).alias("slug"), markdown.html_to_markdown(F.col("html")).alias("markdown"))
 
 
-# Pages and their Markdown.
-GOLDEN_PAGES = [
-    ("<p>a</p><pre><code>x=1</code></pre><p>b</p>", "a\n```\n```\nb"),
-    ("<p>lost<p>kept</p>tail", "kept"),
-    ("<ul><li><p>x</p></li><li>y</li></ul>", "x\n- y"),
-    ("<blockquote>a<pre>c</pre>d</blockquote>", "```\n```\n> acd"),
-    ("<h2>T</h2><p>a</p><h3>Share on  social media:</h3><p>z</p>", "## T\na"),
-    ("<div>orphan</div><h2>H</h2>", "## H"),
-    ("<h2>use <code>x</code></h2><p>no &lt;b&gt; &amp;amp;</p>", "## use `x`\nno <b> &amp;"),
-]
+#: Paragraphs of a page as blocks of other kinds, hidden elements, and a footer's heading.
+OTHER_TAGS = "p h2 li blockquote h4 h6".split()
+OTHER_BLOCKS = "replace(replace(html, '<p>', concat('<script>x</script><time>y</time><', tag, '>')), '</p>', concat('<code>z</code></', tag, '>'))"
+FOOTED = f"CASE WHEN page_id % 3 = 0 THEN replace({OTHER_BLOCKS}, '</article>', '<h3>Share on  social media:</h3><p>gone</p></article>') ELSE {OTHER_BLOCKS} END"
+SQL_FOOTER = "regexp_matches(lower(x), '^#+ share on\\s+social media:$')"
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, '{md}')" for i, (_, md) in enumerate(GOLDEN_PAGES)) + ") t(id, markdown)")
-def html_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(i, f"<body><p>no</p><article>{h}</article></body>") for i, (h, _) in enumerate(GOLDEN_PAGES)], "id int, html string")
-    return rows.select("id", markdown.html_to_markdown(F.col("html")).alias("markdown"))
+@query(f"""
+    WITH t AS (SELECT page_id, html, {sql_list(OTHER_TAGS)}[page_id % {len(OTHER_TAGS)} + 1] AS tag FROM pages),
+    a AS (SELECT page_id, coalesce(nullif(regexp_extract(h, '(?s)<article[^>]*>.*?</article>'), ''), h) AS article FROM (SELECT page_id, {FOOTED} AS h FROM t)),
+    s AS (SELECT page_id, string_split({SQL_PLAIN.replace(SQL_MARKED, "regexp_replace(" + SQL_MARKED + ", '</?code>', '`', 'g')")}, chr(1)) AS pieces FROM a),
+    b AS (SELECT page_id, list_transform(list_filter(range(1, len(pieces)), lambda i: starts_with(pieces[i + 1], '/')), lambda i: CASE WHEN i = 1 THEN pieces[1] ELSE concat({SQL_MARK}, string_split(pieces[i], chr(2))[2]) END) AS blocks FROM s),
+    c AS (SELECT page_id, list_filter(list_transform(blocks, lambda x: {sql_strip(sql_decoded("x"))}), lambda x: x <> '') AS blocks FROM b),
+    e AS (SELECT page_id, blocks, list_position(list_transform(blocks, lambda x: {SQL_FOOTER}), true) AS footer FROM c)
+    SELECT page_id, {sql_strip("array_to_string(CASE WHEN coalesce(footer, 0) > 0 THEN blocks[1 : footer - 1] ELSE blocks END, chr(10))")} AS markdown FROM e
+""")
+def html_other_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tag = F.get(F.lit(OTHER_TAGS), (F.col("page_id") % len(OTHER_TAGS)).cast("int"))
+    pages = table(spark, sf_dir, "pages").withColumn("tag", tag)
+    return pages.select("page_id", markdown.html_to_markdown(F.expr(FOOTED)).alias("markdown"))
 
 
 @query("SELECT page_id, string_split(regexp_replace(url, '/+$', ''), '/')[-1] AS slug FROM pages")
@@ -286,6 +297,12 @@ def split_wiki(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_documents(spark, sf_dir, "wiki")
 
 
+@query(SQL["split_blog"])
+def split_by_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sections by a table function."""
+    return sections.split_by(with_headings(documents(spark, sf_dir)), lambda text: re.split(r"(?m)^(?=#{2,3} )", text))
+
+
 @query("""
     WITH RECURSIVE d AS (SELECT doc_id, replace(text, chr(10), concat(chr(10), chr(10))) AS t FROM documents),
     p AS (SELECT doc_id, CASE WHEN length(t) <= 1000 THEN [t] ELSE string_split(t, concat(chr(10), chr(10))) END AS ps FROM d),
@@ -337,22 +354,78 @@ def narration_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_headings(documents(spark, sf_dir)).select("doc_id", speech.narration(F.col("text")).alias("spoken"))
 
 
-NARRATED = [
-    ("infer-\nence", "inference."),
-    ("## 5.1 Quantization", "Now: section five point one, Quantization."),
-    ("### 12.20.100 Deep", "Now: section twelve point twenty point one zero zero, Deep."),
-    ("## Overview", "Now: Overview."),
-    ("The LSM tree, an LSM [3] of (2024).", "The log-structured merge tree, an L S M of ."),
-    ("L0 to Lmax, e.g. by Get() -> SST on a CPU", "level zero to level max, for example by get leads to ess ess tee on a CPU."),
-    ("See Fig. 3 and **bold** `code`.\n\n17\n\nEnd", "See figure three and bold code.\n\nEnd."),
-    ("IO and I/O, IOPS of GetX; a write_buffer", "I O and I O, I O P S of GetX; a write_buffer."),
-]
+#: Lines of documents as Markdown of every kind, by their places.
+MARKED_LINE = """CASE (doc_id + {i}) % 12 WHEN 0 THEN concat('- ', x) WHEN 1 THEN concat('2. ', x) WHEN 2 THEN concat('> ', x) WHEN 3 THEN concat('| ', x, ' |') WHEN 4 THEN concat('|', x, '| b | ')
+    WHEN 5 THEN concat('```', chr(10), x, chr(10), chr(10), '| c |') WHEN 6 THEN concat(x, chr(10), '```') WHEN 7 THEN concat('Fig. 3: ', x) WHEN 8 THEN concat('$$', chr(10), x, chr(10), '$$', chr(10), '$$ y $$')
+    WHEN 9 THEN ' ' WHEN 10 THEN concat('## ', x) ELSE concat('a = b * 2', chr(10), x) END"""
+SPARK_MARKED = f"array_join(transform(split(text, '\n', -1), (x, i) -> {MARKED_LINE.format(i='i')}), '\n')"
+DUCK_MARKED = f"array_to_string(list_transform(string_split(text, chr(10)), lambda x, j: {MARKED_LINE.format(i='(j - 1)')}), chr(10))"
+SQL_KIND = "CASE WHEN fenced THEN 'code' WHEN shown THEN 'equation' WHEN regexp_matches(line, " + sql_text(blocks.BLANK) + ") THEN '' " + " ".join(f"WHEN regexp_matches(line, {sql_text(p)}) THEN '{k}'" for k, p in blocks.KINDS.items()) + " ELSE 'text' END"
+
+
+@query(f"""
+    WITH a AS (SELECT doc_id, string_split({DUCK_MARKED}, chr(10)) AS lines FROM documents),
+    l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM a),
+    f AS (SELECT *, regexp_matches(line, {sql_text(blocks.FENCE)}) AS fence, sum(CAST(regexp_matches(line, {sql_text(blocks.FENCE)}) AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS fences FROM l),
+    g AS (SELECT *, fence OR fences % 2 = 1 AS fenced FROM f),
+    d AS (SELECT *, NOT fenced AND regexp_matches(line, {sql_text(blocks.DISPLAY)}) AS display FROM g),
+    e AS (SELECT *, sum(CAST(display AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS displays FROM d),
+    h AS (SELECT *, display OR (displays % 2 = 1 AND NOT fenced) AS shown FROM e),
+    k AS (SELECT *, {SQL_KIND} AS kind, (fence AND fences % 2 = 1) OR (display AND displays % 2 = 1) AS opens, (fence AND fences % 2 = 0) OR (display AND displays % 2 = 0) AS closes FROM h),
+    s AS (SELECT *, kind <> '' AND (coalesce(lag(kind) OVER w <> kind, true) OR opens OR lag(closes) OVER w OR kind IN {str(blocks.SINGLE)}) AS begins FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+    n AS (SELECT *, sum(CAST(begins AS INT)) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS block FROM s)
+    SELECT doc_id, CAST(block AS INT) AS block, min(kind) AS kind, CAST(min(i) AS INT) AS first, CAST(max(i) AS INT) AS last, string_agg(line, chr(10) ORDER BY i) AS text FROM n WHERE kind <> '' GROUP BY doc_id, block
+""")
+def typed_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.explode_blocks(documents(spark, sf_dir).withColumn("text", F.expr(SPARK_MARKED)), ["doc_id"])
+
+
+def sql_integer_words(x: str) -> str:
+    """Digits without leading zeros in words, by groups of three."""
+    below = sql_list(["", *map(speech.number_word, range(1, 100))])
+    n = f"CAST(ceil(length({x}) / 3.0) AS INT)"
+    group = f"CAST(substring(lpad({x}, 3 * {n}, '0'), 3 * i + 1, 3) AS INT)"
+    words = f"concat_ws(' ', CASE WHEN {group} >= 100 THEN concat({below}[{group} // 100 + 1], ' hundred') END, nullif({below}[{group} % 100 + 1], ''), nullif({sql_list(speech.SCALES)}[{n} - i], ''))"
+    return f"CASE WHEN {x} = '0' THEN 'zero' ELSE array_to_string(list_filter(list_transform(range({n}), lambda i: CASE WHEN {group} = 0 THEN '' ELSE {words} END), lambda g: g <> ''), ' ') END"
+
+
+COUNTED = "concat('Part ', {a}, ' of ', lang, ' has ', {b}, ' signs, ', {c}, ' x ', {d}, '; ', {b}, '.05, v{a}.2, ', {a}, 'GB.')"
+COUNTS = {"a": "CAST(doc_id AS {0})", "b": "CAST(n_chars * 1001 AS {0})", "c": "CAST(n_chars % 1000 AS {0})", "d": "CAST(doc_id * 1000000 + 7 AS {0})"}
+
+
+@query("WITH t AS (SELECT doc_id, lang, " + ", ".join(f"{c.format('VARCHAR')} AS {n}" for n, c in COUNTS.items()) + ") , w AS (SELECT doc_id, lang, a, " .replace(") , w", " FROM documents), w") + ", ".join(f"{sql_integer_words(n)} AS w{n}" for n in COUNTS)
+       + " FROM t) SELECT doc_id, concat('Part ', wa, ' of ', lang, ' has ', wb, ' signs, ', wc, ' times ', wd, '; ', wb, ' point zero five, v', a, '.2, ', a, 'GB.') AS spoken FROM w")
+def spoken_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.expr(COUNTED.format(**{n: c.format("string") for n, c in COUNTS.items()}).replace("v" + COUNTS["a"].format("string"), "v', " + COUNTS["a"].format("string") + ", '"))
+    return table(spark, sf_dir, "documents").select("doc_id", speech.spoken_numbers(said).alias("spoken"))
+
+
+TERMS = [short for short, _ in speech.SPELLINGS] + ["LSM", "DB::Get", "write_buffer_size", *speech.KEPT]
+SPOKEN_TERMS = [long for _, long in speech.SPELLINGS] + [speech.FIRST_MENTION[1], "DB::Get", "write_buffer_size", *speech.KEPT]
+
 
+@query(f"SELECT doc_id, concat('The ', {sql_list(SPOKEN_TERMS)}[doc_id % {len(TERMS)} + 1], ' of ', source, ', not ', {sql_list(SPOKEN_TERMS)}[doc_id * 7 % 20 + 1], '.') AS spoken FROM documents")
+def spoken_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    term = lambda i: F.get(F.lit(TERMS), i.cast("int"))
+    said = F.concat(F.lit("The "), term(F.col("doc_id") % len(TERMS)), F.lit(" of "), "source", F.lit(", not "), term(F.col("doc_id") * 7 % 20), F.lit("."))
+    return table(spark, sf_dir, "documents").select("doc_id", speech.spelled(said).alias("spoken"))
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, {sql_literal(spoken)})" for i, (_, spoken) in enumerate(NARRATED)) + ") t(id, spoken)")
-def narration_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(NARRATED)], "id int, text string")
-    return rows.select("id", speech.narration(F.col("text")).alias("spoken"))
+
+def sql_facts(text: str, name: str) -> str:
+    """The facts of each section of a text, counted."""
+    parts = sql_sections("#{2,3} ").replace("FROM documents", f"FROM (SELECT doc_id, {text} AS text FROM documents)").replace(HEADED + ", '(?m)", "text, '(?m)")
+    return f"SELECT doc_id, sec_idx, unnest(regexp_extract_all(section, {sql_text(qa.FACTS)})) AS fact, '{name}' AS side FROM ({parts})"
+
+
+@query(f"""
+    SELECT doc_id, sec_idx, fact, count(*) FILTER (WHERE side = 'raw') AS in_raw, count(*) FILTER (WHERE side = 'clean') AS in_clean
+    FROM ({sql_facts(HEADED, 'raw')} UNION ALL {sql_facts(CLEAN.replace('text', HEADED), 'clean')}) GROUP BY doc_id, sec_idx, fact HAVING in_raw <> in_clean
+""")
+def qa_unfaithful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, names and acronyms of each section that are lost or added where the clean text is cut, tripled or has a tail."""
+    raw = with_headings(documents(spark, sf_dir))
+    own = lambda d: d.select("doc_id", F.posexplode(sections.split_sections(F.col("text"), "blog")).alias("sec_idx", "text"))
+    return qa.unfaithful(own(raw), own(raw.withColumn("text", F.expr(CLEAN))), ["doc_id", "sec_idx"])
 
 
 @query(f"SELECT page_id, length(html) - length(replace(html, '|', '')) AS bars, {sql_count("concat(chr(10), '```', chr(10), html)", '(?m)^```')} AS code, {sql_count(f"replace(html, '<p>', concat(chr(10), '| '))", '(?m)^[ \t\n\x0B\f\r]*\\|.*\\|[ \t\n\x0B\f\r]*$')} AS tables FROM pages")
@@ -391,7 +464,7 @@ BLANK = "CASE WHEN doc_id % 50 = 7 THEN concat(' ', chr(10)) ELSE text END"
 
 @query(f"""
     WITH s AS ({sql_sections('#{2,3} ').replace('FROM documents', f"FROM (SELECT doc_id, {HEADED} AS text FROM documents)").replace(HEADED + ", '(?m)", BLANK + ", '(?m)")})
-    SELECT d.doc_id, coalesce(string_agg(CASE WHEN length(section) % 7 = 0 THEN concat('[CLEANUP FAILED]', chr(10), chr(10), section)
+    SELECT d.doc_id, coalesce(string_agg(CASE WHEN length(section) % 7 = 0 THEN concat({sql_literal(model.FAILED)}, section)
         ELSE {sql_strip(f"regexp_replace(section, '{WS}{{2,}}', ' ', 'g')")} END, concat(chr(10), chr(10)) ORDER BY sec_idx), '') AS text,
         count(section) AS n_sections, count(*) FILTER (WHERE length(section) % 7 = 0) AS n_failed
     FROM documents d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY d.doc_id
@@ -401,19 +474,19 @@ def clean_corpus_fake_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.clean_documents(d, ["doc_id"], "blog", "", echo_client, max_chars=1_000_000, sleep=lambda s: None)
 
 
-@query("""SELECT doc_id, concat('{"model":"qwen3.5:9b","system":"S","prompt":"', doc_id, '","stream":false,"think":false,"options":{"temperature":0.2,"num_ctx":8192}}') AS request FROM documents""")
+@query("SELECT doc_id, concat(" + sql_text('{"model":"' + model.MODEL + '","system":"S","prompt":') + ", CAST(to_json(text) AS VARCHAR), " + sql_text(f',"stream":false,"think":false,"options":{{"temperature":{model.TEMPERATURE},"num_ctx":{model.NUM_CTX}}}}}') + ") AS request FROM documents")
 def request_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select("doc_id", model.request_json(F.lit("S"), F.col("doc_id").cast("string")).alias("request"))
+    return documents(spark, sf_dir).select("doc_id", model.request_json(F.lit("S"), F.col("text")).alias("request"))
 
 
 @query("""
-    SELECT doc_id, doc_id * 1000000 / 1e9 AS prefill_s, (doc_id % 3) / 1e9 * 1e9 AS decode_s, doc_id % 100 AS prefill_tokens, CAST(0 AS BIGINT) AS decode_tokens,
-           CASE WHEN doc_id = 0 THEN 0.0 ELSE (doc_id % 100) / (doc_id * 1000000 / 1e9) END AS prefill_rate, doc_id % 4 = 0 AS truncated FROM documents
+    SELECT doc_id, n_chars * 1000000 / 1e9 AS prefill_s, length(text) % 3 / 1e9 * 1e9 AS decode_s, n_chars % 100 AS prefill_tokens, CAST(0 AS BIGINT) AS decode_tokens,
+           CASE WHEN n_chars = 0 THEN 0.0 ELSE (n_chars % 100) / (n_chars * 1000000 / 1e9) END AS prefill_rate, n_chars % 4 = 0 AS truncated FROM documents
 """)
 def response_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    id_ = F.col("doc_id")
-    fields = F.struct((id_ * 1000000).alias("prompt_eval_duration"), (id_ % 3 * 1000000000).alias("eval_duration"), (id_ % 100).alias("prompt_eval_count"), F.when(id_ % 4 == 0, "length").otherwise("stop").alias("done_reason"))
-    out = documents(spark, sf_dir).select("doc_id", model.response_timings(F.to_json(fields)).alias("t"))
+    n = F.col("n_chars")
+    fields = F.struct((n * 1000000).alias("prompt_eval_duration"), (F.length("text").cast("long") % 3 * 1000000000).alias("eval_duration"), (n % 100).alias("prompt_eval_count"), F.when(n % 4 == 0, "length").otherwise("stop").alias("done_reason"))
+    out = table(spark, sf_dir, "documents").select("doc_id", model.response_timings(F.to_json(fields)).alias("t"))
     return out.select("doc_id", "t.prefill_s", "t.decode_s", "t.prefill_tokens", "t.decode_tokens", "t.prefill_rate", "t.truncated")
 
 
@@ -424,14 +497,28 @@ def prepare_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT stem, url, html FROM (SELECT concat('cloudflare-replatforming-', n) AS stem, concat('https://ebpf.io/blog/cloudflare-replatforming-', n, '/') AS url, true AS html FROM range(1, 4) t(n)
-        UNION ALL SELECT concat(lpad(CAST(i - 1 AS VARCHAR), 2, '0'), '_', lower(p)), concat('https://raw.githubusercontent.com/wiki/facebook/rocksdb/', p, '.md'), false
-        FROM (SELECT unnest(l) AS p, unnest(range(1, 17)) AS i FROM (SELECT string_split('""" + " ".join(recipe.WIKI.pages) + """', ' ') AS l)))
-    WHERE contains(url, 'ing-2') OR NOT html
+    SELECT page_id, string_split(regexp_replace(url, '/+$', ''), '/')[-1] AS stem, lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/?#]*)', 1)) AS host
+    FROM pages WHERE contains(url, 'a') AND page_id NOT IN (SELECT page_id FROM pages WHERE page_id % 3 = 0)
 """)
-def download_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = recipe.manifest(spark, recipe.BLOG).unionByName(recipe.manifest(spark, recipe.WIKI))
-    return files.with_needle(rows.filter("html"), "ing-2", "url").unionByName(rows.filter("not html"))
+def fetch_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is still to be fetched of pages by a part of their URL, with the hosts that are asked."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", noise.slug_from_url(F.col("url")).alias("stem"))
+    todo = model.pending(files.with_needle(pages, "a", "url"), pages.filter("page_id % 3 = 0").select("page_id"), ["page_id"])
+    return todo.select("page_id", "stem", files.host(F.col("url")).alias("host"))
+
+
+@query(f"SELECT doc_id, CASE WHEN {sql_strip('t')} = '' THEN source ELSE {sql_strip(f"string_split_regex({sql_strip('t')}, '{EOL}')[1]")} END AS title FROM (SELECT doc_id, source, CASE WHEN doc_id % 9 = 0 THEN concat(' ', chr(10)) ELSE concat(chr(10), chr(9), text) END AS t FROM documents)")
+def title_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.expr("CASE WHEN doc_id % 9 = 0 THEN concat(' ', chr(10)) ELSE concat(chr(10), chr(9), text) END")
+    return table(spark, sf_dir, "documents").select("doc_id", files.title_of(found, F.col("source")).alias("title"))
+
+
+@query(f"SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'Base.' ELSE concat('Base.', chr(10), chr(10), {sql_strip('text')}) END AS system FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id")
+def system_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base prompt, and its extension where there is one: here the text of the documents that have labels."""
+    docs = documents(spark, sf_dir)
+    extensions = docs.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi").withColumnRenamed("text", "extension")
+    return docs.select("doc_id").join(extensions, "doc_id", "left").select("doc_id", model.prompt(F.lit(" Base.\n"), F.col("extension")).alias("system"))
 
 
 FENCED = "CASE WHEN turn % 2 = 1 THEN concat('Here:', chr(10), '```python', chr(10), text, CASE WHEN conv_id % 10 = 0 THEN concat(chr(10), '```', chr(10), 'inner', chr(10)) ELSE chr(10) END, '```', chr(10), 'end') ELSE text END"
@@ -466,3 +553,34 @@ def encode_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = table(spark, sf_dir, "documents").select(F.col("source").alias("asked")).union(spark.createDataFrame([(x,) for x in ("mp3", "opus", "ogg", "m4a", "wav")], "asked string")).distinct()
     known = F.broadcast(audio.formats(spark).select(F.col("fmt").alias("asked"), "codec"))
     return asked.join(known, "asked", "left").select("asked", "codec", F.col("codec").isNotNull().alias("known"))
+
+
+CHAPTERS = f"source AS corpus, {{name}} AS stem, concat(source, '_book') AS book_stem, CAST(n_chars AS {{string}}) AS made_of"
+
+
+@query(f"""
+    WITH c AS (SELECT {CHAPTERS.format(name=DUCK_NAME, string='VARCHAR')}, doc_id FROM documents),
+    done AS (SELECT corpus, stem FROM c WHERE doc_id % 3 <> 0 AND doc_id % 5 <> 0 AND corpus <> 'src1'),
+    todo AS (SELECT corpus, stem FROM c WHERE corpus <> 'src2' AND (corpus, stem) NOT IN (SELECT corpus, stem FROM done))
+    SELECT corpus, stem, false AS is_book FROM todo
+    UNION ALL SELECT corpus, concat(corpus, '_book'), true FROM c WHERE corpus <> 'src2' GROUP BY corpus HAVING count(*) > 1
+""")
+def audio_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chapters and books that are not encoded as they are now: of a corpus that has all of them, and its book, nothing; where a
+    chapter is new or its text has changed, that chapter and the book."""
+    own = table(spark, sf_dir, "documents").selectExpr("doc_id", *CHAPTERS.format(name=SPARK_NAME, string="string").replace(", concat(source", "|concat(source").replace(", CAST(n_chars", "|CAST(n_chars").replace("corpus, concat", "corpus|concat").split("|"))
+    chapters = own.drop("doc_id")
+    older = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("-"), "made_of")).otherwise(F.col("made_of"))
+    made = own.filter("doc_id % 3 <> 0 AND corpus <> 'src1'").select("corpus", "stem", older.alias("made_of"))
+    whole = audio.works(chapters.filter("corpus = 'src2'")).drop("is_book")
+    return audio.unmade(audio.works(chapters), made.unionByName(whole)).drop("made_of")
+
+
+@query(f"""
+    WITH c AS (SELECT source AS corpus, {DUCK_NAME} AS stem, 2 * n_chars AS n_bytes FROM documents)
+    SELECT corpus, stem, n_bytes, CAST(44 + coalesce(sum(n_bytes) OVER (PARTITION BY corpus ORDER BY stem ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM c
+""")
+def book_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each chapter's frames lie in the file of its corpus's book."""
+    chapters = table(spark, sf_dir, "documents").select(F.col("source").alias("corpus"), F.expr(SPARK_NAME).alias("stem"), (2 * F.col("n_chars")).alias("n_bytes"))
+    return starts(chapters, ["corpus"], ["stem"], "n_bytes").withColumn("start", F.col("start") + audio.HEADER_BYTES)

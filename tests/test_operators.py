@@ -12,6 +12,18 @@ from inkloom.sources import files
 SPACES = [chr(c) for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
+# Pages and their Markdown.
+GOLDEN_PAGES = [
+    ("<p>a</p><pre><code>x=1</code></pre><p>b</p>", "a\n```\n```\nb"),
+    ("<p>lost<p>kept</p>tail", "kept"),
+    ("<ul><li><p>x</p></li><li>y</li></ul>", "x\n- y"),
+    ("<blockquote>a<pre>c</pre>d</blockquote>", "```\n```\n> acd"),
+    ("<h2>T</h2><p>a</p><h3>Share on  social media:</h3><p>z</p>", "## T\na"),
+    ("<div>orphan</div><h2>H</h2>", "## H"),
+    ("<h2>use <code>x</code></h2><p>no &lt;b&gt; &amp;amp;</p>", "## use `x`\nno <b> &amp;"),
+]
+
+
 def texts(spark, values):
     return spark.createDataFrame(list(enumerate(values)), "id int, t string").coalesce(1)
 
@@ -63,8 +75,8 @@ def test_matches_are_replaced_in_one_pass(spark):
 
 
 def test_pages_to_markdown(spark):
-    got = column(texts(spark, [h for h, _ in catalogue.GOLDEN_PAGES] + [None]), markdown.html_to_markdown(F.col("t")))
-    assert got == [m for _, m in catalogue.GOLDEN_PAGES] + [None]
+    got = column(texts(spark, [h for h, _ in GOLDEN_PAGES] + [None]), markdown.html_to_markdown(F.col("t")))
+    assert got == [m for _, m in GOLDEN_PAGES] + [None]
     assert markdown.to_markdown("<pre>x=1</pre>", keep_code=True) == "```\nx=1\n```"
 
 

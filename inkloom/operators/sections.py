@@ -62,12 +62,6 @@ def explode_chunks(docs: DataFrame, kind: Split | None, max_chars: int = MAX_SEC
     return out.select(*keep, "sec_idx", F.posexplode_outer(chunks(F.col("section"), max_chars, hard_limit)).alias("chunk_idx", "text"))
 
 
-def reassemble(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Chunks back in order, joined by an empty line."""
-    ordered = F.array_sort(F.collect_list(F.struct("sec_idx", "chunk_idx", "text")))
-    return parts.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x["text"]), "\n\n").alias("text"))
-
-
 def splitter(split: Callable[[str], Iterator[str]]):
     """A table function of a text: sec_idx, section of what split yields, blank ones left out and the others stripped. For splits that
     no column states; joined laterally it keeps a document's other columns beside its sections."""

@@ -39,6 +39,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def sql_text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
 # -- adapters: the same expression on both sides ---------------------------------------
 
 HALF_OR_THRICE = "CASE WHEN doc_id % 5 = 0 THEN substring(text, 1, CAST(floor(length(text) / 2.0) AS int)) WHEN doc_id % 5 = 1 THEN concat(text, chr(10), text, chr(10), text) ELSE text END"
@@ -48,10 +52,6 @@ FRAGMENT = """CASE doc_id % 8 WHEN 0 THEN concat('x [[A]] y', chr(1), '[[', chr(
     WHEN 5 THEN concat(chr(10), '### H ###', chr(10), 'z') WHEN 6 THEN concat(chr(10), '##### Author: N', chr(10), 'z') ELSE concat('a[19, 94] b[7]<sup>1</sup><br>c', chr(1), 'd') END"""
 
 
-def sql_text(x: str) -> str:
-    return "'" + x.replace("'", "''") + "'"
-
-
 #: A line for each rule of page furniture, and one that has such a part within it.
 FURNITURE_LINES = ["**26**", "26:3", "S. Dong et al.", noise.FULL_LINES[-1], *[p + " and more" for p in noise.LINE_STARTS], "see " + noise.LINE_PARTS[0] + "/x", "kept 26:3", "kept " + noise.LINE_STARTS[0]]
 FURNITURE = "CASE WHEN doc_id % 3 = 0 THEN concat(" + ", ".join(f"chr(10), {sql_text(x)}" for x in FURNITURE_LINES) + ", chr(10), '## **REFERENCES**', chr(10), 'gone') ELSE '' END"
@@ -119,6 +119,11 @@ def qa_markdown_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", *[F.col("r")[p].alias(n) for n, p in names.items()], qa.residue_total(F.col("r")).alias("total"))
 
 
+@query("SELECT doc_id, CASE WHEN shown = '' THEN '0' ELSE shown END AS residue FROM (SELECT doc_id, concat_ws(', ', " + ", ".join(f"CASE WHEN {sql_count(CLEAN, sql_p)} > 0 THEN concat({sql_text(p)}, '=', {sql_count(CLEAN, sql_p)}) END" for p, sql_p in zip(qa.RESIDUE, ("#", r"\*\*", "`", f"(?m)^{WS}*\\|", r"\]\(", "http"), strict=True)) + ") AS shown FROM documents)")
+def qa_residue_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).select("doc_id", qa.shown(qa.markdown_residue(F.expr(CLEAN))).alias("residue"))
+
+
 @query(f"WITH {SQL_CHECKED} SELECT doc_id, orphan_numbers FROM report")
 def qa_orphan_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", qa.orphan_numbers(qa.stripped_lines(F.expr(CLEAN))).alias("orphan_numbers"))

@@ -8,34 +8,32 @@ from pyspark.sql import functions as F
 
 from inkloom.operators.model import MODEL, TEMPERATURE, Client, code_block, request_of
 from inkloom.operators.sections import sample_text
-from inkloom.sources.files import exists
+from inkloom.sources.files import exists, write_texts
 
 # Context and patience for the one long request.
 NUM_CTX, TIMEOUT_S = 32768, 1200
 SAMPLE_SUFFIXES = (".md", ".html", ".txt")
 
-#: What the sample is embedded in; {playbook}, {sample} and {name} are put in.
-TEMPLATE = """How documents become narration here:
+#: What the sample is embedded in; {playbook}, {sample} and {name} are put in. It asks for the fields of a Recipe.
+TEMPLATE = """A corpus named "{name}" needs a Recipe. Its stages are described here:
 
 <PLAYBOOK>
 {playbook}
 </PLAYBOOK>
 
-The head and the middle of a new document:
+This is one of its documents, in parts:
 
 <SAMPLE>
 {sample}
 </SAMPLE>
 
-Look at its structure, then say:
-1. at which heading levels its sections begin,
-2. which noise has to go, and where it is,
-3. which code, tables, equations and figures it has,
-4. how long a chunk may become,
-5. whether the default prompt needs an extension, and which.
+Decide each field of the Recipe from what you see, with a sentence of reason:
+- kind, one of paper, blog and wiki, where its headings are those of one; otherwise split, a function of a text column
+  that returns an array of sections, which also takes out what no listener needs;
+- prompt, only where code, tables, equations or figures, or terms that are hard to say, need more than the shared prompt;
+- num_ctx, where a section may be long.
 
-Give a plan of five to ten lines. After it, write the recipe of the corpus "{name}" as one ```python block:
-a Recipe whose split is the only thing particular to this document.
+End with the Recipe alone in a ```python block.
 """
 
 
@@ -72,8 +70,8 @@ def read_sample(spark: SparkSession, path: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession, path: str, name: str, playbook: str, client: Client | None, out: str | None = None, first: int = 200, middle: int = 200, model: str = MODEL) -> Prepared:
-    """The prompt and, with a client, the model's answer and the recipe in it, saved as text in the folder
-    out/name. The recipe is never run. Without a fenced block nothing is saved."""
+    """The prompt and, with a client, the model's answer and the recipe in it, saved as the file
+    out/name.py. The recipe is never run. Without a fenced block nothing is saved."""
     sample = read_sample(spark, path).select(build_prompt(F.lit(name), sample_text(F.col("text"), first, middle), playbook).alias("prompt"))
     prompt = sample.first()["prompt"]
     if client is None:
@@ -82,8 +80,8 @@ def prepare(spark: SparkSession, path: str, name: str, playbook: str, client: Cl
     row = spark.createDataFrame([(response,)], "response string").select(code_block(F.col("response")).alias("code")).first()
     code, saved = row["code"], None
     if code and out:
-        saved = f"{out.rstrip('/')}/{name}"
+        saved = f"{out.rstrip('/')}/{name}.py"
         if exists(spark, saved):
             raise FileExistsError(saved)
-        spark.createDataFrame([(code,)], "value string").coalesce(1).write.text(saved)  # with one line feed more
+        write_texts(spark.createDataFrame([(name, code + "\n")], "stem string, text string"), out, ".py")  # with one line feed more
     return Prepared(prompt, response, code, saved, cut_off)

@@ -376,3 +376,51 @@ def test_encoder_by_pipes(tmp_path, monkeypatch):
     with pytest.raises(OSError, match="lost"):
         list(audio.encode((x if k < 3 else (_ for _ in ()).throw(OSError("lost")) for k, x in enumerate(data)), "libopus", "48k"))
     assert list(audio.cut([b"abc", b"", b"defgh"], 3)) == [b"abc", b"def", b"gh"]
+
+
+def test_papers_from_pdf(spark, tmp_path):
+    """A converter in place of the one that is not here; furniture goes, one line feed is added, a second run converts nothing."""
+    (tmp_path / "source" / "p").mkdir(parents=True)
+    for name in ("one", "two"):
+        (tmp_path / "source" / "p" / f"{name}.pdf").write_bytes(name.encode())
+    (tmp_path / "source" / "p" / "note.txt").write_text("no")
+    used, converted = Counted(spark), spark.sparkContext.accumulator(0)
+
+    def pdf(data):
+        converted.add(1)
+        return f"## {data.decode()}.\n**26**\nText [3].\n## **REFERENCES**\ngone"
+
+    paper = recipe.Recipe("p", "Papers", "paper", prompt="P")
+    for _ in range(2):
+        chain.run(spark, str(tmp_path), paper, used.tools(pdf=pdf), ["clean", "audio"])
+        c = chain.Chain(spark, str(tmp_path), [paper], used.tools())
+        assert sorted((r["stem"], r["text"]) for r in c.read("raw").collect()) == [("one", "## one.\nText .\n"), ("two", "## two.\nText .\n")]
+        assert converted.value == 2
+
+
+def test_model_server(spark):
+    """Requests as a server gets them, its answers, and its failures as values of their sections."""
+    import json
+
+    from inkloom.operators import model
+
+    class Model(BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            ok = "bad" not in asked["prompt"] and self.headers["Content-Type"] == "application/json"
+            self.send_response(200 if ok else 500)
+            self.end_headers()
+            self.wfile.write(json.dumps({"response": f"{asked['system']}: {asked['prompt']}", "done_reason": "stop"}).encode() if ok else b"")
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Model)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        client = model.http_client(f"http://127.0.0.1:{server.server_address[1]}/api/generate", 30)
+        docs = spark.createDataFrame([("a", "fine"), ("b", "bad")], "stem string, text string")
+        got = {r["stem"]: (r["text"], r["n_failed"]) for r in model.clean_documents(docs, ["stem"], "blog", "S", client, retries=1, sleep=lambda s: None).collect()}
+    finally:
+        server.shutdown()
+    assert got == {"a": ("S: fine", 0), "b": ("[CLEANUP FAILED]\n\nbad", 1)}

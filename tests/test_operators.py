@@ -150,7 +150,7 @@ def test_prepare(spark, tmp_path):
     (tmp_path / "doc.md").write_text("\n".join(map(str, range(1000))))
     path, asked = str(tmp_path / "doc.md"), []
     only = prepare.prepare(spark, path, "new", "P {name}", None)
-    assert "P {name}" in only.prompt and "600 lines omitted" in only.prompt and '"new"' in only.prompt and only.response is None
+    assert "P {name}" in only.prompt and "600 lines omitted" in only.prompt and 'named "new"' in only.prompt and only.response is None
 
     def client(request):
         asked.append(request)
@@ -158,8 +158,10 @@ def test_prepare(spark, tmp_path):
 
     done = prepare.prepare(spark, path, "new", "P", client, str(tmp_path / "recipes"))
     assert (done.code, done.cut_off, len(asked), asked[0]["options"]["num_ctx"]) == ("x = 1\n", True, 1, 32768)
-    assert "system" not in asked[0] and spark.read.text(done.saved, wholetext=True).first()[0] == "x = 1\n\n"
+    assert "system" not in asked[0] and (tmp_path / "recipes" / "new.py").read_bytes() == b"x = 1\n\n" and done.saved.endswith("/new.py")
     assert prepare.prepare(spark, path, "other", "P", lambda r: {"response": "none"}, str(tmp_path / "recipes")).saved is None
+    with pytest.raises(FileExistsError):
+        prepare.prepare(spark, path, "new", "P", client, str(tmp_path / "recipes"))
     with pytest.raises(OSError):
         prepare.prepare(spark, path, "other", "P", lambda r: (_ for _ in ()).throw(OSError("no")))
     with pytest.raises(ValueError):

@@ -1,4 +1,5 @@
 import random
+import re
 import sys
 from pathlib import Path
 
@@ -481,7 +482,10 @@ def test_main_text_without_article():
     assert text(f"<div><p>{say(300)}</p></div>") == say(300)
     assert text(f"<h1>Big Title</h1><p>{say(300)}</p>") == f"Big Title\n{say(300)}"
     assert text(f"<p>{say(10)}</p><p>{say(300)}</p><p>{say(10)}</p>").count("word") >= 300
-    assert text(f"<p>{say(7)}</p><p>{say(9)}</p><p>{say(12)}</p>") == ""
+    assert text(f"<p>{say(7)}</p><p>{say(9)}</p><p>{say(12)}</p>").count("word") == 28  # there is nothing longer on the page
+    assert text(f"<p>{say(7)}</p><p>{say(9)}</p><p>{say(12)}</p>{links}<p>{say(8)}</p>{links}<p>{say(90)}</p>") == say(90)
+    steps = "<ol>" + "".join(f"<li>{say(5)}</li>" for _ in range(6)) + "</ol>"
+    assert text(f"<nav>{links}</nav>{f'<p>{say(12)}</p>' * 3}{steps}<div class=footer>{say(6)}</div>").split("\n") == [say(12)] * 3 + [say(5)] * 6
     assert text(f"{links}<p>{say(60)}</p>{links}") == say(60)
     assert text(f"<p>{say(90)}</p><p><a href=x>{say(30)}</a></p><p>{say(80)}</p>") == f"{say(90)}\n{say(80)}"
     assert text(f"<p>{say(90)}</p><ul><li><a href=x>One more</a></ul><p>{say(80)}</p>") == f"{say(90)}\n{say(80)}"
@@ -489,6 +493,60 @@ def test_main_text_without_article():
     assert text(links) == text(f"<p>{say(5)}</p>{links}") == ""
 
 
+@pytest.mark.parametrize("name", ["post hentry category-social-media tag-search", "post hentry category-notices", "news-alert", "story tag-related", "article-header-v2"])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_an_article_s_own_names_tell_of_its_topic(tag, name):
+    tree = html_text.grow(html_text.LABELLED)
+    page = f'<nav><a href=x>Home</a></nav><{tag} class="{name}"><h1>Short heading</h1><p>{"word " * 60}</p><p>Be.</p></{tag}><footer>me</footer>'
+    assert html_text.main_text(page, tree) == "Short heading\n" + ("word " * 60).strip() + "\nBe."
+    assert html_text.main_text(page.replace(name, "comment"), tree) == ""
+
+
+def test_parts_within_a_line_and_names_of_doubt():
+    tree = html_text.grow(html_text.LABELLED)
+    long = ("word " * 60).strip()
+    page = f'<article><p>Before <button>Buy <b>now</b></button>after <span class="advert">Buy this</span>the end.</p><div class="gdpr-bar">{long}</div><p>{long}</p></article><section id="discussion"><p>{long}</p></section>'
+    assert html_text.main_text(page, tree) == f"Before after the end.\n{long}"
+    assert html_text.main_text(f'<article><p>{long}</p><section id="discussion"><h2>Discussion</h2><p>{long}</p></section></article>', tree) == f"{long}\nDiscussion\n{long}"
+    assert html_text.main_text(f'<div class="body-header-wrap"><p>{long}</p><p>{long}</p></div><div class="x-footer-text"><p>Some short words</p></div>', tree) == f"{long}\n{long}"
+
+
+def test_blocks_against_a_plain_version():
+    """Random nested pages whose texts are known: each stretch between block tags is a block, with its words, links and markup."""
+    r = random.Random(12)
+
+    def node(depth, inside, outside, heading, link, events):
+        kind = r.choice(["text", "text", "p", "div", "li", "b", "a", "h2", "article", "aside", "section"]) if depth else "text"
+        if kind == "text":
+            words = [f"w{r.randrange(99)}" for _ in range(r.randint(0, 5))]
+            events.append((" " + " ".join(words) + " ", len(words), len(words) * link, inside, outside, heading))
+            return events[-1][0]
+        block = kind not in ("b", "a")
+        if block:
+            events.append(None)
+        inner = "".join(node(depth - 1, inside or kind == "article", 2 if kind == "aside" else outside, heading or kind == "h2", link or kind == "a", events) for _ in range(r.randint(1, 4)))
+        if block:
+            events.append(None)
+        return f"<{kind}>{inner}</{kind}>"
+
+    for _ in range(300):
+        events = []
+        page = "".join(node(4, False, 0, False, False, events) for _ in range(3))
+        if "<h2" in page and re.search(r"<h2>(?:(?!</h2>).)*<(?:p|div|li|h2|article|aside|section)>", page) or re.search(r"<a>(?:(?!</a>).)*<a>", page):
+            continue  # markup that no page has, and that the two read in different ways
+        want, run = [], []
+        for e in [*events, None]:
+            if e is not None:
+                run.append(e)
+                continue
+            text = " ".join("".join(x[0] for x in run).split())
+            if text:
+                last = run[-1]
+                want.append((text, sum(x[1] for x in run), sum(x[2] for x in run), int(last[3]), last[4], int(last[5])))
+            run = []
+        assert html_text.blocks(page) == want, page
+
+
 @pytest.mark.parametrize("name", ["content-sidebar-wrap", "has-sidebar", "page-header-fixed", "with-comments wide"])
 def test_article_in_a_marked_wrapper(name):
     tree = html_text.grow(html_text.LABELLED)

@@ -2,12 +2,15 @@
 
 Four kinds have a fixed definition and are always reported. Three more are reported
 when their score reaches THRESHOLD: IBANs, confirmed by mod-97; American social security
-numbers, confirmed by the number ranges in use; and secrets such as tokens and keys, runs
-of letters and digits that are confirmed by their entropy. Without a context word near
+numbers, confirmed by the number ranges in use; and secrets: private keys between their
+PEM lines, confirmed by what the first bytes say; tokens and keys, runs of letters and digits
+of any length, confirmed by their entropy; and shorter values behind "password:" and the
+like, confirmed by the kinds of characters they mix. Without a context word near
 them, numbers of the last two kinds are not reported, but for secrets whose own prefix
 tells what they are.
 """
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -38,7 +41,7 @@ CONTEXT_WORDS = {
     "phone": ("phone", "tel", "call", "mobile", "fax", "telefon", "teléfono", "téléphone"),
     "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
     "ssn": ("ssn", "social", "security"),
-    "secret": ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "access_key", "secret_key", "access_token", "auth_token", "auth", "bearer", "credential", "credentials"),
+    "secret": ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "access_key", "secret_key", "access_token", "auth_token", "auth", "bearer", "credential", "credentials", "passphrase", "passcode", "passwort", "contraseña"),
 }
 # Length of an IBAN by country, all that use one.
 IBAN_LENGTH = {
@@ -62,9 +65,20 @@ IBAN_REST = {n: re.compile(rf"(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for
 SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 DIGIT = re.compile(r"[0-9]")
 LETTER = re.compile(r"[A-Za-z]")
-SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,512}+={0,2}(?![A-Za-z0-9+/_=-])")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])")
+# The lines around private keys, and how their bodies begin: as a DER sequence, or with the name of a format, maybe behind headers.
+PEM_OPENS = "-----BEGIN "
+PEM_HEAD = re.compile(r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY(?: BLOCK)?-----")
+PEM_TAIL = re.compile(r"-----END (?:[A-Z0-9]+ ){0,3}PRIVATE KEY(?: BLOCK)?-----")
+PEM_START = r"\s*(?:[A-Za-z-]+:[^\n]*\s+)*(?:MI|MC|MF|MH|MG|b3BlbnNzaC1rZXk|l[A-Za-z0-9+/])"
+PEM_BODY = re.compile(PEM_START + r"[A-Za-z0-9+/=\s]*\Z")
+PEM_LINES = re.compile(PEM_START + r"[A-Za-z0-9+/]*+={0,2}(?:\s*?\n[ \t]*[A-Za-z0-9+/]++={0,2}(?=\s*(?:\n|\Z)))*")
+#: A value behind the name of a secret, its least length, and the bits a character that it must have.
+NAMED = re.compile(r"(?i)\b(pass(?:word|wd|phrase|code)|pwd|secret|api[_-]?key|passwort|contraseña)\b[\"']?\s?[:=]\s?[\"']?([^\s\"']++)")
+VALUE_KINDS = (re.compile("[a-z]"), re.compile("[A-Z]"), DIGIT, re.compile("[^A-Za-z0-9]"))
+LEAST_PASSWORD, PASSWORD_BITS = 6, 2.0
 # How secrets of well-known services begin.
-SECRET_PREFIX = re.compile(r"AKIA[0-9A-Z]|gh[opsur]_|github_pat_|xox[abprs]-|sk-|sk_live_|glpat-|eyJ")
+SECRET_PREFIX = re.compile(r"-----BEGIN |AKIA[0-9A-Z]|gh[opsur]_|github_pat_|xox[abprs]-|sk-|sk_live_|glpat-|eyJ")
 
 
 def luhn(digits: str) -> bool:
@@ -133,18 +147,64 @@ def ssns(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
-def secrets(text: str) -> Iterator[tuple[int, int]]:
+def bits(own: str) -> float:
+    """Entropy of a character."""
+    n = len(own)
+    return -sum(k / n * math.log2(k / n) for k in Counter(own).values())
+
+
+def tokens(text: str) -> Iterator[tuple[int, int]]:
     for m in SECRET.finditer(text):
         own = m.group()
-        if DIGIT.search(own) and LETTER.search(own):
-            n = len(own)
-            if -sum(k / n * math.log2(k / n) for k in Counter(own).values()) >= SECRET_BITS:
-                yield m.span()
+        if DIGIT.search(own) and LETTER.search(own) and bits(own) >= SECRET_BITS:
+            yield m.span()
+
+
+def private_keys(text: str) -> Iterator[tuple[int, int]]:
+    """A key with both of its lines; where the last one is missing, as far as its own lines go. Its body starts as every encoded key
+    does, or names its own format."""
+    at, tail, more = text.find(PEM_OPENS), None, True
+    while at >= 0:
+        end = at + 1
+        if head := PEM_HEAD.match(text, at):
+            if more and (tail is None or tail.start() < head.end()):
+                tail = PEM_TAIL.search(text, head.end())
+                more = tail is not None
+            opens = text.find(PEM_OPENS, head.end(), tail.start()) if more else 0
+            if more and opens < 0 and PEM_BODY.match(text, head.end(), tail.start()):
+                end = tail.end()
+                yield at, end
+            elif lines := PEM_LINES.match(text, head.end()):
+                end = lines.end()
+                yield at, end
+        at = text.find(PEM_OPENS, end)
+
+
+def passwords(text: str) -> Iterator[tuple[int, int]]:
+    """The value behind a name that says so: at least two kinds of characters out of small and capital letters, digits and signs, and not one over and over."""
+    for m in NAMED.finditer(text):
+        own = m[2].rstrip(".,;:!?)]}\"'")
+        kinds = sum(bool(p.search(own)) for p in VALUE_KINDS)
+        if len(own) >= LEAST_PASSWORD and kinds >= 2 and bits(own) >= PASSWORD_BITS:
+            yield m.start(2), m.start(2) + len(own)
+
+
+def secrets(text: str) -> Iterator[tuple[int, int]]:
+    """By start, of those that overlap the first: keys, then tokens, then named values."""
+    taken: list[tuple[int, int]] = []
+    for some in (private_keys, tokens, passwords):
+        free = sorted(taken)
+        starts = [a for a, _ in free]
+        for a, b in some(text):
+            k = bisect.bisect_left(starts, b)
+            if not k or free[k - 1][1] <= a:
+                taken.append((a, b))
+    yield from sorted(taken)
 
 
 def score(kind: str, text: str, start: int, end: int) -> float:
     around = f"{text[max(0, start - CONTEXT) : start]} {text[end : end + CONTEXT]}".lower()
-    words = set(re.findall(r"[^\W\d_][\w-]*", around))
+    words = {w.strip("-") for w in re.findall(r"[^\W\d_][\w-]*", around)}
     known = PREFIXED * (kind == "secret" and SECRET_PREFIX.match(text, start) is not None)
     return round(min(1.0, PRIOR[kind] + CHECKSUM.get(kind, 0.0) + known + NEARBY * (not words.isdisjoint(CONTEXT_WORDS[kind]))), 3)
 
@@ -163,6 +223,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
             found += [("phone", *s) for s in phones(text)]
         found += [("iban", *s) for s in ibans(text)]
         found += [("ssn", *s) for s in ssns(text)]
+    if DIGIT.search(text) or PEM_OPENS in text or NAMED.search(text):
         found += [("secret", *s) for s in secrets(text)]
     scored = [(k, s, e, score(k, text, s, e)) for k, s, e in found]
     return [x for x in scored if x[0] in BASE_KINDS or x[3] >= THRESHOLD]
@@ -171,8 +232,8 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float]]:
 def pii_spans(docs: DataFrame) -> DataFrame:
     """doc_id and spans, an array of (kind, start, end, score), for every row of docs (doc_id, text).
 
-    A null or empty text has no spans. Long texts are read whole, in time that grows with
-    their length. Rows that repeat a doc_id each get a row.
+    A null or empty text has no spans, a row without doc_id no row. Long texts are read whole, in time that grows with
+    their length, and no span is too long to be found. Rows that repeat a doc_id each get a row.
     """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

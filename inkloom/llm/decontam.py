@@ -1,13 +1,13 @@
 """Benchmark decontamination by SimHash windows, with DataFrame functions only.
 
 Each benchmark item has a weighted set of shingles: five words each, weighted by how often
-they occur. A window of a document is as long as an item. Every window is formed, whatever
-its start, in which so many places hold a shingle of an item that it can reach the similarity
-with it; with fewer it cannot. Windows and items get 64-bit SimHash fingerprints and are joined by multi-index
+they occur. A window of a document is as long as an item. For each length that items have, every window is formed, whatever
+its start, in which so many places hold a shingle of some item of that length that it can reach the similarity
+with one; with fewer it cannot. Windows know no item. They and the items get 64-bit SimHash fingerprints and are met by multi-index
 blocks: of RADIUS + 1 blocks of bits at least one is equal in any two fingerprints within
-RADIUS, so the join misses none of those. A window beyond RADIUS of the item that it was formed
-for, as one with a shingle of great weight may be, is paired with it all the same: RADIUS sets the
-work of the index, never the result. The pairs are verified exactly: the sum of the smaller weights
+RADIUS, so the join misses none of those. Similar windows beyond the radius, as one with a shingle of great weight may be,
+are the fallback's: it pairs windows with the items whose shingles they share, where the index has not. So RADIUS sets the
+work of the index, never the result. All pairs are verified exactly: the sum of the smaller weights
 by the sum of the larger ones, over the shingles of both.
 
 Most places of most documents hold no shingle of any item. They are told by a bitmap of the items'
@@ -114,27 +114,41 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     d = d.select("doc_id", "row_hash", F.size("w").alias("size"), shingles(F.col("w")).alias("own"))
     d = d.withColumn("places", F.filter(F.transform(F.col("own"), lambda h, p: F.when(maybe_in(bits, n_words, h), p).otherwise(-1)), lambda p: p >= 0))
     windows = materialize(candidates(d, items, similarity, small).withColumn("print", fingerprint(F.col("own"))), "windows")
+    pairs = by_index(windows, items, radius, small).unionByName(by_shingles(windows, items, similarity, radius, small))
+    return best_windows(pairs, similarity)
 
-    same = ["n_words", "block"]
-    key = ["doc_id", "row_hash", "n_words", "start"]
-    left = windows.select(*key, "own", "print").dropDuplicates(key).withColumn("block", F.explode(blocks(F.col("print"), radius)))
+
+KEY = ["doc_id", "row_hash", "n_words", "start"]
+
+
+def by_index(windows: DataFrame, items: DataFrame, radius: int, small) -> DataFrame:
+    """KEY, item, item_id, own, item_own: windows and items of one length whose fingerprints are within the radius, through a block that both have."""
+    left = windows.withColumn("block", F.explode(blocks(F.col("print"), radius)))
     right = items.select("item", "item_id", "n_words", F.col("own").alias("item_own"), "item_print").withColumn("block", F.explode(blocks(F.col("item_print"), radius)))
-    near = left.join(small(right), same).filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
-    near = near.select(*key, "item", "item_id", "own", "item_own").dropDuplicates([*key, "item"])
-    beyond = windows.join(small(items.select("item", "item_id", F.col("own").alias("item_own"), "item_print")), "item")
-    beyond = beyond.filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) > radius)
-    near = near.unionByName(beyond.select(*near.columns))
-    return best_windows(near, similarity)
+    near = left.join(small(right), ["n_words", "block"]).filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
+    return near.select(*KEY, "item", "item_id", "own", "item_own").dropDuplicates([*KEY, "item"])
+
+
+def by_shingles(windows: DataFrame, items: DataFrame, similarity: float, radius: int, small) -> DataFrame:
+    """The same for pairs beyond the radius: windows and items of one length that share shingles, so many as the similarity takes where an item has none twice."""
+    once = F.size(F.array_distinct("own")) == F.size("own")
+    right = items.select("item", "n_words", once.alias("once"), F.size("own").alias("m"), "item_print", F.explode(F.array_distinct("own")).alias("h"))
+    met = windows.select(*KEY, "print", F.size("own").alias("n"), F.explode(F.array_distinct("own")).alias("h")).join(small(right), ["n_words", "h"])
+    met = met.filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) > radius)
+    least = F.when(F.col("once"), F.ceil(similarity / (1 + similarity) * (F.col("m") + F.col("n")) - 1e-9)).otherwise(1)
+    far = met.groupBy(*KEY, "item").agg(F.count("*").alias("both"), F.min(least).alias("least")).filter("both >= least").select(*KEY, "item")
+    own = far.join(windows.select(*KEY, "own"), KEY)
+    return own.join(small(items.select("item", "item_id", F.col("own").alias("item_own"))), "item").select(*KEY, "item", "item_id", "own", "item_own")
 
 
 def candidates(d: DataFrame, items: DataFrame, similarity: float, small) -> DataFrame:
-    """doc_id, row_hash, item, n_words, start, own: the windows that can reach the similarity with an item.
+    """KEY, own: each window once that can reach the similarity with some item of its length, for all that its places say.
 
     A window of n shingles and an item of m must share similarity / (1 + similarity) * (n + m) of them
     at least. Windows are gathered by the stretch of m shingles that they start in; each has what
     it takes to form them.
     """
-    at = items.select(F.explode(F.array_distinct("own")).alias("h"), "item", "n_words", F.size("own").alias("m"))
+    at = items.select(F.explode(F.array_distinct("own")).alias("h"), "n_words", F.size("own").alias("m")).distinct()
     # An inner explode would have the optimizer test the array in a filter of its own, and compute all of it twice.
     hits = d.select("doc_id", "row_hash", "size", "own", F.explode_outer("places").alias("p"))
     hits = hits.withColumn("h", F.get("own", F.col("p"))).join(small(at), "h")
@@ -142,7 +156,7 @@ def candidates(d: DataFrame, items: DataFrame, similarity: float, small) -> Data
     last = F.greatest(F.lit(0), F.col("size") - F.col("n_words"))
     hits = hits.withColumns({"need": F.greatest(F.lit(1), need), "last": last, "stretch": F.floor(F.col("p") / F.col("m")).cast("int")})
     hits = hits.withColumn("stretch", F.explode(F.array_distinct(F.array("stretch", F.greatest(F.lit(0), F.col("stretch") - 1)))))
-    key = ["doc_id", "row_hash", "item", "n_words", "m", "stretch", "need", "last"]
+    key = ["doc_id", "row_hash", "n_words", "m", "stretch", "need", "last"]
     part = F.slice("own", F.col("stretch") * F.col("m") + 1, 2 * F.col("m"))
     found = hits.select(*key, "p", part.alias("part")).groupBy(*key).agg(F.sort_array(F.collect_set("p")).alias("ps"), F.first("part").alias("part"))
     low = lambda i: F.greatest(F.col("stretch") * F.col("m"), F.get("ps", i + F.col("need") - 1) - F.col("m") + 1)
@@ -150,7 +164,7 @@ def candidates(d: DataFrame, items: DataFrame, similarity: float, small) -> Data
     between = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
     starts = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size("ps") - F.col("need")), lambda i: between(low(i), high(i)))))
     found = found.filter(F.size("ps") >= F.col("need")).withColumn("start", F.explode(starts))
-    return found.select("doc_id", "row_hash", "item", "n_words", "start", F.slice("part", F.col("start") - F.col("stretch") * F.col("m") + 1, F.col("m")).alias("own"))
+    return found.select(*KEY, F.slice("part", F.col("start") - F.col("stretch") * F.col("m") + 1, F.col("m")).alias("own"))
 
 
 def counted(own: Column, h: Column) -> Column:

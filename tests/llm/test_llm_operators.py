@@ -168,6 +168,25 @@ def test_filter_has_no_false_negatives():
     assert exact_dedup.filter_has(exact_dedup.filter_of(keys, 5000), keys, 5000).all()
 
 
+def test_levels_of_compaction(spark, docs, monkeypatch):
+    """Many groups of runs, coarse and fine shards: the result is the same, and segments do not grow as the rows squared."""
+    for name, value in (("SEGMENT_ROWS", 8), ("LEAST_RUNS", 2), ("MERGE_ROWS", 16), ("SHARD_ROWS", 10)):
+        monkeypatch.setattr(exact_dedup, name, value)
+    rows = [(i + 1000 * k, None if t is None else t + str(k)) for k in range(3) for i, t in docs]
+    seen = {}
+    stored = exact_dedup.materialize
+    monkeypatch.setattr(exact_dedup, "materialize", lambda df, label: seen.setdefault(label, stored(df, label)))
+    out = exact_dedup.exact_dedup(frame(spark, rows), memtable_rows=8).collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"], bytes(r["digest"]).hex()) for r in out) == plain.exact(rows)
+    runs, merged = seen["runs"], seen["merged-runs"]
+    assert runs.select("run").distinct().count() > merged.select("run").distinct().count() > 1
+    assert merged.select("shard").distinct().count() > runs.select("shard").distinct().count() > 1
+    monkeypatch.undo()
+    for n_shards in (1, 8, 2000, 100_000):
+        levels = exact_dedup.Levels(n_shards, 65_536)
+        assert levels.runs * 65_536 / n_shards >= exact_dedup.SEGMENT_ROWS and levels.runs * 65_536 / levels.coarse <= exact_dedup.MERGE_ROWS
+
+
 def test_line_dedup_and_its_way_back(spark, docs):
     d = frame(spark, docs)
     index = line_dedup.build_index(d)

@@ -28,7 +28,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without the lines that at least three of them have, but for the largest doc_id of each. Rows that
     repeat a doc_id are one document; null ids go; a text that loses all its lines is empty."""
-    out = line_dedup.drop_repeated_lines(docs, line_dedup.build_index(docs))
+    out = line_dedup.drop_repeated_lines(docs, line_dedup.build_index(docs), indexed=True)
     return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 

@@ -374,7 +374,7 @@ def cells_of(big: DataFrame, texts: DataFrame, level: int) -> DataFrame:
     pivots = big.groupBy("region", "total", bucket).agg(F.min(rank).alias("p")).select("region", "total", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(True).alias("pivot"), F.col("p.set_id").alias("set_id"))
     members = big.select("region", "total", F.pmod(F.xxhash64("set_id"), salts).cast("int").alias("salt"), F.lit(False).alias("pivot"), "set_id")
     dealt = pivots.unionByName(members).join(texts.hint("merge"), "set_id")
-    return dealt.repartition(shards(big.sparkSession), "region", "salt").sortWithinPartitions("region", "salt", F.desc("pivot")).mapInPandas(cutting, CUT)
+    return dealt.repartition(shards_for(dealt), "region", "salt").sortWithinPartitions("region", "salt", F.desc("pivot")).mapInPandas(cutting, CUT)
 
 
 def in_blocks(stuck: DataFrame) -> DataFrame:
@@ -497,7 +497,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     regions, found = bounded_regions(regions, texts_of)
     texts = texts_of(regions.select("set_id").distinct())
     dealt = regions.hint("merge").join(texts.hint("merge"), "set_id").select("region", "first", "linked", "set_id", "text")
-    dealt = dealt.repartition(shards(d.sparkSession), "region").sortWithinPartitions("region", F.desc("first"), "set_id")
+    dealt = dealt.repartition(shards_for(d), "region").sortWithinPartitions("region", F.desc("first"), "set_id")
     links = dealt.mapInPandas(joining, "a bigint, b bigint")
     for more in found:
         links = links.unionByName(more)

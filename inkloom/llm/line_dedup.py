@@ -5,7 +5,9 @@ the table of common keys that follows from it: the number of documents and the l
 doc_id of each key whose count has reached the threshold. Each shard of keys has a cuckoo
 filter that holds its common keys. Documents enter and leave: a key that reaches the
 threshold is inserted in its shard's filter, one that falls below is deleted from it, so
-lines come back when the documents that made them common are gone. A line that its
+lines come back when the documents that made them common are gone. An update writes and counts only what it
+changes: references that come are stored beside those that are there, and only keys that a document brought
+or took are counted again. A line that its
 shard's filter does not know needs no look at the exact table. Filters go to the lines
 where all of them are at most FILTER_BYTES; beyond, lines and filters meet by shard.
 """
@@ -126,6 +128,10 @@ class LineIndex:
     n_shards: int
     min_documents: int
 
+    def stored(self) -> "LineIndex":
+        """The same with one table of references, for an index that has seen many updates, each of which adds a part to its plan."""
+        return LineIndex(materialize(self.references, "line-references"), self.common, self.filters, self.n_shards, self.min_documents)
+
 
 def line_key(line: Column) -> Column:
     return lower_ascii(F.btrim(line, F.lit(WHITE_SPACE)))
@@ -157,7 +163,7 @@ def distinct_references(docs: DataFrame) -> DataFrame:
 def common_keys(references: DataFrame, min_documents: int) -> DataFrame:
     """The reference counts that reach the threshold; added up within each task before anything moves."""
     counts = references.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_id"))
-    return materialize(counts.filter(F.col("n_docs") >= min_documents), "common-lines")
+    return counts.filter(F.col("n_docs") >= min_documents)
 
 
 def shard_of(n: int) -> Column:
@@ -177,19 +183,23 @@ def build_filters(common: DataFrame, n_shards: int) -> DataFrame:
 
 
 def build_index(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> LineIndex:
+    """The index of docs (doc_id, text). Rows that repeat a doc_id are one document; null and empty texts have no long line, a row
+    without doc_id is left out, and an empty table gives an index that knows no line."""
     d = documents(docs)
     n = shards_for(d)
     references = materialize(distinct_references(d), "line-references")
-    common = common_keys(references, min_documents)
+    common = materialize(common_keys(references, min_documents), "common-lines")
     return LineIndex(references, common, materialize(build_filters(common, n), "line-filters"), n, min_documents)
 
 
-def updated(index: LineIndex, references: DataFrame) -> LineIndex:
-    """The index with these references: only keys that crossed the threshold touch a filter."""
-    references = materialize(references, "line-references")
-    common = common_keys(references, index.min_documents)
-    old, new = index.common.select("key", F.lit(1).alias("was")), common.select("key", F.lit(1).alias("now"))
-    crossed = old.join(new, "key", "full").filter("was is null or now is null")
+def updated(index: LineIndex, references: DataFrame, changed: DataFrame) -> LineIndex:
+    """The index with these references, of which only those of the changed keys (key) are counted: keys that crossed the
+    threshold touch a filter, all others stay as they were."""
+    changed = materialize(changed.distinct(), "changed-lines")
+    recounted = materialize(common_keys(references.join(changed, "key", "left_semi"), index.min_documents), "recounted-lines")
+    common = materialize(index.common.join(changed, "key", "left_anti").unionByName(recounted), "common-lines")
+    old = index.common.join(changed, "key", "left_semi").select("key", F.lit(1).alias("was"))
+    crossed = old.join(recounted.select("key", F.lit(1).alias("now")), "key", "full").filter("was is null or now is null")
     crossed = crossed.select(shard_of(index.n_shards), "key", F.col("now").isNotNull().alias("enters"))
 
     def apply(key, held: pd.DataFrame, moved: pd.DataFrame) -> pd.DataFrame:
@@ -206,13 +216,18 @@ def updated(index: LineIndex, references: DataFrame) -> LineIndex:
 
 
 def insert_documents(index: LineIndex, docs: DataFrame) -> LineIndex:
-    """With the documents of docs too; one that the index has already counts once."""
-    return updated(index, index.references.unionByName(line_references(documents(docs))).dropDuplicates(["key", "doc_id"]))
+    """With the documents of docs too; one that the index has already counts once. Only new references are written."""
+    own = materialize(line_references(documents(docs)).dropDuplicates(["key", "doc_id"]), "line-references")
+    held = index.references.join(own.select("doc_id").distinct(), "doc_id", "left_semi")  # of documents that come again
+    fresh = materialize(own.join(held, ["key", "doc_id"], "left_anti"), "line-references")
+    return updated(index, index.references.unionByName(fresh), fresh.select("key"))
 
 
 def delete_documents(index: LineIndex, ids: DataFrame) -> LineIndex:
-    """Without the documents whose doc_id is in ids."""
-    return updated(index, index.references.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select("key", "doc_id"))
+    """Without the documents whose doc_id is in ids. Nothing but their keys is read of the table of references, which stays."""
+    ids = materialize(ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "deleted-ids")
+    gone = index.references.join(ids, "doc_id", "left_semi")
+    return updated(index, index.references.join(ids, "doc_id", "left_anti").select("key", "doc_id"), gone.select("key"))
 
 
 def probed(references: DataFrame, index: LineIndex) -> DataFrame:
@@ -271,9 +286,11 @@ def probed_by_shard(references: DataFrame, index: LineIndex) -> DataFrame:
     return dealt.mapInPandas(probe, "key binary, doc_id bigint")
 
 
-def drop_repeated_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, index: LineIndex, indexed: bool = False) -> DataFrame:
     """doc_id, text and the other columns of docs, n_lines, n_dropped.
 
+    indexed says that the index is of just these docs: then their lines are not cut and hashed anew to ask it.
+
     Lines end at \\n; a null or empty text is one empty line. A line's key is the line
     without white space at its ends, A-Z lower-cased. A key of at least 20 code points
     that is in at least index.min_documents documents loses its lines everywhere but in
@@ -283,7 +300,7 @@ def drop_repeated_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
     and goes. An empty table gives an empty result. Other columns may have any names but
     n_lines and n_dropped, which are replaced.
     """
-    own = probed(line_references(documents(docs)), index)
+    own = probed(index.references if indexed else line_references(documents(docs)), index)
     dropped = own.join(index.common.hint("merge"), "key").filter(F.col("doc_id") < F.col("last_id"))
     dropped = dropped.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
     carried = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_dropped")]

@@ -31,7 +31,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = line_dedup.drop_repeated_lines(docs, line_dedup.build_index(docs))
+    out = line_dedup.drop_repeated_lines(docs, line_dedup.build_index(docs), indexed=True)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -60,28 +60,38 @@ def test_one_of_each(spark):
     assert got == [(1, t), (3, ""), (4, " "), (5, u + " too"), (6, "x")]  # 4 of 5 shingles: linked
 
 
-def test_cells_are_formed_in_the_fixture_tables(spark, monkeypatch):
-    """Regions of more than a handful of sets are parted by pivots, on the tables as they are."""
-    seen = []
-    whole = jaccard_join.Region.join
-
-    def watched(self, members):
-        seen.append(len(members))
-        return whole(self, members)
-
-    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    rows = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(d).collect()}
-    groups = {}
-    for i, c in rows.items():
-        groups.setdefault(c, []).append(i)
-    largest = max(groups.values(), key=len)
-    texts = {r["doc_id"]: r["text"] for r in d.filter(F.col("doc_id").isin(largest)).collect()}
-    monkeypatch.setattr(jaccard_join.Region, "join", watched)
+def test_pivots_part_the_regions_of_the_tables(spark, monkeypatch, tmp_path):
+    """Regions of sf0.1 as the query forms them: those of more than a handful of sets are joined by pivots and cells."""
+    from inkloom.llm import common
+
+    seen = {}
+    stored = jaccard_join.materialize
+    monkeypatch.setattr(jaccard_join, "materialize", lambda df, label: seen.setdefault(label, stored(df, label)))
+    d = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    jaccard_join.jaccard_components(d)
+    members = seen["regions"].groupBy("region").agg(F.collect_set("set_id").alias("sets")).filter(F.size("sets") > jaccard_join.CELL).collect()
+    assert members
+    wanted = {i for r in members for i in r["sets"]}
+    owner = {r["set_id"]: r["doc_id"] for r in seen["sketch"].filter("kind = 0 AND n > 0").select("set_id", "doc_id").collect() if r["set_id"] in wanted}
+    text = {r["doc_id"]: r["text"] for r in common.documents(d).filter(F.col("doc_id").isin(*owner.values())).collect()}
+    cells = []
+    joined = jaccard_join.Region.join
+    monkeypatch.setattr(jaccard_join.Region, "join", lambda self, members: cells.append(len(members)) or joined(self, members))
     cache = jaccard_join.WordHashes()
-    sets = {tuple(s): s for s in (jaccard_join.shingle_set(t, cache) for t in texts.values())}
-    links = jaccard_join.region_links(list(sets.values()))
-    assert len(sets) <= jaccard_join.CELL or (seen and seen[0] > jaccard_join.CELL)
-    assert len({x for link in links for x in link}) in (0, len(sets))
+    for r in members:
+        sets = [jaccard_join.shingle_set(text[owner[i]], cache) for i in r["sets"]]
+        before = len(cells)
+        links = jaccard_join.region_links(sets)
+        assert cells[before] == len(sets) > jaccard_join.CELL and all(n < len(sets) for n in cells[before + 1 :])
+        linked = {frozenset((a, b)) for a in range(len(sets)) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+        assert parts_of(len(sets), links) == parts_of(len(sets), map(tuple, linked))
+
+
+def parts_of(n, links):
+    label = list(range(n))
+    for a, b in links:
+        label = [label[a] if x == label[b] else x for x in label]
+    return [min(k for k in range(n) if label[k] == label[i]) for i in range(n)]
 
 
 def test_region_links_by_cells_equal_brute_force():
@@ -223,6 +233,32 @@ def test_line_dedup_counts_documents_not_rows(spark, monkeypatch, most):
     assert [w[3] for w in want] == [0, 0, 0, 1, 1, 0, 0, 0, 0]
 
 
+def test_updates_count_changed_lines_only(spark, docs, monkeypatch):
+    """Inserting and deleting writes what it changes, and gives the index of the documents that are there."""
+    wrote = {}
+    stored = line_dedup.materialize
+    monkeypatch.setattr(line_dedup, "materialize", lambda df, label: wrote.setdefault((label, len(wrote)), stored(df, label)))
+    state = lambda x: (sorted(map(tuple, x.references.collect())), sorted(map(tuple, x.common.select("key", "n_docs", "last_id").collect())))
+    index, there = line_dedup.build_index(frame(spark, docs[:20])), docs[:20]
+    for step, more in enumerate((docs[15:40], docs[40:])):
+        wrote.clear()
+        index = line_dedup.insert_documents(index, frame(spark, more))
+        new = [df.count() for (label, _), df in wrote.items() if label == "line-references"][-1]
+        fresh = line_dedup.build_index(frame(spark, there + more))
+        assert new == fresh.references.count() - line_dedup.build_index(frame(spark, there)).references.count()
+        there = there + [x for x in more if x not in there]
+        assert state(index) == state(fresh), step
+    gone = [i for i, _ in there if i % 3 == 0]
+    wrote.clear()
+    index = line_dedup.delete_documents(index, spark.createDataFrame([(i,) for i in gone], "doc_id bigint"))
+    assert not [1 for label, _ in wrote if label == "line-references"]
+    there = [x for x in there if x[0] not in gone]
+    assert state(index) == state(index.stored()) == state(line_dedup.build_index(frame(spark, there)))
+    for indexed in (False, True):
+        out = sorted((r["doc_id"], r["text"] or "", r["n_lines"], r["n_dropped"]) for r in line_dedup.drop_repeated_lines(frame(spark, there), index, indexed).collect())
+        assert out == sorted(plain.line_dedup(there))
+
+
 def test_cuckoo_filter_inserts_and_deletes():
     keys = [bytes(np.random.default_rng(i).integers(0, 256, 16, dtype=np.uint8)) for i in range(1000)]
     f = line_dedup.built_filter(keys)

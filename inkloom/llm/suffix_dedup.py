@@ -9,27 +9,43 @@ keeping the order. At level i two neighbours of an interval share i bytes before
 anchor and their common prefix from it on, so common prefixes come by increasing value;
 a string is a repeat where that sum reaches LENGTH. An interval of one occurrence, or of
 occurrences that can no longer reach LENGTH, is dropped.
+
+An anchor that is found nearly everywhere, such as one in a common passage, is more than a
+task should hold. Its contexts that are alike are settled by counting them; one of each is cut
+by ranges of levels: strings that start between a and b bytes before the anchor share the a
+bytes before it and the LENGTH - b + 1 bytes from it on, so contexts are dealt anew by these,
+range by range. What is still too large is cut into narrower ranges, down to single strings,
+which are alike or not.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkloom.llm.blocks import deal_of, found_elsewhere
-from inkloom.llm.common import covered, documents, mixed, runs_of, shards_for, smallest_places, with_row_hash
+from inkloom.llm.common import covered, documents, materialize, mixed, runs_of, shards_for, smallest_places, with_row_hash
 
 LENGTH = 400
 GRAM = 32
 #: Bytes of context that a task gathers before it hands them on.
 CHUNK_BYTES = 16 << 20
-#: Occurrences that are extended together; those of one anchor stay together whatever their number.
+#: Occurrences that are extended together; those of one anchor stay together.
 EXPAND_ROWS = 16_384
+#: Bytes of one anchor's contexts and their owners that a task takes as they are; or a quarter of a task's even share, if
+#: that is more, so that there are never more than four crowded anchors a task.
+HOT_BYTES = 512 << 10
+#: Ranges that the levels of a crowded anchor are cut into.
+RANGES = 8
 #: Rows of a frame that a task hands on, when it has as many.
 OUT_ROWS = 200_000
-CONTEXTS = "anchor bigint, offset int, context binary, ids binary, hashes binary, starts binary"
+CONTEXTS = "anchor bigint, level int, offset int, context binary, ids binary, hashes binary, starts binary, places bigint"
+COLUMNS = [c.split()[0] for c in CONTEXTS.split(", ")]
+ALIKE = ["anchor", "level", "offset", "context"]
 REPEATS = "doc_id bigint, row_hash bigint, first int, n int"
 
 
@@ -70,8 +86,8 @@ def contexts(length: int):
         rows = []
         for (anchor, offset, context), owners in held.items():
             who = np.array(owners, np.int64)
-            rows.append((anchor, offset, context, who[:, 0].tobytes(), who[:, 1].tobytes(), who[:, 2].tobytes()))
-        return pd.DataFrame(rows, columns=["anchor", "offset", "context", "ids", "hashes", "starts"])
+            rows.append((anchor, 0, offset, context, who[:, 0].tobytes(), who[:, 1].tobytes(), who[:, 2].tobytes(), len(who)))
+        return pd.DataFrame(rows, columns=COLUMNS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, list] = {}
@@ -174,13 +190,16 @@ def repeats(length: int, most: int = EXPAND_ROWS):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         owners: dict[tuple, list] = {}
+        places: dict[tuple, int] = {}
         for batch in batches:
-            for anchor, offset, context, *who in batch.itertuples(index=False):
-                owners.setdefault((anchor, offset, bytes(context)), []).append(np.array([np.frombuffer(x, np.int64) for x in who]))
+            for anchor, _, offset, context, *who, n in batch[COLUMNS].itertuples(index=False):
+                key = (anchor, offset, bytes(context))
+                owners.setdefault(key, []).append(np.array([np.frombuffer(x, np.int64) for x in who]))
+                places[key] = places.get(key, 0) + n
         keys = list(owners)
         who = [np.concatenate(owners.pop(k), axis=1) for k in keys]
         _, group = np.unique(np.array([k[0] for k in keys], np.int64), return_inverse=True)
-        many = np.array([w.shape[1] > 1 for w in who], bool)
+        many = np.array([places[k] > 1 for k in keys], bool)
         alone = np.bincount(group, minlength=1)[group] < 2 if len(keys) else np.zeros(0, bool)
         todo = np.flatnonzero(~alone & np.isin(group, group[~many]))
         todo = todo[np.argsort(group[todo], kind="stable")]
@@ -220,6 +239,73 @@ def repeats(length: int, most: int = EXPAND_ROWS):
     return run
 
 
+def whole(length: int):
+    """All string starts of contexts that are known to be found elsewhere, for each owner."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            strings = batch["context"].map(len).to_numpy(np.int64) - length + 1
+            owners = batch["ids"].map(len).to_numpy(np.int64) // 8
+            columns = {c: np.frombuffer(b"".join(batch[of]), np.int64) for c, of in (("doc_id", "ids"), ("row_hash", "hashes"), ("first", "starts"))}
+            yield pd.DataFrame({**columns, "n": np.repeat(strings, owners)})
+
+    return run
+
+
+def narrowed(width: int, part: int, length: int):
+    """Contexts of levels from `level` to level + width - 1, cut into ranges of `part` levels. A piece holds the strings of
+    one range; its anchor stands for the bytes that all strings of the range cover, so pieces that share a string meet."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for anchor, level, offset, context, ids, hashes, starts, n in batch[COLUMNS].itertuples(index=False):
+                low, first = offset - (len(context) - length), np.frombuffer(starts, np.int64)
+                for a in range(level, level + width, part):
+                    b = min(a + part, level + width) - 1
+                    lo, hi = max(low, a), min(offset, b)
+                    if lo > hi:
+                        continue
+                    core = context[offset - a : offset + length - b]
+                    key = xxhash.xxh3_64_intdigest(core, seed=(int(anchor) + a) % 2**64)
+                    rows.append((key - 2**63, a, hi, context[offset - hi : offset - lo + length], ids, hashes, (first + (offset - hi)).tobytes(), n))
+            yield pd.DataFrame(rows, columns=COLUMNS)
+
+    return run
+
+
+def runs_elsewhere(around: DataFrame, n: int, length: int) -> DataFrame:
+    """REPEATS of all contexts (a stored table). No task takes more of one anchor than HOT_BYTES or a quarter of its even share."""
+
+    def expanded(rows: DataFrame) -> DataFrame:
+        return rows.repartition(n, "anchor").mapInPandas(repeats(length), REPEATS)
+
+    rows, width, found = around, length - GRAM + 1, []
+    while True:
+        sizes = rows.groupBy("anchor").agg(F.sum(F.octet_length("context") + 3 * F.octet_length("ids")).alias("size"))
+        sizes = materialize(sizes, "suffix-sizes")
+        total, most = sizes.agg(F.sum("size"), F.max("size")).first()
+        limit = max(HOT_BYTES, (total or 0) // (4 * n))
+        if not most or most <= limit:
+            found.append(expanded(rows))
+            break
+        hot = F.broadcast(sizes.filter(F.col("size") > limit).select("anchor"))  # 4 n at most
+        found.append(expanded(rows.join(hot, "anchor", "left_anti")))
+        crowd = rows.join(hot, "anchor", "left_semi")
+        one = F.first(F.struct(*[F.substring(c, 1, 8).alias(c) for c in ("ids", "hashes", "starts")])).alias("one")
+        alike = crowd.groupBy(*ALIKE).agg(one, F.sum("places").alias("places"))
+        alike = materialize(alike.select(*ALIKE, "one.*", "places"), "suffix-alike")
+        # What a task has gathered twice needs no asking; of the others the join's skewed parts can be split.
+        asking = crowd.filter("places = 1").join(alike.filter("places > 1").select(*ALIKE).hint("merge"), ALIKE, "left_semi")
+        found.append(crowd.filter("places > 1").select(*COLUMNS).unionByName(asking.select(*COLUMNS)).mapInPandas(whole(length), REPEATS))
+        if width == 1:  # strings of one anchor and level are alike
+            break
+        part = -(-width // RANGES)
+        rows = materialize(alike.mapInPandas(narrowed(width, part, length), CONTEXTS), "suffix-ranges")
+        width = part
+    return reduce(DataFrame.unionByName, found)
+
+
 def drop_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (byte offsets), kept (binary) for every row of docs (doc_id, text).
 
@@ -235,7 +321,7 @@ def drop_repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     again = found_elsewhere(d, anchor_hashes(length), "again")
     # Rows alike in doc_id and text are all sent: each is a place of its own.
     around = d.join(again.hint("merge"), ["doc_id", "row_hash"]).mapInPandas(contexts(length), CONTEXTS)
-    runs = around.repartition(n, "anchor").mapInPandas(repeats(length), REPEATS)
+    runs = runs_elsewhere(materialize(around, "suffix-contexts"), n, length)
     runs = runs.distinct().groupBy("doc_id", "row_hash").agg(F.collect_list("first").alias("firsts"), F.collect_list("n").alias("ns"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -340,6 +340,48 @@ def test_suffix_dedup_in_small_bunches(docs):
     assert runs(1) == runs(5) == runs(10**9)
 
 
+@pytest.mark.parametrize(("length", "most", "cuts"), [(400, 0, 3), (400, 8000, 1), (90, 0, 2)])
+def test_suffix_dedup_of_crowded_anchors(spark, monkeypatch, length, most, cuts):
+    """Passages that many documents share, shorter than the length, as long and longer, between different words or the same:
+    anchors too large for a task are cut by ranges, down to single strings."""
+    r = random.Random(31)
+    say = lambda n: "".join(r.choice("abcdefgh é") for _ in range(n))
+    fit = lambda n: say(n).encode()[:n].decode(errors="ignore").ljust(n, "x")
+    docs = [(1, None), (2, ""), (3, "z" * 3 * length), (4, fit(length)), (None, fit(length))]
+    for k, n in enumerate((length - 60, length - 9, length - 1, length, length + 1, length + 150)):
+        passage, after = fit(n), [fit(length // 3) for _ in range(3)]
+        docs += [(100 * (k + 1) + j, fit(length // 2) + passage + (after[j % 3] if j % 4 else say(length // 2))) for j in range(40)]
+    docs += [(2000 + j, docs[150][1]) for j in range(60)] + [(2000, docs[150][1])]
+    want = plain.byte_dedup([d for d in docs if d[0] is not None], length)
+    stages, write = [], suffix_dedup.materialize
+    monkeypatch.setattr(suffix_dedup, "materialize", lambda df, label: stages.append(label) or write(df, label))
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", most)
+    # Far more shards than the data needs, so that a quarter of a task's share is small too.
+    monkeypatch.setattr(suffix_dedup, "shards_for", lambda d: 16)
+    got = suffix_dedup.drop_repeated_bytes(frame(spark, docs).repartition(5), length).collect()
+    assert sorted((x["doc_id"], x["n_bytes"], x["n_removed"], len(x["spans"]), bytes(x["kept"])) for x in got) == want
+    assert stages.count("suffix-ranges") >= cuts
+
+
+def test_narrowed_pieces_hold_every_string_once():
+    """A context's pieces have each of its strings in one place, and those of different contexts meet where they share one."""
+    r = random.Random(5)
+    text = bytes(r.randrange(256) for _ in range(170))
+    for offset, strings in ((68, 69), (20, 9), (0, 1), (40, 41)):
+        context = text[: strings - 1 + 100]
+        row = pd.DataFrame([(9, 0, offset, context, b"i" * 8, b"h" * 8, np.array([1000]).tobytes(), 1)], columns=suffix_dedup.COLUMNS)
+        for width, part in ((69, 9), (69, 1)):
+            (pieces,) = suffix_dedup.narrowed(width, part, 100)(iter([row]))
+            held = {}
+            for p in pieces.itertuples(index=False):
+                first, n = int(np.frombuffer(p.starts, np.int64)[0]), len(p.context) - 99
+                assert p.level <= p.offset < p.level + part and n <= part
+                for k in range(n):
+                    assert held.setdefault(first - 1000 + k, p.context[k : k + 100]) is not None
+                    assert p.context[k : k + 100] == context[first - 1000 + k :][:100]
+            assert sorted(held) == list(range(strings)) and sum(len(c) - 99 for c in pieces["context"]) == strings
+
+
 def test_decontamination(spark):
     r = random.Random(11)
     say = lambda n: " ".join(r.choice(VOCABULARY) for _ in range(n))

@@ -124,8 +124,7 @@ def spelled(text: Column) -> Column:
     """Terms as they are spoken; the first mention of one of them in full. Names of a program and the terms in KEPT are
     matched as well, and put back as they are, so that no part of them is taken for a term."""
     term, first, later = FIRST_MENTION
-    parts = F.split(text, rf"\b{term}\b", 2)
-    t = F.when(F.size(parts) > 1, F.concat(parts[0], F.lit(first), F.regexp_replace(parts[1], rf"\b{term}\b", later))).otherwise(text)
+    t = let(F.split(text, rf"\b{term}\b", 2), lambda p: F.when(F.size(p) > 1, F.concat(p[0], F.lit(first), F.regexp_replace(F.get(p, F.lit(1)), rf"\b{term}\b", later))).otherwise(p[0]))
     names = F.create_map(*[F.lit(x) for pair in SPELLINGS for x in pair])
     either = "|".join(short for short, _ in SPELLINGS)
     return each_match(t, rf"(?<![\w/:])(?:({either})(?:\(\))?)(?![\w/(:])|({NAMES})", 2, lambda g: F.when(g[1] != "", g[1]).otherwise(names[g[0]]))

@@ -29,7 +29,7 @@ def rstrip(c: Column) -> Column:
 
 def one_space(c: Column, least: int = 2) -> Column:
     """Runs of at least so much white space made one space. The class of all white space is slow to match, so it is used where a text has any of the rarer kinds."""
-    return F.when(c.rlike(RARE_SPACE), F.regexp_replace(c, f"{SPACE}{{{least},}}", " ")).otherwise(F.regexp_replace(c, f"[ \\t\\n\\x0B\\f\\r]{{{least},}}", " "))
+    return let(c, lambda t: F.when(t.rlike(RARE_SPACE), F.regexp_replace(t, f"{SPACE}{{{least},}}", " ")).otherwise(F.regexp_replace(t, f"[ \\t\\n\\x0B\\f\\r]{{{least},}}", " ")))
 
 
 def lines(c: Column) -> Column:
@@ -50,13 +50,18 @@ def each_match(c: Column, pattern: str, groups: int, body) -> Column:
     """c with every match of pattern, which must not match the empty text, replaced by body(groups as an array). In one
     pass: what a replacement yields is never matched again. What lies between the matches and what they hold are two arrays that
     are put together again, so no sign has to be kept free as a mark. A group that took no part is empty."""
-    gaps = F.split(c, pattern, -1)
-    own = [F.regexp_extract_all(c, F.lit(pattern), F.lit(i + 1)) for i in range(groups)]
-    if groups == 1:
-        made = F.transform(own[0], lambda g: body(F.array(g)))
-    else:
-        made = F.transform(F.arrays_zip(*[g.alias(f"g{i}") for i, g in enumerate(own)]), lambda g: body(F.array(*[g[f"g{i}"] for i in range(groups)])))
-    return F.array_join(F.zip_with(gaps, made, lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "")
+
+    def joined(t: Column) -> Column:
+        gaps = F.split(t, pattern, -1)
+        own = [F.regexp_extract_all(t, F.lit(pattern), F.lit(i + 1)) for i in range(groups)]
+        if groups == 1:
+            made = F.transform(own[0], lambda g: body(F.array(g)))
+        else:
+            made = F.transform(F.arrays_zip(*[g.alias(f"g{i}") for i, g in enumerate(own)]), lambda g: body(F.array(*[g[f"g{i}"] for i in range(groups)])))
+        return F.array_join(F.zip_with(gaps, made, lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))), "")
+
+    # The text is named once a group: without let, rules that follow each other would compute it anew a hundredfold.
+    return let(c, joined)
 
 
 def repeated(own: Column, least: int, over: int) -> Column:

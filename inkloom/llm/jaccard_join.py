@@ -15,7 +15,10 @@ linked sets are bound to share:
 4. In a region, pivots create Voronoi cells. A set goes to the cell of its nearest pivot and,
    by the triangle inequality, to each cell whose pivot is no further than that plus the
    radius; cells are joined recursively, until one is small or splits no more. There, every
-   pair is compared that is not yet connected and that no distance to a pivot rules out.
+   pair is compared that is not yet connected and that no distance to a pivot rules out. Before that, a
+   region is thinned: what two sets share is at most what each has of the region's frequent shingles, and some of the
+   rare ones. Pairs that the frequent ones alone cannot link are found by the lists of the rare ones; only sets that the
+   frequent ones can link with another go on. So versions of one text that are too far apart meet no more.
    A region of more than REGION_SHINGLES shingles is first cut into cells by many tasks, level
    by level. What is connected with a cell's pivot needs no comparison with one another; a cell
    that stays large is compared in blocks, the sets that are not so connected against all.
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkloom.llm.common import LOWER, UPPER, WordHashes, documents, materialize, mixed, rolling, shards, shards_for, with_row_hash, words_of
@@ -49,6 +52,9 @@ REGION_SHINGLES = 1 << 21
 #: Sets up to which a cell is joined pair by pair, and pivots at most; a cell has as many as the root of its size.
 CELL = 4
 PIVOTS = 8
+#: Sets from which a region is thinned by the frequencies of its shingles, and pairs of sets for each of its shingles then.
+THIN = 2 * COMMON
+RARE_PAIRS = 4
 TO_LOWER = str.maketrans(UPPER, LOWER)
 
 SKETCH = "kind int, shard int, doc_id bigint, row_hash bigint, n int, set_id bigint, shingles binary, sets binary, ns binary, edges binary, per_set binary"
@@ -75,6 +81,11 @@ def needed(n):
     return ((SIMILARITY * n + 99) / 100).cast("int") if isinstance(n, Column) else (SIMILARITY * n + 99) // 100
 
 
+def linkable(both, na, nb):
+    """Whether sets of na and nb shingles link that share so many. Works on ints, arrays and Columns."""
+    return (100 + SIMILARITY) * both >= SIMILARITY * (na + nb)
+
+
 def listed(n: int) -> int:
     """Shingles of a set that are listed: `shared` more than one of them are in a linked set's list too."""
     return min(n, early(n) + n // 10 + 1)
@@ -203,6 +214,7 @@ class Region:
         self.start = np.concatenate(([0], np.cumsum(self.n)))
         distinct, self.at = np.unique(np.concatenate(sets), return_inverse=True)
         self.mark = np.zeros(len(distinct), np.int32)
+        self.common = self.n  # shingles of each set by which compare() has to find its links
         self.label = np.arange(len(sets))
         if linked is not None and linked.any():
             self.label[linked] = linked.argmax()
@@ -224,6 +236,35 @@ class Region:
                 self.label[self.label == self.label[x]] = self.label[pivot]
         return 1 - both / union
 
+    def thin(self) -> np.ndarray:
+        """Connects the pairs that cannot be linked by frequent shingles alone, and gives the sets that can, those with the
+        largest share of them first. What counts as frequent bounds the pairs; it has no effect on the links."""
+        times = np.bincount(self.at)
+        each = np.bincount(times[times <= COMMON], minlength=COMMON + 1) * (np.arange(COMMON + 1) * np.arange(-1, COMMON) // 2)
+        most = max(1, int(np.searchsorted(np.cumsum(each), RARE_PAIRS * len(self.at), side="right")) - 1)
+        self.common = np.add.reduceat((times > most)[self.at].astype(np.int64), self.start[:-1])
+        rare = (times[self.at] > 1) & (times[self.at] <= most)
+        shingle, owner = self.at[rare], np.repeat(np.arange(len(self.n)), self.n)[rare]
+        order = np.argsort(shingle, kind="stable")
+        owner, size = owner[order], times[shingle[order]]
+        pairs = [np.zeros(0, np.int64)]
+        for k in range(2, most + 1):
+            lists = owner[size == k].reshape(-1, k)
+            i, j = np.triu_indices(k, 1)
+            pairs.append((lists[:, i] * len(self.n) + lists[:, j]).ravel())
+        pairs, weight = np.unique(np.concatenate(pairs), return_counts=True)
+        a, b = np.divmod(pairs, len(self.n))
+        least = np.minimum(self.common[a], self.common[b])
+        ask = ~linkable(least, self.n[a], self.n[b]) & linkable(least + weight, self.n[a], self.n[b])
+        a, b = a[ask], b[ask]
+        edges = np.flatnonzero(np.diff(a, prepend=-1))
+        for lo, hi in zip(edges, np.append(edges[1:], len(a)), strict=False):  # no edges, no pairs
+            others = b[lo:hi][self.label[b[lo:hi]] != self.label[a[lo]]]
+            if len(others):
+                self.distances(a[lo], others)
+        left = np.flatnonzero(linkable(self.common, self.n, np.maximum(needed(self.n), self.n.min())))
+        return left[np.argsort(-self.common[left] / self.n[left], kind="stable")]
+
     def join(self, members: np.ndarray) -> None:
         """Connects all members that a chain of links connects; pairs by Voronoi cells."""
         if len(members) <= CELL:
@@ -242,12 +283,12 @@ class Region:
         near = d.min(0)
         cells = [members[(d[k] <= near + RADIUS + 1e-9) & (d[k] < 1)] for k in range(len(pivots))]
         cells.append(members[near >= 1 - RADIUS - 1e-9])
+        cells = [cell for cell in cells if len(cell) > 1 and len(np.unique(self.label[cell])) > 1]
+        sizes = np.array([len(cell) for cell in cells])
+        if (sizes >= 0.8 * len(members)).any() or (sizes**2).sum() >= len(members) ** 2:
+            return self.compare(members)  # cells that overlap so much have more pairs than there are
         for cell in cells:
-            if len(cell) > 1 and len(np.unique(self.label[cell])) > 1:
-                if len(cell) < 0.8 * len(members):
-                    self.join(cell)
-                else:
-                    self.compare(cell)
+            self.join(cell)
         return None
 
     def compare(self, members: np.ndarray) -> None:
@@ -265,8 +306,8 @@ class Region:
                 return
             p = int(todo[0])
             open_[p] = False
-            n, own = self.n[members], self.n[members[p]]
-            ask = (labels != labels[p]) & (100 * np.minimum(n, own) >= SIMILARITY * np.maximum(n, own))
+            common = self.common[members]
+            ask = (labels != labels[p]) & linkable(np.minimum(common, common[p]), self.n[members], self.n[members[p]])
             ask[p] = False
             for d in known:
                 with np.errstate(invalid="ignore"):
@@ -287,7 +328,9 @@ def region_links(sets: list[np.ndarray], linked: list[bool] | None = None) -> li
         both = len(np.intersect1d(*sets, assume_unique=True))
         return [(0, 1)] if 100 * both >= SIMILARITY * (len(sets[0]) + len(sets[1]) - both) else []
     region = Region(sets, None if linked is None else np.array(linked, bool))
-    region.join(np.arange(len(sets)))
+    members = region.thin() if len(sets) > THIN else np.arange(len(sets))
+    if len(members):
+        region.join(members)
     return region.links
 
 
@@ -314,6 +357,42 @@ def joining(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 # -- regions that are too large for one task ----------------------------------------------
 
 
+def spreading(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row for each shingle of region, set_id, text."""
+    cache = WordHashes()
+    for batch in batches:
+        for at in range(0, len(batch), 64):
+            part = batch.iloc[at : at + 64]
+            sets = [shingle_set(text, cache) for text in part["text"]]
+            n = np.array([len(own) for own in sets], np.int64)
+            columns = {c: np.repeat(part[c].to_numpy(np.int64), n) for c in ("region", "set_id")}
+            yield pd.DataFrame({**columns, "n": np.repeat(n, n), "shingle": np.concatenate(sets).view(np.int64)})
+
+
+def thinned(big: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What thin() does, of regions of any size: regions of the sets that frequent shingles can link, and regions of two."""
+    members = big.select("region", "set_id").join(texts.hint("merge"), "set_id").select("region", "set_id", "text")
+    times = F.count("*").over(Window.partitionBy("region", "shingle")).alias("times")
+    spread = members.mapInPandas(spreading, "region bigint, set_id bigint, n int, shingle bigint").select("*", times).filter("times > 1")
+    spread = materialize(spread, "spread")
+    held = spread.groupBy("region", "set_id", "n").agg(F.sum(F.when(F.col("times") > COMMON, 1).otherwise(0)).alias("common"))
+    held = materialize(held, "held")
+    least = held.groupBy("region").agg(F.min("n").alias("least"))
+    partner = F.greatest(needed(F.col("n")), F.col("least"))
+    core = held.join(least, "region").filter(linkable(F.col("common"), F.col("n"), partner)).select("region", "set_id")
+    core = big.join(core, ["region", "set_id"]).select("region", "set_id", "n", "first", "linked")
+
+    rare = spread.filter(F.col("times") <= COMMON).select("region", "shingle", "set_id").join(held, ["region", "set_id"])
+    one, two = (rare.select("region", "shingle", F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("common").alias(f"c{x}")) for x in "ab")
+    na, nb, both = F.col("na"), F.col("nb"), F.least("ca", "cb")
+    pairs = one.join(two, ["region", "shingle"]).filter("a < b").filter(linkable(F.least(na, nb), na, nb) & ~linkable(both, na, nb))
+    pairs = pairs.groupBy("region", "a", "b", "na", "nb", "ca", "cb").agg(F.count("*").alias("weight")).filter(linkable(both + F.col("weight"), na, nb))
+    ends = F.array(*[F.struct(F.col(x).alias("set_id"), F.col(f"n{x}").alias("n")) for x in "ab"])
+    pairs = pairs.select(F.xxhash64("region", "a", "b").alias("region"), F.explode(ends).alias("s"))
+    pairs = pairs.select("region", "s.set_id", "s.n", F.lit(False).alias("first"), F.lit(False).alias("linked"))
+    return core, materialize(pairs, "rare-pairs")
+
+
 class Pivots:
     """At most eight sets, and the distances of other sets from each of them."""
 
@@ -362,8 +441,8 @@ def cutting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def sizes(regions: DataFrame) -> DataFrame:
-    """region, total and the part of it in sets that are not linked with the region's pivot; added up within each task first."""
-    return regions.groupBy("region").agg(F.sum("n").alias("total"), F.sum(F.when(~F.col("linked"), F.col("n")).otherwise(0)).alias("open"))
+    """region, sets, total and the part of it in sets that are not linked with the region's pivot; added up within each task first."""
+    return regions.groupBy("region").agg(F.count("*").alias("sets"), F.sum("n").alias("total"), F.sum(F.when(~F.col("linked"), F.col("n")).otherwise(0)).alias("open"))
 
 
 def cells_of(big: DataFrame, texts: DataFrame, level: int) -> DataFrame:
@@ -374,7 +453,9 @@ def cells_of(big: DataFrame, texts: DataFrame, level: int) -> DataFrame:
     pivots = big.groupBy("region", "total", bucket).agg(F.min(rank).alias("p")).select("region", "total", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(True).alias("pivot"), F.col("p.set_id").alias("set_id"))
     members = big.select("region", "total", F.pmod(F.xxhash64("set_id"), salts).cast("int").alias("salt"), F.lit(False).alias("pivot"), "set_id")
     dealt = pivots.unionByName(members).join(texts.hint("merge"), "set_id")
-    return dealt.repartition(shards_for(dealt), "region", "salt").sortWithinPartitions("region", "salt", F.desc("pivot")).mapInPandas(cutting, CUT)
+    # As many tasks as parts: the planner's estimate of joins is the product of their sides, which would deal to thousands.
+    tasks = big.select("region", salts.alias("salts")).distinct().agg(F.sum("salts")).first()[0]
+    return dealt.repartition(max(shards(big.sparkSession), tasks), "region", "salt").sortWithinPartitions("region", "salt", F.desc("pivot")).mapInPandas(cutting, CUT)
 
 
 def in_blocks(stuck: DataFrame) -> DataFrame:
@@ -394,15 +475,19 @@ def bounded_regions(regions: DataFrame, texts_of) -> tuple[DataFrame, list[DataF
     from, so there are few levels."""
     done, links, texts = [], [], None
     while True:
-        large = materialize(sizes(regions).filter(F.col("total") > REGION_SHINGLES).select("region", "total"), "large-regions")
+        large = materialize(sizes(regions).filter(F.col("total") > REGION_SHINGLES).select("region", "total", "sets"), "large-regions")
         if large.isEmpty():
             for part in done:
                 regions = regions.unionByName(part)
             return regions, links
         done.append(regions.join(large, "region", "left_anti"))
-        big = regions.join(large, "region")
+        big = materialize(regions.join(large, "region"), "large")
         if texts is None:
             texts = materialize(texts_of(big.select("set_id").distinct()), "large-texts")
+            core, pairs = thinned(big.filter(F.col("sets") > THIN), texts)
+            done.append(pairs)
+            regions = materialize(core.unionByName(big.filter(F.col("sets") <= THIN).select(core.columns)), "thinned")
+            continue
         cut = materialize(cells_of(big, texts, len(links)), "cells")
         links.append(cut.filter("kind = 0").select("a", "b"))
         cells = cut.filter("kind = 1").select(F.xxhash64("region", "cell", F.lit(len(links))).alias("region"), F.col("a").alias("set_id"), "n", F.lit(False).alias("first"), "linked", F.col("total").alias("before"))

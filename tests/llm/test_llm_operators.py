@@ -158,6 +158,53 @@ def test_large_regions_are_cut_up(spark, monkeypatch, most):
     assert cut[0][0] >= 1 and cut[0][1] <= 2 * most  # blocks are dealt by hash: a few sets more or less
 
 
+def versions(n, n_words, most, seed):
+    """Of one text, with up to so many words exchanged: most are too far from one another to be linked."""
+    r = random.Random(seed)
+    base = [r.choice(VOCABULARY) for _ in range(n_words)]
+    out = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(r.randint(0, most)):
+            w[r.randrange(n_words)] = r.choice(VOCABULARY)
+        out.append((i, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("n", [100, 400])
+def test_versions_far_apart_are_not_all_compared(monkeypatch, n):
+    docs = versions(n, 200, 20, 3)
+    asked, distances = [], jaccard_join.Region.distances
+    monkeypatch.setattr(jaccard_join.Region, "distances", lambda self, pivot, others: asked.append(len(others)) or distances(self, pivot, others))
+    cache = jaccard_join.WordHashes()
+    links = jaccard_join.region_links([jaccard_join.shingle_set(t, cache) for _, t in docs])
+    got = parts_of(n, links)
+    assert got == [c for _, _, c in plain.components(docs)]
+    assert len(set(got)) > n / 4  # many are linked with nothing
+    assert sum(asked) < 20 * n
+
+
+def test_large_regions_are_thinned(spark, monkeypatch):
+    """A region of versions far apart is not multiplied by cells and blocks; pairs that share rare shingles only are found."""
+    docs = versions(300, 60, 9, 4)
+    twin = [w + "x" if k % 2 else w for k, w in enumerate(docs[0][1].split())]
+    docs += [(300, " ".join(docs[0][1].split()[:20] + twin[20:])), (301, " ".join(docs[0][1].split()[:20] + twin[20:] + ["end"]))]
+    kept, whole = [], jaccard_join.bounded_regions
+
+    def watched(regions, texts_of):
+        out = whole(regions, texts_of)
+        kept.append([jaccard_join.sizes(x).agg({"total": "sum"}).first()[0] for x in (regions, out[0])])
+        return out
+
+    monkeypatch.setattr(jaccard_join, "REGION_SHINGLES", 4000)
+    monkeypatch.setattr(jaccard_join, "bounded_regions", watched)
+    got = sorted(tuple(x)[:3] for x in jaccard_join.jaccard_components(frame(spark, docs)).collect())
+    assert got == plain.components(docs)
+    assert got[300][2] == got[301][2] == 300
+    before, after = kept[0]
+    assert after <= before
+
+
 @pytest.mark.parametrize("bits", [256, 2])
 def test_exact_dedup(spark, docs, bits):
     weak = lambda norm: F.substring(exact_dedup.sha256_digest(norm), F.lit(1), F.lit(bits // 8 or 1))

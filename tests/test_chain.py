@@ -260,6 +260,18 @@ def test_names_that_chapters_share_are_pending_once_none_is_made(spark, tmp_path
     assert got == want and len({r[:2] for r in got}) < len(got)
 
 
+def test_chapters_that_share_a_name_lie_in_the_order_of_doc_ids(spark, tmp_path):
+    from inkloom.plans import catalogue
+
+    folder = beyond_five_digits(tmp_path, spark)
+    names = spark.read.parquet(f"{folder}/documents.parquet").selectExpr("source", catalogue.SPARK_NAME + " AS stem", "doc_id", "2 * n_chars AS n").collect()
+    want, at = [], {}
+    for corpus, stem, _, n in sorted(names):
+        want.append((corpus, stem, n, 44 + at.get(corpus, 0)))
+        at[corpus] = at.get(corpus, 0) + n
+    assert sorted(tuple(r) for r in catalogue.book_ranges(spark, folder).collect()) == sorted(want)
+
+
 def test_a_book_is_rows_in_order(spark):
     """Whatever the size of segments, their bytes in order are the file that the wave module writes."""
     texts = {"02": "second", "01": "first", "03": "", "book": "not this"}

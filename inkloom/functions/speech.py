@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkloom.functions.text import SPACE, each_match, let, one_space, repeated, strip
+from inkloom.functions.text import SPACE, each_match, holds, let, one_space, repeated, strip, where
 
 # How the signs of a URL are spoken, in the order in which they are replaced.
 SPOKEN_SIGNS = [(".", "dot"), ("/", "slash"), ("-", "dash"), ("_", "underscore"), ("#", "hash"), ("?", "question mark"), ("=", "equals"), ("&", "ampersand")]
@@ -27,9 +27,9 @@ def verbalize_urls(text: Column, keep_paragraphs: bool = False, keep_scheme_word
 
     The default also joins paragraphs and drops "HTTP" as an acronym; the flags keep both.
     """
-    out = each_match(text, URL, 1, lambda g: spoken_url(g[0]))
+    out = where(text, lambda t: holds(t, "://"), lambda t: each_match(t, URL, 1, lambda g: spoken_url(g[0])))
     if not keep_scheme_words:
-        out = F.regexp_replace(out, r"(?i)\bhttps?\b", "")
+        out = where(out, lambda t: t.rlike("[hH][tT][tT][pP]"), lambda t: F.regexp_replace(t, r"(?i)\bhttps?\b", ""))
     if keep_paragraphs:
         return F.array_join(F.transform(F.split(out, "\n\n", -1), lambda p: strip(one_space(p))), "\n\n")
     return strip(one_space(out))
@@ -51,8 +51,9 @@ SIGNS = [("=", "equals"), ("+", "plus"), ("*", "times"), ("×", "times"), ("/",
 SPECIAL = {"code": r"(?md)^```", "table": r"(?md)^\s*\|.*\|\s*$", "equation": r"\$\$|(?md)^[^\n]*[A-Za-z0-9)]\s*=\s*[A-Za-z0-9(][^\n]*[+*/^]", "figure": r"(?md)^\s*(?:Figure|Fig\.)\s*\p{Nd}+"}
 
 
-#: Names of a program, which stay as they are: with colons or underscores within, and the acronyms that are kept.
-NAMES = r"\b\w+(?:::\w+)+\b|\b[A-Za-z]\w*_\w+\b|\b(?:" + "|".join(KEPT) + r")\b"
+#: Names of a program, which stay as they are: with colons or underscores within, and the acronyms that are kept. They begin at
+#: the border of a word, which is looked for once; no word is gone through a second time, as a shorter part of it cannot match.
+NAMES = r"\b(\w++(?:::\w++)+\b|[A-Za-z][A-Za-z0-9]*+_\w++\b|(?:" + "|".join(KEPT) + r")\b)"
 #: A whole number, maybe with commas, and its decimals; not a part of a word, a version or an address.
 NUMBER = r"(?<![\w.,:/-])([0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.([0-9]+))?(?![\w:/]|[.,-][0-9])"
 MOST_DIGITS = 3 * len(SCALES)
@@ -124,10 +125,14 @@ def spelled(text: Column) -> Column:
     """Terms as they are spoken; the first mention of one of them in full. Names of a program and the terms in KEPT are
     matched as well, and put back as they are, so that no part of them is taken for a term."""
     term, first, later = FIRST_MENTION
-    t = let(F.split(text, rf"\b{term}\b", 2), lambda p: F.when(F.size(p) > 1, F.concat(p[0], F.lit(first), F.regexp_replace(F.get(p, F.lit(1)), rf"\b{term}\b", later))).otherwise(p[0]))
+    mentioned = lambda t: let(F.split(t, rf"\b{term}\b", 2), lambda p: F.when(F.size(p) > 1, F.concat(p[0], F.lit(first), F.regexp_replace(F.get(p, F.lit(1)), rf"\b{term}\b", later))).otherwise(p[0]))
+    t = where(text, lambda t: holds(t, term), mentioned)
     names = F.create_map(*[F.lit(x) for pair in SPELLINGS for x in pair])
-    either = "|".join(short for short, _ in SPELLINGS)
-    return each_match(t, rf"(?<![\w/:])(?:({either})(?:\(\))?)(?![\w/(:])|({NAMES})", 2, lambda g: F.when(g[1] != "", g[1]).otherwise(names[g[0]]))
+    shorts = [short for short, _ in SPELLINGS]
+    # The first letter is looked at before all else: most places have another one.
+    pattern = rf"(?=[{''.join(sorted({x[0] for x in shorts}))}])(?<![\w/:])(?:({'|'.join(shorts)})(?:\(\))?)(?![\w/(:])|{NAMES}"
+    # Names alone change nothing.
+    return where(t, lambda t: holds(t, *shorts), lambda t: each_match(t, pattern, 2, lambda g: F.when(g[1] != "", g[1]).otherwise(names[g[0]])))
 
 
 def ended(text: Column) -> Column:
@@ -146,18 +151,23 @@ def narration(text: Column) -> Column:
     joined, citation marks and Markdown signs dropped, headings announced, URLs, abbreviations and terms spoken,
     paragraphs ended; bullets, quote signs and the bars of tables dropped. What code, tables, equations and figures need beyond
     that, blocks.section_prompts asks of a model."""
+    has = lambda *parts: lambda t: holds(t, *parts)
+    gone = lambda pattern, to="": lambda t: F.regexp_replace(t, pattern, to)
     t = without_furniture(text)
-    t = F.regexp_replace(t, r"(\p{L})-\n(\p{Ll})", "$1$2")
-    t = F.regexp_replace(t, r"\[\p{Nd}+(?:\s*,\s*\p{Nd}+)*\]|\((?:19|20)\p{Nd}{2}\)|(?s)<sup>.*?</sup>", "")
-    t = F.regexp_replace(t, r"\[([^\]\n]*)\]\([^)\n]*\)", "$1")
-    t = F.regexp_replace(t, r"\*\*|`|</?u>", "")
-    t = each_match(t, r"(?md)^#{1,6} ([0-9]+(?:\.[0-9]+)*)\.? +(.*?) *$", 2, lambda g: F.concat(F.lit("Now: section "), spoken_number(g[0]), F.lit(", "), g[1], F.lit(".")))
-    t = F.regexp_replace(t, r"(?md)^#{1,6} +(.*?)\.? *$", "Now: $1.")
-    t = F.regexp_replace(t, r"(?md)^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-+:?[ \t]*)*\|?[ \t]*(?:\n|\z)", "")
-    t = F.regexp_replace(t, r"(?md)^[ \t]*(?:(?:>[ \t]?)+|[-*+][ \t]+|\|[ \t]*)|[ \t]*\|[ \t]*$|^[ \t]+", "")
-    t = F.regexp_replace(t, r"[ \t]+\|[ \t]+", ", ")
-    t = F.regexp_replace(t, r"(?<![\w.,])([0-9][0-9.,]*) ?x ?(?=[0-9])", "$1 times ")
-    t = each_match(t, r"\bFig\. ?([0-9]+)()", 2, lambda g: F.concat(F.lit("figure "), spoken_number(g[0])))
+    t = where(t, has("-\n"), gone(r"(\p{L})-\n(\p{Ll})", "$1$2"))
+    t = where(t, has("[", "(19", "(20", "<sup>"), gone(r"\[\p{Nd}+(?:\s*,\s*\p{Nd}+)*\]|\((?:19|20)\p{Nd}{2}\)|(?s)<sup>.*?</sup>"))
+    t = where(t, has("]("), gone(r"\[([^\]\n]*)\]\([^)\n]*\)", "$1"))
+    t = where(t, has("**", "`", "u>"), gone(r"\*\*|`|</?u>"))
+    numbered = lambda t: each_match(t, r"(?md)^#{1,6} ([0-9]+(?:\.[0-9]+)*)\.? +(.*?) *$", 2, lambda g: F.concat(F.lit("Now: section "), spoken_number(g[0]), F.lit(", "), g[1], F.lit(".")))
+    t = where(t, lambda t: t.rlike("# [0-9]"), numbered)
+    t = where(t, has("# "), gone(r"(?md)^#{1,6} +(.*?)\.? *$", "Now: $1."))
+    t = where(t, has("---"), gone(r"(?md)^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-+:?[ \t]*)*\|?[ \t]*(?:\n|\z)"))
+    starts = " \t>-*+"
+    bullets = gone(r"(?md)^[ \t]*(?:(?:>[ \t]?)+|[-*+][ \t]+|\|[ \t]*)|[ \t]*\|[ \t]*$|^[ \t]+")
+    t = where(t, lambda t: F.left(t, F.lit(1)).isin(*starts) | holds(t, "|", *["\n" + x for x in starts]), bullets)
+    t = where(t, has("|"), gone(r"[ \t]+\|[ \t]+", ", "))
+    t = where(t, lambda t: t.rlike("x ?[0-9]"), gone(r"(?<![\w.,])([0-9][0-9.,]*) ?x ?(?=[0-9])", "$1 times "))
+    t = where(t, has("Fig"), lambda t: each_match(t, r"\bFig\. ?([0-9]+)()", 2, lambda g: F.concat(F.lit("figure "), spoken_number(g[0]))))
     for short, long in ABBREVIATIONS:
         t = F.replace(t, F.lit(short), F.lit(long))
     return ended(verbalize_urls(spelled(t), keep_paragraphs=True))

@@ -4,6 +4,9 @@ Python, Java and the usual SQL engines disagree about white space, line ends and
 Everything that must agree with Python goes through this module.
 """
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +14,8 @@ from pyspark.sql import functions as F
 SPACE = r"[\t\n\x0B\f\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 RARE_SPACE = r"[\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 SPACES = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+#: Printable ASCII and line feeds, most of any text, are passed by before the many ranges of RARE_SPACE are gone through.
+ANY_RARE_SPACE = rf"(?![\x20-\x7E\n]){RARE_SPACE}"
 LINE_END = r"(?:\r\n|[\n\x0B\f\r\x1C-\x1E\x85\u2028\u2029])"
 
 
@@ -19,6 +24,17 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def holds(c: Column, *parts: str) -> Column:
+    """Whether c has any of the parts in it."""
+    return reduce(or_, [F.contains(c, F.lit(p)) for p in parts])
+
+
+def where(c: Column, test, body) -> Column:
+    """body(c) where test(c) holds, else c as it is. A rule's pattern is far slower to look for than some signs that every
+    match of it has, so that texts without them are passed by; test must hold wherever body would change anything."""
+    return let(c, lambda t: F.when(test(t), body(t)).otherwise(t))
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(SPACES))
 
@@ -29,7 +45,7 @@ def rstrip(c: Column) -> Column:
 
 def one_space(c: Column, least: int = 2) -> Column:
     """Runs of at least so much white space made one space. The class of all white space is slow to match, so it is used where a text has any of the rarer kinds."""
-    return let(c, lambda t: F.when(t.rlike(RARE_SPACE), F.regexp_replace(t, f"{SPACE}{{{least},}}", " ")).otherwise(F.regexp_replace(t, f"[ \\t\\n\\x0B\\f\\r]{{{least},}}", " ")))
+    return let(c, lambda t: F.when(t.rlike(ANY_RARE_SPACE), F.regexp_replace(t, f"{SPACE}{{{least},}}", " ")).otherwise(F.regexp_replace(t, f"[ \\t\\n\\x0B\\f\\r]{{{least},}}", " ")))
 
 
 def lines(c: Column) -> Column:

@@ -3,6 +3,7 @@
 import random
 import re
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
@@ -139,6 +140,29 @@ def test_narration_drops_markdown(spark):
     assert column(spark, [t for t, _ in NARRATED], speech.narration(F.col("t"))) == [s for _, s in NARRATED]
 
 
+def test_names_are_gone_through_once(spark):
+    """A name of many parts that ends within a word: it was tried from each of its parts, which took this one over a minute."""
+    name = "a" + "_" * 60_000 + "é"
+    begin = time.monotonic()
+    assert column(spark, ["Get " + name], speech.spelled(F.col("t"))) == ["get " + name]
+    assert time.monotonic() - begin < 10
+
+
+def test_rules_that_are_passed_by_change_nothing(spark, monkeypatch):
+    """Texts made of what rules look for, whole and in part: passing rules by where their signs are missing gives what they give."""
+    r = random.Random(4)
+    parts = ["infer-\nence", "[3]", "[3, 4]", "(2024)", "(1924)", "<sup>2</sup>", "[a](b)", "[", "](", ")", "**", "`", "<u>", "</u>", "u>", "# ", "### 5.1 T", "## 7. ", "#", "---", "|---|:--|", "> ", "- ", "* ", "+ ", "|", " | ",
+        "3 x 4", "2x2", "1.x 3", "x", "Fig. 3", "Fig.", "e.g.", "->", "LSM", "LSMs", "Get", "Get()", "Get(", "IOPS", "I/O", "db_bench", "a::b", "a::bé", "a_", "a_b_", "_a", "a_bé", "CPU", "éDB", "DBé", "fio", "http://a.b/c.", "HTTPS://x",
+        "HtTp", "https", "://", "é", "\u3000", "\xa0 ", "\x1c\x1d", "\t", " ", "  ", "\n", "\n\n", "word", "."]
+    texts = ["", None, *parts, *("".join(r.choice(parts) + r.choice(["", "", " ", "\n"]) for _ in range(r.randint(2, 12))) for _ in range(1500))]
+    rules = [speech.narration, speech.spelled, speech.verbalize_urls]
+    got = [column(spark, texts, f(F.col("t"))) for f in rules]
+    monkeypatch.setattr(speech, "where", lambda c, test, body: body(c))
+    old = r"\b\w+(?:::\w+)+\b|\b[A-Za-z]\w*_\w+\b|\b(?:GPU|CPU|RAM|SSD)\b"
+    monkeypatch.setattr(speech, "NAMES", f"({old})")
+    assert got == [column(spark, texts, f(F.col("t"))) for f in rules]
+
+
 def test_unfaithful(spark):
     raw = spark.createDataFrame([(1, 0, "In 2024 it was 3.14 or 42, by DB::Get, 42."), (1, 1, "7 GPUs, CPU"), (2, 0, "8")], "doc int, sec int, text string")
     clean = spark.createDataFrame([(1, 0, "In two thousand twenty four it was 3.14 or Forty two, by DB::Get."), (1, 1, "7 GPUs, CPU and RAM")], "doc int, sec int, text string")

@@ -12,6 +12,7 @@ and length. No bucket ever meets in one task.
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
@@ -42,11 +43,19 @@ class ChunkIds(TokenIds):
     """Ids of texts by the ids of their chunks, white space and the word after it. A byte-level tokenizer never
     joins a word to the white space after it, so a text's ids are those of its chunks, one after the other, and
     a chunk of letters and closing signs has the ids of both. Both are tried out first; where they do not hold, and for texts
-    with other white space than spaces and line feeds, whose runs must not be cut, the text is encoded as a whole."""
+    with other white space than spaces and line feeds, whose runs must not be cut, the text is encoded as a whole.
+
+    Most chunks are a space and a word, so they are held without that space; one that begins with a line feed is held as it is,
+    any other behind BARE, which texts that are cut do not have. Letters alone go to the tokenizer's model without its other parts, which is
+    tried out too."""
 
     CHUNK = re.compile("[ \n]*[^ \n]+|[ \n]+")
-    OTHER = re.compile("[^\\S \n]|[\x1c-\x1f᠎​﻿]")
+    OTHER = re.compile("[^\\S \n]|[\x1c-\x1f\u180e\u200b\ufeff]")
+    OTHERS = tuple(filter(OTHER.match, map(chr, range(0x10000))))
     SIGNS = ".,;:!?"
+    BARE = "\r"
+    #: Texts whose missing chunks are learnt together.
+    TEXTS = 64
 
     def __init__(self, model: str):
         super().__init__(model)
@@ -56,6 +65,8 @@ class ChunkIds(TokenIds):
         tried = ["One two,  three.\n\nFour\nfive 67 it's  ", " été\n naïve  \n— x", "a\n b c \nd"]
         self.chunks = all(alone(t) == together(self.CHUNK.findall(t)) for t in tried)
         self.signs = all(alone(w + s) == alone(w) + alone(s) for w in (" the", "Zebra", "\nÉté", " don") for s in (*self.SIGNS, "...", "?!", ".,"))
+        self.line = alone("\n")
+        self.letters = self.takes_letters_whole()
 
     @staticmethod
     def of_worker(model: str) -> "ChunkIds":
@@ -67,28 +78,106 @@ class ChunkIds(TokenIds):
             held[hash(model)] = ChunkIds(model)
         return held[hash(model)]
 
+    def takes_letters_whole(self) -> bool:
+        """Whether letters, with a space before them or none, are one word to the tokenizer, which only its model takes apart."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        sign = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.space = sign(" ")[0][0]
+        self.latin = {k: sign(chr(k))[0][0] for k in range(0x80, 0x100)} | {ord(" "): self.space}
+        own, cuts = self.tokenizer, self.tokenizer.pre_tokenizer
+        if own.normalizer is not None or cuts is None or any(not re.search(r"[^\w\s]|[\d_]", t.content) for t in own.get_added_tokens_decoder().values()):
+            return False
+        words = ("the", "Zebra", "ÉTÉ", "naïve", "Xylophone", "QUICKLY", "ªµº", "thheIngble", "s")
+        whole = all([x for x, _ in cuts.pre_tokenize_str(lead + w)] == [self.as_bytes(lead + w)] for w in words for lead in (" ", ""))
+        ids_of = lambda t: own.encode(t, add_special_tokens=False).ids
+        same = lambda w: all(ids_of(lead + w) == [t.id for t in own.model.tokenize(self.as_bytes(lead + w))] for lead in (" ", ""))
+        return whole and all(same(w) and ids_of("\n" + w) == self.line + ids_of(w) for w in words)
+
+    def as_bytes(self, text: str) -> str:
+        """Latin letters and spaces as the model has them, a sign for each byte."""
+        return text.translate(self.latin)
+
+    def key(self, chunk: str) -> str:
+        if chunk[0] == " " and chunk[1:2] != "\n":
+            return chunk[1:]
+        return chunk if chunk[0] == "\n" else self.BARE + chunk
+
+    def chunk(self, key: str) -> str:
+        return key[1:] if key[:1] == self.BARE else key if key[:1] == "\n" else " " + key
+
+    def keys_of(self, text: str) -> list[str]:
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
+            return [self.key(c) for c in self.CHUNK.findall(text)]
+        keys = text.replace("\n", " \n").split(" ")
+        if keys[0]:
+            keys[0] = self.BARE + keys[0]
+        else:  # the text is empty or begins with white space
+            del keys[0]
+        return keys
+
+    def encoded(self, words: list[str]) -> None:
+        tokenize, flat, ends, done, rest = self.tokenizer.model.tokenize, [], [0], [], []
+        for key in words:
+            lead = key[:1] if key[:1] in (self.BARE, "\n") else ""
+            bare = key[len(lead) :]
+            if not self.letters or not bare.isalpha() or (not bare.isascii() and max(bare) >= "\u0100"):
+                rest.append(key)
+                continue
+            if lead == "\n":
+                flat += self.line
+            flat += [t.id for t in tokenize(("" if lead else self.space) + (bare if bare.isascii() else self.as_bytes(bare)))]
+            ends.append(len(flat))
+            done.append(key)
+        data = np.array(flat, "<u4").tobytes()
+        for key, a, b in zip(done, ends, ends[1:]):
+            self[key] = data[4 * a : 4 * b]
+        if rest:
+            chunks = {self.chunk(k): k for k in rest}
+            found: dict[str, bytes] = {}
+            self.encode_into(found, list(chunks))
+            for chunk, key in chunks.items():
+                self[key] = found[chunk]
+
     def learn(self, words: set[str]) -> None:
-        made = []
-        if self.signs:
-            for w in words:
-                letters = w.rstrip(self.SIGNS)
-                if len(letters) < len(w) and (bare := letters.lstrip(" \n")).isalpha() and max(bare) < "Ā":
-                    made.append((w, letters, w[len(letters) :]))
-        forgets = len(self) > packing.CACHED_WORDS  # then the parts are learnt again with the rest
-        super().learn((words - {w for w, *_ in made}) | {x for _, *both in made for x in both if forgets or x not in self})
-        for w, letters, signs in made:
-            self[w] = self[letters] + self[signs]
+        if len(self) > packing.CACHED_WORDS:
+            self.older = dict(self)
+            self.clear()
+            words = words | self.asked
+        todo, made = set(), []
+
+        def want(key: str) -> None:
+            if (known := self.older.get(key)) is not None:
+                self[key] = known
+            elif key not in self:
+                todo.add(key)
+
+        for key in words:
+            if key in self.older:
+                self[key] = self.older[key]
+            elif self.signs and key[-1:] in self.SIGNS and (bare := (letters := key.rstrip(self.SIGNS)).lstrip(" \n" + self.BARE)).isalpha() and max(bare) < "\u0100":
+                made.append((key, letters, signs := self.BARE + key[len(letters) :]))
+                want(letters)
+                want(signs)
+            else:
+                todo.add(key)
+        self.encoded(list(todo))
+        for key, letters, signs in made:
+            self[key] = self[letters] + self[signs]
 
     def of_texts(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            if not self.chunks or self.OTHER.search(text):
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-                continue
-            chunks = self.CHUNK.findall(text)
-            self.asked = set(chunks)
-            if missing := {c for c in self.asked if c not in self}:
+        for lo in range(0, len(texts), self.TEXTS):
+            some = texts[lo : lo + self.TEXTS]
+            cut = [None if not self.chunks or any(map(t.__contains__, self.OTHERS)) else self.keys_of(t) for t in some]
+            own = [keys for keys in cut if keys is not None]
+            if missing := set(filterfalse(self.__contains__, chain.from_iterable(own))):
+                self.asked = set(chain.from_iterable(own)) if len(self) > packing.CACHED_WORDS else set()
                 self.learn(missing)
-            yield b"".join(map(self.__getitem__, chunks))
+            for text, keys in zip(some, cut, strict=True):
+                if keys is None:
+                    yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                else:
+                    yield b"".join(map(self.__getitem__, keys))
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

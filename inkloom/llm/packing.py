@@ -215,18 +215,21 @@ class TokenIds(dict):
         return all(same(w + s, w.lower(), s) and same(w, w.lower()) for w in words for s in (".", ",", "...", ".,", ",,"))
 
     def encoded(self, words: list[str]) -> None:
+        self.encode_into(self, words)
+
+    def encode_into(self, held: dict[str, bytes], words: list[str]) -> None:
         alone = [w for w in words if self.parting is None or self.PARTING in w]
         if alone:
             words = [w for w in words if w not in set(alone)]
             for word, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-                self[word] = np.array(e.ids, "<u4").tobytes()
+                held[word] = np.array(e.ids, "<u4").tobytes()
         for lo in range(0, len(words), 100 * self.TOGETHER):
             groups = [words[k : k + self.TOGETHER] for k in range(lo, min(lo + 100 * self.TOGETHER, len(words)), self.TOGETHER)]
             for group, e in zip(groups, self.tokenizer.encode_batch_fast([self.PARTING.join(g) for g in groups], add_special_tokens=False), strict=True):
                 ids = np.array(e.ids, "<u4")
                 data, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == self.parting)).tolist()
                 for word, a, b in zip(group, [0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True):
-                    self[word] = data[a:b]
+                    held[word] = data[a:b]
 
     def learn(self, words: set[str]) -> None:
         if len(self) > CACHED_WORDS:

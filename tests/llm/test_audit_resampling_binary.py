@@ -201,6 +201,41 @@ def test_words_are_forgotten_and_learnt_again(monkeypatch, kind):
         assert [np.frombuffer(b, "<u4").tolist() for b in ids_of.of_texts(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+class Counted:
+    """A tokenizer, and how many texts it was given."""
+
+    def __init__(self, tokenizer):
+        self.own, self.texts = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.own, name)
+
+    def encode(self, text, **options):
+        self.texts += 1
+        return self.own.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.own.encode_batch_fast(texts, **options)
+
+
+def test_letters_go_to_the_model_alone(tokenizer):
+    """New words of letters are most of what a corpus has to encode; the tokenizer's other parts took twice the time for them."""
+    ids_of, t, r = decompose.ChunkIds(open(tokenizer, encoding="utf-8").read()), Tokenizer.from_file(tokenizer), random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCéüßñµª") for _ in range(r.randint(1, 12)))
+    texts = ["\n".join(" ".join(word() + r.choice(["", "", ",", ".", "?!"]) for _ in range(9)) for _ in range(4)) for _ in range(150)]
+    ids_of.tokenizer = Counted(ids_of.tokenizer)
+    assert [np.frombuffer(b, "<u4").tolist() for b in ids_of.of_texts(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert ids_of.tokenizer.texts <= 3 and ids_of.letters  # closing signs, in one call a group of texts
+    # Whatever white space stands where, with a tokenizer that takes letters whole and with one that is not known to.
+    parts = [" ", "  ", "\n", "\n\n", " \n", "\n ", "\t", "\r", "\xa0", "a", "Zb", "é", "é.", "été,", "x1", "it's", "中", "🙂", ".", "?!", "<|endoftext|>", "\u180e", "\u200b"]
+    texts = ["", *parts, *("".join(r.choice(parts) for _ in range(r.randint(2, 9))) for _ in range(3000))]
+    for letters in (True, False):
+        ids_of.clear()
+        ids_of.letters = letters
+        assert [np.frombuffer(b, "<u4").tolist() for b in ids_of.of_texts(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_binary_pieces_cover_every_length():
     for n in range(1, 300):
         pieces = decompose.binary_pieces(n, 64)

@@ -12,7 +12,7 @@ and length. No bucket ever meets in one task.
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain, filterfalse
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -143,7 +143,6 @@ class ChunkIds(TokenIds):
         if len(self) > packing.CACHED_WORDS:
             self.older = dict(self)
             self.clear()
-            words = words | self.asked
         todo, made = set(), []
 
         def want(key: str) -> None:
@@ -169,15 +168,20 @@ class ChunkIds(TokenIds):
         for lo in range(0, len(texts), self.TEXTS):
             some = texts[lo : lo + self.TEXTS]
             cut = [None if not self.chunks or any(map(t.__contains__, self.OTHERS)) else self.keys_of(t) for t in some]
-            own = [keys for keys in cut if keys is not None]
-            if missing := set(filterfalse(self.__contains__, chain.from_iterable(own))):
-                self.asked = set(chain.from_iterable(own)) if len(self) > packing.CACHED_WORDS else set()
-                self.learn(missing)
-            for text, keys in zip(some, cut, strict=True):
-                if keys is None:
+            keys = list(chain.from_iterable(k for k in cut if k is not None))
+            # Each key is looked for once; what was found is at hand even where the cache then forgets it.
+            held = list(map(self.get, keys))
+            if missing := [i for i, ids in enumerate(held) if ids is None]:
+                self.learn({keys[i] for i in missing})
+                for i in missing:
+                    held[i] = self[keys[i]]
+            at = 0
+            for text, own in zip(some, cut, strict=True):
+                if own is None:
                     yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
                 else:
-                    yield b"".join(map(self.__getitem__, keys))
+                    yield b"".join(held[at : at + len(own)])
+                    at += len(own)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkloom.llm import packing
-from inkloom.llm.common import documents, materialize
+from inkloom.llm.common import documents, materialize, of_worker
 from inkloom.llm.packing import TokenIds
 
 CAPACITY = 1024
@@ -70,13 +70,7 @@ class ChunkIds(TokenIds):
 
     @staticmethod
     def of_worker(model: str) -> "ChunkIds":
-        import sys
-
-        held = sys.__dict__.setdefault("_inkloom_chunks", {})
-        if hash(model) not in held:
-            held.clear()
-            held[hash(model)] = ChunkIds(model)
-        return held[hash(model)]
+        return of_worker(("chunks", hash(model)), lambda: ChunkIds(model))
 
     def takes_letters_whole(self) -> bool:
         """Whether letters, with a space before them or none, are one word to the tokenizer, which only its model takes apart."""

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkloom.llm.common import LOWER, UPPER, WordHashes, documents, materialize, mixed, rolling, shards, shards_for, with_row_hash, words_of
+from inkloom.llm.common import LOWER, UPPER, WordHashes, documents, materialize, mixed, of_worker, rolling, shards, shards_for, with_row_hash, words_of
 
 WORDS = 5
 #: A link: 100 * intersection >= SIMILARITY * union. Distances below are 1 - Jaccard.
@@ -116,7 +116,7 @@ def sketching(n_shards: int):
         return pd.DataFrame(rows, columns=["kind", "shard", "doc_id", "row_hash", "n", "set_id", "shingles", "sets", "ns", "edges", "per_set"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, held, size = WordHashes(), {}, 0
+        cache, held, size = of_worker("words", WordHashes), {}, 0
         for batch in batches:
             docs = []
             for doc_id, row_hash, text in zip(batch["doc_id"], batch["row_hash"], batch["text"], strict=True):
@@ -336,7 +336,7 @@ def region_links(sets: list[np.ndarray], linked: list[bool] | None = None) -> li
 
 def joining(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come sorted by region, the pivot first; one region is held at a time."""
-    cache = WordHashes()
+    cache = of_worker("words", WordHashes)
     region, ids, sets, linked = None, [], [], []
 
     def finish() -> pd.DataFrame:
@@ -359,7 +359,7 @@ def joining(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def spreading(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A row for each shingle of region, set_id, text."""
-    cache = WordHashes()
+    cache = of_worker("words", WordHashes)
     for batch in batches:
         for at in range(0, len(batch), 64):
             part = batch.iloc[at : at + 64]
@@ -413,7 +413,7 @@ class Pivots:
 def cutting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come sorted by region and salt, the pivots first; only the pivots are held. Gives links with
     pivots (kind 0: a, b) and the cells of each other set (kind 1: a, n, region, cell, total, linked)."""
-    cache = WordHashes()
+    cache = of_worker("words", WordHashes)
     at, ids, sets, pivots = None, [], [], None
     for batch in batches:
         rows = []

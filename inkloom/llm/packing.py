@@ -14,9 +14,10 @@ before, so no length's items ever meet in one task.
 
 import bisect
 import os
-import sys
+import re
 from collections.abc import Iterator
 from itertools import chain, filterfalse
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -24,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkloom.llm.common import documents, field_list, materialize, with_column
+from inkloom.llm.common import documents, field_list, materialize, of_worker, with_column
 
 CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
+#: Marks, a byte each, of the words that were met once.
+MARKS = 1 << 22
 
 #: length, first rank, items, items of a sequence, first sequence, offset in it
 PlanRow = tuple[int, int, int, int, int, int]
@@ -183,11 +186,14 @@ class TokenIds(dict):
     """Little-endian ids by word. The tokenizer cuts at white space and drops it, so the ids of
     a text are those of its words, one after the other. One that also lower-cases and cuts between
     letters and signs, which is tried out first, lets words be taken apart: a word of Latin letters and full stops or commas has the ids of its
-    letters, then those of its signs. When CACHED_WORDS are held, they become the older
+    letters, then those of its signs. Most words of a corpus come once, so a word stays only when it
+    is met again in later texts: the first time leaves a mark, by its hash. When CACHED_WORDS are held, they become the older
     generation, from which words in use move back; the one before is forgotten."""
 
     #: Words of one call to the tokenizer, parted by its special token.
     TOGETHER = 64
+    #: Texts whose words are held at a time.
+    TEXTS = 128
     PARTING = "<|endoftext|>"
 
     def __init__(self, model: str):
@@ -196,17 +202,15 @@ class TokenIds(dict):
         self.tokenizer = Tokenizer.from_str(model)
         self.parting = self.tokenizer.token_to_id(self.PARTING)
         self.older: dict[str, bytes] = {}
+        self.met, self.marked = bytearray(MARKS), 0
+        self.passing: list[str] = []
         self.parts = self.lower_cases_and_parts_signs()
+        self.whole = self.parts and self.takes_words_whole()
 
     @staticmethod
     def of_worker(model: str) -> "TokenIds":
         """One for all tasks of a worker process."""
-        held = sys.__dict__.setdefault("_inkloom_tokens", {})
-        key = hash(model)
-        if key not in held:
-            held.clear()
-            held[key] = TokenIds(model)
-        return held[key]
+        return of_worker(("tokens", hash(model)), lambda: TokenIds(model))
 
     def lower_cases_and_parts_signs(self) -> bool:
         """Whether words may be taken apart: the tokenizer says so by what it makes of words as texts have them."""
@@ -214,7 +218,31 @@ class TokenIds(dict):
         words = ("the", "Zebra", "ÉTÉ", "naïve", "Xylophone", "QUICKLY")
         return all(same(w + s, w.lower(), s) and same(w, w.lower()) for w in words for s in (".", ",", "...", ".,", ",,"))
 
+    def takes_words_whole(self) -> bool:
+        """Whether a word of small Latin letters has the ids that the tokenizer's model alone makes of its bytes."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        sign = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.latin = {k: sign(chr(k))[0][0] for k in range(0x80, 0x100)}
+        if any(not re.search(r"[^\w\s]|[\d_]", t.content) for t in self.tokenizer.get_added_tokens_decoder().values()):
+            return False
+        words = ("the", "zebra", "été", "naïve", "xylophone", "ªµº", "thheingble", "s", "ß", "straße")
+        return all(self.tokenizer.encode(w, add_special_tokens=False).ids == [t.id for t in self.tokenizer.model.tokenize(self.as_bytes(w))] for w in words)
+
+    def as_bytes(self, text: str) -> str:
+        """Latin letters as the model has them, a sign for each byte."""
+        return text if text.isascii() else text.translate(self.latin)
+
     def encoded(self, words: list[str]) -> None:
+        if self.whole:
+            tokenize, rest = self.tokenizer.model.tokenize, []
+            for w in words:
+                if w.isalpha() and w.islower() and (w.isascii() or max(w) < "\u0100"):
+                    ids = [t.id for t in tokenize(self.as_bytes(w))]
+                    self[w] = pack(f"<{len(ids)}I", *ids)
+                else:
+                    rest.append(w)
+            words = rest
         self.encode_into(self, words)
 
     def encode_into(self, held: dict[str, bytes], words: list[str]) -> None:
@@ -243,7 +271,7 @@ class TokenIds(dict):
                 self[w] = known
                 continue
             letters = (low := w.lower()).rstrip(".,")
-            if self.parts and letters.isalpha() and max(letters) < "\u0100" and letters != w:
+            if self.parts and letters.isalpha() and (letters.isascii() or max(letters) < "\u0100") and letters != w:
                 made.append((w, letters, signs := low[len(letters) :]))
                 todo.update(x for x in (letters, signs) if x not in self)
             else:
@@ -251,16 +279,34 @@ class TokenIds(dict):
         self.encoded(list(todo))
         for w, letters, signs in made:
             self[w] = self[letters] + self[signs]
+        todo.update(w for w, _, _ in made)
+        self.mark(todo)
+
+    def mark(self, words: set[str]) -> None:
+        """Words without a mark get one, and are only passing."""
+        if self.marked > MARKS // 4:
+            self.met, self.marked = bytearray(MARKS), 0
+        met = self.met
+        for w in words:
+            at = hash(w) % MARKS
+            if not met[at]:
+                met[at] = 1
+                self.passing.append(w)
+        self.marked += len(self.passing)
 
     def of_texts(self, texts: list[str]) -> Iterator[bytes]:
-        # The space and the line feed are ones that the tokenizer's pattern knows in any case; others stay within a word.
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        self.asked: set[str] = set()
-        if len(self) > CACHED_WORDS:
-            self.asked = set(chain.from_iterable(words))
-        self.learn(set(filterfalse(self.__contains__, chain.from_iterable(words))))
-        for w in words:
-            yield b"".join(map(self.__getitem__, w))
+        for lo in range(0, len(texts), self.TEXTS):
+            # The space and the line feed are ones that the tokenizer's pattern knows in any case; others stay within a word.
+            words = [t.replace("\n", " ").split(" ") for t in texts[lo : lo + self.TEXTS]]
+            self.asked: set[str] = set()
+            if len(self) > CACHED_WORDS:
+                self.asked = set(chain.from_iterable(words))
+            self.learn(set(filterfalse(self.__contains__, chain.from_iterable(words))))
+            for w in words:
+                yield b"".join(map(self.__getitem__, w))
+            for w in self.passing:
+                self.pop(w, None)
+            self.passing = []
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:

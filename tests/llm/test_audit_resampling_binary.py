@@ -7,11 +7,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from inkloom.llm import decompose, filter_audit, importance, packing
+from inkloom.llm import decompose, filter_audit, importance, jaccard_join, packing
 
 WS = "[^\x20\x09-\x0d]+"
 CLASHING = "doc_id bigint, text string, source string, part string, mask int, fp bigint, row bigint, rank int, length int, score string"
@@ -201,6 +202,21 @@ def test_words_are_forgotten_and_learnt_again(monkeypatch, kind):
         assert [np.frombuffer(b, "<u4").tolist() for b in ids_of.of_texts(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_words_that_come_once_are_not_kept():
+    """Nor does a worker keep the words' ids when it goes on to another operator."""
+    model = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
+    ids_of, r = packing.TokenIds.of_worker(model), random.Random(2)
+    word = lambda: "".join(r.choice("abcdefgéèß") for _ in range(9))
+    for _ in range(20):
+        texts = [" ".join([*(word() for _ in range(40)), "the", "One,"]) for _ in range(20)]
+        assert [np.frombuffer(b, "<u4").tolist() for b in ids_of.of_texts(texts)] == [ids_of.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    assert {"the", "One,"} <= set(ids_of) and len(ids_of) < 400  # of 16,000 words that come once
+    assert packing.TokenIds.of_worker(model) is ids_of
+    sets = pd.DataFrame({"doc_id": [1], "row_hash": [1], "text": ["a b c d e f"]})
+    assert len(list(jaccard_join.sketching(2)(iter([sets])))) == 2
+    assert packing.TokenIds.of_worker(model) is not ids_of
+
+
 class Counted:
     """A tokenizer, and how many texts it was given."""
 
